@@ -65,12 +65,12 @@ VIEWS = {
   UNION ALL SELECT p_partkey, 'global', NULL, 6, 'title', concat(p_name, ' v2') FROM part
   UNION ALL SELECT p_partkey, 'global', NULL, 7, 'license_type', CASE WHEN p_partkey % 3 <> 0 THEN 'permissive' END FROM part
   UNION ALL SELECT p_partkey, 'global', NULL, 8, 'realm', CASE WHEN p_size % 5 = 0 THEN 'wrong!' WHEN p_size % 2 = 0 THEN 'atmos' ELSE 'aerosol' END FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'tas', 9, 'long_name', concat('temperature of ', p_type) FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'tas', 10, 'units', CASE WHEN p_size % 2 = 0 THEN 'K' ELSE 'degC' END FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'pr', 11, 'units', 'kg m-2 s-1' FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'pr', 12, '_FillValue', '-999' FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'lat', 13, '_CoordinateAxisType', 'Lat' FROM part
-  UNION ALL SELECT p_partkey, 'variable', 'lat', 14, 'units', 'degrees_north' FROM part""",
+  UNION ALL SELECT p_partkey, 'variable', 'tas', 9, 'long_name', concat('temperature of ', p_type) FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 13 <> 0
+  UNION ALL SELECT p_partkey, 'variable', 'tas', 10, 'units', CASE WHEN p_size % 2 = 0 THEN 'K' ELSE 'degC' END FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 13 <> 0
+  UNION ALL SELECT p_partkey, 'variable', 'pr', 11, 'units', 'kg m-2 s-1' FROM part WHERE p_partkey % 11 <> 0
+  UNION ALL SELECT p_partkey, 'variable', 'pr', 12, '_FillValue', '-999' FROM part WHERE p_partkey % 11 <> 0
+  UNION ALL SELECT p_partkey, 'variable', 'lat', 13, '_CoordinateAxisType', 'Lat' FROM part WHERE p_partkey % 11 <> 0
+  UNION ALL SELECT p_partkey, 'variable', 'lat', 14, 'units', 'degrees_north' FROM part WHERE p_partkey % 11 <> 0""",
     "items": """
   SELECT d.doc_id, concat('item_', d.doc_id) AS dataset_name, source AS collection, lang AS frequency, n_chars,
          o.o_orderdate AS datetime, p.url AS url
