@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubeweave.functions.names import col
@@ -36,3 +36,22 @@ def from_calendar(year: Column, month: Column, day: Column) -> Column:
     """A calendar date as a standard one; null when the standard calendar has no such day."""
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
     return text.try_cast("date")
+
+
+def _replaced(cube: DataFrame, variable: str, value: Column, **attributes: str) -> DataFrame:
+    metadata = {**cube.schema[variable].metadata, **attributes}
+    return cube.withColumn(variable, value).withMetadata(variable, metadata)
+
+
+def to_celsius(cube: DataFrame, variable: str) -> DataFrame:
+    """Kelvin to degrees Celsius, with the new units in the column's metadata."""
+    offset = F.lit("273.15").cast("decimal(5,2)")
+    return _replaced(cube, variable, F.col(variable) - offset, units="degC", cell_methods="time: mean")
+
+
+def to_daily_depth(cube: DataFrame, variable: str) -> DataFrame:
+    """A precipitation rate to a depth per day."""
+    return _replaced(
+        cube, variable, F.col(variable) * F.lit(86400), units="mm",
+        long_name="depth of water-equivalent precipitation", cell_methods="time: sum",
+    )

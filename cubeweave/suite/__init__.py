@@ -3,6 +3,6 @@
 import importlib
 import pathlib
 
-for _m in "scans aggregation edits selection catalog forecast compare families streams".split():
+for _m in "scans aggregation edits selection scalars catalog forecast compare families streams".split():
     if (pathlib.Path(__file__).parent / f"{_m}.py").exists():
         importlib.import_module(f"cubeweave.suite.{_m}")
