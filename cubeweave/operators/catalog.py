@@ -189,7 +189,11 @@ def vocabulary(spark: SparkSession, terms: dict[str, dict[str, str] | list[str]]
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """The vocabularies of a folder of JSON files: facet -> list, or facet -> value -> code."""
-    files = spark.read.option("wholetext", True).text(path, pathGlobFilter="*.json")
+    return read_vocabulary_lines(spark.read.option("wholetext", True).text(path, pathGlobFilter="*.json"))
+
+
+def read_vocabulary_lines(files: DataFrame) -> DataFrame:
+    """The same from texts that hold one JSON object each."""
     raw = files.select(F.explode(F.from_json("value", "map<string,string>")).alias("facet", "body"))
     listed = F.transform(F.from_json("body", "array<string>"), lambda v: F.struct(v.alias("value"), v.alias("code")))
     mapped = F.transform(
