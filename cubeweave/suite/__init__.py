@@ -1,8 +1,14 @@
 """Registered queries with their reference SQL, one module per part of the engine."""
 
-import importlib
-import pathlib
-
-for _m in "scans aggregation edits selection scalars catalog forecast compare families streams".split():
-    if (pathlib.Path(__file__).parent / f"{_m}.py").exists():
-        importlib.import_module(f"cubeweave.suite.{_m}")
+from cubeweave.suite import (  # noqa: F401
+    scans,
+    aggregation,
+    edits,
+    selection,
+    scalars,
+    catalog,
+    forecast,
+    compare,
+    families,
+    streams,
+)
