@@ -39,10 +39,15 @@ def swap_prefix(path: str | Column, old: str, new: str) -> Column:
     ).otherwise(p)
 
 
-def glob_to_regex(glob: str, anchor_start: bool = True) -> str:
-    """A shell pattern as a regular expression; every other sign is literal."""
-    body = "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in glob)
-    return f"{'^' if anchor_start else ''}{body}$"
+def glob_to_regex(glob: str) -> str:
+    """A shell pattern as a regular expression to search for; every other sign is literal.
+
+    Stars at the ends become missing anchors: a search for ``.*x`` would try
+    every start again and again on a text without x.
+    """
+    core = glob.strip("*")
+    body = "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in core)
+    return f"{'' if glob.startswith('*') else '^'}{body}{'' if glob.endswith('*') else '$'}"
 
 
 def glob_to_regex_column(glob: str | Column) -> Column:

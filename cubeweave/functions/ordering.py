@@ -12,25 +12,32 @@ from pyspark.sql import functions as F
 
 
 def running_totals(
-    df: DataFrame, group: list[str], coarse: str, order: list[str], values: dict[str, Column]
+    df: DataFrame, group: list[str], coarse: str | None, order: list[str], values: dict[str, Column]
 ) -> DataFrame:
-    """For each named value, add its sum over the rows that come before, per group."""
+    """For each named value, add its sum over the rows that come before, per group.
+
+    Without a coarse key one window does it, in one pass: that is for groups
+    with a known bound, such as one file per year.
+    """
     before = (Window.unboundedPreceding, -1)
-    over_coarse = Window.partitionBy(*group).orderBy(coarse).rowsBetween(*before)
-    over_slice = Window.partitionBy(*group, coarse).orderBy(*order).rowsBetween(*before)
+
+    def earlier(value: Column, window) -> Column:
+        return F.coalesce(F.sum(value).over(window.rowsBetween(*before)), F.lit(0))
+
+    if coarse is None:
+        window = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumns({n: earlier(v, window).cast("bigint") for n, v in values.items()})
+    over_coarse = Window.partitionBy(*group).orderBy(coarse)
+    over_slice = Window.partitionBy(*group, coarse).orderBy(*order)
     totals = df.groupBy(*group, coarse).agg(*[F.sum(v).alias(f"_total_{n}") for n, v in values.items()])
-    base = totals.select(
-        *group, coarse, *[F.coalesce(F.sum(f"_total_{n}").over(over_coarse), F.lit(0)).alias(f"_base_{n}") for n in values]
-    )
-    inner = df.withColumns(
-        {f"_inner_{n}": F.coalesce(F.sum(v).over(over_slice), F.lit(0)) for n, v in values.items()}
-    ).join(base, [*group, coarse])
+    base = totals.select(*group, coarse, *[earlier(F.col(f"_total_{n}"), over_coarse).alias(f"_base_{n}") for n in values])
+    inner = df.withColumns({f"_inner_{n}": earlier(v, over_slice) for n, v in values.items()}).join(base, [*group, coarse])
     return inner.withColumns(
         {n: (F.col(f"_base_{n}") + F.col(f"_inner_{n}")).cast("bigint") for n in values}
     ).drop(*[f"_{k}_{n}" for k in ("base", "inner") for n in values])
 
 
-def position(df: DataFrame, group: list[str], coarse: str, order: list[str], name: str) -> DataFrame:
+def position(df: DataFrame, group: list[str], coarse: str | None, order: list[str], name: str) -> DataFrame:
     """Add the 0-based position of each row in its group."""
     return running_totals(df, group, coarse, order, {name: F.lit(1)})
 

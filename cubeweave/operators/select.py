@@ -156,9 +156,17 @@ def first_region(rows: DataFrame, group: list[str]) -> DataFrame:
 
 
 def years_of(rows: DataFrame, other: DataFrame, time: str = "time") -> DataFrame:
-    """Rows from the first to the last year of another dataset."""
-    ends = other.agg(F.min(F.year(time)).alias("first"), F.max(F.year(time)).alias("last"))
-    return rows.where(F.year(time).between(ends.select("first").scalar(), ends.select("last").scalar()))
+    """Rows from the first to the last year of another dataset.
+
+    The bounds are times, not years, so that the comparison with the stored
+    column can reach the file reader once they are known.
+    """
+    first = F.trunc(F.min(time).cast("date"), "year")
+    last = F.add_months(F.trunc(F.max(time).cast("date"), "year"), 12)
+    ends = other.agg(first.cast("timestamp_ntz").alias("first"), last.cast("timestamp_ntz").alias("last"))
+    return rows.where(
+        (F.col(time) >= ends.select("first").scalar()) & (F.col(time) < ends.select("last").scalar())
+    )
 
 
 def nearest(rows: DataFrame, targets: dict[str, float], source: DataFrame | None = None) -> DataFrame:

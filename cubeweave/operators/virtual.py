@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from cubeweave.functions import names, ordering
 
 
-def member_list(members: DataFrame, dataset: list[str], coarse: str, order: list[str]) -> DataFrame:
-    """Members with their ordinal in the dataset."""
+def member_list(members: DataFrame, dataset: list[str], order: list[str], coarse: str | None = None) -> DataFrame:
+    """Members with their ordinal in the dataset.
+
+    Give a coarse order key unless a dataset has few members by construction.
+    """
     return ordering.position(members, dataset, coarse, order, "ordinal")
 
 
 def member_offsets(
-    members: DataFrame, dataset: list[str], coarse: str, order: list[str], steps: str = "ncoords"
+    members: DataFrame, dataset: list[str], order: list[str], coarse: str | None = None, steps: str = "ncoords"
 ) -> DataFrame:
     """Ordinal, first and last global index of every member along the concatenated dimension."""
     placed = ordering.running_totals(members, dataset, coarse, order, {"ordinal": F.lit(1), "first_index": F.col(steps)})

@@ -146,7 +146,7 @@ def _regexp(files: DataFrame, family: Family) -> DataFrame:
 def _files(files: DataFrame, family: Family) -> DataFrame:
     """The files themselves, in name order, with their step counts."""
     group = _groups(files, family)
-    listed = virtual.member_list(files.select(*dict.fromkeys([*group, "year", "path", "ncoords"])), group, "year", ["path"])
+    listed = virtual.member_list(files.select(*dict.fromkeys([*group, "year", "path", "ncoords"])), group, ["path"], coarse="year")
     return listed.withColumnRenamed("path", "location")
 
 

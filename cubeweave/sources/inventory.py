@@ -46,7 +46,7 @@ def scan(
     inside = F.col("path").startswith(F.concat(place, F.lit("/"))) if deep else names.parent("path") == place
     found = inventory.where(inside)
     if suffix is not None:
-        found = found.where(F.col("path").rlike(names.glob_to_regex("*" + suffix.lstrip("*"), anchor_start=False)))
+        found = found.where(ends_like(F.col("path"), suffix))
     if regexp is not None:
         found = found.where(F.col("path").rlike(f"^(?:{regexp.removesuffix('$')})$"))
     if older_than is not None:
@@ -54,6 +54,13 @@ def scan(
     return found
 
 
+def ends_like(path: Column, suffix: str) -> Column:
+    """Whether a path ends in a suffix, which may be a glob."""
+    if not any(c in suffix for c in "*?"):
+        return path.endswith(suffix)
+    return path.rlike(names.glob_to_regex("*" + suffix.lstrip("*")))
+
+
 def date_mark(path: str | Column, pattern: str, date_format: str) -> Column:
     """A time taken from the file name: group 1 of ``pattern``, null when it does not parse."""
     return F.try_to_timestamp(F.regexp_extract(names.file_name(path), pattern, 1), F.lit(date_format))

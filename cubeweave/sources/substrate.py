@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cubeweave.functions import times
+
 ROOT = "/data/vdb"
 COORDS = ["time", "lat", "lon", "realization"]
 # years from this one on belong to a projection instead of the past
@@ -28,6 +30,11 @@ def money(col: str | Column) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
 
 
+def stored(col: str) -> Column:
+    """A value of a line item. With eight digits its sum is a sum of 64-bit integers."""
+    return F.col(col).cast("decimal(8,2)")
+
+
 def _coords() -> dict[str, Column]:
     return {
         "time": F.col("l_shipdate"),
@@ -42,7 +49,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(*[c.alias(n) for n, c in _coords().items()])
-        .agg(F.sum(money("l_quantity")).alias("tas"), F.sum(money("l_extendedprice")).alias("pr"))
+        .agg(F.sum(stored("l_quantity")).alias("tas"), F.sum(stored("l_extendedprice")).alias("pr"))
     )
 
 
@@ -50,35 +57,49 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored values before they are summed into cells. No shuffle."""
     return table(spark, sf_dir, "lineitem").select(
         *[c.alias(n) for n, c in _coords().items()],
-        money("l_quantity").alias("tas"),
-        money("l_extendedprice").alias("pr"),
+        stored("l_quantity").alias("tas"),
+        stored("l_extendedprice").alias("pr"),
         F.col("l_discount").alias("weight"),
     )
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the physical files hold: one row per file and stored value. No shuffle."""
+def _exp() -> Column:
+    past = F.year("l_shipdate") < SPLIT_YEAR
+    return F.when(past, "historical").when(F.col("l_linestatus") == "O", "ssp245").otherwise("ssp585")
+
+
+def _domain(center: str) -> Column:
+    return F.when(F.col(center) % 2 == 0, "NAM").otherwise("NAM+QC")
+
+
+# variable -> the column that holds it
+VARIABLES = {"tas": "l_quantity", "pr": "l_extendedprice"}
+
+
+def records(spark: SparkSession, sf_dir: str, *variables: str) -> DataFrame:
+    """What the physical files hold: one row per file and stored value. No shuffle.
+
+    Name the variables that are needed: files of others are not opened, that
+    is, their columns are not read.
+    """
     line = table(spark, sf_dir, "lineitem")
-    year = F.year("l_shipdate")
-    exp = (
-        F.when(year < SPLIT_YEAR, "historical").when(F.col("l_linestatus") == "O", "ssp245").otherwise("ssp585")
-    )
-    stored = F.when(
-        F.col("l_discount") >= PR_DISCOUNT,
-        F.array(
-            F.struct(F.lit("tas").alias("variable"), money("l_quantity").alias("value")),
-            F.struct(F.lit("pr").alias("variable"), money("l_extendedprice").alias("value")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit("tas").alias("variable"), money("l_quantity").alias("value"))))
+    has_pr = F.col("l_discount") >= PR_DISCOUNT
+    cells = {v: (F.lit(v).alias("variable"), stored(c).alias("value")) for v, c in VARIABLES.items()}
+    if len(variables) == 1:
+        line = line.where(has_pr) if variables[0] == "pr" else line
+        value = cells[variables[0]]
+    else:
+        tas, pr = F.struct(*cells["tas"]), F.struct(*cells["pr"])
+        value = [F.inline(F.when(has_pr, F.array(tas, pr)).otherwise(F.array(tas)))]
     return line.select(
         F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("center"),
         F.concat(F.lit("M-"), "l_returnflag").alias("model"),
-        exp.alias("exp"),
+        _exp().alias("exp"),
         F.concat(F.lit("r"), (F.col("l_linenumber") % 3 + 1).cast("string")).alias("run"),
-        F.when(F.col("l_suppkey") % 2 == 0, "NAM").otherwise("NAM+QC").alias("domain"),
-        year.alias("year"),
+        _domain("l_suppkey").alias("domain"),
+        F.year("l_shipdate").alias("year"),
         *[c.alias(n) for n, c in _coords().items()],
-        F.inline(stored),
+        *value,
     )
 
 
@@ -95,11 +116,37 @@ def file_path() -> Column:
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file inventory: one row per file, with step count and newest day."""
+    """The file inventory: one row per file, with step count and newest day.
+
+    Files are told apart by short keys; facets and paths are written out for
+    the result only. A file is one year of days, so its steps are counted as
+    bits and one exchange is enough.
+    """
+    line = table(spark, sf_dir, "lineitem")
+    held = F.when(F.col("l_discount") >= PR_DISCOUNT, F.array(F.lit("tas"), F.lit("pr"))).otherwise(F.array(F.lit("tas")))
+    rows = line.select(
+        F.col("l_suppkey").alias("_center"),
+        F.col("l_returnflag").alias("_model"),
+        (F.col("l_linenumber") % 3 + 1).alias("_run"),
+        _exp().alias("exp"),
+        F.year("l_shipdate").alias("year"),
+        F.col("l_shipdate").alias("time"),
+        F.explode(held).alias("variable"),
+    )
     return (
-        records(spark, sf_dir)
-        .groupBy(*FILE_KEYS)
-        .agg(F.count_distinct("time").alias("ncoords"), F.max("time").alias("mtime"))
+        rows.groupBy("_center", "_model", "_run", "exp", "year", "variable")
+        .agg(times.days_of_year("time").alias("ncoords"), F.max("time").alias("mtime"))
+        .select(
+            F.concat(F.lit("C"), F.col("_center").cast("string")).alias("center"),
+            F.concat(F.lit("M-"), "_model").alias("model"),
+            "exp",
+            F.concat(F.lit("r"), F.col("_run").cast("string")).alias("run"),
+            _domain("_center").alias("domain"),
+            "variable",
+            "year",
+            "ncoords",
+            "mtime",
+        )
         .withColumn("path", file_path())
     )
 
@@ -141,7 +188,7 @@ def arrivals_from(line: DataFrame) -> DataFrame:
         F.when(F.col("l_suppkey") % 2 == 0, "TMP_TGL_2m").otherwise("APCP_SFC_0").alias("source"),
         lead.alias("lead"),
         (F.col("l_partkey") % 20).cast("int").alias("member"),
-        money("l_quantity").alias("value"),
+        stored("l_quantity").alias("value"),
         F.col("l_shipdate").alias("landed"),
         (F.col("l_linenumber") % 3).alias("attempt"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import times
+from cubeweave.functions import numeric, times
 from cubeweave.operators import virtual
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -15,7 +15,7 @@ DATASET = ["center", "model", "run", "exp", "variable"]
 
 
 def total(c: str):
-    return F.sum(c).cast("double").alias(c)
+    return numeric.total(c).alias(c)
 
 
 @query(
@@ -49,7 +49,8 @@ def join_existing(spark, sf):
     ),
 )
 def join_existing_offsets(spark, sf):
-    placed = virtual.member_offsets(substrate.members(spark, sf), DATASET, coarse="year", order=["path"])
+    # a dataset has one file per year
+    placed = virtual.member_offsets(substrate.members(spark, sf), DATASET, order=["path"])
     return placed.select("path", "ordinal", "first_index", "last_index")
 
 
@@ -103,7 +104,7 @@ def join_new(spark, sf):
 
 
 def _variable_cells(spark, sf, variable):
-    rows = substrate.records(spark, sf).where(F.col("variable") == variable)
+    rows = substrate.records(spark, sf, variable)
     return rows.groupBy(*COORDS).agg(F.sum("value").alias(variable))
 
 
@@ -141,7 +142,7 @@ def agg_union(spark, sf):
 def invariant_attach(spark, sf):
     cube = virtual.attach_fixed(substrate.grid(spark, sf), substrate.fx(spark, sf), ["lat"])
     return cube.groupBy(F.floor(F.col("orog") / 2000).cast("bigint").alias("band")).agg(
-        F.count("*").alias("n"), (F.sum("tas").cast("double") / F.count("tas")).alias("tas_mean")
+        F.count("*").alias("n"), (numeric.total("tas") / F.count("tas")).alias("tas_mean")
     )
 
 
@@ -165,8 +166,8 @@ def nested_agg(spark, sf):
     cube = virtual.attach_fixed(cube, substrate.fx(spark, sf), ["lat"])
     return cube.groupBy("realization", F.year("time").cast("bigint").alias("year")).agg(
         F.count("*").alias("n"),
-        (F.sum("tas").cast("double") / F.count("tas")).alias("tas_mean"),
-        F.sum("pr").cast("double").alias("pr_sum"),
+        (numeric.total("tas") / F.count("tas")).alias("tas_mean"),
+        numeric.total("pr").alias("pr_sum"),
         F.max("orog").cast("double").alias("orog_max"),
     )
 
@@ -211,8 +212,8 @@ def recursive_agg(spark, sf):
 )
 def scenario_chain(spark, sf):
     chained = virtual.chain(substrate.members(spark, sf), ["historical+ssp245", "historical+ssp585"])
-    chained = chained.withColumn("_slice", F.col("part") * 10000 + F.col("year"))
-    listed = virtual.member_list(chained, ["chain", "center", "model", "run", "variable"], "_slice", ["path"])
+    # a chain has one file per part and year
+    listed = virtual.member_list(chained, ["chain", "center", "model", "run", "variable"], ["part", "path"])
     return listed.select("chain", "path", F.col("part").cast("bigint"), "ordinal")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import ordering, times
+from cubeweave.functions import numeric, ordering, times
 from cubeweave.operators import edit
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -62,7 +62,7 @@ def rename_var(spark, sf):
     if "zg" in cube.columns:
         cube = edit.rename_variable(cube, "zg", "height")
     variables = [c for c in cube.columns if c not in substrate.COORDS]
-    wide = cube.groupBy("realization").agg(*[F.sum(v).cast("double").alias(v) for v in variables])
+    wide = cube.groupBy("realization").agg(*[numeric.total(v).alias(v) for v in variables])
     origin = F.create_map(*[F.lit(x) for v in variables for x in (v, edit.original_name(cube, v))])
     return wide.unpivot("realization", variables, "variable", "total").withColumn("org_name", origin[F.col("variable")])
 
@@ -84,7 +84,7 @@ def remove_var(spark, sf):
     left = [c for c in cube.columns if c not in substrate.COORDS]
     return cube.groupBy("realization").agg(
         F.count("*").alias("n"),
-        *[F.sum(v).cast("double").alias(v) for v in left],
+        *[numeric.total(v).alias(v) for v in left],
         F.lit(",".join(present)).alias("removed"),
         F.lit(",".join(v for v in asked if v not in present)).alias("absent"),
     )
@@ -110,7 +110,7 @@ def rename_var_attr(spark, sf):
 )
 def rename_dim(spark, sf):
     cube = edit.rename_dimension(substrate.grid(spark, sf), "lat", "rlat")
-    return cube.groupBy("rlat").agg(F.count("*").alias("n"), F.sum("tas").cast("double").alias("tas"))
+    return cube.groupBy("rlat").agg(F.count("*").alias("n"), numeric.total("tas").alias("tas"))
 
 
 def _global_rows(attrs):
@@ -254,7 +254,7 @@ def logical_section(spark, sf):
     cut = edit.section(substrate.grid(spark, sf), _axes(spark, sf, *ranges), ranges)
     return cut.groupBy("realization").agg(
         F.count("*").alias("n"),
-        F.sum("tas").cast("double").alias("tas"),
+        numeric.total("tas").alias("tas"),
         F.min("lat").alias("lat_min"),
         F.max("lon").alias("lon_max"),
         times.day_text(F.min("time")).alias("first"),
@@ -271,7 +271,7 @@ def logical_section(spark, sf):
 def logical_slice(spark, sf):
     cut = edit.slice_at(substrate.grid(spark, sf), _axes(spark, sf, "lat")["lat"], "lat", 3)
     by = [c for c in cut.columns if c in ("realization", "lat", "lon")]
-    return cut.groupBy(*by).agg(F.count("*").alias("n"), F.sum("tas").cast("double").alias("tas"))
+    return cut.groupBy(*by).agg(F.count("*").alias("n"), numeric.total("tas").alias("tas"))
 
 
 @query(
@@ -288,7 +288,7 @@ def logical_reduce(spark, sf):
     left, single = edit.reduce_dimensions(row, ["lat", "lon", "realization"])
     dims = [c for c in left.columns if c in ("lat", "lon", "realization")]
     return left.groupBy(*dims, F.lit(",".join(sorted(single))).alias("reduced")).agg(
-        F.count("*").alias("n"), F.sum("tas").cast("double").alias("tas")
+        F.count("*").alias("n"), numeric.total("tas").alias("tas")
     )
 
 
@@ -303,7 +303,7 @@ def values_sequence(spark, sf):
     made = edit.generated(substrate.money("p_retailprice"), step, F.col("p_size"))
     points = substrate.table(spark, sf, "part").select(F.col("p_partkey").alias("dataset"), F.explode(made).alias("v"))
     return points.groupBy("dataset").agg(
-        F.count("*").alias("npts"), F.max("v").cast("double").alias("last"), F.sum("v").cast("double").alias("total")
+        F.count("*").alias("npts"), F.max("v").cast("double").alias("last"), numeric.total("v").alias("total")
     )
 
 
@@ -345,7 +345,7 @@ def explicit_schema(spark, sf):
     declared = edit.explicit(substrate.grid(spark, sf), ["time", "realization", "tas", "not_there"])
     return declared.groupBy("realization", F.year("time").cast("bigint").alias("year")).agg(
         F.count("*").alias("n"),
-        F.sum("tas").cast("double").alias("tas"),
+        numeric.total("tas").alias("tas"),
         F.lit(len(declared.columns)).cast("bigint").alias("n_columns"),
     )
 
@@ -368,7 +368,7 @@ def enhance_unpack(spark, sf):
     return stored.select("realization", value.alias("tas")).groupBy("realization").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("tas").isNull()).alias("n_missing"),
-        F.sum("tas").cast("double").alias("tas"),
+        numeric.total("tas").alias("tas"),
     )
 
 

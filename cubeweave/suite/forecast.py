@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cubeweave.functions import numeric
 from cubeweave.operators import forecast
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -129,7 +130,7 @@ def first_step_fill(spark, sf):
     cube = rain.select("cycle", "time", F.when(F.col("member") % 5 != 0, F.col("value")).alias("pr"))
     filled = forecast.fill_first_step(cube, ["cycle"], "time", "pr")
     return filled.groupBy("cycle").agg(
-        F.count("*").alias("n"), F.count_if(F.col("pr").isNull()).alias("n_null"), F.sum("pr").cast("double").alias("pr")
+        F.count("*").alias("n"), F.count_if(F.col("pr").isNull()).alias("n_null"), numeric.total("pr").alias("pr")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import names, ordering, times
+from cubeweave.functions import names, numeric, ordering, times
 from cubeweave.registry import query
 from cubeweave.sources import substrate
 from cubeweave.suite.views import with_views
@@ -85,7 +85,7 @@ def unit_convert(spark, sf):
     cube = times.to_daily_depth(times.to_celsius(substrate.grid(spark, sf), "tas"), "pr")
     units = {v: cube.schema[v].metadata["units"] for v in ("tas", "pr")}
     return cube.groupBy("realization").agg(
-        F.sum("tas").cast("double").alias("tas_sum"),
+        numeric.total("tas").alias("tas_sum"),
         F.max("pr").cast("double").alias("pr_max"),
         *[F.lit(u).alias(f"{v}_units") for v, u in units.items()],
     )

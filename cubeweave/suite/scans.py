@@ -111,7 +111,7 @@ def scan_date_mark(spark, sf):
 )
 def explicit_members(spark, sf):
     listed = virtual.member_list(
-        substrate.members(spark, sf), ["center", "model", "run", "exp", "variable"], coarse="year", order=["path"]
+        substrate.members(spark, sf), ["center", "model", "run", "exp", "variable"], order=["path"]
     ).select("path", "ordinal", "ncoords")
     held = (
         substrate.records(spark, sf).groupBy(*substrate.FILE_KEYS).agg(F.count("*").alias("n_values"))

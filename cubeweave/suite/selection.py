@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import names, ordering, times
+from cubeweave.functions import names, numeric, ordering, times
 from cubeweave.operators import select
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -212,7 +212,7 @@ def bbox_subset(spark, sf):
     _, lon, lat = select.REGIONS[0]
     box = substrate.grid(spark, sf).where(select.in_box(lon, lat))
     return box.groupBy("realization").agg(
-        F.count("*").alias("n"), F.sum("tas").cast("double").alias("tas"), F.sum("pr").cast("double").alias("pr")
+        F.count("*").alias("n"), numeric.total("tas").alias("tas"), numeric.total("pr").alias("pr")
     )
 
 
@@ -241,10 +241,9 @@ def region_fallback(spark, sf):
     ),
 )
 def year_subset(spark, sf):
-    rows = substrate.records(spark, sf)
-    other = rows.where((F.col("exp") == "ssp245") & (F.col("variable") == "pr"))
-    cut = select.years_of(rows.where(F.col("variable") == "tas"), other)
-    return cut.groupBy("center").agg(F.count("*").alias("n"), F.sum("value").cast("double").alias("total"))
+    other = substrate.records(spark, sf, "pr").where(F.col("exp") == "ssp245")
+    cut = select.years_of(substrate.records(spark, sf, "tas"), other)
+    return cut.groupBy("center").agg(F.count("*").alias("n"), numeric.total("value").alias("total"))
 
 
 @query(
@@ -258,7 +257,7 @@ def year_subset(spark, sf):
 def time_slice(spark, sf):
     cut = substrate.grid(spark, sf).where(F.col("time").between(times.timestamp("1999-01-01"), times.timestamp("1999-12-30")))
     return cut.groupBy("realization").agg(
-        F.count("*").alias("n"), times.day_text(F.max("time")).alias("last"), F.sum("tas").cast("double").alias("tas")
+        F.count("*").alias("n"), times.day_text(F.max("time")).alias("last"), numeric.total("tas").alias("tas")
     )
 
 
@@ -273,7 +272,7 @@ def time_slice(spark, sf):
 )
 def nearest_point(spark, sf):
     near = select.nearest(substrate.grid(spark, sf), {"lon": -75.1, "lat": 45.25}, source=substrate.points(spark, sf))
-    return near.groupBy("realization", "lat", "lon").agg(F.count("*").alias("n"), F.sum("tas").cast("double").alias("tas"))
+    return near.groupBy("realization", "lat", "lon").agg(F.count("*").alias("n"), numeric.total("tas").alias("tas"))
 
 
 @query(
@@ -444,7 +443,7 @@ def shared_vars(spark, sf):
     ),
 )
 def pairwise_compare(spark, sf):
-    tas = substrate.records(spark, sf).where(F.col("variable") == "tas")
+    tas = substrate.records(spark, sf, "tas")
     compared = select.pairs(tas, ["lat", "lon"], "model", ["M-A", "M-N", "M-R"], F.col("value"))
     return compared.groupBy("left", "right").agg(
         F.count("*").alias("n_cells"),

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from cubeweave.functions import numeric
 from cubeweave.functions.times import timestamp
 from cubeweave.operators import forecast
 from cubeweave.registry import query
@@ -49,7 +50,7 @@ def stream_arrivals(spark, sf):
         rows = substrate.arrivals_from(arrivals.source(spark, path, schema))
         arrivals.append_pass(rows.select(*_COLUMNS, "value"), out)
     return arrivals.result(spark, out).groupBy("cycle", "source").agg(
-        F.count("*").alias("n"), F.sum("value").cast("double").alias("value")
+        F.count("*").alias("n"), numeric.total("value").alias("value")
     )
 
 
