@@ -189,7 +189,7 @@ def vocabulary(spark: SparkSession, terms: dict[str, dict[str, str] | list[str]]
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """The vocabularies of a folder of JSON files: facet -> list, or facet -> value -> code."""
-    return read_vocabulary_lines(spark.read.option("wholetext", True).text(path, pathGlobFilter="*.json"))
+    return read_vocabulary_lines(spark.read.text(path, wholetext=True, pathGlobFilter="*.json"))
 
 
 def read_vocabulary_lines(files: DataFrame) -> DataFrame:

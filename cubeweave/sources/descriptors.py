@@ -8,9 +8,11 @@ are taken in any case.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubeweave.functions import names
+
 MAX_DEPTH = 3
 
 _REMOVE = "array<struct<_name:string,_type:string>>"
@@ -155,3 +157,26 @@ def add_removal(parsed: DataFrame, name: str, type_: str) -> DataFrame:
     item = F.struct(F.lit(name).alias("_name"), F.lit(type_).alias("_type"))
     have = F.coalesce(F.col("netcdf.remove"), F.array().cast(_REMOVE))
     return parsed.withColumn("netcdf", F.col("netcdf").withField("remove", F.array_union(have, F.array(item))))
+
+
+def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The files behind every descriptor: (key, node_path, path).
+
+    Listed locations are files themselves. A scan meets a file when its
+    location is one of the file's directories, so paths are spread over their
+    directories and the match is an equality.
+    """
+    listed = found.where((F.col("kind") == "member") & F.col("location").isNotNull()).select(
+        key, "node_path", "ordinal", F.col("location").alias("path")
+    )
+    scans = found.where(F.col("kind") == "scan").select(
+        key, "node_path", "ordinal", "location", "suffix", "regexp", F.coalesce("subdirs", F.lit(True)).alias("subdirs")
+    )
+    parts = names.dirs("path")
+    places = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    spread = inventory.select("path", names.parent("path").alias("_parent"), F.explode(places).alias("location"))
+    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("location") == F.col("_parent")))
+    ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
+    suffix_is = F.rlike("path", ending)
+    regexp_is = F.col("regexp").isNull() | F.rlike("path", F.concat(F.lit("^(?:"), F.coalesce("regexp", F.lit("")), F.lit(")$")))
+    return listed.unionByName(hit.where(suffix_is & regexp_is).select(key, "node_path", "ordinal", "path"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
@@ -335,7 +337,16 @@ def catalog_csv(spark, sf):
     )
 
 
-@query("esm_spec")
+_SPECS = ", ".join(
+    f"({i}, '{c}', '{json.dumps(cat.spec(c), separators=(',', ':'))}')" for i, c in enumerate(cat.COLLECTIONS)
+)
+
+
+@query(
+    "esm_spec",
+    f"""SELECT collection, spec, count(*) AS n_entries FROM part JOIN (VALUES {_SPECS}) s(i, collection, spec)
+    ON p_partkey % {len(cat.COLLECTIONS)} = i GROUP BY 1, 2""",
+)
 def esm_spec(spark, sf):
     return cat.catalog_specs(substrate.attrs(spark, sf))
 
