@@ -51,7 +51,10 @@ REGISTRY: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
 def register(collection: str) -> Callable:
-    """Register how the entries of one collection are made from an attribute table."""
+    """Register how the entries of a collection are made, when not in the common way.
+
+    The function takes the attribute table and gives one row per dataset.
+    """
 
     def add(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
         REGISTRY[collection] = fn
@@ -120,8 +123,7 @@ def _last(name: str) -> Column:
 def facet_table(attrs: DataFrame, facets: list[str], default: str | None = MISSING) -> DataFrame:
     """One row per dataset with the given global attributes as columns."""
     found = attrs.where((F.col("scope") == "global") & F.col("name").isin(*facets))
-    every = attrs.where(F.col("scope") != "global").select("dataset").distinct() if not facets else None
-    wide = (every if every is not None else found).groupBy("dataset").agg(*[_last(f).alias(f) for f in facets])
+    wide = found.groupBy("dataset").agg(*[_last(f).alias(f) for f in facets])
     if default is None:
         return wide
     return wide.select("dataset", *[F.coalesce(f, F.lit(default)).alias(f) for f in facets])
@@ -147,6 +149,26 @@ def variable_lists(attrs: DataFrame, facets: list[str]) -> DataFrame:
     return gathered.select("dataset", *[F.col("_rows")[f].alias(f) for f in facets])
 
 
+def entries(attrs: DataFrame, collection: str, assets: DataFrame | None = None) -> DataFrame:
+    """The catalogue of a collection: its global columns, its variable columns,
+    and the asset of each dataset (``assets``: dataset, path)."""
+    if collection in REGISTRY:
+        table = REGISTRY[collection](attrs)
+    else:
+        every = attrs.select("dataset").distinct()
+        lists = variable_lists(attrs, variable_columns(collection))
+        table = (
+            every.join(facet_table(attrs, global_columns(collection), default=None), "dataset", "left")
+            .join(lists, "dataset", "left")
+            .select(
+                "dataset",
+                *[F.coalesce(c, F.lit(MISSING)).alias(c) for c in global_columns(collection)],
+                *variable_columns(collection),
+            )
+        )
+    return table if assets is None else table.join(assets.select("dataset", ASSET_COLUMN), "dataset", "left")
+
+
 def catalog_summary(attrs: DataFrame) -> DataFrame:
     """Entries and missing cells of every collection, in one pass over the attributes."""
     every = list(dict.fromkeys(c for k in COLLECTIONS for c in global_columns(k)))
@@ -262,11 +284,11 @@ def collection_name(url: str | Column) -> Column:
     return F.replace(F.regexp_replace(path, r"/+$", ""), F.lit("/"), F.lit("_"))
 
 
-def cmip5_facets(df: DataFrame, url: str = "http_url") -> DataFrame:
+def cmip5_facets(df: DataFrame, url: str = "http_url", provider: str = "thredds") -> DataFrame:
     """Item metadata: constants, attributes with a default, and a part of the URL as a last resort."""
     # fixed values: constants, the attribute behind each facet, and the position of the frequency in a URL
     constants = {
-        "provider": "pavics-thredds", "source_id": "na", "member_id": "na", "table_id": "na", "variable_id": "",
+        "provider": provider, "source_id": "na", "member_id": "na", "table_id": "na", "variable_id": "",
         "grid_label": "na",
     }
     attributes = {
@@ -309,7 +331,9 @@ def polygon(west: Column, south: Column, east: Column, north: Column) -> Column:
     return F.array(F.array(*[F.array(x, y) for x, y in ring]))
 
 
-def stac_item(items: DataFrame, bounds: tuple[float, float, float, float] = WORLD) -> DataFrame:
+def stac_item(
+    items: DataFrame, bounds: tuple[float, float, float, float] = WORLD, provider: str = "thredds"
+) -> DataFrame:
     """Nested catalogue items: geometry, box, dates, properties and assets."""
     w, s, e, n = (F.lit(float(b)) for b in bounds)
     stamp = F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -326,7 +350,7 @@ def stac_item(items: DataFrame, bounds: tuple[float, float, float, float] = WORL
         F.array(w, s, e, n).alias("bbox"),
         F.struct(
             *[stamp.alias(k) for k in ("datetime", "start_datetime", "end_datetime", "created")],
-            F.lit("pavics-thredds").alias("meta:provider"),
+            F.lit(provider).alias("meta:provider"),
             F.lit("na").alias("cv:source_id"),
             F.col("frequency").alias("cv:frequency"),
         ).alias("properties"),

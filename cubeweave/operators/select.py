@@ -273,6 +273,17 @@ def bucket_align(left: DataFrame, right: DataFrame, key: list[str], time: str, u
     return a.join(b, [*key, "bucket"])
 
 
+def align_or_bucket(left: DataFrame, right: DataFrame, key: list[str], time: str, unit: str, value: str) -> DataFrame:
+    """Both sides joined on their exact times; when the right side lacks any
+    time of the left one, on time buckets instead."""
+    on = [*key, time]
+    absent = left.select(*on).join(right.select(*on), on, "left_anti").agg(F.count("*").alias("n"))
+    exact = left.select(*on, F.col(value).alias("left_value")).join(right.select(*on, F.col(value).alias("right_value")), on)
+    exact = exact.withColumn("bucket", F.col(time).cast("date")).select(*key, "bucket", "left_value", "right_value")
+    coarse = bucket_align(left, right, key, time, unit, value).select(*key, "bucket", "left_value", "right_value")
+    return exact.where(absent.scalar() == 0).unionByName(coarse.where(absent.scalar() > 0))
+
+
 def pairs(rows: DataFrame, key: list[str], label: str, labels: list[str], value: Column) -> DataFrame:
     """Compare every two of a few sources cell by cell.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
+from cubeweave.runtime import shared_dir
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -108,6 +109,8 @@ def walk(edges: DataFrame, roots: DataFrame, depth: int | None = 1) -> DataFrame
             "root", F.col("child").alias("node"), F.lit(d).alias("depth")
         )
 
+    if depth is None:
+        shared_dir(edges.sparkSession)
     levels = []
     # fixed value: the depth that stands for "no limit"
     limit = 1000 if depth is None else depth

@@ -189,7 +189,7 @@ _FIXED_URL = "https://data.example.org/a/b/c/d/e/f/g/h/i/j/k/l"
     "cmip5_facets",
     f"""WITH p AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'https://data.example.org/short.nc'
           ELSE concat('{_FIXED_URL}/', split_part(url, '/', 4), '/file.nc') END AS http_url FROM pages)
-    SELECT page_id AS dataset, http_url, 'pavics-thredds' AS provider, 'na' AS source_id, 'na' AS member_id, 'na' AS table_id,
+    SELECT page_id AS dataset, http_url, 'thredds' AS provider, 'na' AS source_id, 'na' AS member_id, 'na' AS table_id,
       '' AS variable_id, 'na' AS grid_label, '' AS activity_id, coalesce(p_brand, '') AS institution_id, '' AS experiment_id,
       '' AS conventions, '' AS modeling_realm, '' AS model_id,
       CASE WHEN p_partkey IS NOT NULL AND p_partkey % 3 <> 0 THEN CASE WHEN p_size % 2 = 0 THEN 'day' ELSE 'mon' END

@@ -118,11 +118,12 @@ def compare_dataset(spark, sf):
     sampled = select.sample(files, ["center"], "path", fraction=0.1, cap=15, seed=11).select(*_FILE, "path")
     rows = substrate.records(spark, sf).where(select.in_box((-85.0, -65.0), (40.0, 50.0)))
     rows = select.years_of(rows, files.select(F.col("mtime").alias("time")))
-    # raw: what each sampled file holds; virtual: the whole cube, picked by the labels of the file
     held = rows.join(sampled, _FILE).groupBy("path", "time", "lat", "lon").agg(F.sum("value").alias("value"))
-    cube = rows.groupBy("center", "model", "exp", "run", "variable", "time", "lat", "lon").agg(F.sum("value").alias("value"))
-    labels = sampled.select("center", "model", "exp", "run", "variable", "year", "path")
-    seen = cube.withColumn("year", F.year("time")).join(labels, ["center", "model", "exp", "run", "variable", "year"])
+    # the cube of the datasets that were hit, read by its own labels, then cut to the years of the files
+    dataset = ["center", "model", "exp", "run", "variable"]
+    hit = rows.join(sampled.select(*dataset).distinct(), dataset, "left_semi")
+    cube = hit.groupBy(*dataset, "time", "lat", "lon").agg(F.sum("value").alias("value"))
+    seen = cube.withColumn("year", F.year("time")).join(sampled.select(*dataset, "year", "path"), [*dataset, "year"])
     return compare.compare_values(
         seen.select("path", "time", "lat", "lon", "value"), held, ["path", "time", "lat", "lon"], ["path"]
     )

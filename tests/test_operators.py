@@ -169,3 +169,29 @@ def test_upsert_and_changes(spark):
     new = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
     assert rows_of(tables.upsert(old, new, ["k"]), "k", "v", "action") == [(1, "a", "kept"), (2, "B", "replaced"), (3, "c", "created")]
     assert rows_of(tables.changes(old, new, ["k"], F.col("v")), "k", "change") == [(1, "removed"), (2, "changed"), (3, "new")]
+
+
+def test_alignment_falls_back_to_buckets(spark):
+    def series(*times):
+        return spark.createDataFrame([(dt.datetime.fromisoformat(t), 1) for t in times], "t timestamp_ntz, v int")
+
+    noon, midnight = series("2024-01-15T12:00", "2024-02-15T12:00"), series("2024-01-01", "2024-02-01")
+    exact = select.align_or_bucket(noon, noon, [], "t", "month", "v")
+    assert rows_of(exact, "bucket") == [(dt.date(2024, 1, 15),), (dt.date(2024, 2, 15),)]
+    coarse = select.align_or_bucket(noon, midnight, [], "t", "month", "v")
+    assert rows_of(coarse, "bucket") == [(dt.date(2024, 1, 1),), (dt.date(2024, 2, 1),)]
+
+
+def test_entries_of_a_collection(spark, attrs):
+    assets = spark.createDataFrame([(1, "/d/1.nc")], "dataset int, path string")
+    got = {r.dataset: r for r in catalog.entries(attrs, "reanalysis", assets).collect()}
+    assert list(got[1].asDict())[1:] == catalog.header("reanalysis")
+    assert (got[1].title, got[1].institute, got[1].variable_name, got[1].path) == ("b", "NA", ["tas"], "/d/1.nc")
+    assert got[2].variable_name is None and got[2].path is None
+
+    @catalog.register("test")
+    def made(table):
+        return table.select("dataset").distinct()
+
+    assert catalog.entries(attrs, "test").count() == 2
+    del catalog.REGISTRY["test"]
