@@ -130,7 +130,8 @@ def combine(rows: DataFrame, cycles: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = mine.withColumn("variable", published_name("source", "raw"))
     errors = named.where(F.col("variable").isNull())
     coords = ["cycle", "reftime", "member", "time"]
-    order = F.struct("landed", "value")
+    # landing day and value in one number: a number stays in the hash aggregate, a struct would be sorted
+    order = F.unix_date(F.col("landed").cast("date")).cast("bigint") * 10**10 + (F.col("value") * 100).cast("bigint")
     cells = []
     for v in ("tas", "pr"):
         held = (F.col("variable") == v) & F.col("value").isNotNull()

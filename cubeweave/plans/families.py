@@ -50,6 +50,9 @@ class Family:
     removed: tuple[str, ...] = ()
     # whether variables carry their scenario as a prefix
     prefix: bool = False
+    # whether listed files are numbered, and the coarse order key for datasets with many files
+    ordered: bool = True
+    coarse: str | None = None
 
 
 def build(files: DataFrame, family: Family, fixed: DataFrame | None = None) -> DataFrame:
@@ -144,9 +147,12 @@ def _regexp(files: DataFrame, family: Family) -> DataFrame:
 
 
 def _files(files: DataFrame, family: Family) -> DataFrame:
-    """The files themselves, in name order, with their step counts."""
+    """The files themselves, with their step counts; in name order when that matters."""
     group = _groups(files, family)
-    listed = virtual.member_list(files.select(*dict.fromkeys([*group, "year", "path", "ncoords"])), group, ["path"], coarse="year")
+    coarse = [family.coarse] if family.coarse else []
+    listed = files.select(*dict.fromkeys([*group, *coarse, "path", "ncoords"]))
+    if family.ordered:
+        listed = virtual.member_list(listed, group, ["path"], coarse=family.coarse)
     return listed.withColumnRenamed("path", "location")
 
 
@@ -193,6 +199,6 @@ def name_of(files: DataFrame, family: Family, characters: int | None = None) ->
 
 def run_token(path: str | Column, exp: str | Column) -> Column:
     """The part of a file name that follows its scenario."""
-    stem = names.stem(path)
-    after = F.element_at(F.split(stem, F.concat(F.replace(names.col(exp), F.lit("+"), F.lit(r"\+")), F.lit("_"))), -1)
+    marker = F.concat(names.col(exp), F.lit("_"))
+    after = F.call_function("substring_index", names.stem(path), marker, F.lit(-1))
     return F.substring_index(after, "_", 1)

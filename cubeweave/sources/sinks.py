@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cubeweave.functions import times
 from cubeweave.sources import descriptors
 
 
@@ -69,3 +70,34 @@ def write_packed(df: DataFrame, path: str, times: list[str], partition: list[str
         .partitionBy(*partition)
         .parquet(path)
     )
+
+
+def write_cube(cube: DataFrame, path: str, label: str = "realization") -> None:
+    """A published cube: zstd Parquet, one folder per label and year, sorted by
+    time and place inside a file so that row groups can be skipped."""
+    order = [c for c in ("time", "lat", "lon", "station") if c in cube.columns]
+    (
+        cube.withColumn("year", F.year("time"))
+        .hint("rebalance", label, "year")
+        .sortWithinPartitions(label, "year", *order)
+        .write.mode("errorifexists")
+        .option("compression", "zstd")
+        .partitionBy(label, "year")
+        .parquet(path)
+    )
+
+
+def read_cube(
+    spark: SparkSession, path: str, period: tuple[str, str] | None = None, labels: list[str] | None = None, label: str = "realization"
+) -> DataFrame:
+    """A published cube. A period (ISO dates) and labels leave only the folders they meet."""
+    cube = spark.read.parquet(path)
+    if labels is not None:
+        cube = cube.where(F.col(label).isin(*labels))
+    if period is not None:
+        first, last = period
+        cube = cube.where(
+            F.col("year").between(int(first[:4]), int(last[:4]))
+            & F.col("time").between(times.timestamp(first), times.timestamp(last))
+        )
+    return cube.drop("year")

@@ -106,11 +106,12 @@ def records(spark: SparkSession, sf_dir: str, *variables: str) -> DataFrame:
 FILE_KEYS = ["center", "model", "exp", "run", "domain", "variable", "year"]
 
 
-def file_path() -> Column:
+def file_path(year: Column) -> Column:
     """Path of the file that holds a record, from its facets."""
+    y = year.cast("string")
     name = F.concat_ws(
         "_", "variable", F.lit("day"), "domain", "center", "model", "exp", "run",
-        F.concat(F.col("year").cast("string"), F.lit("0101-"), F.col("year").cast("string"), F.lit("1231.nc")),
+        F.concat(y, F.lit("0101-"), y, F.lit("1231.nc")),
     )
     return F.concat_ws("/", F.lit(ROOT), "center", "model", "exp", "run", F.lit("day"), "variable", name)
 
@@ -120,7 +121,8 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Files are told apart by short keys; facets and paths are written out for
     the result only. A file is one year of days, so its steps are counted as
-    bits and one exchange is enough.
+    bits and one exchange is enough. The year in the path is that of the newest
+    day: a test of the path is then made once per file, not once per record.
     """
     line = table(spark, sf_dir, "lineitem")
     held = F.when(F.col("l_discount") >= PR_DISCOUNT, F.array(F.lit("tas"), F.lit("pr"))).otherwise(F.array(F.lit("tas")))
@@ -147,7 +149,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ncoords",
             "mtime",
         )
-        .withColumn("path", file_path())
+        .withColumn("path", file_path(F.year("mtime")))
     )
 
 

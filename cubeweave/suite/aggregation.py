@@ -350,10 +350,16 @@ def fmrc_best(spark, sf):
         F.regexp_extract("name", r"_(\d{10})_P", 1).alias("run"),
         F.regexp_extract("name", r"_P(\d{3})_", 1).cast("int").alias("offset"),
     )
+    # times as numbers while grouping, as text at the end
     run_time = F.to_timestamp_ntz("run", F.lit("yyyyMMddHH"))
-    timed = named.withColumn("valid", F.date_format(run_time + F.make_dt_interval(hours="offset"), "yyyyMMddHH"))
+    timed = named.select("source", "value", run_time.alias("run"), (run_time + F.make_dt_interval(hours="offset")).alias("valid"))
     best = virtual.best_series(timed, ["source", "valid"], "run", F.sum("value"))
-    return best.withColumn("value", F.col("value").cast("double"))
+    return best.select(
+        "source",
+        F.date_format("valid", "yyyyMMddHH").alias("valid"),
+        F.date_format("run", "yyyyMMddHH").alias("run"),
+        F.col("value").cast("double"),
+    )
 
 
 @query(

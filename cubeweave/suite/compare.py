@@ -117,7 +117,7 @@ def compare_dataset(spark, sf):
     files = substrate.members(spark, sf)
     sampled = select.sample(files, ["center"], "path", fraction=0.1, cap=15, seed=11).select(*_FILE, "path")
     rows = substrate.records(spark, sf).where(select.in_box((-85.0, -65.0), (40.0, 50.0)))
-    rows = select.years_of(rows, files.select(F.col("mtime").alias("time")))
+    rows = select.years_of(rows, substrate.points(spark, sf))
     held = rows.join(sampled, _FILE).groupBy("path", "time", "lat", "lon").agg(F.sum("value").alias("value"))
     # the cube of the datasets that were hit, read by its own labels, then cut to the years of the files
     dataset = ["center", "model", "exp", "run", "variable"]

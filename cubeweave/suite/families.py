@@ -108,7 +108,7 @@ def family_casr(spark, sf):
 def family_cordex(spark, sf):
     """Facets from five directory levels; fixed fields are mandatory; the primary variable leads."""
     family = Family(
-        dataset=("center", "model", "domain", "run"), members="files", primary=("pr", "tas"), fixed="first"
+        dataset=("center", "model", "domain", "run"), members="files", primary=("pr", "tas"), fixed="first", ordered=False
     )
     fixed = _fixed(spark, sf)
     files = substrate.members(spark, sf).join(fixed.select("center"), "center", "left_semi")
@@ -294,7 +294,7 @@ def family_members(spark, sf):
     complete = files.where(F.col("variable") == "pr").groupBy("center", "model", "run").agg(F.count("*").alias("n")).where("n >= 3")
     refused = select.outside_bounds(complete, ["center", "model"], minimum=1, maximum=1)
     runs = complete.join(refused, ["center", "model"], "left_anti").select("center", "model", "run")
-    family = Family(dataset=("center", "model", "run"), members="files", realization=("model", "run"))
+    family = Family(dataset=("center", "model", "run"), members="files", realization=("model", "run"), ordered=False)
     rows = build(files.join(runs, ["center", "model", "run"], "left_semi"), family)
     order = F.create_map(*[F.lit(x) for i, m in enumerate(("M-A", "M-N", "M-R")) for x in (m, i)])
     stacked = rows.select(
@@ -325,7 +325,7 @@ def family_indicators(spark, sf):
     files = substrate.members(spark, sf)
     coded = files.withColumn("_code", F.explode(F.array(F.lit("YS"), F.lit("QS-DEC"))))
     token = F.replace(select.token_of(F.col("_code"), F.col("mtime").cast("date")), F.lit("YS"), F.lit("annual"))
-    family = Family(dataset=("token", "center", "exp"), members="files", prefix=True, fragments=("spatialAvg",))
+    family = Family(dataset=("token", "center", "exp"), members="files", prefix=True, fragments=("spatialAvg",), ordered=False)
     rows = build(coded.withColumn("token", token), family)
     return rows.groupBy(
         F.concat(F.lit("30ymean_"), "token").alias("dataset"), "center", "exp", "variable", "org_name", F.lit(True).alias("time_units_change")
@@ -346,7 +346,8 @@ def family_indicators_30y(spark, sf):
 
     def part(dataset: str, include: bool):
         family = Family(
-            dataset=("center", "exp"), members="files", prefix=True, skip={"run": ["r3"]}, token=("QC", include), fragments=("spatialAvg",)
+            dataset=("center", "exp"), members="files", prefix=True, skip={"run": ["r3"]}, token=("QC", include), fragments=("spatialAvg",),
+            ordered=False,
         )
         return build(files, family).groupBy(F.lit(dataset).alias("dataset"), "center", "exp", "variable", "org_name").agg(
             F.count("*").alias("n_files")

@@ -117,7 +117,7 @@ def explicit_members(spark, sf):
     ).select("path", "ordinal", "ncoords")
     held = (
         substrate.records(spark, sf).groupBy(*substrate.FILE_KEYS).agg(F.count("*").alias("n_values"))
-        .select(substrate.file_path().alias("path"), "n_values")
+        .select(substrate.file_path(F.col("year")).alias("path"), "n_values")
     )
     return listed.join(held, "path")
 
@@ -230,6 +230,7 @@ _DOCS = """SELECT c_custkey AS k FROM customer"""
 def ncml_flatten(spark, sf):
     facts = descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf)))
     of = lambda kind: F.col("kind") == kind
+    types = sorted(t.lower() for t in cat.AGGREGATION_TYPES)
     return facts.groupBy("doc_id").agg(
         F.count_if(of("attribute")).alias("n_attributes"),
         F.count_if(F.col("org_name").isNotNull()).alias("n_renames"),
@@ -237,8 +238,10 @@ def ncml_flatten(spark, sf):
         F.count_if(of("member") & F.col("location").isNotNull()).alias("n_files"),
         F.count_if(of("scan")).alias("n_scans"),
         F.coalesce(F.sum("ncoords"), F.lit(0)).alias("n_steps"),
-        # at most the six aggregation types, so the set stays small
-        F.array_join(F.sort_array(F.collect_set(F.when(of("aggregation"), F.col("type")))), ",").alias("aggregations"),
+        *[F.bool_or(of("aggregation") & (F.col("type") == t)).alias(t) for t in types],
+    ).select(
+        "doc_id", "n_attributes", "n_renames", "n_removals", "n_files", "n_scans", "n_steps",
+        F.concat_ws(",", *[F.when(F.col(t), F.lit(t)) for t in types]).alias("aggregations"),
     )
 
 

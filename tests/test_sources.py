@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cubeweave.functions import names
 from cubeweave.runtime import new_dir, shared_dir
-from cubeweave.sources import descriptors, inventory, sinks
+from cubeweave.sources import descriptors, inventory, sinks, substrate
 
 FILES = [
     "a/tasmin_day_M+1_historical_r1_19500101-19991231.nc",
@@ -168,3 +168,18 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     if named:
         assert shared_dir(spark) == named.rstrip("/")
     assert new_dir(spark, "x").startswith(shared_dir(spark))
+
+
+def test_published_cube_is_read_by_folder(spark, sf_dir):
+    path = new_dir(spark, "cube")
+    cube = substrate.grid(spark, sf_dir)
+    sinks.write_cube(cube, path)
+    period, labels = ("1998-03-01", "1999-02-28"), ["M-A:r1"]
+    got = sinks.read_cube(spark, path, period, labels)
+    want = cube.where("realization = 'M-A:r1' AND time BETWEEN timestamp_ntz'1998-03-01' AND timestamp_ntz'1999-02-28'")
+    assert got.count() == want.count() > 0
+    assert got.select(cube.columns).exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year#" in filters and "realization#" in filters
+    assert "PushedFilters: [IsNotNull(time)" in plan
