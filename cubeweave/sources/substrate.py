@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import times
+from cubeweave.runtime import new_dir
 
 ROOT = "/data/vdb"
 COORDS = ["time", "lat", "lon", "realization"]
@@ -116,9 +117,30 @@ def file_path(year: Column) -> Column:
     return F.concat_ws("/", F.lit(ROOT), "center", "model", "exp", "run", F.lit("day"), "variable", name)
 
 
+# (application, tables) -> the inventory written for them
+_INVENTORIES: dict[tuple[str, str], str] = {}
+
+
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file inventory: one row per file, with step count and newest day.
 
+    It is crawled once per application and kept as a table in the shared
+    folder, because most jobs use it more than once: rows, gates and names of
+    a dataset family each start from it. The table is noted when it is
+    complete, sorted by path inside its files so that a scan below a directory
+    skips row groups.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _INVENTORIES:
+        path = new_dir(spark, "inventory")
+        crawl(spark, sf_dir).sortWithinPartitions("path").write.parquet(path)
+        _INVENTORIES[key] = path
+    return spark.read.parquet(_INVENTORIES[key])
+
+
+def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory from the tables themselves.
+
     Files are told apart by short keys; facets and paths are written out for
     the result only. A file is one year of days, so its steps are counted as
     bits and one exchange is enough. The year in the path is that of the newest
