@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubeweave.functions import names
+from cubeweave.functions import literals, names
 
 MISSING = "NA"
 
@@ -206,7 +206,7 @@ def vocabulary(spark: SparkSession, terms: dict[str, dict[str, str] | list[str]]
     rows = [
         (facet, v, allowed[v] if isinstance(allowed, dict) else v) for facet, allowed in terms.items() for v in allowed
     ]
-    return spark.createDataFrame(rows, "facet string, value string, code string")
+    return literals.table(spark, rows, "facet string, value string, code string")
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:

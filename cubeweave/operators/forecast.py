@@ -125,10 +125,12 @@ def combine(rows: DataFrame, cycles: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Variables are concatenated by lead and merged on (cycle, reftime, member,
     time) in one grouping; the first value wins, differing ones are flagged.
+    Cycles are picked after that, from cells: raw rows combine map-side and are
+    never moved for the choice of cycles.
     """
-    mine = rows.join(cycles.select("cycle"), "cycle", "left_semi")
-    named = mine.withColumn("variable", published_name("source", "raw"))
-    errors = named.where(F.col("variable").isNull())
+    mine = cycles.select("cycle")
+    named = rows.withColumn("variable", published_name("source", "raw"))
+    errors = named.where(F.col("variable").isNull()).join(mine, "cycle", "left_semi")
     coords = ["cycle", "reftime", "member", "time"]
     # landing day and value in one number: a number stays in the hash aggregate, a struct would be sorted
     order = F.unix_date(F.col("landed").cast("date")).cast("bigint") * 10**10 + (F.col("value") * 100).cast("bigint")
@@ -139,7 +141,7 @@ def combine(rows: DataFrame, cycles: DataFrame) -> tuple[DataFrame, DataFrame]:
         cells.append(F.min_by(value, F.when(held, order)).alias(v))
         cells.append(F.coalesce(F.min(value) != F.max(value), F.lit(False)).alias(f"{v}_conflict"))
     known = named.where(F.col("variable").isNotNull())
-    merged = known.groupBy(*coords).agg(*cells).drop(*HELPERS)
+    merged = known.groupBy(*coords).agg(*cells).drop(*HELPERS).join(mine, "cycle", "left_semi")
     filled = fill_first_step(merged, ["cycle"], "time", "pr", rows=known)
     celsius = (F.col("tas") - F.lit("273.15").cast("decimal(5,2)")).alias("tas", metadata={"units": "degC"})
     depth = F.col("pr").alias("pr", metadata={"units": "mm"})

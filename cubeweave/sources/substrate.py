@@ -201,14 +201,15 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrivals_from(line: DataFrame) -> DataFrame:
     """Forecast rows of a line item table or stream: two cycles a month."""
-    day = F.col("l_shipdate").cast("date")
-    late_half = F.dayofmonth(day) >= 16
-    start = F.when(late_half, F.date_add(F.trunc(day, "month"), 15)).otherwise(F.trunc(day, "month"))
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+    second = F.dayofmonth("l_shipdate") >= 16
     slot = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 97
     lead = F.when(slot < 64, slot * 3).otherwise(F.lit(192) + (slot - 64) * 6).cast("int")
+    # yyyyMMddHH as a number: the first at 00 or the sixteenth at 12
+    number = F.year("l_shipdate") * 1000000 + F.month("l_shipdate") * 10000 + F.when(second, 1612).otherwise(100)
     base = line.select(
-        start.alias("cycle_day"),
-        F.when(late_half, 12).otherwise(0).alias("cycle_hour"),
+        number.cast("string").alias("cycle"),
+        (month.cast("timestamp_ntz") + F.make_dt_interval(hours=F.when(second, 15 * 24 + 12).otherwise(0))).alias("reftime"),
         F.when(F.col("l_suppkey") % 2 == 0, "TMP_TGL_2m").otherwise("APCP_SFC_0").alias("source"),
         lead.alias("lead"),
         (F.col("l_partkey") % 20).cast("int").alias("member"),
@@ -216,15 +217,7 @@ def arrivals_from(line: DataFrame) -> DataFrame:
         F.col("l_shipdate").alias("landed"),
         (F.col("l_linenumber") % 3).alias("attempt"),
     )
-    cycle = F.concat(F.date_format("cycle_day", "yyyyMMdd"), F.lpad(F.col("cycle_hour").cast("string"), 2, "0"))
-    reftime = F.col("cycle_day").cast("timestamp_ntz") + F.make_dt_interval(hours="cycle_hour")
-    return (
-        base.withColumn("cycle", cycle)
-        .withColumn("reftime", reftime)
-        .withColumn("time", F.col("reftime") + F.make_dt_interval(hours="lead"))
-        .withColumn("name", forecast_name())
-        .drop("cycle_day", "cycle_hour")
-    )
+    return base.withColumn("time", F.col("reftime") + F.make_dt_interval(hours="lead")).withColumn("name", forecast_name())
 
 
 def forecast_name() -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import numeric, times
+from cubeweave.functions import literals, numeric, times
 from cubeweave.operators import virtual
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -280,8 +280,12 @@ def attr_override(spark, sf):
 )
 def promote_attr(spark, sf):
     held = substrate.members(spark, sf).select(*substrate.FILE_KEYS, F.col("ncoords").alias("tracking"))
-    along = virtual.promote(substrate.records(spark, sf), held, substrate.FILE_KEYS)
-    return along.groupBy("center", "variable", "tracking").agg(F.count("*").alias("n"), total("value"))
+    # one row per step of a file before the join
+    steps = substrate.records(spark, sf).groupBy(*substrate.FILE_KEYS, "time").agg(
+        F.count("*").alias("n"), F.sum("value").alias("value")
+    )
+    along = virtual.promote(steps, held, substrate.FILE_KEYS)
+    return along.groupBy("center", "variable", "tracking").agg(F.sum("n").alias("n"), total("value"))
 
 
 @query(
@@ -350,9 +354,10 @@ def fmrc_best(spark, sf):
         F.regexp_extract("name", r"_(\d{10})_P", 1).alias("run"),
         F.regexp_extract("name", r"_P(\d{3})_", 1).cast("int").alias("offset"),
     )
-    # times as numbers while grouping, as text at the end
+    # one row per file before any time is parsed
+    files = named.groupBy("source", "run", "offset").agg(F.sum("value").alias("value"))
     run_time = F.to_timestamp_ntz("run", F.lit("yyyyMMddHH"))
-    timed = named.select("source", "value", run_time.alias("run"), (run_time + F.make_dt_interval(hours="offset")).alias("valid"))
+    timed = files.select("source", "value", run_time.alias("run"), (run_time + F.make_dt_interval(hours="offset")).alias("valid"))
     best = virtual.best_series(timed, ["source", "valid"], "run", F.sum("value"))
     return best.select(
         "source",
@@ -452,7 +457,7 @@ RESPONSES = {"M-R": 1.3, "M-A": 1.96, "M-N": 2.71}
 )
 def ensemble_stack(spark, sf):
     ordered = [(m, i, r) for i, (m, r) in enumerate(sorted(RESPONSES.items()))]
-    lookup = spark.createDataFrame(ordered, "model string, place bigint, response double")
+    lookup = literals.table(spark, ordered, "model string, place bigint, response double")
     stacked = substrate.records(spark, sf).groupBy("model", "run").agg(F.count("*").alias("n"), total("value"))
     return stacked.join(lookup, "model").select(
         virtual.stack_labels("model", "run").alias("realization"), "place", "response", "n", "value"

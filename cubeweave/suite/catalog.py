@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from cubeweave.functions import literals
 from cubeweave.operators import catalog as cat
 from cubeweave.operators import tables
 from cubeweave.registry import query
@@ -150,9 +151,10 @@ def cv_default(spark, sf):
 def cv_schema(spark, sf):
     path = new_dir(spark, "vocabulary")
     # one JSON file per facet, as vocabularies are published
-    files = spark.createDataFrame([(json.dumps({f: v}),) for f, v in TERMS.items()], "value string")
-    files.repartition(len(TERMS)).write.text(os.path.join(path, "terms"))
-    allowed = cat.read_vocabulary_lines(spark.read.text(os.path.join(path, "terms")))
+    for facet, terms in TERMS.items():
+        text = literals.table(spark, [(json.dumps({facet: terms}),)], "value string")
+        text.coalesce(1).write.text(os.path.join(path, facet))
+    allowed = cat.read_vocabulary_lines(spark.read.text([os.path.join(path, f) for f in TERMS]))
     observed = substrate.attrs(spark, sf).where((F.col("scope") == "global") & F.col("name").isin(*TERMS))
     return cat.vocabulary_schema(allowed, observed.select(F.col("name").alias("facet"), "value"))
 
@@ -323,7 +325,7 @@ def stac_upsert(spark, sf):
 )
 def stac_delete(spark, sf):
     items = substrate.items(spark, sf).select("collection", "dataset_name")
-    wiped = spark.createDataFrame([("src1",), ("src7",)], "collection string")
+    wiped = literals.table(spark, [("src1",), ("src7",)], "collection string")
     left, parents = tables.delete_with_children(items.select("collection").distinct(), items, wiped, ["collection"])
     count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind"), "collection").agg(F.count("*").alias("n"))
     return count(left, "item").unionByName(count(parents, "collection"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import numeric
+from cubeweave.functions import literals, numeric
 from cubeweave.operators import forecast
 from cubeweave.registry import query
 from cubeweave.sources import substrate
@@ -102,7 +102,7 @@ def retention_split(spark, sf):
 )
 def latest_pointer(spark, sf):
     combined = substrate.arrivals(spark, sf).select(forecast.combined_name("cycle").alias("name"))
-    held = combined.unionByName(spark.createDataFrame([(forecast.POINTER,)], "name string"))
+    held = combined.unionByName(literals.table(spark, [(forecast.POINTER,)], "name string"))
     return forecast.latest(held)
 
 
