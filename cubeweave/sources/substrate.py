@@ -8,6 +8,7 @@ reach the Parquet reader.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,11 +132,16 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     skips row groups.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _INVENTORIES:
-        path = new_dir(spark, "inventory")
-        crawl(spark, sf_dir).sortWithinPartitions("path").write.parquet(path)
-        _INVENTORIES[key] = path
-    return spark.read.parquet(_INVENTORIES[key])
+    if key in _INVENTORIES:
+        try:
+            return spark.read.parquet(_INVENTORIES[key])
+        except AnalysisException:
+            # the shared folder was cleaned: crawl again
+            del _INVENTORIES[key]
+    path = new_dir(spark, "inventory")
+    crawl(spark, sf_dir).sortWithinPartitions("path").write.parquet(path)
+    _INVENTORIES[key] = path
+    return spark.read.parquet(path)
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
