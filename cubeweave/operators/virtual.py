@@ -177,8 +177,10 @@ def place_tiles(tiles: DataFrame, section: str, indices: list[str]) -> DataFrame
 
 def forecast_matrix(rows: DataFrame, run: str = "reftime", valid: str = "time") -> DataFrame:
     """Two-dimensional time: rows per (run, valid), with the lead in hours."""
-    lead = (F.unix_seconds(F.col(valid).cast("timestamp")) - F.unix_seconds(F.col(run).cast("timestamp"))) / 3600
-    return rows.groupBy(run, valid).agg(F.count("*").alias("n_values")).withColumn("lead_hours", lead.cast("bigint"))
+    # zone-less times are subtracted as they are: no hour is lost or gained in spring and autumn
+    lead = F.col(valid) - F.col(run)
+    hours = F.extract(F.lit("DAY"), lead) * 24 + F.extract(F.lit("HOUR"), lead)
+    return rows.groupBy(run, valid).agg(F.count("*").alias("n_values")).withColumn("lead_hours", hours.cast("bigint"))
 
 
 def best_series(rows: DataFrame, key: list[str], run: str, value: Column) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name under the shared folder."""
     return os.path.join(shared_dir(spark), "cubeweave", f"{purpose}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stream_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings for passes that run to completion.
+
+    A local session gets no more state stores than it has cores; a cluster
+    keeps its own number. The empty batch at the end of a pass stays on: it is
+    what makes the watermark of a pass count for late rows of the next one.
+    """
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return {}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return {"spark.sql.shuffle.partitions": str(min(partitions, context.defaultParallelism))}

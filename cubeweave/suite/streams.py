@@ -10,7 +10,7 @@ from cubeweave.functions import numeric
 from cubeweave.functions.times import timestamp
 from cubeweave.operators import forecast
 from cubeweave.registry import query
-from cubeweave.runtime import new_dir
+from cubeweave.runtime import new_dir, settings, stream_settings
 from cubeweave.sources import substrate
 from cubeweave.streaming import arrivals
 from cubeweave.suite.views import with_views
@@ -35,7 +35,8 @@ def _run(spark, passes, transform, step):
     folder = new_dir(spark, "stream")
     landing, out = os.path.join(folder, "landing"), os.path.join(folder, "out")
     schema = passes[0].schema
-    arrivals.run_passes(landing, passes, lambda: transform(arrivals.source(spark, landing, schema)), step, out)
+    with settings(spark, stream_settings(spark)):
+        arrivals.run_passes(landing, passes, lambda: transform(arrivals.source(spark, landing, schema)), step, out)
     return arrivals.result(spark, out)
 
 
