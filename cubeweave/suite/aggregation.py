@@ -253,7 +253,7 @@ def attr_first(spark, sf):
         """WITH inn AS (SELECT dataset, name, arg_max(value, pos) AS value FROM attrs
             WHERE scope = 'global' AND value IS NOT NULL GROUP BY 1, 2),
           outr AS (SELECT dataset, name, upper(value) AS value FROM attrs
-            WHERE scope = 'global' AND dataset % 2 = 0 AND name IN ('frequency', 'institute')
+            WHERE scope = 'global' AND ((name = 'frequency' AND value = 'day') OR (name = 'institute' AND starts_with(value, 'Brand#1')))
             UNION ALL SELECT p_partkey, 'aggregation', 'outer' FROM part)
         SELECT CAST(dataset AS BIGINT) AS dataset, name, coalesce(outr.value, inn.value) AS value
         FROM inn FULL JOIN outr USING (dataset, name)""",
@@ -262,7 +262,9 @@ def attr_first(spark, sf):
 def attr_override(spark, sf):
     given = substrate.attrs(spark, sf).where((F.col("scope") == "global") & F.col("value").isNotNull())
     inner = given.select("dataset", "name", "pos", "value")
-    outer = inner.where((F.col("dataset") % 2 == 0) & F.col("name").isin("frequency", "institute"))
+    daily = (F.col("name") == "frequency") & (F.col("value") == "day")
+    known = (F.col("name") == "institute") & F.col("value").startswith("Brand#1")
+    outer = inner.where(daily | known)
     outer = outer.withColumn("value", F.upper("value"))
     extra = substrate.table(spark, sf, "part").select(
         F.col("p_partkey").alias("dataset"), F.lit("aggregation").alias("name"), F.lit(1).alias("pos"), F.lit("outer").alias("value")

@@ -195,21 +195,20 @@ def dir_facets(spark, sf):
     with_views(
         "members",
         """WITH parts AS (
-          SELECT center, model, variable, path, unnest(string_split(path, '/')) AS part,
-            generate_subscripts(string_split(path, '/'), 1) AS pos FROM members WHERE exp = 'historical'),
-        sizes AS (SELECT center, model, variable, count(DISTINCT path) AS n_files FROM parts GROUP BY ALL),
-        level AS (SELECT center, model, variable, pos, count(DISTINCT part) AS n_parts, count(*) AS n, min(part) AS part
+          SELECT center, model, exp, variable, path, unnest(string_split(path, '/')) AS part,
+            generate_subscripts(string_split(path, '/'), 1) AS pos FROM members),
+        sizes AS (SELECT center, model, exp, variable, count(DISTINCT path) AS n_files FROM parts GROUP BY ALL),
+        level AS (SELECT center, model, exp, variable, pos, count(DISTINCT part) AS n_parts, count(*) AS n, min(part) AS part
           FROM parts GROUP BY ALL),
-        stop AS (SELECT center, model, variable, min(pos) AS stop FROM level JOIN sizes USING (center, model, variable)
+        stop AS (SELECT center, model, exp, variable, min(pos) AS stop FROM level JOIN sizes USING (center, model, exp, variable)
           WHERE n_parts > 1 OR n < n_files GROUP BY ALL)
-        SELECT s.center, s.model, s.variable, s.n_files, string_agg(l.part, '/' ORDER BY l.pos) AS common_path
-        FROM sizes s JOIN level l USING (center, model, variable) LEFT JOIN stop USING (center, model, variable)
+        SELECT s.center, s.model, s.exp, s.variable, s.n_files, string_agg(l.part, '/' ORDER BY l.pos) AS common_path
+        FROM sizes s JOIN level l USING (center, model, exp, variable) LEFT JOIN stop USING (center, model, exp, variable)
         WHERE l.pos < coalesce(stop, (SELECT max(pos) FROM level)) GROUP BY ALL""",
     ),
 )
 def common_path(spark, sf):
-    files = substrate.members(spark, sf).where(F.col("exp") == "historical")
-    return inventory.common_path(files, ["center", "model", "variable"])
+    return inventory.common_path(substrate.members(spark, sf), ["center", "model", "exp", "variable"])
 
 
 _DOCS = """SELECT c_custkey AS k FROM customer"""

@@ -166,11 +166,11 @@ def group_period(spark, sf):
     with_views(
         "members",
         """SELECT center, model, run, exp, concat(CASE WHEN exp = 'historical' THEN 'day_' ELSE concat('day_', exp, '_') END, center, '_', model, '_', run,
-          '_', min(year), '-', max(year), '.ncml') AS name FROM members WHERE variable = 'tas' GROUP BY 1, 2, 3, 4""",
+          '_', min(year), '-', max(year), '.ncml') AS name FROM members GROUP BY 1, 2, 3, 4""",
     ),
 )
 def output_name(spark, sf):
-    files = substrate.members(spark, sf).where(F.col("variable") == "tas")
+    files = substrate.members(spark, sf)
     spans = files.groupBy(*RUN, "exp").agg(F.concat_ws("-", F.min("year").cast("string"), F.max("year").cast("string")).alias("_span"))
     # an empty part and an empty ending leave doubled separators, which are tidied
     scenario = F.when(F.col("exp") == "historical", F.lit("")).otherwise(F.col("exp"))
