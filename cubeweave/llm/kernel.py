@@ -70,10 +70,10 @@ def blocks(at: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def words(raw: np.ndarray, at: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Number, first byte and end byte of each word, and where each text's words begin."""
+def words(raw: np.ndarray, at: np.ndarray, fold: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number, first byte and end byte of each word, and where each text's words begin. ``space``: the bytes between words."""
     n = len(raw)
-    inside = ~_SPACE[raw]
+    inside = ~space[raw]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]

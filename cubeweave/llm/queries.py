@@ -26,6 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op1_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cubeweave.llm.sentencepieces import digests
+
+    return digests(table(spark, sf_dir, "documents"), _model())
+
+
+@query("op3_decontaminate")
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cubeweave.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cubeweave.llm.near_dedup import near_duplicates
