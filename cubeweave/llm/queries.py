@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cubeweave.llm import quality
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -51,3 +53,8 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cubeweave.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op9_quality_rules", quality.SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digests(table(spark, sf_dir, "documents"))
