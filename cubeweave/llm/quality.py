@@ -30,10 +30,7 @@ BOILERPLATE = [
     "copyright (c)",
     "click here",
     "javascript is disabled",
-    "licensed under the",
     "privacy policy",
-    "released under the",
-    "spdx-license-identifier",
     "subscribe to our",
     "terms of service",
     "terms of use",
