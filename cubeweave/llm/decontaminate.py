@@ -21,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,25 +32,13 @@ WINDOW = 4
 #: Words of the items that one pass over the texts looks for.
 ITEM_WORDS = 1_000_000
 
-_BREAK = np.ones(256, dtype=bool)
-_BREAK[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
-
-
-def _words(texts: pa.Array) -> Iterator[tuple[int, *tuple[np.ndarray, ...]]]:
-    """Of each block of texts: its first text, the bytes and where texts begin in them, and the words' numbers, first and end bytes and places."""
-    raw, at = kernel.text_bytes(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")))
-    for lo, hi in kernel.blocks(at):
-        part = raw[at[lo] : at[hi]]
-        yield lo, part, at[lo : hi + 1] - at[lo], *kernel.words(part, at[lo : hi + 1] - at[lo], space=_BREAK)
-
-
 def _item_grams(items: DataFrame) -> DataFrame:
     """Every item (item, text) of at least GRAM words: words_id (digest of id and words), item, place, gram, and at place 0 the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("item")
-            for lo, _, _, number, _, _, begin in _words(batch.column("text")):
+            for lo, _, _, number, _, _, begin in kernel.plain_words(batch.column("text")):
                 for i in range(len(begin) - 1):
                     mine = number[begin[i] : begin[i + 1]]
                     found = kernel.grams(mine, GRAM)
@@ -80,7 +67,7 @@ def _counts(docs: DataFrame, grams: np.ndarray) -> DataFrame:
         known = shared.value
         seen = np.zeros(len(known), dtype=np.int64)
         for batch in batches:
-            for _, _, _, number, _, _, begin in _words(batch.column("text")):
+            for _, _, _, number, _, _, begin in kernel.plain_words(batch.column("text")):
                 seen += np.bincount(_find(known, number, begin)[1], minlength=len(known))
         some = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(known[some], pa.int64()), pa.array(seen[some], pa.int64())], names=["gram", "n"])
@@ -139,7 +126,7 @@ def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targe
         known, mine, words, called = shared.value
         for batch in batches:
             found: list[tuple] = []
-            for lo, raw, text_at, number, first, end, begin in _words(batch.column("text")):
+            for lo, raw, text_at, number, first, end, begin in kernel.plain_words(batch.column("text")):
                 places, which = _find(known, number, begin)
                 texts = np.searchsorted(begin, places, side="right") - 1
                 hits: dict[tuple[int, int], list[int]] = {}

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -33,6 +34,8 @@ _FOLDED = _BYTES.copy()
 _FOLDED[65:91] = _BYTES[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BREAK = np.ones(256, dtype=bool)
+_BREAK[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _PLACE = mix((np.arange(64, dtype=np.uint64) + np.uint64(1000)) * _STEP) | np.uint64(1)
 _powers: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
@@ -89,6 +92,19 @@ def words(raw: np.ndarray, at: np.ndarray, fold: bool = True, space: np.ndarray
     return number, first, end, np.searchsorted(first, at, side="left")
 
 
+def plain_words(texts: pa.Array) -> Iterator[tuple[int, *tuple[np.ndarray, ...]]]:
+    """Words of letters, digits and non-ASCII characters, in lower case, in blocks of texts.
+
+    Yields the block's first text, its bytes in lower case and where its texts
+    begin in them, and the words' numbers, first and end bytes and places.
+    Lower case keeps the number of code points.
+    """
+    raw, at = text_bytes(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")))
+    for lo, hi in blocks(at):
+        part, begin = raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+        yield lo, part, begin, *words(part, begin, space=_BREAK)
+
+
 def grams(number: np.ndarray, size: int) -> np.ndarray:
     """A number in 0 .. 2**63-1 for each run of ``size`` words (texts' borders are not looked at)."""
     n = len(number) - size + 1

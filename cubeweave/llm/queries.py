@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import quality
+from cubeweave.llm import personal, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,3 +58,8 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules", quality.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digests(table(spark, sf_dir, "documents"))
