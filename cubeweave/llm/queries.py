@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality
+from cubeweave.llm import personal, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +63,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op2_secrets")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
