@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality, secrets
+from cubeweave.llm import personal, quality, rule_classifier, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,8 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_secrets")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
