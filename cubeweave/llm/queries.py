@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality, rule_classifier, secrets
+from cubeweave.llm import personal, quality, rule_classifier, secrets, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +73,9 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_url_lists", url_lists.SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_lists.filter_urls(url_lists.captures_of(pages), url_lists.entries_of(pages), id_col="page_id")
