@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality, rule_classifier, secrets, url_lists
+from cubeweave.llm import personal, quality, rule_classifier, secrets, sharding, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,3 +79,8 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_lists.filter_urls(url_lists.captures_of(pages), url_lists.entries_of(pages), id_col="page_id")
+
+
+@query("op7_sharding", sharding.SQL)
+def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
