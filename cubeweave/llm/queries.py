@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality, rule_classifier, secrets, sharding, url_lists
+from cubeweave.llm import personal, quality, rule_classifier, secrets, sharding, token_shards, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,3 +84,8 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding", sharding.SQL)
 def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_shards")
+def materialise_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(spark, table(spark, sf_dir, "documents"), _model())
