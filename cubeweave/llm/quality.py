@@ -101,29 +101,15 @@ def _clean(line: Column) -> Column:
     return (symbols * 100 <= _word_characters(line) * MOST_SYMBOLS) & ~shouting & ~fragment & ~F.lower(line).rlike(phrases)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Statistics and verdict of each row of ``docs``.
-
-    Returns the id column, n_words, word_chars (code points in words),
-    n_symbols, n_dup_lines (lines with a word that equal an earlier line),
-    n_repeat_words (words in windows of five that the text has twice or more),
-    base_failed (fewer than 10 words, or more than 20 % of them repeated),
-    clean_chars (word characters of the distinct lines that pass the rules of
-    lines), clean_text (those lines) and kept: not base_failed, and at least
-    half of the word characters are in clean lines.
-
-    Null and empty texts have no words and fail. Repeated rows are judged
-    alike, each on its own; an empty table gives no rows. Other columns of
-    ``docs`` are not read.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+def _judged(docs: DataFrame, text_col: str) -> DataFrame:
+    """Each row of ``docs`` as the column row, with its statistics and verdict."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.select("*", _split(F.col("text")).alias("words"), F.split("text", "\n").alias("lines"))
     filled = lambda line: line.rlike(WORD)
     rows = rows.select("*", F.filter(F.array_distinct("lines"), filled).alias("distinct"))
     rows = rows.select("*", F.filter("distinct", _clean).alias("clean"))
     rows = rows.select(
-        F.col("id").alias(id_col),
+        "row",
         F.size("words").cast("bigint").alias("n_words"),
         _word_characters(F.col("text")).cast("bigint").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("bigint").alias("n_symbols"),
@@ -137,6 +123,30 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("clean_chars") * 100 >= F.col("word_chars") * LEAST_CLEAN))
 
 
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Statistics and verdict of each row of ``docs``.
+
+    Returns the id column, n_words, word_chars (code points in words),
+    n_symbols, n_dup_lines (lines with a word that equal an earlier line),
+    n_repeat_words (words in windows of five that the text has twice or more),
+    clean_chars (word characters of the distinct lines that pass the rules of
+    lines), clean_text (those lines), base_failed (fewer than 10 words, or more than
+    20 % of them repeated) and kept: not base_failed, and at least half of the
+    word characters are in clean lines.
+
+    Null and empty texts have no words and fail. Repeated rows are judged
+    alike, each on its own; an empty table gives no rows. Other columns of
+    ``docs`` are not returned.
+    """
+    judged = _judged(docs.select(id_col, text_col), text_col)
+    return judged.select(F.col("row")[id_col].alias(id_col), *[c for c in judged.columns if c != "row"])
+
+
+def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, texts whole."""
+    return _judged(docs, text_col).where("kept").select("row.*")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     return quality_rules(docs).drop("clean_text", "clean_chars")
 
