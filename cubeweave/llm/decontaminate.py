@@ -28,7 +28,7 @@ from cubeweave.llm import kernel
 from cubeweave.llm.tables import save
 
 GRAM = 3
-WINDOW = 4
+WINDOW = 2
 #: Words of the items that one pass over the texts looks for.
 ITEM_WORDS = 1_000_000
 
