@@ -1,4 +1,4 @@
-"""Exact totals of values with two decimals."""
+"""Exact totals of values with a fixed number of decimals."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from cubeweave.functions.names import col
 
 
-def total(c: str | Column) -> Column:
-    """Sum of values with two decimals, as a double that does not depend on the order of rows.
+def total(c: str | Column, decimals: int = 2) -> Column:
+    """Sum of values with so many decimals, as a double that does not depend on the order of rows.
 
-    Whole hundredths are summed as 64-bit integers, which stays inside
-    generated code; a decimal sum of more than 18 digits does not.
+    Whole units of the last decimal are summed as 64-bit integers, which stays
+    inside generated code; a decimal sum of more than 18 digits does not. Give
+    the decimals that the variable is stored with: what lies beyond is rounded.
     """
-    return F.sum(F.round(col(c).cast("double") * 100).cast("bigint")) / F.lit(100.0)
+    scale = 10**decimals
+    return F.sum(F.round(col(c).cast("double") * scale).cast("bigint")) / F.lit(float(scale))

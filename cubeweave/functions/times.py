@@ -12,6 +12,16 @@ def day_text(c: str | Column) -> Column:
     return col(c).cast("date").cast("string")
 
 
+def within(time: str | Column, period: tuple[str, str]) -> Column:
+    """Whether a time is in a period of ISO dates or times. A date at the end stands for its whole day.
+
+    Both bounds are literals, so the comparison reaches the Parquet reader.
+    """
+    first, last = period
+    end = col(time) < timestamp(last) + F.make_dt_interval(days=F.lit(1)) if len(last) <= 10 else col(time) <= timestamp(last)
+    return (col(time) >= timestamp(first)) & end
+
+
 def timestamp(text: str) -> Column:
     """A zone-less literal; comparing a stored time with it reaches the Parquet reader."""
     return F.lit(text).cast("timestamp_ntz")
@@ -33,14 +43,24 @@ def units_text(origin: Column) -> Column:
     return F.concat(F.lit("days since "), origin.cast("string"), F.lit(" 00:00:00"))
 
 
+# fixed values: units of time by their names, in seconds
+UNITS = {
+    86400: ["days", "day", "d"],
+    3600: ["hours", "hour", "hr", "h"],
+    60: ["minutes", "minute", "min"],
+    1: ["seconds", "second", "sec", "s"],
+}
+
+
 def decode(offset: str | Column, units: str | Column) -> Column:
-    """``offset`` in ``<unit> since <origin>`` as a time."""
+    """``offset`` in ``<unit> since <origin>`` as a time. A unit that has no fixed length, or no name here, is an error."""
     parts = F.split(col(units), " since ")
-    unit, origin = F.element_at(parts, 1), F.element_at(parts, 2).cast("timestamp_ntz")
-    # fixed values: unit lengths in seconds
-    seconds = (
-        F.when(unit == "days", 86400).when(unit == "hours", 3600).when(unit == "minutes", 60).when(unit == "seconds", 1)
-    )
+    unit, origin = F.lower(F.trim(F.element_at(parts, 1))), F.element_at(parts, 2).cast("timestamp_ntz")
+    known = [(unit.isin(*names), length) for length, names in UNITS.items()]
+    seconds = F.when(unit.isNull(), F.lit(None).cast("bigint"))
+    for is_it, length in known:
+        seconds = seconds.when(is_it, F.lit(length).cast("bigint"))
+    seconds = seconds.otherwise(F.raise_error(F.concat(F.lit("unknown unit of time: "), unit)).cast("bigint"))
     return origin + F.make_dt_interval(secs=(col(offset) * seconds).cast("decimal(18,6)"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,71 +13,55 @@ from cubeweave.functions import literals, names
 
 MISSING = "NA"
 
-# The columns of each kind of catalogue, common ones first. Names that
-# start with "variable_" are lists over the variables of a dataset.
-COMMON = ["license_type", "variable_name", "variable_long_name"]
-COLLECTIONS = {
-    "cmip5": [
-        "activity", "product", "institute", "model", "experiment", "frequency", "modeling_realm", "mip_table",
-        "ensemble_member", "version_number",
-    ],
-    "biasadjusted": [
-        "title", "institution", "dataset_id", "driving_model", "driving_experiment", "institute", "type", "processing",
-        "bias_adjustment_method", "project_id", "frequency", "modeling_realm", "target_dataset", "driving_institution",
-        "driving_institute_id",
-    ],
-    "climex": [
-        "title", "institution", "driving_model_id", "driving_experiment", "type", "processing", "project_id", "frequency",
-        "modeling_realm",
-    ],
-    "reanalysis": ["title", "institute_id", "institute", "dataset_id", "frequency"],
-    "gridobs": ["title", "institute_id", "institute", "frequency", "dataset_id", "version"],
-    "stationobs": ["title", "institute_id", "institute", "frequency", "dataset_id"],
-    "forecast": ["title", "institution", "member"],
-}
-DESCRIPTIONS = {
-    "cmip5": "CMIP5 simulations",
-    "biasadjusted": "Bias adjusted projections.",
-    "climex": "Bias adjusted projections.",
-    "reanalysis": "Reanalyses",
-    "gridobs": "Gridded observations",
-    "stationobs": "station observations",
-    "forecast": "Weather forecasts",
-}
+# For each kind of catalogue its name, its description and its columns.
+# Columns that start with "variable_" hold lists over the variables of a dataset.
+_KINDS = """
+cmip5 | CMIP5 simulations | license_type variable_name variable_long_name activity product institute model experiment frequency modeling_realm mip_table ensemble_member version_number
+biasadjusted | Bias adjusted projections. | license_type variable_name variable_long_name title institution dataset_id driving_model driving_experiment institute type processing bias_adjustment_method project_id frequency modeling_realm target_dataset driving_institution driving_institute_id
+climex | Bias adjusted projections. | license_type variable_name variable_long_name title institution driving_model_id driving_experiment type processing project_id frequency modeling_realm
+reanalysis | Reanalyses | license_type variable_name variable_long_name title institute_id institute dataset_id frequency
+gridobs | Gridded observations | license_type variable_name variable_long_name title institute_id institute frequency dataset_id version
+stationobs | station observations | license_type variable_name variable_long_name title institute_id institute frequency dataset_id
+forecast | Weather forecasts | license_type variable_name variable_long_name title institution member
+"""
 SPEC_VERSION = "0.1.0"
 ASSET_COLUMN = "path"
 ASSET_FORMAT = "netcdf"
 
-REGISTRY: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
+class Cell(NamedTuple):
+    """One column of a catalogue: what it is filled from, and its place in the file."""
 
-def register(collection: str) -> Callable:
-    """Register how the entries of a collection are made, when not in the common way.
-
-    The function takes the attribute table and gives one row per dataset.
-    """
-
-    def add(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        REGISTRY[collection] = fn
-        return fn
-
-    return add
+    collection: str
+    column: str
+    kind: str
+    place: int
 
 
-def columns(collection: str) -> list[str]:
-    return COMMON + COLLECTIONS[collection]
+def _layout() -> tuple[dict[str, str], list[Cell]]:
+    """Descriptions, and all columns of all catalogues: dataset columns, then lists over variables, then the asset."""
+    described, cells = {}, []
+    for line in _KINDS.strip().splitlines():
+        collection, described_as, names_of = (part.strip() for part in line.split("|"))
+        described[collection] = described_as
+        kinds = [(c, "variable" if c.startswith("variable_") else "dataset") for c in names_of.split()]
+        kinds = [*sorted(kinds, key=lambda k: k[1] == "variable"), (ASSET_COLUMN, "asset")]
+        cells += [Cell(collection, c, kind, place) for place, (c, kind) in enumerate(kinds)]
+    return described, cells
 
 
-def global_columns(collection: str) -> list[str]:
-    return [c for c in columns(collection) if not c.startswith("variable_")]
+DESCRIPTIONS, LAYOUT = _layout()
+COLLECTIONS = list(DESCRIPTIONS)
 
 
-def variable_columns(collection: str) -> list[str]:
-    return [c for c in columns(collection) if c.startswith("variable_")]
+def cells_of(collection: str, *kinds: str) -> list[str]:
+    """Columns of a catalogue in file order; of some kinds (dataset, variable, asset) if any are named."""
+    return [c.column for c in LAYOUT if c.collection == collection and (not kinds or c.kind in kinds)]
 
 
-def header(collection: str) -> list[str]:
-    return global_columns(collection) + variable_columns(collection) + [ASSET_COLUMN]
+def layout(spark: SparkSession) -> DataFrame:
+    """The same as a table of literals: collection, column, kind, place."""
+    return literals.table(spark, [tuple(c) for c in LAYOUT], "collection string, column string, kind string, place int")
 
 
 def spec(collection: str) -> dict:
@@ -86,7 +71,7 @@ def spec(collection: str) -> dict:
         "id": collection,
         "description": DESCRIPTIONS[collection],
         "catalog_file": f"{collection}.csv.gz",
-        "attributes": [{"column_name": c} for c in header(collection)[:-1]],
+        "attributes": [{"column_name": c} for c in cells_of(collection, "dataset", "variable")],
         "assets": {"column_name": ASSET_COLUMN, "format": ASSET_FORMAT},
     }
 
@@ -116,14 +101,13 @@ def extract_attributes(attrs: DataFrame) -> DataFrame:
 
 
 def _last(name: str) -> Column:
-    given = (F.col("name") == name) & F.col("value").isNotNull()
+    given = (F.col("scope") == "global") & (F.col("name") == name) & F.col("value").isNotNull()
     return F.max_by(F.when(given, F.col("value")), F.when(given, F.col("pos")))
 
 
 def facet_table(attrs: DataFrame, facets: list[str], default: str | None = MISSING) -> DataFrame:
-    """One row per dataset with the given global attributes as columns."""
-    found = attrs.where((F.col("scope") == "global") & F.col("name").isin(*facets))
-    wide = found.groupBy("dataset").agg(*[_last(f).alias(f) for f in facets])
+    """One row for every dataset, also one that has none of them, with the given global attributes as columns."""
+    wide = attrs.groupBy("dataset").agg(*[_last(f).alias(f) for f in facets])
     if default is None:
         return wide
     return wide.select("dataset", *[F.coalesce(f, F.lit(default)).alias(f) for f in facets])
@@ -149,37 +133,48 @@ def variable_lists(attrs: DataFrame, facets: list[str]) -> DataFrame:
     return gathered.select("dataset", *[F.col("_rows")[f].alias(f) for f in facets])
 
 
-def entries(attrs: DataFrame, collection: str, assets: DataFrame | None = None) -> DataFrame:
-    """The catalogue of a collection: its global columns, its variable columns,
-    and the asset of each dataset (``assets``: dataset, path)."""
-    if collection in REGISTRY:
-        table = REGISTRY[collection](attrs)
+def entries(
+    attrs: DataFrame, collection: str, assets: DataFrame | None = None, make: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """The catalogue of a collection: its dataset columns, its variable columns,
+    and the asset of each dataset (``assets``: dataset, path).
+
+    ``make`` gives one row for each dataset of an attribute table, for
+    collections whose entries are not made in the common way.
+    """
+    if make is not None:
+        table = make(attrs)
     else:
-        every = attrs.select("dataset").distinct()
-        lists = variable_lists(attrs, variable_columns(collection))
-        table = (
-            every.join(facet_table(attrs, global_columns(collection), default=None), "dataset", "left")
-            .join(lists, "dataset", "left")
-            .select(
-                "dataset",
-                *[F.coalesce(c, F.lit(MISSING)).alias(c) for c in global_columns(collection)],
-                *variable_columns(collection),
-            )
-        )
+        lists = variable_lists(attrs, cells_of(collection, "variable"))
+        table = facet_table(attrs, cells_of(collection, "dataset")).join(lists, "dataset", "left")
     return table if assets is None else table.join(assets.select("dataset", ASSET_COLUMN), "dataset", "left")
 
 
+def all_entries(attrs: DataFrame, assets: DataFrame) -> DataFrame:
+    """The catalogues of all collections in one pass: collection, dataset, cells (in file order, as text).
+
+    Every dataset is an entry of the collection it is filed under, also one without attributes that are asked for.
+    """
+    texts = list(dict.fromkeys(c.column for c in LAYOUT if c.kind == "dataset"))
+    lists = list(dict.fromkeys(c.column for c in LAYOUT if c.kind == "variable"))
+    wide = facet_table(attrs, texts).join(variable_lists(attrs, lists), "dataset", "left").join(assets, "dataset", "left")
+    shown = {c: F.col(c) for c in texts} | {c: F.coalesce(F.array_join(c, ","), F.lit("")) for c in lists}
+    shown[ASSET_COLUMN] = F.coalesce(ASSET_COLUMN, F.lit(MISSING))
+    kind = collection_of("dataset")
+    cells = F.lit(None).cast("array<string>")
+    for k in COLLECTIONS:
+        cells = F.when(kind == k, F.array(*[shown[c] for c in cells_of(k)])).otherwise(cells)
+    return wide.select(kind.alias("collection"), "dataset", cells.alias("cells"))
+
+
 def catalog_summary(attrs: DataFrame) -> DataFrame:
     """Entries and missing cells of every collection, in one pass over the attributes."""
-    every = list(dict.fromkeys(c for k in COLLECTIONS for c in global_columns(k)))
-    shown = attrs.where(~F.col("name").startswith("_"))
-    wide = shown.groupBy("dataset").agg(
-        *[F.max(F.when((F.col("scope") == "global") & (F.col("name") == c), F.col("value"))).alias(c) for c in every]
-    )
+    every = list(dict.fromkeys(c.column for c in LAYOUT if c.kind == "dataset"))
+    wide = facet_table(attrs.where(~F.col("name").startswith("_")), every, default=None)
     kind = collection_of("dataset")
     missing = F.lit(None).cast("int")
     for k in COLLECTIONS:
-        n = sum((F.col(c).isNull().cast("int") for c in global_columns(k)), F.lit(0))
+        n = sum((F.col(c).isNull().cast("int") for c in cells_of(k, "dataset")), F.lit(0))
         missing = F.when(kind == k, n).otherwise(missing)
     return wide.groupBy(kind.alias("collection")).agg(
         F.count("*").alias("n_entries"), F.sum(missing).cast("bigint").alias("n_missing")
@@ -187,11 +182,11 @@ def catalog_summary(attrs: DataFrame) -> DataFrame:
 
 
 def field_report(attrs: DataFrame) -> DataFrame:
-    """Required fields an entry lacks and given fields its collection does not have."""
-    given = attrs.where((F.col("scope") == "global") & ~F.col("name").startswith("_") & F.col("value").isNotNull())
-    named = given.select("dataset", "name").distinct()
+    """Required fields an entry lacks and given fields its collection does not have; an entry without any field lacks all."""
+    given = (F.col("scope") == "global") & ~F.col("name").startswith("_") & F.col("value").isNotNull()
+    named = attrs.select("dataset", F.when(given, F.col("name")).alias("name")).distinct()
     required = F.create_map(
-        *[x for k in COLLECTIONS for x in (F.lit(k), F.array(*[F.lit(c) for c in global_columns(k)]))]
+        *[x for k in COLLECTIONS for x in (F.lit(k), F.array(*[F.lit(c) for c in cells_of(k, "dataset")]))]
     )[collection_of("dataset")]
     known = F.array_contains(required, F.col("name"))
     return named.groupBy("dataset", collection_of("dataset").alias("collection"), F.size(required).alias("n_required")).agg(

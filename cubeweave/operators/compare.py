@@ -18,17 +18,18 @@ SKIPPED_VARIABLES = ("time_bnds", "time_vectors", "lat", "lon")
 SCENARIOS = ["rcp26", "rcp45", "rcp85", "ssp126", "ssp245", "ssp370", "ssp585"]
 
 
-def label_differences(left: DataFrame, right: DataFrame, dims: list[str]) -> DataFrame:
-    """Labels of every dimension held by both sides or by one; equal when no side has its own."""
+def label_differences(left: DataFrame, right: DataFrame, dims: list[str], group: list[str] | None = None) -> DataFrame:
+    """Labels of every dimension held by both sides or by one, for each group; equal when no side has its own."""
+    group = group or []
 
     def labels(df: DataFrame, side: str) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("label")) for d in dims if d not in SKIPPED_COORDS])
-        return df.select(F.inline(rows)).distinct().withColumn("side", F.lit(side))
+        return df.select(*group, F.inline(rows)).distinct().withColumn("side", F.lit(side))
 
-    both = labels(left, "l").unionByName(labels(right, "r")).groupBy("dim", "label").agg(
+    both = labels(left, "l").unionByName(labels(right, "r")).groupBy(*group, "dim", "label").agg(
         F.bool_or(F.col("side") == "l").alias("_l"), F.bool_or(F.col("side") == "r").alias("_r")
     )
-    return both.groupBy("dim").agg(
+    return both.groupBy(*group, "dim").agg(
         F.count_if(F.col("_l") & F.col("_r")).alias("n_common"),
         F.count_if(~F.col("_r")).alias("n_left"),
         F.count_if(~F.col("_l")).alias("n_right"),

@@ -132,8 +132,7 @@ def combine(rows: DataFrame, cycles: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = rows.withColumn("variable", published_name("source", "raw"))
     errors = named.where(F.col("variable").isNull()).join(mine, "cycle", "left_semi")
     coords = ["cycle", "reftime", "member", "time"]
-    # landing day and value in one number: a number stays in the hash aggregate, a struct would be sorted
-    order = F.unix_date(F.col("landed").cast("date")).cast("bigint") * 10**10 + (F.col("value") * 100).cast("bigint")
+    order = F.struct(F.col("landed").cast("date"), F.col("value"))
     cells = []
     for v in ("tas", "pr"):
         held = (F.col("variable") == v) & F.col("value").isNotNull()

@@ -273,15 +273,30 @@ def bucket_align(left: DataFrame, right: DataFrame, key: list[str], time: str, u
     return a.join(b, [*key, "bucket"])
 
 
-def align_or_bucket(left: DataFrame, right: DataFrame, key: list[str], time: str, unit: str, value: str) -> DataFrame:
-    """Both sides joined on their exact times; when the right side lacks any
-    time of the left one, on time buckets instead."""
-    on = [*key, time]
-    absent = left.select(*on).join(right.select(*on), on, "left_anti").agg(F.count("*").alias("n"))
-    exact = left.select(*on, F.col(value).alias("left_value")).join(right.select(*on, F.col(value).alias("right_value")), on)
-    exact = exact.withColumn("bucket", F.col(time).cast("date")).select(*key, "bucket", "left_value", "right_value")
-    coarse = bucket_align(left, right, key, time, unit, value).select(*key, "bucket", "left_value", "right_value")
-    return exact.where(absent.scalar() == 0).unionByName(coarse.where(absent.scalar() > 0))
+def align_or_bucket(
+    left: DataFrame, right: DataFrame, key: list[str], time: str, unit: str, value: str, group: tuple[str, ...] = ()
+) -> DataFrame:
+    """Both sides beside each other on exact times, or on time buckets for the
+    groups of the left side of which the right side lacks a time.
+
+    ``group`` tells apart series of the left side, ``key`` is shared by both;
+    without groups all of the left side is one. Returns the groups, the key,
+    exact, bucket (a date), left_value and right_value. One join gives the
+    decision and the rows of either outcome.
+    """
+    parts = list(group) or ["_all"]
+    bucket = F.date_trunc(unit, F.col(time)).cast("date").alias("bucket")
+    series = left if group else left.withColumn("_all", F.lit(0))
+    a = series.select(*parts, *key, time, F.col(value).alias("left_value"))
+    b = right.select(*key, time, F.col(value).alias("right_value"), F.lit(True).alias("_held"))
+    met = a.join(b, [*key, time], "left")
+    absent = met.groupBy(*parts).agg(F.count_if(F.col("_held").isNull()).alias("_absent"))
+    flagged = met.join(absent, parts)
+    out = [*group, *key, "exact", "bucket", "left_value", "right_value"]
+    same = flagged.where(F.col("_absent") == 0).withColumns({"exact": F.lit(True), "bucket": F.col(time).cast("date")}).select(*out)
+    coarse = flagged.where(F.col("_absent") > 0).groupBy(*parts, *key, bucket).agg(F.sum("left_value").alias("left_value"))
+    totals = right.groupBy(*key, bucket).agg(F.sum(value).alias("right_value"))
+    return same.unionByName(coarse.join(totals, [*key, "bucket"]).withColumn("exact", F.lit(False)).select(*out))
 
 
 def pairs(rows: DataFrame, key: list[str], label: str, labels: list[str], value: Column) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,28 +96,46 @@ class VirtualDataset:
         if self.kind == "leaf":
             df = edit.explicit(self.table, [*self.coords, *wanted])
             if period is not None and "time" in self.coords:
-                df = df.where(F.col("time").between(times.timestamp(period[0]), times.timestamp(period[1])))
+                df = df.where(times.within("time", period))
             return df
         if self.kind == "concat":
             kept = [m for m in self.children if period is None or m.period is None or _meet(m.period, period)]
             # a period that no member meets still has a schema: that of the first member
             return virtual.join_existing([m.frame(wanted, period, labels) for m in kept or self.children[:1]])
         if self.kind == "merge":
+            # every member gives its coordinates, so the choice of variables does not change the rows
             kept, left = [], list(wanted)
             for m in self.children:
                 mine = [v for v in left if v in m.variables]
-                if mine:
-                    kept.append(m.frame(mine, period, labels))
-                    left = [v for v in left if v not in mine]
-            return virtual.union_variables(kept, list(self.coords))
-        chosen = {
-            name: m.frame(None, period).select(*m.coords, *[v for v in (wanted if i else m.variables) if v in m.variables])
-            for i, (name, m) in enumerate(zip(self.labels, self.children))
-            if labels is None or name in labels
-        }
-        inner = [c for c in self.coords if c != self.dim]
-        return virtual.join_new(chosen, self.dim, [v for v in wanted], inner).select(*self.coords, *wanted)
+                kept.append(m.frame(mine, period, labels))
+                left = [v for v in left if v not in mine]
+            return virtual.union_variables(kept, list(self.coords)).select(*self.coords, *wanted)
+        unknown = [] if labels is None else [x for x in labels if x not in self.labels]
+        if unknown:
+            raise ValueError(f"no members with the labels {', '.join(unknown)}; there are {', '.join(self.labels)}")
+        chosen = {}
+        for i, (name, m) in enumerate(zip(self.labels, self.children)):
+            # variables that are not stacked come from the first member alone
+            given = m.variables if i == 0 else [v for v in m.variables if v in self.variables]
+            if labels is None or name in labels:
+                chosen[name] = m.frame([v for v in wanted if v in given], period)
+        stacked = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn(self.dim, F.lit(name)) for name, df in chosen.items()]
+        )
+        absent = [v for v in wanted if v not in stacked.columns]
+        if absent:
+            types = dict(self.children[0].frame(absent).dtypes)
+            stacked = stacked.withColumns({v: F.lit(None).cast(types[v]) for v in absent})
+        return stacked.select(*self.coords, *wanted)
 
 
 def _meet(a: tuple[str, str], b: tuple[str, str]) -> bool:
-    return a[0] <= b[1] and b[0] <= a[1]
+    """Whether two periods share a moment; a date ends with its day."""
+
+    def begin(text: str) -> datetime:
+        return datetime.fromisoformat(text)
+
+    def end(text: str) -> datetime:
+        return begin(text) + timedelta(days=1, microseconds=-1) if len(text) <= 10 else begin(text)
+
+    return begin(a[0]) <= end(b[1]) and begin(b[0]) <= end(a[1])

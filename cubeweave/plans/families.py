@@ -40,7 +40,7 @@ class Family:
     fragments: tuple[str, ...] = ()
     # a fragment files must have (True) or must lack (False)
     token: tuple[str, bool] | None = None
-    # allowed number of files per dataset and variable
+    # allowed number of files per dataset and variable; rows of others carry their ``problem``
     bounds: tuple[int, int | None] | None = None
     # the variable that comes first, and the one that stands in for it
     primary: tuple[str, str] | None = None
@@ -67,7 +67,7 @@ def build(files: DataFrame, family: Family, fixed: DataFrame | None = None) -> D
     rows = _gated(rows, kept, family)
     if family.bounds is not None:
         outside = select.outside_bounds(kept, [*family.dataset, "variable"], *family.bounds)
-        rows = rows.join(outside.select(*family.dataset).distinct(), list(family.dataset), "left_anti")
+        rows = rows.join(outside.select(*family.dataset, "variable", "problem"), [*family.dataset, "variable"], "left")
     if family.realization:
         rows = rows.withColumn("realization", F.concat_ws(":", *family.realization))
     if family.primary is not None:

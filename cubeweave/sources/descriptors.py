@@ -1,7 +1,8 @@
 """Descriptor documents (XML text) as one table of facts.
 
-A document is parsed once, against a fixed schema with three nested
-aggregations, and its facts come out of one generator; nothing is joined.
+A document is parsed once, against a schema with as many nested aggregations
+as are asked for, and its facts come out of one generator; nothing is joined. A
+document with more of them is an error.
 Reading is lenient: child order is ignored, aggregation types and booleans
 are taken in any case.
 """
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cubeweave.functions import names
 
+#: Nested aggregations that are read unless more are asked for.
 MAX_DEPTH = 3
 
 _REMOVE = "array<struct<_name:string,_type:string>>"
@@ -41,7 +43,6 @@ def _struct_of(depth: int) -> str:
 
 
 STRUCT = _struct_of(MAX_DEPTH)
-SCHEMA = ", ".join(f.replace(":", " ", 1) for f in _fields_of(MAX_DEPTH))
 
 FACT = (
     "kind string, node_path string, ordinal int, name string, type string, value string, org_name string, "
@@ -122,19 +123,35 @@ def _aggregation_facts(g: str, path: str, i: str, depth: int) -> str:
     return f"concat({', '.join(parts)})"
 
 
-def _document_facts() -> str:
+def _document_facts(depth: int) -> str:
     dataset = _fact("dataset", "'/netcdf'", "0", location="netcdf._location", recheck="netcdf._recheckEvery")
-    return f"concat(array({dataset}), {_netcdf_facts('netcdf', chr(39) + '/netcdf' + chr(39), MAX_DEPTH)})"
+    return f"concat(array({dataset}), {_netcdf_facts('netcdf', chr(39) + '/netcdf' + chr(39), depth)})"
 
 
-def parse(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """Add the parsed document as the struct column ``netcdf``."""
-    return docs.withColumn("netcdf", F.from_xml(F.col(xml), SCHEMA))
+def parse(docs: DataFrame, xml: str = "xml", depth: int = MAX_DEPTH) -> DataFrame:
+    """Add the parsed document as the struct column ``netcdf``; null for text that is no document.
+
+    Reading a document with more than ``depth`` nested aggregations fails.
+    """
+    read = F.from_xml(F.col(xml), ", ".join(f.replace(":", " ", 1) for f in _fields_of(depth)))
+    # as many opening tags before the first closing one as aggregations can be nested; a self-closed one holds nothing
+    opened = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->|<(?:\w+:)?aggregation\b[^>]*/>", "")
+    level = F.transform(F.regexp_extract_all(opened, F.lit(r"<(/?)(?:\w+:)?aggregation\b"), F.lit(1)), lambda c: F.when(c == "", 1).otherwise(-1))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    step = lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most"))
+    deepest = F.aggregate(level, start, step)["most"]
+    error = F.raise_error(F.lit(f"a document has more than {depth} nested aggregations")).cast(read_type(depth))
+    return docs.withColumn("netcdf", F.when(deepest > depth, error).otherwise(read))
+
+
+def read_type(depth: int = MAX_DEPTH) -> str:
+    """The type of a parsed document."""
+    return _struct_of(depth)
 
 
-def facts(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """All facts of parsed documents: (key, kind, node_path, ordinal, ...)."""
-    return parsed.select(key, F.inline(F.expr(_document_facts())))
+def facts(parsed: DataFrame, key: str = "doc_id", depth: int = MAX_DEPTH) -> DataFrame:
+    """All facts of documents parsed to a depth: (key, kind, node_path, ordinal, ...)."""
+    return parsed.select(key, F.inline(F.expr(_document_facts(depth))))
 
 
 def key_values(docs: DataFrame, key: str, xml: str = "xml", doc: str = "doc_id") -> DataFrame:
@@ -166,15 +183,19 @@ def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id") -> Data
     location is one of the file's directories, so paths are spread over their
     directories and the match is an equality.
     """
+    bare = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
     listed = found.where((F.col("kind") == "member") & F.col("location").isNotNull()).select(
         key, "node_path", "ordinal", F.col("location").alias("path")
     )
     scans = found.where(F.col("kind") == "scan").select(
-        key, "node_path", "ordinal", "location", "suffix", "regexp", F.coalesce("subdirs", F.lit(True)).alias("subdirs")
+        key, "node_path", "ordinal", bare(F.col("location")).alias("location"), "suffix", "regexp", F.coalesce("subdirs", F.lit(True)).alias("subdirs")
     )
     parts = names.dirs("path")
-    places = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    spread = inventory.select("path", names.parent("path").alias("_parent"), F.explode(places).alias("location"))
+    joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    # the first part of an absolute path is empty: its directory is the root
+    places = F.array_distinct(F.transform(joined, lambda p: F.when(F.startswith("path", F.lit("/")) & (p == ""), "/").otherwise(p)))
+    parent = F.when(F.size(parts) > 0, F.element_at(places, -1)).otherwise("")
+    spread = inventory.select("path", parent.alias("_parent"), F.explode(places).alias("location"))
     hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("location") == F.col("_parent")))
     ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
     suffix_is = F.rlike("path", ending)

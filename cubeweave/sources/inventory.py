@@ -99,8 +99,10 @@ def appeared(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 def walk(edges: DataFrame, roots: DataFrame, depth: int | None = 1) -> DataFrame:
     """Children of ``roots`` down to ``depth`` levels below the first; all levels when None.
 
-    One join per level. Levels of a bounded walk form one lazy plan; an
-    unbounded walk is cut by checkpoints and ends at the first empty level.
+    One join per level. Levels of a bounded walk form one lazy plan. An
+    unbounded walk visits a node once for each root, at its least depth, so a
+    cycle ends it; every level is cut by a checkpoint, and the first empty one
+    is the last.
     """
     level = roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"))
 
@@ -109,19 +111,20 @@ def walk(edges: DataFrame, roots: DataFrame, depth: int | None = 1) -> DataFrame
             "root", F.col("child").alias("node"), F.lit(d).alias("depth")
         )
 
-    if depth is None:
-        shared_dir(edges.sparkSession)
-    levels = []
-    # fixed value: the depth that stands for "no limit"
-    limit = 1000 if depth is None else depth
-    for d in range(limit + 1):
-        level = descend(level, d)
-        if depth is None:
-            level = level.checkpoint()
-            if level.isEmpty():
-                break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels) if levels else level.limit(0)
+    if depth is not None:
+        levels = []
+        for d in range(depth + 1):
+            level = descend(level, d)
+            levels.append(level)
+        return reduce(DataFrame.unionByName, levels) if levels else level.limit(0)
+    shared_dir(edges.sparkSession)
+    seen, d = level.limit(0), 0
+    while True:
+        level = descend(level, d).dropDuplicates(["root", "node"])
+        level = level.join(seen.select("root", "node"), ["root", "node"], "left_anti").checkpoint()
+        if level.isEmpty():
+            return seen
+        seen, d = seen.unionByName(level), d + 1
 
 
 # fixed values: access services and the column each of them fills
@@ -143,10 +146,15 @@ def service_columns(urls: DataFrame, key: list[str]) -> DataFrame:
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Read the snapshot at ``path``; make it from ``df`` first when there is none."""
+    """Read the snapshot at ``path``; make it from ``df`` first when there is none.
+
+    A mark is written after the rows. Rows without it are left over from a
+    write that was broken off, and are written again.
+    """
     spark = df.sparkSession
     try:
-        return spark.read.parquet(path)
+        spark.read.parquet(f"{path}/done")
     except AnalysisException:
-        df.write.mode("ignore").parquet(path)
-        return spark.read.parquet(path)
+        df.write.mode("overwrite").parquet(f"{path}/rows")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
+    return spark.read.parquet(f"{path}/rows")

@@ -49,7 +49,7 @@ def read_json_by(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_packed(df: DataFrame, path: str, times: list[str], partition: list[str]) -> None:
-    """Packed cube: times as double days, 64-bit and decimal values as single, zstd Parquet.
+    """Packed cube: times as double days since 1970 with fractions, 64-bit and decimal values as single, zstd Parquet.
 
     The rebalance hint gathers the rows of a partition into few files and
     splits the partitions that are too large for one task.
@@ -57,7 +57,8 @@ def write_packed(df: DataFrame, path: str, times: list[str], partition: list[str
     packed = []
     for name, dtype in df.dtypes:
         if name in times:
-            packed.append(F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date")).cast("double").alias(name))
+            since = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(name).cast("timestamp_ntz"))
+            packed.append((since / F.lit(86_400_000_000.0)).alias(name))
         elif dtype == "bigint" or dtype.startswith("decimal"):
             packed.append(F.col(name).cast("float").alias(name))
         else:
@@ -90,14 +91,11 @@ def write_cube(cube: DataFrame, path: str, label: str = "realization") -> None:
 def read_cube(
     spark: SparkSession, path: str, period: tuple[str, str] | None = None, labels: list[str] | None = None, label: str = "realization"
 ) -> DataFrame:
-    """A published cube. A period (ISO dates) and labels leave only the folders they meet."""
+    """A published cube. A period (ISO dates, the last one whole, or times) and labels leave only the folders they meet."""
     cube = spark.read.parquet(path)
     if labels is not None:
         cube = cube.where(F.col(label).isin(*labels))
     if period is not None:
         first, last = period
-        cube = cube.where(
-            F.col("year").between(int(first[:4]), int(last[:4]))
-            & F.col("time").between(times.timestamp(first), times.timestamp(last))
-        )
+        cube = cube.where(F.col("year").between(int(first[:4]), int(last[:4])) & times.within("time", period))
     return cube.drop("year")

@@ -80,11 +80,12 @@ def lead_sets(stream: DataFrame, time: str = "reftime") -> DataFrame:
     """Leads seen so far per cycle and source.
 
     The set is kept as two 64-bit masks, one bit per lead, so the state of a
-    group has a fixed size and a repeated lead changes nothing.
+    group has a fixed size and a repeated lead changes nothing. A lead that no
+    cycle has sets no bit.
     """
     place = F.array_position(forecast.lead_array(), F.col("lead")) - 1
     bit = lambda low: F.when(
-        (place < 64) if low else (place >= 64), F.expr("shiftleft(1L, CAST((array_position(_leads, lead) - 1) % 64 AS INT))")
+        place.between(0, 63) if low else (place >= 64), F.expr("shiftleft(1L, CAST((array_position(_leads, lead) - 1) % 64 AS INT))")
     ).otherwise(F.lit(0).cast("bigint"))
     marked = timed(stream, time).withColumn("_leads", forecast.lead_array())
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from cubeweave.functions import literals, numeric, times
@@ -178,23 +180,24 @@ def nested_agg(spark, sf):
         "records",
         f"""WITH {_CELLS}
         SELECT 'tas' AS variable, count(*) AS n_child, 0::BIGINT AS n_different FROM a
-        UNION ALL SELECT 'pr', count(*), 0::BIGINT FROM b""",
+        UNION ALL SELECT 'pr', count(*), count(*) FILTER (lat = 42) FROM b""",
     ),
 )
 def recursive_agg(spark, sf):
     children = {v: _variable_cells(spark, sf, v) for v in ("tas", "pr")}
     parent = virtual.union_variables(list(children.values()), COORDS)
-    checks = []
-    for v, child in children.items():
-        seen = parent.where(F.col(v).isNotNull()).select(*COORDS, F.col(v).alias("parent"))
-        both = child.select(*COORDS, F.col(v).alias("child")).join(seen, COORDS, "full_outer")
-        checks.append(
-            both.agg(
-                F.count("child").alias("n_child"),
-                F.count_if(~F.col("child").eqNullSafe(F.col("parent"))).alias("n_different"),
-            ).withColumn("variable", F.lit(v))
-        )
-    return checks[0].unionByName(checks[1])
+    # what the children hold now: since the parent was read, one latitude of ``pr`` was mended
+    mended = F.when(F.col("lat") == 42, F.col("pr") + 1).otherwise(F.col("pr")).cast(children["pr"].schema["pr"].dataType)
+    children["pr"] = children["pr"].withColumn("pr", mended)
+    sides = [parent.select(*COORDS, "tas", "pr").withColumn("side", F.lit("parent"))]
+    sides += [c.withColumn("side", F.lit("child")) for c in children.values()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    held = lambda v, side: F.max(F.when(F.col("side") == side, F.col(v)))
+    cells = stacked.groupBy(*COORDS).agg(*[held(v, s).alias(f"{v}_{s}") for v in ("tas", "pr") for s in ("parent", "child")])
+    pairs = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"{v}_child").alias("child"), F.col(f"{v}_parent").alias("parent")) for v in ("tas", "pr")])
+    return cells.select(F.inline(pairs)).groupBy("variable").agg(
+        F.count("child").alias("n_child"), F.count_if(~F.col("child").eqNullSafe(F.col("parent"))).alias("n_different")
+    )
 
 
 @query(
@@ -277,7 +280,7 @@ def attr_override(spark, sf):
     with_views(
         "members",
         """SELECT r.center, r.variable, m.ncoords AS tracking, count(*) AS n, CAST(sum(r.value) AS DOUBLE) AS value
-        FROM records r JOIN members m USING (center, model, exp, run, domain, variable, year) GROUP BY 1, 2, 3""",
+        FROM records r LEFT JOIN members m USING (center, model, exp, run, domain, variable, year) GROUP BY 1, 2, 3""",
     ),
 )
 def promote_attr(spark, sf):
@@ -296,7 +299,7 @@ def promote_attr(spark, sf):
         "grid",
         """WITH i AS (SELECT CAST((lat - 40) * 2 AS INT) AS y, CAST((lon + 90) * 2 AS INT) AS x, tas FROM grid)
         SELECT concat(y // 16 * 16, ':', y // 16 * 16 + 15, ',', x // 31 * 31, ':', x // 31 * 31 + 30) AS section,
-          count(*) AS n, 0::BIGINT AS n_outside, CAST(min(y) AS BIGINT) AS y_min, CAST(max(x) AS BIGINT) AS x_max,
+          count(*) AS n, count(*) FILTER (x % 31 = 30) AS n_outside, CAST(min(y) AS BIGINT) AS y_min, max(x + CAST(x % 31 = 30 AS INT))::BIGINT AS x_max,
           CAST(sum(tas) AS DOUBLE) AS tas FROM i GROUP BY 1""",
     ),
 )
@@ -308,7 +311,8 @@ def tiled_agg(spark, sf):
 
     tiles = substrate.grid(spark, sf).select(
         (y % 16).alias("y"),
-        (x % 31).alias("x"),
+        # the last column of every tile was written one place too far
+        F.when(x % 31 == 30, 31).otherwise(x % 31).alias("x"),
         F.concat(span(y - y % 16, 16), F.lit(","), span(x - x % 31, 31)).alias("section"),
         "tas",
     )
@@ -427,14 +431,14 @@ def nested_concat(spark, sf):
     "merge_outer",
     with_views(
         "points",
-        """WITH a AS (SELECT lat, lon, realization, max(tas) AS tas FROM points WHERE weight < 0.055 GROUP BY 1, 2, 3),
-          b AS (SELECT lat, lon, realization, max(tas) AS tas, max(pr) AS pr FROM points WHERE weight > 0.045 GROUP BY 1, 2, 3)
+        """WITH a AS (SELECT time, lat, lon, realization, max(tas) AS tas FROM points WHERE weight < 0.055 GROUP BY 1, 2, 3, 4),
+          b AS (SELECT time, lat, lon, realization, max(tas) AS tas, max(pr) AS pr FROM points WHERE weight > 0.045 GROUP BY 1, 2, 3, 4)
         SELECT realization, count(*) AS n, count(pr) AS n_pr, CAST(sum(coalesce(a.tas, b.tas)) AS DOUBLE) AS tas,
-          count(*) FILTER (a.tas <> b.tas) AS n_conflicts FROM a FULL JOIN b USING (lat, lon, realization) GROUP BY 1""",
+          count(*) FILTER (a.tas <> b.tas) AS n_conflicts FROM a FULL JOIN b USING (time, lat, lon, realization) GROUP BY 1""",
     ),
 )
 def merge_outer(spark, sf):
-    rows, cell = substrate.points(spark, sf), ["lat", "lon", "realization"]
+    rows, cell = substrate.points(spark, sf), substrate.COORDS
     a = rows.where(F.col("weight") < 0.055).groupBy(*cell).agg(F.max("tas").alias("tas"))
     b = rows.where(F.col("weight") > 0.045).groupBy(*cell).agg(F.max("tas").alias("tas"), F.max("pr").alias("pr"))
     merged = virtual.merge_outer([a.withColumn("surface", F.lit(0)), b], cell, helpers=("surface", "heightAboveGround"))

@@ -59,7 +59,7 @@ def variable_lists(spark, sf):
 
 
 def _in_collection(collection: str) -> str:
-    return f"dataset % {len(cat.COLLECTIONS)} = {list(cat.COLLECTIONS).index(collection)}"
+    return f"dataset % {len(cat.COLLECTIONS)} = {cat.COLLECTIONS.index(collection)}"
 
 
 @query(
@@ -69,8 +69,8 @@ def _in_collection(collection: str) -> str:
         "WITH found AS (SELECT DISTINCT dataset, name FROM attrs WHERE scope = 'global' AND value IS NOT NULL AND NOT starts_with(name, '_'))"
         + " UNION ALL ".join(
             f"""SELECT '{c}' AS collection, (SELECT count(*) FROM part WHERE {_in_collection(c).replace('dataset', 'p_partkey')}) AS n_entries,
-            (SELECT count(*) FROM part WHERE {_in_collection(c).replace('dataset', 'p_partkey')}) * {len(cat.global_columns(c))} - count(*) AS n_missing
-            FROM found WHERE {_in_collection(c)} AND name IN ({", ".join(f"'{x}'" for x in cat.global_columns(c))})"""
+            (SELECT count(*) FROM part WHERE {_in_collection(c).replace('dataset', 'p_partkey')}) * {len(cat.cells_of(c, 'dataset'))} - count(*) AS n_missing
+            FROM found WHERE {_in_collection(c)} AND name IN ({", ".join(f"'{x}'" for x in cat.cells_of(c, 'dataset'))})"""
             for c in cat.COLLECTIONS
         ),
     ),
@@ -79,8 +79,38 @@ def catalog_by_collection(spark, sf):
     return cat.catalog_summary(substrate.attrs(spark, sf))
 
 
+_ALL_COLUMNS = sorted({c.column for c in cat.LAYOUT if c.kind == "dataset"})
+_CELLS = "CASE " + " ".join(
+    f"WHEN {_in_collection(c)} THEN concat_ws('|', {', '.join('coalesce(' + x + ', ' + repr('' if x.startswith('variable_') else 'NA') + ')' for x in cat.cells_of(c))})"
+    for c in cat.COLLECTIONS
+) + " END"
+
+
+@query(
+    "catalog_entries",
+    with_views(
+        "attrs",
+        f"""WITH w AS (SELECT dataset, {", ".join(f"arg_max(value, pos) FILTER (scope = 'global' AND name = '{c}' AND value IS NOT NULL) AS {c}" for c in _ALL_COLUMNS)}
+            FROM attrs GROUP BY 1),
+          v AS (SELECT p_partkey AS dataset, CASE WHEN p_partkey % 13 = 0 THEN 'pr' ELSE 'tas,pr' END AS variable_name,
+            CASE WHEN p_partkey % 13 = 0 THEN 'NA' ELSE concat('temperature of ', p_type, ',NA') END AS variable_long_name FROM part WHERE p_partkey % 11 <> 0),
+          f AS (SELECT p_partkey AS dataset, concat('/data/vdb/', p_brand, '/', p_partkey, '.nc') AS path FROM part WHERE p_size % 4 <> 0),
+          e AS (SELECT * FROM w LEFT JOIN v USING (dataset) LEFT JOIN f USING (dataset))
+        SELECT {repr(cat.COLLECTIONS)}[dataset % {len(cat.COLLECTIONS)} + 1] AS collection, CAST(dataset AS BIGINT) AS dataset, {_CELLS} AS cells FROM e""",
+    ),
+)
+def catalog_entries(spark, sf):
+    """The rows of the seven catalogue files; a fourth of the datasets has no file."""
+    files = substrate.table(spark, sf, "part").where(F.col("p_size") % 4 != 0).select(
+        F.col("p_partkey").alias("dataset"),
+        F.concat_ws("/", F.lit(substrate.ROOT), "p_brand", F.concat(F.col("p_partkey").cast("string"), F.lit(".nc"))).alias("path"),
+    )
+    rows = cat.all_entries(substrate.attrs(spark, sf), files)
+    return rows.select("collection", "dataset", F.array_join("cells", "|").alias("cells"))
+
+
 _REQUIRED = "CASE " + " ".join(
-    f"WHEN {_in_collection(c)} THEN [{', '.join(repr(x) for x in cat.global_columns(c))}]" for c in cat.COLLECTIONS
+    f"WHEN {_in_collection(c)} THEN [{', '.join(repr(x) for x in cat.cells_of(c, 'dataset'))}]" for c in cat.COLLECTIONS
 ) + " END"
 
 
@@ -90,7 +120,7 @@ _REQUIRED = "CASE " + " ".join(
         "attrs",
         f"""WITH g AS (SELECT DISTINCT dataset, name, {_REQUIRED} AS need FROM attrs
             WHERE scope = 'global' AND value IS NOT NULL AND NOT starts_with(name, '_'))
-        SELECT CAST(dataset AS BIGINT) AS dataset, {repr(list(cat.COLLECTIONS))}[dataset % {len(cat.COLLECTIONS)} + 1] AS collection,
+        SELECT CAST(dataset AS BIGINT) AS dataset, {repr(cat.COLLECTIONS)}[dataset % {len(cat.COLLECTIONS)} + 1] AS collection,
           len(any_value(need)) - count(*) FILTER (list_contains(need, name)) AS n_missing,
           count(*) FILTER (NOT list_contains(need, name)) AS n_extra, min(name) FILTER (NOT list_contains(need, name)) AS first_extra
         FROM g GROUP BY 1, 2""",

@@ -16,19 +16,23 @@ COORDS = substrate.COORDS
     "coord_equal",
     with_views(
         "grid",
-        """WITH c AS (SELECT realization, CAST(CAST(time AS DATE) AS VARCHAR) AS t, CAST(lat AS VARCHAR) AS y, CAST(lon AS VARCHAR) AS x FROM grid
-            WHERE realization IN ('M-A:r1', 'M-N:r2')),
+        """WITH c AS (SELECT realization, CAST(CAST(time AS DATE) AS VARCHAR) AS t, CAST(lat AS VARCHAR) AS y, CAST(lon AS VARCHAR) AS x FROM grid),
           labels AS (SELECT DISTINCT realization, 'time' AS dim, t AS label FROM c UNION SELECT DISTINCT realization, 'lat', y FROM c
             UNION SELECT DISTINCT realization, 'lon', x FROM c),
-          b AS (SELECT dim, label, bool_or(realization = 'M-A:r1') AS l, bool_or(realization = 'M-N:r2') AS r FROM labels GROUP BY 1, 2)
-        SELECT dim, count(*) FILTER (l AND r) AS n_common, count(*) FILTER (NOT r) AS n_left, count(*) FILTER (NOT l) AS n_right,
-          count(*) FILTER (NOT r OR NOT l) = 0 AS equal FROM b GROUP BY 1""",
+          k AS (SELECT realization AS name FROM labels GROUP BY 1),
+          s AS (SELECT name, dim, label, true AS l, false AS r FROM k, labels WHERE realization = 'M-A:r1'
+            UNION ALL SELECT realization, dim, label, false, true FROM labels),
+          b AS (SELECT name, dim, label, bool_or(l) AS l, bool_or(r) AS r FROM s GROUP BY 1, 2, 3)
+        SELECT name AS realization, dim, count(*) FILTER (l AND r) AS n_common, count(*) FILTER (NOT r) AS n_left, count(*) FILTER (NOT l) AS n_right,
+          count(*) FILTER (NOT r OR NOT l) = 0 AS equal FROM b GROUP BY 1, 2""",
     ),
 )
 def coord_equal(spark, sf):
-    cells = substrate.points(spark, sf)
-    of = lambda r: cells.where(F.col("realization") == r)
-    return compare.label_differences(of("M-A:r1"), of("M-N:r2"), ["time", "lat", "lon"])
+    """Every realization beside the first."""
+    cells = substrate.points(spark, sf).select("realization", "time", "lat", "lon").distinct()
+    names = F.array(*[F.lit(f"M-{m}:r{r}") for m in "ANR" for r in (1, 2, 3)])
+    first = cells.where(F.col("realization") == "M-A:r1").withColumn("realization", F.explode(names))
+    return compare.label_differences(first, cells, ["time", "lat", "lon"], ["realization"])
 
 
 @query(
@@ -38,9 +42,9 @@ def coord_equal(spark, sf):
         """WITH g AS (SELECT realization, lat, lon, CAST(tas AS DECIMAL(20,3)) AS tas, CAST(pr AS DECIMAL(20,3)) AS pr FROM grid),
           p AS (SELECT *, CASE WHEN lat = 42 THEN tas + 0.002 WHEN lat = 43 THEN tas + 0.001 WHEN lon = -80 THEN NULL ELSE tas END AS tas2,
             CASE WHEN lat = 44 THEN pr + 0.01 ELSE pr END AS pr2 FROM g)
-        SELECT realization, 'tas' AS variable, count(*) AS n_cells, 0::BIGINT AS n_absent,
-          count(*) FILTER (tas2 IS NULL OR abs(tas2 - tas) >= 0.0015) AS n_failed FROM p GROUP BY 1
-        UNION ALL SELECT realization, 'pr', count(*), 0, count(*) FILTER (abs(pr2 - pr) * 86400 >= 0.015) FROM p GROUP BY 1""",
+        SELECT realization, 'tas' AS variable, count(*) AS n_cells, count(*) FILTER (lat = 41) AS n_absent,
+          count(*) FILTER (lat <> 41 AND (tas2 IS NULL OR abs(tas2 - tas) >= 0.0015)) AS n_failed FROM p GROUP BY 1
+        UNION ALL SELECT realization, 'pr', count(*), count(*) FILTER (lat = 41), count(*) FILTER (abs(pr2 - pr) * 86400 >= 0.015) FROM p GROUP BY 1""",
     ),
 )
 def compare_values(spark, sf):
@@ -53,7 +57,8 @@ def compare_values(spark, sf):
     )
     pr = F.when(F.col("lat") == 44, F.col("pr") + nudge("0.01")).otherwise(F.col("pr"))
     raw = virtual.select(*COORDS, tas.alias("tas"), pr.alias("pr"))
-    return compare.compare_values(virtual, raw, COORDS, ["realization"], units={"pr": compare.RATE_UNITS})
+    # the virtual side lacks one latitude
+    return compare.compare_values(virtual.where(F.col("lat") != 41), raw, COORDS, ["realization"], units={"pr": compare.RATE_UNITS})
 
 
 @query(
@@ -105,7 +110,8 @@ _FILE = ["center", "model", "exp", "run", "domain", "variable", "year"]
           cells AS (SELECT s.path, x.time, x.lat, x.lon, sum(x.value) AS v FROM s
             JOIN records x USING (center, model, exp, run, domain, variable, year)
             WHERE x.lat BETWEEN 40 AND 50 AND x.lon BETWEEN -85 AND -65 GROUP BY 1, 2, 3, 4)
-        SELECT path, 'value' AS variable, count(*) AS n_cells, 0::BIGINT AS n_absent, 0::BIGINT AS n_failed FROM cells GROUP BY 1""",
+        SELECT path, 'value' AS variable, count(*) AS n_cells, count(*) FILTER (lat = 45) AS n_absent,
+          count(*) FILTER (lat <> 45 AND lon = -80) AS n_failed FROM cells GROUP BY 1""",
     ),
 )
 def compare_dataset(spark, sf):
@@ -123,6 +129,9 @@ def compare_dataset(spark, sf):
     dataset = ["center", "model", "exp", "run", "variable"]
     hit = rows.join(sampled.select(*dataset).distinct(), dataset, "left_semi")
     cube = hit.groupBy(*dataset, "time", "lat", "lon").agg(F.sum("value").alias("value"))
+    # what was published lacks one latitude and is off by a hundredth on one longitude
+    off = F.when(F.col("lon") == -80, F.col("value") + F.lit("0.01").cast("decimal(3,2)")).otherwise(F.col("value"))
+    cube = cube.where(F.col("lat") != 45).withColumn("value", off)
     seen = cube.withColumn("year", F.year("time")).join(sampled.select(*dataset, "year", "path"), [*dataset, "year"])
     return compare.compare_values(
         seen.select("path", "time", "lat", "lon", "value"), held, ["path", "time", "lat", "lon"], ["path"]

@@ -277,35 +277,38 @@ def family_espo_g(spark, sf):
     "family_members",
     with_views(
         "members",
-        """WITH f AS (SELECT * FROM members WHERE exp = 'ssp245' AND NOT contains(path, 'growing_degree_days_gt_4')),
-          r AS (SELECT center, model, run FROM f WHERE variable = 'pr' GROUP BY 1, 2, 3 HAVING count(*) >= 3),
-          one AS (SELECT center, model, min(run) AS run FROM r GROUP BY 1, 2 HAVING count(*) = 1),
+        """WITH f AS (SELECT * FROM members WHERE NOT contains(path, 'growing_degree_days_gt_4')),
+          r AS (SELECT exp, center, model, run FROM f WHERE variable = 'pr' GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3),
+          one AS (SELECT exp, center, model, min(run) AS run FROM r GROUP BY 1, 2, 3 HAVING count(*) = 1),
           lookup AS (SELECT * FROM (VALUES ('M-A', 0), ('M-N', 1), ('M-R', 2)) v(model, place))
-        SELECT concat('day_ssp245_', f.center) AS dataset, concat(f.model, ':', f.run) AS realization, CAST(place AS BIGINT) AS place, path AS location
-        FROM f JOIN one USING (center, model, run) JOIN lookup USING (model)
-        UNION ALL SELECT DISTINCT concat('day_ssp245_', center), NULL, 99, '/data/vdb/lookup/ssp245_tcr.nc' FROM f JOIN one USING (center, model, run)""",
+        SELECT concat('day_', f.exp, '_', f.center) AS dataset, concat(f.model, ':', f.run) AS realization, CAST(place AS BIGINT) AS place,
+          path AS location, NULL AS problem FROM f JOIN one USING (exp, center, model, run) JOIN lookup USING (model)
+        UNION ALL SELECT DISTINCT concat('day_', exp, '_', center), NULL, 99, concat('/data/vdb/lookup/', exp, '_tcr.nc'), NULL
+          FROM f JOIN one USING (exp, center, model, run)
+        UNION ALL SELECT concat('day_', exp, '_', center), model, place, NULL, 'too many' FROM r JOIN lookup USING (model)
+          GROUP BY exp, center, model, place HAVING count(*) > 1""",
     ),
 )
 def family_members(spark, sf):
     """Stack one run per model, in lookup order, and add the lookup file. A model
-    with several complete runs is refused."""
-    files = substrate.members(spark, sf).where(F.col("exp") == "ssp245")
-    files = select.exclude(files, {}, ["growing_degree_days_gt_4"])
-    complete = files.where(F.col("variable") == "pr").groupBy("center", "model", "run").agg(F.count("*").alias("n")).where("n >= 3")
-    refused = select.outside_bounds(complete, ["center", "model"], minimum=1, maximum=1)
-    runs = complete.join(refused, ["center", "model"], "left_anti").select("center", "model", "run")
-    family = Family(dataset=("center", "model", "run"), members="files", realization=("model", "run"), ordered=False)
-    rows = build(files.join(runs, ["center", "model", "run"], "left_semi"), family)
+    with several complete runs is refused: it gets a row that says so."""
+    model, run = ["exp", "center", "model"], ["exp", "center", "model", "run"]
+    files = select.exclude(substrate.members(spark, sf), {}, ["growing_degree_days_gt_4"])
+    complete = files.where(F.col("variable") == "pr").groupBy(*run).agg(F.count("*").alias("n")).where("n >= 3")
+    refused = select.outside_bounds(complete, model, minimum=1, maximum=1)
+    runs = complete.join(refused, model, "left_anti").select(*run)
+    family = Family(dataset=tuple(run), members="files", realization=("model", "run"), ordered=False)
+    rows = build(files.join(runs, run, "left_semi"), family)
     order = F.create_map(*[F.lit(x) for i, m in enumerate(("M-A", "M-N", "M-R")) for x in (m, i)])
-    stacked = rows.select(
-        F.concat(F.lit("day_ssp245_"), "center").alias("dataset"), "realization",
-        order[F.col("model")].cast("bigint").alias("place"), "location",
+    name, place = F.concat_ws("_", F.lit("day"), "exp", "center").alias("dataset"), order[F.col("model")].cast("bigint").alias("place")
+    none = F.lit(None).cast("string")
+    stacked = rows.select(name, "realization", place, "location", none.alias("problem"))
+    lookup = runs.select("exp", "center").distinct().select(
+        name, none.alias("realization"), F.lit(99).cast("bigint").alias("place"),
+        F.concat(F.lit("/data/vdb/lookup/"), "exp", F.lit("_tcr.nc")).alias("location"), none.alias("problem"),
     )
-    lookup = runs.select("center").distinct().select(
-        F.concat(F.lit("day_ssp245_"), "center").alias("dataset"), F.lit(None).cast("string").alias("realization"),
-        F.lit(99).cast("bigint").alias("place"), F.lit("/data/vdb/lookup/ssp245_tcr.nc").alias("location"),
-    )
-    return stacked.unionByName(lookup)
+    told = refused.select(name, F.col("model").alias("realization"), place, none.alias("location"), "problem")
+    return stacked.unionByName(lookup).unionByName(told)
 
 
 _TOKEN_SQL = """CASE month(mtime) % 12 // 3 WHEN 0 THEN 'winterDJF' WHEN 1 THEN 'springMAM' WHEN 2 THEN 'summerJJA' ELSE 'fallSON' END"""
@@ -387,19 +390,20 @@ def family_indicator_members(spark, sf):
         """WITH ok AS (SELECT center, model, exp, run FROM members GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT variable) = 2),
           n AS (SELECT center, model, exp, run, min(year) AS a, max(year) AS b FROM members WHERE variable = 'tas' GROUP BY 1, 2, 3, 4)
         SELECT concat('day_', domain, '_', center, '_', model, '_', exp, '_', run, '_', a, '-', b) AS dataset, variable, count(*) AS n_files,
-          concat('/data/vdb/', center, '/', model) AS location, concat('.*', variable, '_.*', exp, '.*', run, '.*') AS regexp
-        FROM members JOIN ok USING (center, model, exp, run) JOIN n USING (center, model, exp, run) GROUP BY ALL HAVING count(*) <= 38""",
+          concat('/data/vdb/', center, '/', model) AS location, concat('.*', variable, '_.*', exp, '.*', run, '.*') AS regexp,
+          CASE WHEN count(*) > 2 THEN 'too many' END AS problem
+        FROM members JOIN ok USING (center, model, exp, run) JOIN n USING (center, model, exp, run) GROUP BY ALL""",
     ),
 )
 def family_regex(spark, sf):
-    """The run comes out of the file name; at most 38 files per variable."""
-    # fixed value: the largest number of files of one variable
-    most = 38
+    """The run comes out of the file name. Datasets with too many files of a
+    variable say so. The small tables need a smaller bound than the 38 of the real product."""
+    most = 2
     files = substrate.members(spark, sf).withColumn("run", run_token("path", "exp"))
     level = ("center", "model", "exp", "run")
     family = Family(dataset=level, variables=BOTH, gate=level, members="regexp", bounds=(1, most))
     rows = build(files, family).join(name_of(files, family, characters=4), list(level))
-    return rows.select("dataset", "variable", "n_files", "location", "regexp")
+    return rows.select("dataset", "variable", "n_files", "location", "regexp", "problem")
 
 
 @query(
@@ -427,17 +431,18 @@ def family_first_match(spark, sf):
     "family_regex_pairs",
     with_views(
         "members",
-        f"""WITH {_SQL_CHAINS}, anchor AS (SELECT * FROM members WHERE variable = 'tas' AND exp = 'historical' AND year = 1995)
+        f"""WITH {_SQL_CHAINS}, anchor AS (SELECT center, model, run, min(domain) AS domain FROM members WHERE variable = 'tas' AND exp = 'historical' GROUP BY 1, 2, 3)
         SELECT concat('day_', center, '_', model, '_', run, '_', chain, '_nex-gddp') AS dataset, v.variable, CAST(part AS BIGINT) AS part,
           concat('.*/', v.variable, '_day_', replace(domain, '+', '\\+'), '_', center, '_', model, '_', chains.exp, '_', run, '_.*\\.nc$') AS regexp,
           replace(chain, '+', ',') AS driving_experiment FROM anchor, chains, (VALUES ('tas'), ('pr')) v(variable)""",
     ),
 )
 def family_regex_pairs(spark, sf):
-    """One file per model is the anchor; its name, with other variables and
+    """The first file of a run is the anchor; its name, with other variables and
     scenarios put in, gives the patterns of every part."""
     files = substrate.members(spark, sf)
-    anchor = files.where((F.col("variable") == "tas") & (F.col("exp") == "historical") & (F.col("year") == 1995))
+    first = files.where((F.col("variable") == "tas") & (F.col("exp") == "historical"))
+    anchor = select.first_match(first, ["center", "model", "run"])
     combos = F.array(
         *[
             F.struct(F.lit(c).alias("chain"), F.lit(i).cast("bigint").alias("part"), F.lit(p).alias("scenario"), F.lit(v).alias("v"))
@@ -450,7 +455,7 @@ def family_regex_pairs(spark, sf):
     pattern = F.replace("_name", F.lit("+"), F.lit(r"\+"))
     pattern = F.regexp_replace(pattern, F.lit("^tas_"), F.concat("v", F.lit("_")))
     pattern = F.replace(pattern, F.lit("_historical_"), F.concat(F.lit("_"), "scenario", F.lit("_")))
-    pattern = F.concat(F.lit(".*/"), F.replace(pattern, F.lit("19950101-19951231.nc"), F.lit(r".*\.nc$")))
+    pattern = F.concat(F.lit(".*/"), F.regexp_replace(pattern, r"[0-9]{8}-[0-9]{8}\.nc$", r".*\\.nc\$"))
     name = F.concat_ws("_", F.lit("day"), "center", "model", "run", "chain", F.lit("nex-gddp"))
     return spread.select(
         name.alias("dataset"), F.col("v").alias("variable"), "part", pattern.alias("regexp"),

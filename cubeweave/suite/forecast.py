@@ -187,9 +187,12 @@ def _raw_rows(spark, sf):
             AND NOT (source = 'TMP_TGL_2m' AND member = 19)),
           cells AS (SELECT cycle, reftime, member, time,
             first(value ORDER BY landed, value) FILTER (source = 'TMP_TGL_2m') AS tas,
-            first(value ORDER BY landed, value) FILTER (source = 'APCP_SFC_0') AS pr FROM mine GROUP BY 1, 2, 3, 4)
+            first(value ORDER BY landed, value) FILTER (source = 'APCP_SFC_0') AS pr,
+            count(DISTINCT value) FILTER (source = 'TMP_TGL_2m') > 1 AS tas_conflict,
+            count(DISTINCT value) FILTER (source = 'APCP_SFC_0') > 1 AS pr_conflict FROM mine GROUP BY 1, 2, 3, 4)
         SELECT cycle, CAST(member AS BIGINT) AS member, strftime(time, '%Y%m%d%H') AS valid, CAST(tas - 273.15 AS DOUBLE) AS tas,
-          CAST(CASE WHEN time = min(time) OVER (PARTITION BY cycle) THEN coalesce(pr, 0) ELSE pr END AS DOUBLE) AS pr FROM cells""",
+          CAST(CASE WHEN time = min(time) OVER (PARTITION BY cycle) THEN coalesce(pr, 0) ELSE pr END AS DOUBLE) AS pr,
+          tas_conflict, pr_conflict FROM cells""",
     ),
 )
 def forecast_combine(spark, sf):
@@ -202,9 +205,26 @@ def forecast_combine(spark, sf):
         F.date_format("time", "yyyyMMddHH").alias("valid"),
         F.col("tas").cast("double"),
         F.col("pr").cast("double"),
+        "tas_conflict",
+        "pr_conflict",
     )
 
 
+@query(
+    "forecast_refused",
+    with_views(
+        "arrivals",
+        f"""WITH {_COUNTS}, mine AS (SELECT a.* FROM arrivals a JOIN counts USING (cycle) WHERE n_tas > 86 AND n_pr > 86)
+        SELECT cycle, source, 'u10' AS raw, count(*) AS n FROM mine WHERE source = 'TMP_TGL_2m' AND member = 19 GROUP BY 1, 2""",
+    ),
+)
+def forecast_refused(spark, sf):
+    """Rows of ready cycles that have no known name: what a combination has to refuse."""
+    rows = _raw_rows(spark, sf)
+    _, errors = forecast.combine(rows, forecast.lead_counts(rows).where("complete"))
+    return errors.groupBy("cycle", "source", "raw").agg(F.count("*").alias("n"))
+
+
 @query(
     "rename_fallback",
     with_views(
@@ -224,11 +244,15 @@ def rename_fallback(spark, sf):
     "publish_check",
     with_views(
         "arrivals",
-        "SELECT cycle, true AS reftime_ok, min(lead) = 0 AS time_ok FROM arrivals GROUP BY 1",
+        """SELECT cycle, NOT (right(cycle, 2) = '12' AND CAST(substr(cycle, 5, 2) AS INT) % 3 = 0) AS reftime_ok, min(lead) = 0 AS time_ok
+        FROM arrivals GROUP BY 1""",
     ),
 )
 def publish_check(spark, sf):
-    return forecast.publication_check(substrate.arrivals(spark, sf))
+    """Every third month's second cycle carries a reference time that is six hours late."""
+    wrong = F.col("cycle").endswith("12") & (F.substring("cycle", 5, 2).cast("int") % 3 == 0)
+    late = F.when(wrong, F.col("reftime") + F.make_dt_interval(hours=F.lit(6))).otherwise(F.col("reftime"))
+    return forecast.publication_check(substrate.arrivals(spark, sf).withColumn("reftime", late))
 
 
 @query(

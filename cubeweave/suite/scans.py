@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cubeweave.functions import names
 from cubeweave.operators import catalog as cat
 from cubeweave.operators import virtual
+from cubeweave.plans import descriptor
 from cubeweave.registry import query
 from cubeweave.runtime import new_dir
 from cubeweave.sources import descriptors, inventory, sinks, substrate
@@ -419,3 +420,37 @@ def encode_cast(spark, sf):
         F.max("pr").cast("double").alias("pr_max"),
         F.sum("time").alias("days"),
     )
+
+
+@query(
+    "descriptor_read",
+    with_views(
+        "members",
+        """WITH docs AS (SELECT c_custkey AS doc_id FROM customer),
+          listed AS (SELECT doc_id, count(*) AS n_listed FROM (SELECT doc_id, unnest(range(0, 1 + doc_id % 4)) FROM docs WHERE doc_id % 3 <> 0) GROUP BY 1),
+          scanned AS (SELECT doc_id, m.* FROM docs JOIN members m ON m.center = concat('C', doc_id) WHERE doc_id % 3 = 0),
+          files AS (SELECT doc_id, count(*) AS n_files FROM scanned GROUP BY 1),
+          c AS (SELECT s.doc_id, r.time, r.lat, r.lon, sum(r.value) FILTER (variable = 'tas') AS tas, sum(r.value) FILTER (variable = 'pr') AS pr
+            FROM scanned s JOIN records r USING (center, model, exp, run, domain, variable, year) GROUP BY 1, 2, 3, 4),
+          t AS (SELECT doc_id, count(*) AS n_cells, CAST(sum(tas) AS DOUBLE) AS tas, CAST(sum(pr) AS DOUBLE) AS pr FROM c GROUP BY 1)
+        SELECT doc_id, CASE WHEN f.doc_id IS NOT NULL THEN 'r1' END AS label, CASE WHEN doc_id % 2 = 0 THEN 'lat_1' ELSE 'lat' END AS lat_name,
+          coalesce(n_files, 0) AS n_files, coalesce(n_listed, 0) AS n_absent, n_cells, tas, pr
+        FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN files f USING (doc_id) LEFT JOIN t USING (doc_id)
+        WHERE n_listed IS NOT NULL OR f.doc_id IS NOT NULL""",
+    ),
+)
+def descriptor_read(spark, sf):
+    """From documents to rows: parse, resolve against the inventory, read, merge, total per document."""
+    found = descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf)))
+    files = substrate.members(spark, sf)
+    held = descriptor.member_files(found, files).groupBy("doc_id").agg(
+        F.max("label").alias("label"), F.count_if("found").alias("n_files"), F.count_if(~F.col("found")).alias("n_absent")
+    )
+    rows = descriptor.cells(found, files, substrate.records(spark, sf), substrate.FILE_KEYS, ["time", "lat", "lon"])
+    cube = rows.groupBy("doc_id", "time", "lat", "lon").agg(
+        *[F.sum(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in ("tas", "pr")]
+    )
+    totals = cube.groupBy("doc_id").agg(F.count("*").alias("n_cells"), F.sum("tas").cast("double").alias("tas"), F.sum("pr").cast("double").alias("pr"))
+    named = descriptor.renamed(found, "variable").where("org_name = 'lat'").select("doc_id", "name")
+    out = held.join(totals, "doc_id", "left").join(named, "doc_id", "left")
+    return out.select("doc_id", "label", F.coalesce("name", F.lit("lat")).alias("lat_name"), "n_files", "n_absent", "n_cells", "tas", "pr")

@@ -27,12 +27,13 @@ VIEWS = {
          concat('M-', l_returnflag, ':r', l_linenumber % 3 + 1) AS realization,
          v.variable AS variable,
          CAST(CASE WHEN v.variable = 'tas' THEN l_quantity ELSE l_extendedprice END AS DECIMAL(18,2)) AS value
-  FROM lineitem JOIN (VALUES ('tas'), ('pr')) v(variable) ON v.variable = 'tas' OR l_discount >= 0.095""",
+  FROM lineitem, (VALUES ('tas'), ('pr')) v(variable)""",
     "members": """
   SELECT center, model, exp, run, domain, variable, year, count(DISTINCT time) AS ncoords, max(time) AS mtime,
          concat('/data/vdb/', center, '/', model, '/', exp, '/', run, '/day/', variable, '/', variable, '_day_', domain,
                 '_', center, '_', model, '_', exp, '_', run, '_', year, '0101-', year, '1231.nc') AS path
-  FROM records GROUP BY 1, 2, 3, 4, 5, 6, 7""",
+  FROM records WHERE NOT (variable = 'pr' AND run <> 'r1' AND CAST(substr(center, 2) AS BIGINT) % 5 = 0)
+  GROUP BY 1, 2, 3, 4, 5, 6, 7""",
     "fx": """
   SELECT CAST(40 + 0.5 * (s_suppkey % 31) AS DOUBLE) AS lat, max(CAST(s_acctbal AS DECIMAL(18,2))) AS orog
   FROM supplier GROUP BY 1""",

@@ -185,13 +185,24 @@ def test_alignment_falls_back_to_buckets(spark):
 def test_entries_of_a_collection(spark, attrs):
     assets = spark.createDataFrame([(1, "/d/1.nc")], "dataset int, path string")
     got = {r.dataset: r for r in catalog.entries(attrs, "reanalysis", assets).collect()}
-    assert list(got[1].asDict())[1:] == catalog.header("reanalysis")
+    assert list(got[1].asDict())[1:] == catalog.cells_of("reanalysis")
     assert (got[1].title, got[1].institute, got[1].variable_name, got[1].path) == ("b", "NA", ["tas"], "/d/1.nc")
     assert got[2].variable_name is None and got[2].path is None
 
-    @catalog.register("test")
-    def made(table):
-        return table.select("dataset").distinct()
+    made = catalog.entries(attrs, "reanalysis", make=lambda table: table.select("dataset").distinct())
+    assert made.columns == ["dataset"] and made.count() == 2
 
-    assert catalog.entries(attrs, "test").count() == 2
-    del catalog.REGISTRY["test"]
+
+def test_datasets_without_the_asked_attributes_stay(spark, attrs):
+    bare = spark.createDataFrame([(70, "global", None, 1, "_hidden", "x")], attrs.schema)
+    every = attrs.unionByName(bare)
+    assert {r.dataset: r.title for r in catalog.facet_table(every, ["title"]).collect()}[70] == "NA"
+    report = {r.dataset: r for r in catalog.field_report(every).collect()}[70]
+    assert report.n_missing == len(catalog.cells_of(report.collection, "dataset")) and report.n_extra == 0
+    assert {r.dataset for r in catalog.fill_defaults(every, {"title": ["only"]}).collect()} >= {70}
+
+
+def test_layout_as_a_table(spark):
+    got = catalog.layout(spark).where("collection = 'forecast'").orderBy("place").collect()
+    assert [r.column for r in got] == catalog.cells_of("forecast")
+    assert [r.kind for r in got][-3:] == ["variable", "variable", "asset"]

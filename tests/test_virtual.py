@@ -104,14 +104,35 @@ def test_virtual_dataset_prunes_members_before_reading(spark):
     assert stacked.frame().count() == 4
     one = stacked.frame(["tas"], period=("2000-01-01", "2000-12-31"), labels=["b"])
     assert [tuple(r) for r in one.select("realization", "lat", "tas").collect()] == [("b", 1.0, 2.0)]
-    # neither the other variable's table nor the older member is part of the plan
+    # the older member is not part of the plan, and of the other variable only the coordinates are
     assert tas.frame(period=("2000-01-01", "2000-12-31")).count() == 1
     plan = both.frame(["tas"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "pr#" not in plan
+    assert "max(pr" not in plan and "max(tas" in plan
     fx = spark.createDataFrame([(1.0, 123.0)], "lat double, orog double")
     assert {r.orog for r in both.attach(fx).frame(["tas"]).collect()} == {123.0}
 
 
+def test_choosing_variables_keeps_the_rows(spark):
+    tas = VirtualDataset.of(_cube(spark, "tas", [("2000-01-01", 1, 1.0), ("2000-01-02", 1, 2.0)]), ["time", "lat"])
+    pr = VirtualDataset.of(_cube(spark, "pr", [("2000-01-02", 1, 9.0), ("2000-01-03", 1, 8.0)]), ["time", "lat"])
+    merge = VirtualDataset.merge([tas, pr])
+    assert merge.frame().count() == merge.frame(["tas"]).count() == merge.frame(["pr"]).count() == 3
+    stack = VirtualDataset.stack({"a": merge, "b": tas}, "realization", ["tas"])
+    assert [(r.realization, r.pr) for r in stack.frame(["pr"], labels=["b"]).collect()] == [("b", None)] * 2
+    assert stack.frame(["tas"]).count() == 5
+    with pytest.raises(ValueError, match="no members with the labels c"):
+        stack.frame(labels=["a", "c"])
+
+
+def test_the_last_day_of_a_period_is_whole(spark):
+    hours = _cube(spark, "tas", [("2000-01-01 03:00", 1, 1.0), ("2000-01-02 03:00", 1, 2.0), ("2000-01-03 00:00", 1, 3.0)])
+    leaf = VirtualDataset.of(hours, ["time", "lat"], ("2000-01-01", "2000-01-02"))
+    assert leaf.frame(period=("2000-01-01", "2000-01-02")).count() == 2
+    assert leaf.frame(period=("2000-01-01", "2000-01-02T02:00")).count() == 1
+    both = VirtualDataset.concat([leaf, VirtualDataset.of(hours, ["time", "lat"], ("2000-01-03", "2000-01-03"))])
+    assert both.frame(period=("2000-01-02T03:00", "2000-01-02T04:00")).count() == 1
+
+
 def test_child_datasets_equal_their_union(spark):
     tasmin = _cube(spark, "tasmin", [("2000-01-01", 1, 1.0), ("2000-01-02", 1, 2.0)])
     tasmax = _cube(spark, "tasmax", [("2000-01-01", 1, 5.0)])
