@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         root = context.getCheckpointDir()
         if not root:

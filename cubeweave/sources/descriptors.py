@@ -19,14 +19,21 @@ MAX_DEPTH = 3
 
 _REMOVE = "array<struct<_name:string,_type:string>>"
 _ATTRIBUTE = "array<struct<_name:string,_type:string,_value:string,_orgName:string>>"
-_VARIABLE = f"array<struct<_name:string,_type:string,_shape:string,_orgName:string,attribute:{_ATTRIBUTE},remove:{_REMOVE}>>"
+_VALUES = "struct<_VALUE:string,_start:string,_increment:string,_npts:string,_separator:string>"
+_VARIABLE = f"array<struct<_name:string,_type:string,_shape:string,_orgName:string,attribute:{_ATTRIBUTE},remove:{_REMOVE},values:{_VALUES}>>"
+_ENUM = "array<struct<_name:string,_type:string,enum:array<struct<_key:string,_VALUE:string>>>>"
 _DIMENSION = "array<struct<_name:string,_length:string,_orgName:string>>"
 _SCAN = "array<struct<_location:string,_suffix:string,_regExp:string,_subdirs:string,_olderThan:string,_dateFormatMark:string>>"
 
 
+_INSIDE = f"attribute:{_ATTRIBUTE},variable:{_VARIABLE},dimension:{_DIMENSION},remove:{_REMOVE}"
+_GROUP = f"array<struct<_name:string,_orgName:string,{_INSIDE},group:array<struct<_name:string,_orgName:string,{_INSIDE}>>>>"
+
+
 def _fields_of(depth: int) -> list[str]:
     fields = [
         "_location:string", "_id:string", "_ncoords:string", "_coordValue:string", "_section:string", "_recheckEvery:string",
+        "explicit:string", "readMetadata:string", f"enumTypedef:{_ENUM}", f"group:{_GROUP}",
         f"attribute:{_ATTRIBUTE}", f"variable:{_VARIABLE}", f"dimension:{_DIMENSION}", f"remove:{_REMOVE}",
     ]
     if depth > 0:
@@ -47,7 +54,7 @@ STRUCT = _struct_of(MAX_DEPTH)
 FACT = (
     "kind string, node_path string, ordinal int, name string, type string, value string, org_name string, "
     "location string, ncoords bigint, coord_value string, suffix string, regexp string, subdirs boolean, "
-    "recheck string, time_units_change boolean"
+    "recheck string, time_units_change boolean, older_than string, date_mark string, section string"
 )
 _FIELDS = [f.strip().split(" ") for f in FACT.split(",")]
 
@@ -83,15 +90,40 @@ def _attributes(items: str, path: str) -> str:
     return _each(items, "a", fact)
 
 
-def _netcdf_facts(node: str, path: str, depth: int) -> str:
-    of_variables = _attributes("v.attribute", _step(path, "variable", "vi"))
-    parts = [
+def _flat(items: str, item: str, facts: str) -> str:
+    return f"flatten(coalesce(transform({items}, ({item}, {item}i) -> {facts}), array()))"
+
+
+def _held_facts(node: str, path: str) -> list[str]:
+    """Facts of what datasets and groups hold alike: attributes, removals, variables with theirs, dimensions."""
+    at = _step(path, "variable", "vi")
+    # generated values are told as text, listed ones as they stand
+    text = "coalesce(v.values._VALUE, concat_ws(' ', v.values._start, v.values._increment, v.values._npts))"
+    values = _fact("values", path, "0", name="v._name", type="CASE WHEN v.values._npts IS NULL THEN 'list' ELSE 'sequence' END", value=text)
+    return [
         _attributes(f"{node}.attribute", path),
         _removals(f"{node}.remove", path),
         _each(f"{node}.variable", "v", _fact("variable", path, "vi", name="v._name", type="v._type", org_name="v._orgName")),
-        f"flatten(coalesce(transform({node}.variable, (v, vi) -> {of_variables}), array()))",
+        _flat(f"{node}.variable", "v", _attributes("v.attribute", at)),
+        _flat(f"{node}.variable", "v", _removals("v.remove", at)),
+        f"coalesce(transform(filter({node}.variable, v -> v.values IS NOT NULL), v -> {values}), {_NO_FACTS})",
         _each(f"{node}.dimension", "d", _fact("dimension", path, "di", name="d._name", org_name="d._orgName")),
     ]
+
+
+def _group_facts(node: str, path: str, level: int) -> str:
+    """Groups with what they hold, and the groups inside them."""
+    p = f"p{level}"
+    at = _step(path, "group", f"{p}i")
+    own = _fact("group", path, f"{p}i", name=f"{p}._name", org_name=f"{p}._orgName")
+    inner = [_group_facts(p, at, level - 1)] if level > 1 else []
+    return _flat(f"{node}.group", p, f"concat(array({own}), {', '.join([*_held_facts(p, at), *inner])})")
+
+
+def _netcdf_facts(node: str, path: str, depth: int) -> str:
+    pairs = _each("t.enum", "e", _fact("enum", path, "ei", name="t._name", type="t._type", value="concat(e._key, '=', e._VALUE)"))
+    flag = lambda name: f"CASE WHEN {node}.{name} IS NULL THEN {_NO_FACTS} ELSE array({_fact('metadata', path, '0', name=chr(39) + name + chr(39))}) END"
+    parts = [*_held_facts(node, path), _flat(f"{node}.enumTypedef", "t", pairs), _group_facts(node, path, 2), flag("explicit"), flag("readMetadata")]
     if depth > 0:
         g = f"g{depth}"
         nested = _aggregation_facts(g, _step(path, "aggregation", f"{g}i"), f"{g}i", depth)
@@ -105,11 +137,12 @@ def _aggregation_facts(g: str, path: str, i: str, depth: int) -> str:
         time_units_change=f"lower({g}._timeUnitsChange) = 'true'",
     )
     scan = _fact(
-        "scan", path, "si", location="s._location", suffix="s._suffix", regexp="s._regExp", subdirs="lower(s._subdirs) = 'true'"
+        "scan", path, "si", location="s._location", suffix="s._suffix", regexp="s._regExp", subdirs="lower(s._subdirs) = 'true'",
+        older_than="s._olderThan", date_mark="s._dateFormatMark",
     )
     n = f"n{depth}"
     member = _fact(
-        "member", path, f"{n}i", location=f"{n}._location", ncoords=f"{n}._ncoords", coord_value=f"{n}._coordValue"
+        "member", path, f"{n}i", location=f"{n}._location", ncoords=f"{n}._ncoords", coord_value=f"{n}._coordValue", section=f"{n}._section",
     )
     inside = _netcdf_facts(n, _step(path, "netcdf", f"{n}i"), depth - 1)
     children = f"transform({g}.netcdf, ({n}, {n}i) -> concat(array({member}), {inside}))"

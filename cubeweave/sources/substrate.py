@@ -303,6 +303,25 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(dates, "doc_id", "left").join(urls, "doc_id", "left")
 
 
+def full_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per customer with what ``descriptors`` leaves out: values, enumerations,
+    groups, removals inside variables, scan options and sections. Row-local, no shuffle."""
+    key = F.col("c_custkey").cast("string")
+    sequence = F.concat(F.lit('<values start="0" increment="0.5" npts="'), key, F.lit('"/>'))
+    xml = F.concat(
+        F.when(F.col("c_custkey") % 2 == 0, "<netcdf><explicit/>").otherwise("<netcdf><readMetadata/>"),
+        F.lit('<enumTypedef name="sky" type="enum1"><enum key="0">clear</enum><enum key="1">rain</enum></enumTypedef>'),
+        F.lit('<group name="obs"><attribute name="origin" value="'), "c_mktsegment",
+        F.lit('"/><variable name="inner" type="int" orgName="old"/><group name="deep"><remove name="tmp" type="variable"/></group></group>'),
+        F.lit('<variable name="rlat" shape="rlat" type="double">'), sequence, F.lit('<remove name="bounds" type="attribute"/></variable>'),
+        F.lit('<variable name="level" type="int"><values>1 2 '), key, F.lit("</values></variable>"),
+        F.lit('<aggregation type="tiled" dimName="y x"><netcdf location="t.nc" section="0:15,0:30"/>'),
+        F.lit('<scan location="'), F.lit(ROOT), F.lit('" suffix=".nc" olderThan="'), key,
+        F.lit(' min" dateFormatMark="tas_#yyyyMMdd"/></aggregation></netcdf>'),
+    )
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), xml.alias("xml"))
+
+
 def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One descriptor document per customer, as XML text. Row-local, no shuffle.
 

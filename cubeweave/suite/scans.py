@@ -245,6 +245,40 @@ def ncml_flatten(spark, sf):
     )
 
 
+@query(
+    "ncml_facts",
+    """WITH f(kind, node_path, ordinal, name, type, value, org_name, older_than, date_mark, section) AS (VALUES
+      ('dataset', '/netcdf', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL),
+      ('metadata', '/netcdf', 0, '{flag}', NULL, NULL, NULL, NULL, NULL, NULL),
+      ('enum', '/netcdf', 0, 'sky', 'enum1', '0=clear', NULL, NULL, NULL, NULL),
+      ('enum', '/netcdf', 1, 'sky', 'enum1', '1=rain', NULL, NULL, NULL, NULL),
+      ('group', '/netcdf', 0, 'obs', NULL, NULL, NULL, NULL, NULL, NULL),
+      ('attribute', '/netcdf/group[0]', 0, 'origin', 'String', '{segment}', NULL, NULL, NULL, NULL),
+      ('variable', '/netcdf/group[0]', 0, 'inner', 'int', NULL, 'old', NULL, NULL, NULL),
+      ('group', '/netcdf/group[0]', 0, 'deep', NULL, NULL, NULL, NULL, NULL, NULL),
+      ('remove', '/netcdf/group[0]/group[0]', 0, 'tmp', 'variable', NULL, NULL, NULL, NULL, NULL),
+      ('variable', '/netcdf', 0, 'rlat', 'double', NULL, NULL, NULL, NULL, NULL),
+      ('variable', '/netcdf', 1, 'level', 'int', NULL, NULL, NULL, NULL, NULL),
+      ('values', '/netcdf', 0, 'rlat', 'sequence', '0 0.5 {key}', NULL, NULL, NULL, NULL),
+      ('values', '/netcdf', 0, 'level', 'list', '1 2 {key}', NULL, NULL, NULL, NULL),
+      ('remove', '/netcdf/variable[0]', 0, 'bounds', 'attribute', NULL, NULL, NULL, NULL, NULL),
+      ('aggregation', '/netcdf/aggregation[0]', 0, 'y x', 'tiled', NULL, NULL, NULL, NULL, NULL),
+      ('member', '/netcdf/aggregation[0]', 0, NULL, NULL, NULL, NULL, NULL, NULL, '0:15,0:30'),
+      ('scan', '/netcdf/aggregation[0]', 0, NULL, NULL, NULL, NULL, '{key} min', 'tas_#yyyyMMdd', NULL))
+    SELECT c_custkey AS doc_id, kind, node_path, CAST(ordinal AS BIGINT) AS ordinal,
+      replace(name, '{flag}', CASE WHEN c_custkey % 2 = 0 THEN 'explicit' ELSE 'readMetadata' END) AS name, type,
+      replace(replace(value, '{key}', CAST(c_custkey AS VARCHAR)), '{segment}', c_mktsegment) AS value, org_name,
+      replace(older_than, '{key}', CAST(c_custkey AS VARCHAR)) AS older_than, date_mark, section FROM customer, f""",
+)
+def ncml_facts(spark, sf):
+    """Every fact of documents that have values, enumerations, groups, removals inside variables, scan options and sections."""
+    facts = descriptors.facts(descriptors.parse(substrate.full_descriptors(spark, sf)))
+    return facts.select(
+        "doc_id", "kind", "node_path", F.col("ordinal").cast("bigint").alias("ordinal"), "name", "type", "value", "org_name",
+        "older_than", "date_mark", "section",
+    )
+
+
 @query(
     "key_search",
     f"""WITH d AS ({_DOCS})

@@ -107,3 +107,28 @@ def stream_late(spark, sf):
     late = (F.col("attempt") == 2) & (F.col("member") == 19)
     updates = _run(spark, _landed_passes(rows, late), arrivals.counts, arrivals.update_pass)
     return updates.groupBy("cycle", "source").agg(F.max("n").alias("n"))
+
+
+@query(
+    "recheck_stream",
+    with_views(
+        "members",
+        """WITH n AS (SELECT * FROM members WHERE mtime <= TIMESTAMP '2000-06-30' AND mtime > TIMESTAMP '1998-06-30'),
+          v AS (SELECT variable, exp, count(*) AS n_values, CAST(sum(value) AS DOUBLE) AS value
+            FROM n JOIN records USING (center, model, exp, run, domain, variable, year) GROUP BY 1, 2),
+          m AS (SELECT variable, exp, count(*) AS n_new, CAST(sum(ncoords) AS BIGINT) AS steps_added FROM n GROUP BY 1, 2)
+        SELECT variable, exp, n_new, steps_added, n_values, value FROM m JOIN v USING (variable, exp)""",
+    ),
+)
+def recheck_stream(spark, sf):
+    """A dataset that is scanned again: each listing of its directory goes through
+    the same stream, files seen before fall out, and the rows of new ones are appended."""
+    files = substrate.members(spark, sf)
+    listing = lambda day: files.where(F.col("mtime") <= timestamp(day))
+    seen = _run(spark, [listing("1998-06-30"), listing("2000-06-30")], lambda s: s.dropDuplicates(["path"]), arrivals.update_pass)
+    first = seen.agg(F.min("batch").alias("batch"))
+    new = seen.where(F.col("batch") > first.select("batch").scalar()).select(*substrate.FILE_KEYS, "ncoords")
+    members = new.groupBy("variable", "exp").agg(F.count("*").alias("n_new"), F.sum("ncoords").alias("steps_added"))
+    rows = substrate.records(spark, sf).join(new.select(*substrate.FILE_KEYS), substrate.FILE_KEYS)
+    added = rows.groupBy("variable", "exp").agg(F.count("*").alias("n_values"), numeric.total("value").alias("value"))
+    return members.join(added, ["variable", "exp"])
