@@ -174,10 +174,50 @@ def slice_at(cube: DataFrame, axis: DataFrame, dim: str, index: int) -> DataFram
     return section(cube, {dim: axis}, {dim: (index, index)}).drop(dim)
 
 
+def _coarse(rows: DataFrame, dim: str) -> Column:
+    """A part of a dimension's order that many of its values share."""
+    kind = rows.schema[dim].dataType.typeName()
+    if kind.startswith(("timestamp", "date")):
+        return F.year(dim)
+    whole = kind in ("byte", "short", "integer", "long")
+    return F.floor(F.col(dim) / F.lit(1024)) if whole else F.floor(dim)
+
+
 def axis(rows: DataFrame, dim: str) -> DataFrame:
     """The 0-based index of every value of a dimension."""
-    coarse = F.year(dim) if rows.schema[dim].dataType.typeName().startswith(("timestamp", "date")) else F.floor(dim)
-    return ordering.axis_index(rows.select(dim), dim, coarse)
+    return ordering.axis_index(rows.select(dim), dim, _coarse(rows, dim))
+
+
+def _is_time(rows: DataFrame, dim: str) -> bool:
+    return rows.schema[dim].dataType.typeName().startswith("timestamp")
+
+
+def index_bounds(rows: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFrame:
+    """The values at both ends of an index range of each dimension, as one row: <dim>_low, <dim>_high.
+
+    One pass over ``rows`` gives the axes of all dimensions. Times count in microseconds.
+    """
+    number = {d: F.unix_micros(F.col(d).cast("timestamp")).cast("double") if _is_time(rows, d) else F.col(d).cast("double") for d in ranges}
+    parts = F.array(*[F.struct(F.lit(d).alias("dim"), number[d].alias("value"), _coarse(rows, d).cast("bigint").alias("coarse")) for d in ranges])
+    axes = rows.select(F.inline(parts)).distinct()
+    placed = ordering.position(axes, ["dim"], "coarse", ["value"], "index")
+    mine = {d: F.when((F.col("dim") == d) & F.col("index").between(a, b), F.col("value")) for d, (a, b) in ranges.items()}
+    ends = [f(mine[d]).alias(f"{d}_{n}") for d in ranges for f, n in ((F.min, "low"), (F.max, "high"))]
+    return placed.agg(*ends)
+
+
+def cut(cube: DataFrame, rows: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFrame:
+    """``section`` as a comparison of values: index ranges of the axes of ``rows`` become bounds.
+
+    The bounds are scalars known before the cube is read, so no join is needed.
+    """
+    ends = index_bounds(rows, ranges)
+
+    def bound(d: str, n: str) -> Column:
+        value = ends.select(f"{d}_{n}").scalar()
+        return F.timestamp_micros(value.cast("bigint")).cast("timestamp_ntz") if _is_time(cube, d) else value
+
+    return reduce(lambda df, d: df.where(F.col(d).between(bound(d, "low"), bound(d, "high"))), ranges, cube)
 
 
 def reduce_dimensions(cube: DataFrame, dims: list[str]) -> tuple[DataFrame, list[str]]:

@@ -54,6 +54,16 @@ def join_new(members: dict[str, DataFrame], dim: str, variables: list[str], coor
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
+def join_new_parts(rows: DataFrame, dim: str, label: Column, first: str, variables: list[str], coords: list[str]) -> DataFrame:
+    """The same for members that are parts of one table: one read, the label as a column.
+
+    Variables that are not listed are kept for the member labelled ``first`` alone.
+    """
+    rest = [c for c in rows.columns if c not in coords and c not in variables]
+    labelled = rows.withColumn(dim, label)
+    return labelled.withColumns({c: F.when(F.col(dim) == first, F.col(c)) for c in rest})
+
+
 def union_variables(members: list[DataFrame], coords: list[str]) -> DataFrame:
     """Variables of all members side by side on shared coordinates.
 

@@ -98,10 +98,7 @@ def time_units_change(spark, sf):
     ),
 )
 def join_new(spark, sf):
-    cube = substrate.grid(spark, sf)
-    stacked = virtual.join_new(
-        {m: cube.where(F.col("realization").startswith(m)) for m in ("M-A", "M-N", "M-R")}, "model", ["tas"], COORDS
-    )
+    stacked = virtual.join_new_parts(substrate.grid(spark, sf), "model", F.split("realization", ":")[0], "M-A", ["tas"], COORDS)
     return stacked.groupBy("model").agg(F.count("*").alias("n"), total("tas"), F.count("pr").alias("n_pr"))
 
 

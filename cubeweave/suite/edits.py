@@ -235,11 +235,6 @@ _INDEXED = """i AS (SELECT *, dense_rank() OVER (ORDER BY lat) - 1 AS ilat, dens
           dense_rank() OVER (ORDER BY time) - 1 AS itime FROM grid)"""
 
 
-def _axes(spark, sf, *dims):
-    rows = substrate.points(spark, sf)
-    return {d: edit.axis(rows, d) for d in dims}
-
-
 @query(
     "logical_section",
     with_views(
@@ -251,7 +246,7 @@ def _axes(spark, sf, *dims):
 )
 def logical_section(spark, sf):
     ranges = {"lat": (2, 20), "lon": (5, 40), "time": (100, 1500)}
-    cut = edit.section(substrate.grid(spark, sf), _axes(spark, sf, *ranges), ranges)
+    cut = edit.cut(substrate.grid(spark, sf), substrate.points(spark, sf), ranges)
     return cut.groupBy("realization").agg(
         F.count("*").alias("n"),
         numeric.total("tas").alias("tas"),
@@ -269,7 +264,7 @@ def logical_section(spark, sf):
     ),
 )
 def logical_slice(spark, sf):
-    cut = edit.slice_at(substrate.grid(spark, sf), _axes(spark, sf, "lat")["lat"], "lat", 3)
+    cut = edit.cut(substrate.grid(spark, sf), substrate.points(spark, sf), {"lat": (3, 3)}).drop("lat")
     by = [c for c in cut.columns if c in ("realization", "lat", "lon")]
     return cut.groupBy(*by).agg(F.count("*").alias("n"), numeric.total("tas").alias("tas"))
 
@@ -284,7 +279,7 @@ def logical_slice(spark, sf):
 )
 def logical_reduce(spark, sf):
     cube = substrate.grid(spark, sf).where(F.col("realization") == "M-A:r1")
-    row = edit.section(cube, _axes(spark, sf, "lat"), {"lat": (3, 3)})
+    row = edit.cut(cube, substrate.points(spark, sf), {"lat": (3, 3)})
     left, single = edit.reduce_dimensions(row, ["lat", "lon", "realization"])
     dims = [c for c in left.columns if c in ("lat", "lon", "realization")]
     return left.groupBy(*dims, F.lit(",".join(sorted(single))).alias("reduced")).agg(
