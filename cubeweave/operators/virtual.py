@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names, ordering
+from cubeweave.runtime import new_dir
 
 
 def member_list(members: DataFrame, dataset: list[str], order: list[str], coarse: str | None = None) -> DataFrame:
@@ -200,8 +201,14 @@ def best_series(rows: DataFrame, key: list[str], run: str, value: Column) -> Dat
 
 
 def cache_variable(cube: DataFrame, coords: list[str], variable: str) -> DataFrame:
-    """One variable with its coordinates, kept for several uses."""
-    return cube.select(*coords, variable).persist()
+    """One variable with its coordinates, kept for several uses.
+
+    It is a table in the shared folder: nothing has to be released, and a lost
+    executor does not lose it.
+    """
+    path = new_dir(cube.sparkSession, "variable")
+    cube.select(*coords, variable).write.parquet(path)
+    return cube.sparkSession.read.parquet(path)
 
 
 def by_coords(members: list[DataFrame], coords: list[str]) -> DataFrame:

@@ -421,10 +421,9 @@ def sequence_explode(spark, sf):
 def canonical_order(spark, sf):
     cube = edit.canonical(substrate.grid(spark, sf), ["realization", "time", "lat", "lon"])
     columns = ",".join(cube.columns)
-    coarse = F.concat_ws(" ", "realization", F.date_format("time", "yyyy-MM"))
-    placed = ordering.position(
-        cube.select("*", coarse.alias("_month")), [], "_month", ["realization", "time", "lat", "lon"], "place"
-    )
+    # a slice is one row of one map: it does not grow with the period or the number of realizations
+    coarse = F.struct("realization", "time", "lat")
+    placed = ordering.position(cube.select("*", coarse.alias("_row")), [], "_row", ["lon"], "place")
     return placed.groupBy("realization").agg(
         F.lit(columns).alias("columns"),
         F.min("place").alias("first_place"),

@@ -51,20 +51,20 @@ def scan_regexp(spark, sf):
     with_views(
         "members",
         """SELECT center, variable,
-          count(*) FILTER (starts_with(path, concat('/data/vdb/', center, '/'))) AS n_recursive,
+          count(*) FILTER (starts_with(path, concat('/data/vdb/', center, '/M-A/historical/'))) AS n_recursive,
           count(*) FILTER (regexp_replace(path, '/[^/]*$', '') =
             concat('/data/vdb/', center, '/M-A/historical/r1/day/', variable)) AS n_flat
-        FROM members GROUP BY 1, 2""",
+        FROM members GROUP BY 1, 2 HAVING n_recursive > 0""",
     ),
 )
 def scan_subdirs(spark, sf):
+    """Two scans: a directory with all below it, and one without."""
     files = substrate.members(spark, sf)
-    top = F.concat(F.lit(f"{ROOT}/"), "center")
-    leaf = F.concat(top, F.lit("/M-A/historical/r1/day/"), "variable")
-    deep = F.col("path").startswith(F.concat(top, F.lit("/")))
-    flat = names.parent("path") == leaf
-    return files.groupBy("center", "variable").agg(
-        F.count_if(deep).alias("n_recursive"), F.count_if(flat).alias("n_flat")
+    top = F.concat(F.lit(f"{ROOT}/"), "center", F.lit("/M-A/historical"))
+    deep = inventory.scan(files, top, subdirs="True").withColumn("flat", F.lit(False))
+    flat = inventory.scan(files, F.concat(top, F.lit("/r1/day/"), "variable"), subdirs="false").withColumn("flat", F.lit(True))
+    return deep.unionByName(flat).groupBy("center", "variable").agg(
+        F.count_if(~F.col("flat")).alias("n_recursive"), F.count_if("flat").alias("n_flat")
     )
 
 
