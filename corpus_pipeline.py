@@ -13,7 +13,7 @@ from cubeweave.llm.decontaminate import contaminated
 from cubeweave.llm.near_dedup import near_duplicates
 from cubeweave.llm.personal import sanitise
 from cubeweave.llm.quality import passing
-from cubeweave.llm.sentencepieces import decode, encode
+from cubeweave.llm.sentencepieces import encode
 from cubeweave.llm.tables import save
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -56,8 +56,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text (binary, little-endian unsigned 32-bit), and the digest of what they decode to."""
-    model = _model()
-    coded = decode(encode(docs, model), model)
+    coded = encode(docs, _model(), decoded=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

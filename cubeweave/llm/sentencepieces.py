@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from cubeweave.llm import kernel
 
 MARKER = "▁"
 #: Parts that a worker remembers from earlier blocks.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def parts_are_independent(model: sentencepiece.SentencePieceProcessor) -> bool:
@@ -110,11 +111,16 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int64)), pa.py_buffer(raw)])
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", ends: bool = True) -> DataFrame:
+def _decoded(model: sentencepiece.SentencePieceProcessor, ids: list[list[int]]) -> pa.Array:
+    return pa.array(model.decode(ids), pa.string())
+
+
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", ends: bool = True, decoded: bool = False) -> DataFrame:
     """The ids of every whole text, exactly as the model's library gives them.
 
     Returns the id column and ids: binary, little-endian unsigned 32-bit ids,
-    with the begin and end id around them if ``ends``. One row for each row of
+    with the begin and end id around them if ``ends``; and, if ``decoded``, what
+    they decode to as text, in the same pass. One row for each row of
     ``docs``, whatever its id; other columns are not read. A null text counts
     as empty: the begin and end id alone.
     """
@@ -130,10 +136,15 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 if ends:
                     ids = np.insert(ids, np.repeat(begin, 2)[1:-1], around * (hi - lo))
                     begin = begin + 2 * np.arange(hi - lo + 1)
-                yield pa.record_batch([batch.column("id").slice(lo, hi - lo), _binary(ids, begin).cast(pa.binary())], names=["id", "ids"])
+                out = [batch.column("id").slice(lo, hi - lo), _binary(ids, begin).cast(pa.binary())]
+                if decoded:
+                    out.append(_decoded(coder.model, [ids[a:b].tolist() for a, b in pairwise(begin.tolist())]))
+                yield pa.record_batch(out, names=["id", "ids", "text"][: len(out)])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids binary").withColumnRenamed("id", id_col)
+    kind, more = docs.schema[id_col].dataType.simpleString(), ", text string" if decoded else ""
+    return rows.mapInArrow(run, f"id {kind}, ids binary{more}").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id") -> DataFrame:
@@ -149,8 +160,8 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id") -> DataFrame:
             ids = batch.column("ids")
             for lo in range(0, len(ids), 512):
                 some = ids.slice(lo, 512)
-                texts = coder.model.decode([np.frombuffer(x or b"", dtype="<u4").tolist() for x in some.to_pylist()])
-                yield pa.record_batch([batch.column("id").slice(lo, 512), some, pa.array(texts, pa.string())], names=["id", "ids", "text"])
+                texts = _decoded(coder.model, [np.frombuffer(x or b"", dtype="<u4").tolist() for x in some.to_pylist()])
+                yield pa.record_batch([batch.column("id").slice(lo, 512), some, texts], names=["id", "ids", "text"])
 
     rows = encoded.select(F.col(id_col).alias("id"), "ids")
     return rows.mapInArrow(run, f"id {encoded.schema[id_col].dataType.simpleString()}, ids binary, text string").withColumnRenamed("id", id_col)
@@ -158,7 +169,7 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id") -> DataFrame:
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """Number of ids and digests of ids and decoded text of each document."""
-    coded = decode(encode(docs, model), model)
+    coded = encode(docs, model, decoded=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
