@@ -48,6 +48,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
+_CARD_PIECE = re.compile(r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})(?![0-9])")
+_GAP = re.compile(r"(?<=[0-9])\x20")
 #: What a text must have before its kind is looked for (checked for a whole column at once).
 _SIGNS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){15}", "phone": r"\+[0-9]"}
 
@@ -73,6 +75,26 @@ def luhn(digits: str) -> bool:
     return sum(int(doubled[int(d)]) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10 == 0
 
 
+def _inside_cards(text: str) -> Iterator[tuple[int, int]]:
+    """Card numbers in runs of digits that are no card as a whole: 16 to 19 digits in one piece, or four times four."""
+    for m in _CARD.finditer(text):
+        if 16 <= len(digits := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(digits):
+            continue
+        for part in _CARD_PIECE.finditer(text, *m.span()):
+            if part.span() != m.span() and luhn(_NOT_DIGIT.sub("", part[0])):
+                yield part.span()
+
+
+def _inside_phones(text: str) -> Iterator[tuple[int, int]]:
+    """The beginning of a phone match with too many digits, up to the last space that leaves 8 to 15 of them."""
+    for m in _PHONE.finditer(text):
+        if len(_NOT_DIGIT.sub("", m[0])) > 15:
+            cuts = [c.start() for c in _GAP.finditer(m[0])]
+            fit = [c for c in cuts if 8 <= len(_NOT_DIGIT.sub("", m[0][:c])) <= 15]
+            if fit:
+                yield m.start(), m.start() + fit[-1]
+
+
 def _ips(text: str) -> Iterator[tuple[int, int]]:
     for m in _IP.finditer(text):
         parts = [p.lstrip("0") for p in m[0].split(".")]
@@ -94,6 +116,8 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 FIND = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones}
+#: Values that stand so close to others that the patterns take them for one.
+INSIDE = {"card": _inside_cards, "phone": _inside_phones}
 
 
 def _entity(kind: str, value: str) -> int:
@@ -124,21 +148,24 @@ _TERMS_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "s
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """id, digest, spans (by kind, then start) and terms of each row of ``docs`` (id, digest, text)."""
+    """id, digest, spans (by kind, then start), inside (more spans, likewise) and terms of each row of ``docs`` (id, digest, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.large_string()).fill_null("")
             signs = {k: pc.match_substring_regex(texts, s).to_numpy(zero_copy_only=False) for k, s in _SIGNS.items()}
-            spans, terms = [[] for _ in range(len(texts))], [[] for _ in range(len(texts))]
+            spans, terms, inside = ([[] for _ in range(len(texts))] for _ in range(3))
             for i in np.flatnonzero(np.logical_or.reduce(list(signs.values()))):
                 text = texts[int(i)].as_py()
                 mine = [(k, a, b) for k in KINDS if signs[k][i] for a, b in FIND[k](text)]
                 spans[i] = [{"kind": k, "start": a, "end": b} for k, a, b in mine]
-                terms[i] = list(_near(text, mine)) if mine else []
-            yield pa.record_batch([batch.column("id"), batch.column("digest"), pa.array(spans, _SPANS_TYPE), pa.array(terms, _TERMS_TYPE)], names=["id", "digest", "spans", "terms"])
+                more = [(k, a, b) for k, find in INSIDE.items() if signs[k][i] for a, b in find(text)]
+                inside[i] = [{"kind": k, "start": a, "end": b} for k, a, b in more]
+                terms[i] = list(_near(text, mine + more)) if mine or more else []
+            columns = [batch.column("id"), batch.column("digest"), pa.array(spans, _SPANS_TYPE), pa.array(inside, _SPANS_TYPE), pa.array(terms, _TERMS_TYPE)]
+            yield pa.record_batch(columns, names=["id", "digest", "spans", "inside", "terms"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest string, spans {_SPANS}, terms {_TERMS}")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest string, spans {_SPANS}, inside {_SPANS}, terms {_TERMS}")
 
 
 def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -190,8 +217,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Returns the id column, digest (MD5 of the text, as of an empty one if
     null), spans: those of the patterns by kind as in KINDS, then start; and
-    added: spans of revealing terms by start, of kind remove or generalise. A span
-    is kind, start, end in code points, end exclusive.
+    added: cards and phones inside what the patterns take for one longer number,
+    then revealing terms by start, of kind remove or generalise. A span is kind,
+    start, end in code points, end exclusive.
 
     Null and empty texts have no spans. Repeated rows and ids count as
     documents of their own and get the same spans if their texts are equal. An
@@ -206,7 +234,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     added = added.withColumn("added", F.transform("added", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     rows = found.drop("terms").join(added, "row", "left")
     none = F.array().cast(_SPANS)
-    return rows.select(F.col("id").alias(id_col), "digest", "spans", F.coalesce("added", none).alias("added"))
+    return rows.select(F.col("id").alias(id_col), "digest", "spans", F.concat("inside", F.coalesce("added", none)).alias("added"))
 
 
 #: What stands in place of a span.
@@ -248,4 +276,4 @@ def digests(docs: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
     counts = [count(kind).alias(f"n_{kind}") for kind in KINDS]
     every = F.array_join(F.concat(F.transform("spans", one), added), ",")
-    return personal_data(docs).select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.size("added").cast("bigint").alias("n_terms"))
+    return personal_data(docs).select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.size("added").cast("bigint").alias("n_added"))

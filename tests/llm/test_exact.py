@@ -86,6 +86,14 @@ def test_a_model_with_crossing_pieces_is_used_whole():
     assert [ids[begin[i] : begin[i + 1]].tolist() for i in range(3)] == coder.model.encode(["a b", "", "c"])
 
 
+def test_decoding_alone_gives_the_same(spark):
+    both = sentencepieces.encode(frame(spark), MODEL, decoded=True)
+    alone = sentencepieces.decode(sentencepieces.encode(frame(spark), MODEL), MODEL)
+    assert collections.Counter(map(tuple, alone.collect())) == collections.Counter(map(tuple, both.collect()))
+    bare = {r.doc_id: bytes(r.ids) for r in sentencepieces.encode(frame(spark), MODEL, ends=False).collect()}
+    assert bare[2] == b"" and len(bare[4]) == 4
+
+
 def test_encoding_an_empty_table(spark):
     assert sentencepieces.digests(frame(spark).limit(0), MODEL).collect() == []
 
@@ -282,6 +290,17 @@ def test_personal_data_equals_brute_force(spark, sf_dir):
         assert collections.Counter((r.doc_id, ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.spans)) for r in got) == want
 
 
+def test_values_that_stand_next_to_each_other(spark):
+    text = "x +1 (269) 555-3296 4524132264652876 y 7536784127813050 4845168114407329 z 1 2 3 4 5 6 7 8 9 10 11 12 13 14 +1 (826) 555-4081 190.137.223.204"
+    r = personal.personal_data(frame(spark, [(1, text)])).first()
+    assert [(s.kind, text[s.start : s.end]) for s in r.spans] == [("ip", "190.137.223.204")]
+    assert {(s.kind, text[s.start : s.end]) for s in r.added} == {
+        ("card", "4524132264652876"), ("card", "7536784127813050"), ("card", "4845168114407329"), ("phone", "+1 (269) 555-3296"), ("phone", "+1 (826) 555-4081"),
+    }
+    clean = personal.sanitise(frame(spark, [(1, text)])).first().text
+    assert clean.startswith("x [PHONE] [CARD] y [CARD] [CARD] z 1 2 3") and clean.endswith("14 [PHONE] [IP]")
+
+
 def test_revealing_terms(spark):
     """A name that comes only with one address goes; a common word beside it stays."""
     rnd = random.Random(7)
