@@ -19,6 +19,8 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20
 #: Least of a document's word characters, in percent, that its clean lines must hold.
 LEAST_CLEAN = 50
+#: Most of a document's words, in percent, that may equal the word before them.
+MOST_STUTTERS = 30
 #: Symbols for 100 word characters beyond which a line is navigation or noise.
 MOST_SYMBOLS = 5
 #: A line of fewer words needs punctuation.
@@ -115,12 +117,14 @@ def _judged(docs: DataFrame, text_col: str) -> DataFrame:
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("bigint").alias("n_symbols"),
         (F.size(F.filter("lines", filled)) - F.size("distinct")).cast("bigint").alias("n_dup_lines"),
         _repeated(F.col("words")).cast("bigint").alias("n_repeat_words"),
+        F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1))).cast("bigint").alias("n_stutters"),
         _word_characters(F.array_join("clean", "")).cast("bigint").alias("clean_chars"),
         F.array_join("clean", "\n").alias("clean_text"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     rows = rows.withColumn("base_failed", failed)
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("clean_chars") * 100 >= F.col("word_chars") * LEAST_CLEAN))
+    clean = (F.col("clean_chars") * 100 >= F.col("word_chars") * LEAST_CLEAN) & (F.col("n_stutters") * 100 <= F.col("n_words") * MOST_STUTTERS)
+    return rows.withColumn("kept", ~F.col("base_failed") & clean)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,8 +135,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_repeat_words (words in windows of five that the text has twice or more),
     clean_chars (word characters of the distinct lines that pass the rules of
     lines), clean_text (those lines), base_failed (fewer than 10 words, or more than
-    20 % of them repeated) and kept: not base_failed, and at least half of the
-    word characters are in clean lines.
+    20 % of them repeated), n_stutters (words that equal the one before) and
+    kept: not base_failed, at least half of the word characters are in clean
+    lines, and at most 30 % of the words are stutters.
 
     Null and empty texts have no words and fail. Repeated rows are judged
     alike, each on its own; an empty table gives no rows. Other columns of
@@ -148,7 +153,7 @@ def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    return quality_rules(docs).drop("clean_text", "clean_chars")
+    return quality_rules(docs).drop("clean_text", "clean_chars", "n_stutters")
 
 
 #: The same in SQL for DuckDB.
@@ -167,9 +172,10 @@ l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(list_distinct(ls)) AS line
 k AS (SELECT doc_id, sum(len(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS n FROM l GROUP BY doc_id),
 a AS (SELECT doc_id, len(ws) AS n_words, len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
   len(regexp_replace(t, '[^{SYMBOLS}]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
-  coalesce(c.n, 0) AS n_repeat_words, coalesce(k.n, 0) AS clean_chars
+  coalesce(c.n, 0) AS n_repeat_words, coalesce(k.n, 0) AS clean_chars,
+  len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutters
   FROM f LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)),
 b AS (SELECT *, n_words < {LEAST_WORDS} OR n_repeat_words * 100 > n_words * {MOST_REPEATED} AS base_failed FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND clean_chars * 100 >= word_chars * {LEAST_CLEAN} AS kept FROM b
+  NOT base_failed AND clean_chars * 100 >= word_chars * {LEAST_CLEAN} AND n_stutters * 100 <= n_words * {MOST_STUTTERS} AS kept FROM b
 """
