@@ -26,6 +26,10 @@ FREQUENCIES = {
 }
 
 
+# Fixed value: the largest sample of a group's files.
+SAMPLE_CAP = 15
+
+
 def every(df: DataFrame, group: list[str], conditions: dict[str, Column]) -> DataFrame:
     """One boolean per condition and group: whether any row of the group meets it."""
     return df.groupBy(*group).agg(*[F.bool_or(c).alias(n) for n, c in conditions.items()])
@@ -200,7 +204,7 @@ def draw_key(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), names.col(key)))
 
 
-def sample(df: DataFrame, group: list[str], key: str, fraction: float, cap: int, seed: int) -> DataFrame:
+def sample(df: DataFrame, group: list[str], key: str, fraction: float, cap: int = SAMPLE_CAP, seed: int = 0) -> DataFrame:
     """A part of every group, without replacement: a fraction rounded half to
     even, at least one row, at most ``cap``.
 

@@ -100,44 +100,58 @@ def attr_equal(spark, sf):
 _FILE = ["center", "model", "exp", "run", "domain", "variable", "year"]
 
 
-@query(
-    "compare_dataset",
-    with_views(
-        "members",
-        """WITH r AS (SELECT *, row_number() OVER (PARTITION BY center ORDER BY md5(concat('11:', path)), path) AS k,
-            count(*) OVER (PARTITION BY center) AS n FROM members),
-          s AS (SELECT * FROM r WHERE k <= greatest(1, least(15, round_even(n * CAST(0.1 AS DOUBLE), 0)))),
-          cells AS (SELECT s.path, x.time, x.lat, x.lon, sum(x.value) AS v FROM s
+def _compared(sampled: str) -> str:
+    return f"""cells AS (SELECT s.path, x.time, x.lat, x.lon, sum(x.value) AS v FROM {sampled} s
             JOIN records x USING (center, model, exp, run, domain, variable, year)
             WHERE x.lat BETWEEN 40 AND 50 AND x.lon BETWEEN -85 AND -65 GROUP BY 1, 2, 3, 4)
         SELECT path, 'value' AS variable, count(*) AS n_cells, count(*) FILTER (lat = 45) AS n_absent,
-          count(*) FILTER (lat <> 45 AND lon = -80) AS n_failed FROM cells GROUP BY 1""",
-    ),
-)
-def compare_dataset(spark, sf):
-    """A sample of the files against the virtual dataset, in one job.
+          count(*) FILTER (lat <> 45 AND lon = -80) AS n_failed FROM cells GROUP BY 1"""
+
 
-    The virtual side is cut to the years and box of the sampled files and to
-    their datasets before anything is compared.
+def _compare_files(spark, sf, files):
+    """Some files against the virtual dataset, in one job.
+
+    The virtual side is cut to the years and box of the files and to their
+    datasets before anything is compared. What was published lacks one
+    latitude and is off by a hundredth on one longitude.
     """
-    files = substrate.members(spark, sf)
-    sampled = select.sample(files, ["center"], "path", fraction=0.1, cap=15, seed=11).select(*_FILE, "path")
     rows = substrate.records(spark, sf).where(select.in_box((-85.0, -65.0), (40.0, 50.0)))
     rows = select.years_of(rows, substrate.points(spark, sf))
-    held = rows.join(sampled, _FILE).groupBy("path", "time", "lat", "lon").agg(F.sum("value").alias("value"))
+    held = rows.join(files, _FILE).groupBy("path", "time", "lat", "lon").agg(F.sum("value").alias("value"))
     # the cube of the datasets that were hit, read by its own labels, then cut to the years of the files
     dataset = ["center", "model", "exp", "run", "variable"]
-    hit = rows.join(sampled.select(*dataset).distinct(), dataset, "left_semi")
+    hit = rows.join(files.select(*dataset).distinct(), dataset, "left_semi")
     cube = hit.groupBy(*dataset, "time", "lat", "lon").agg(F.sum("value").alias("value"))
-    # what was published lacks one latitude and is off by a hundredth on one longitude
     off = F.when(F.col("lon") == -80, F.col("value") + F.lit("0.01").cast("decimal(3,2)")).otherwise(F.col("value"))
     cube = cube.where(F.col("lat") != 45).withColumn("value", off)
-    seen = cube.withColumn("year", F.year("time")).join(sampled.select(*dataset, "year", "path"), [*dataset, "year"])
+    seen = cube.withColumn("year", F.year("time")).join(files.select(*dataset, "year", "path"), [*dataset, "year"])
     return compare.compare_values(
         seen.select("path", "time", "lat", "lon", "value"), held, ["path", "time", "lat", "lon"], ["path"]
     )
 
 
+@query(
+    "compare_dataset",
+    with_views(
+        "members",
+        f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY center ORDER BY md5(concat('11:', path)), path) AS k,
+            count(*) OVER (PARTITION BY center) AS n FROM members),
+          sampled AS (SELECT * FROM r WHERE k <= greatest(1, least(15, round_even(n * CAST(0.1 AS DOUBLE), 0)))),
+          {_compared("sampled")}""",
+    ),
+)
+def compare_dataset(spark, sf):
+    """A sample of the files of every center against the virtual dataset."""
+    files = substrate.members(spark, sf)
+    return _compare_files(spark, sf, select.sample(files, ["center"], "path", fraction=0.1, seed=11).select(*_FILE, "path"))
+
+
+@query("compare_all_files", with_views("members", f"WITH {_compared('members')}"))
+def compare_all_files(spark, sf):
+    """Every file against the virtual dataset."""
+    return _compare_files(spark, sf, substrate.members(spark, sf).select(*_FILE, "path"))
+
+
 @query(
     "changed_docs",
     """WITH old AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE source <> 'src3'),

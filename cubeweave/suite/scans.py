@@ -456,6 +456,22 @@ def encode_cast(spark, sf):
     )
 
 
+@query(
+    "encode_hours",
+    with_views(
+        "arrivals",
+        """SELECT cycle, count(*) AS n, CAST(sum(epoch(time) / 86400) AS DOUBLE) AS days, CAST(max(epoch(time) / 86400) AS DOUBLE) AS last FROM arrivals GROUP BY 1""",
+    ),
+)
+def encode_hours(spark, sf):
+    """Forecast times, three-hourly, as fractions of a day."""
+    path = new_dir(spark, "packed")
+    rows = substrate.arrivals(spark, sf).select("cycle", "source", "time", "value")
+    sinks.write_packed(rows, path, times=["time"], partition=["source"])
+    back = spark.read.parquet(path)
+    return back.groupBy("cycle").agg(F.count("*").alias("n"), F.sum("time").alias("days"), F.max("time").alias("last"))
+
+
 @query(
     "descriptor_read",
     with_views(

@@ -132,6 +132,15 @@ def cardinality_guard(spark, sf):
     return select.outside_bounds(substrate.members(spark, sf), [*RUN, "variable"], minimum=3, maximum=10)
 
 
+@query(
+    "cardinality_strict",
+    with_views("members", "SELECT center, model, run, variable, count(*) AS n_files FROM members GROUP BY 1, 2, 3, 4"),
+)
+def cardinality_strict(spark, sf):
+    """The guard that stops: a run has a file for each year and scenario at most."""
+    return select.check_bounds(substrate.members(spark, sf), [*RUN, "variable"], minimum=1, maximum=3 * 100)
+
+
 @query(
     "primary_first",
     with_views(
@@ -290,12 +299,12 @@ def realization_match(spark, sf):
         "members",
         """WITH r AS (SELECT center, variable, path, row_number() OVER (PARTITION BY center, variable ORDER BY md5(concat('7:', path)), path) AS k,
           count(*) OVER (PARTITION BY center, variable) AS n FROM members)
-        SELECT center, variable, path FROM r WHERE k <= greatest(1, least(8, round_even(n * CAST(0.1 AS DOUBLE), 0)))""",
+        SELECT center, variable, path FROM r WHERE k <= greatest(1, least(15, round_even(n * CAST(0.1 AS DOUBLE), 0)))""",
     ),
 )
 def sample_members(spark, sf):
     files = substrate.members(spark, sf).select("center", "variable", "path")
-    return select.sample(files, ["center", "variable"], "path", fraction=0.1, cap=8, seed=7)
+    return select.sample(files, ["center", "variable"], "path", fraction=0.1, seed=7)
 
 
 @query(
