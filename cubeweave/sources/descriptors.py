@@ -9,7 +9,7 @@ are taken in any case.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
@@ -209,6 +209,53 @@ def add_removal(parsed: DataFrame, name: str, type_: str) -> DataFrame:
     return parsed.withColumn("netcdf", F.col("netcdf").withField("remove", F.array_union(have, F.array(item))))
 
 
+def _with_variables(parsed: DataFrame, variables: Column) -> DataFrame:
+    return parsed.withColumn("netcdf", F.col("netcdf").withField("variable", variables))
+
+
+def _variables() -> Column:
+    return F.coalesce(F.col("netcdf.variable"), F.array().cast(_VARIABLE))
+
+
+def _new_variable(name: str, org_name: str | None = None) -> Column:
+    """A variable element that has a name, and a former one, alone."""
+    given = {"_name": F.lit(name), "_orgName": F.lit(org_name).cast("string")}
+    empty = F.from_json(F.lit("{}"), _VARIABLE.removeprefix("array<").removesuffix(">"))
+    for field, value in given.items():
+        empty = empty.withField(field, value)
+    return empty
+
+
+def _named(name: str) -> Column:
+    return F.exists(_variables(), lambda v: v["_name"] == name)
+
+
+def rename_variable(parsed: DataFrame, old: str, new: str) -> DataFrame:
+    """Rename a variable in every document; its first name stays as ``orgName``.
+
+    An element with the old name takes the new one; where there is none, an element is added.
+    """
+    moved = F.transform(
+        _variables(),
+        lambda v: F.when(v["_name"] == old, v.withField("_name", F.lit(new)).withField("_orgName", F.coalesce(v["_orgName"], F.lit(old)))).otherwise(v),
+    )
+    return _with_variables(parsed, F.when(_named(old), moved).otherwise(F.concat(_variables(), F.array(_new_variable(new, old)))))
+
+
+def set_variable_attribute(parsed: DataFrame, variable: str, name: str, value: Column, type_: str = "String") -> DataFrame:
+    """Set an attribute of a variable in every document; an element is added where the variable has none."""
+    item = F.struct(
+        F.lit(name).alias("_name"), F.lit(type_).alias("_type"), value.alias("_value"), F.lit(None).cast("string").alias("_orgName")
+    )
+    every = F.when(_named(variable), _variables()).otherwise(F.concat(_variables(), F.array(_new_variable(variable))))
+
+    def changed(v: Column) -> Column:
+        kept = F.filter(F.coalesce(v["attribute"], F.array().cast(_ATTRIBUTE)), lambda a: a["_name"] != name)
+        return F.when(v["_name"] == variable, v.withField("attribute", F.concat(kept, F.array(item)))).otherwise(v)
+
+    return _with_variables(parsed, F.transform(every, changed))
+
+
 def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id") -> DataFrame:
     """The files behind every descriptor: (key, node_path, path).
 

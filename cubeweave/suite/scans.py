@@ -279,6 +279,32 @@ def ncml_facts(spark, sf):
     )
 
 
+@query(
+    "ncml_edit",
+    """WITH f(kind, node_path, name, value, org_name, cond) AS (VALUES
+      ('attribute', '/netcdf', 'title', '{name}', NULL, 1), ('attribute', '/netcdf', 'segment', '{segment}', NULL, 1),
+      ('attribute', '/netcdf', 'summary', NULL, 'comment', 5), ('remove', '/netcdf', 'height', NULL, NULL, 1),
+      ('remove', '/netcdf', 'history', NULL, NULL, 7), ('remove', '/netcdf', 'tmp', NULL, NULL, 1),
+      ('variable', '/netcdf', 'latitude', NULL, 'lat', 1), ('variable', '/netcdf', 'tas', NULL, NULL, 1),
+      ('attribute', '/netcdf/variable[{i}]', 'units', 'K', NULL, 1))
+    SELECT c_custkey AS doc_id, kind, replace(node_path, '{i}', '1') AS node_path, name,
+      replace(replace(value, '{name}', c_name), '{segment}', c_mktsegment) AS value,
+      CASE WHEN name = 'latitude' AND c_custkey % 2 = 1 THEN 'lat_1' ELSE org_name END AS org_name FROM customer, f WHERE c_custkey % cond = 0""",
+)
+def ncml_edit(spark, sf):
+    """Renames, attributes of variables and removals, written to XML and read back."""
+    path = new_dir(spark, "edited")
+    edited = descriptors.parse(substrate.descriptors(spark, sf))
+    # half of the documents have an element for the variable already, under another name
+    edited = descriptors.rename_variable(descriptors.rename_variable(edited, "lat_1", "lat"), "lat", "latitude")
+    edited = descriptors.set_variable_attribute(edited, "tas", "units", F.lit("degC"))
+    edited = descriptors.set_variable_attribute(edited, "tas", "units", F.lit("K"))
+    sinks.write_descriptors(descriptors.add_removal(edited, "tmp", "variable"), path)
+    facts = descriptors.facts(sinks.read_descriptors(spark, path))
+    outer = (F.col("node_path") == "/netcdf") | F.startswith("node_path", F.lit("/netcdf/variable["))
+    return facts.where(F.col("kind").isin("attribute", "variable", "remove") & outer).select("doc_id", "kind", "node_path", "name", "value", "org_name")
+
+
 @query(
     "key_search",
     f"""WITH d AS ({_DOCS})
