@@ -273,10 +273,10 @@ def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id") -> Data
     parts = names.dirs("path")
     joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
     # the first part of an absolute path is empty: its directory is the root
-    places = F.array_distinct(F.transform(joined, lambda p: F.when(F.startswith("path", F.lit("/")) & (p == ""), "/").otherwise(p)))
-    parent = F.when(F.size(parts) > 0, F.element_at(places, -1)).otherwise("")
-    spread = inventory.select("path", parent.alias("_parent"), F.explode(places).alias("location"))
-    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("location") == F.col("_parent")))
+    places = F.transform(joined, lambda p: F.when(F.startswith("path", F.lit("/")) & (p == ""), "/").otherwise(p))
+    held = inventory.select("path", places.alias("_places"))
+    spread = held.select("path", F.size("_places").alias("_depth"), F.posexplode("_places").alias("_at", "location"))
+    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth") - 1))
     ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
     suffix_is = F.rlike("path", ending)
     regexp_is = F.col("regexp").isNull() | F.rlike("path", F.concat(F.lit("^(?:"), F.coalesce("regexp", F.lit("")), F.lit(")$")))

@@ -517,8 +517,10 @@ def encode_hours(spark, sf):
 )
 def descriptor_read(spark, sf):
     """From documents to rows: parse, resolve against the inventory, read, merge, total per document."""
-    found = descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf)))
-    files = substrate.members(spark, sf)
+    # facts are used four times and are small: documents are parsed once
+    path = new_dir(spark, "facts")
+    descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf))).write.parquet(path)
+    found, files = spark.read.parquet(path), substrate.members(spark, sf)
     held = descriptor.member_files(found, files).groupBy("doc_id").agg(
         F.max("label").alias("label"), F.count_if("found").alias("n_files"), F.count_if(~F.col("found")).alias("n_absent")
     )
