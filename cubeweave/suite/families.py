@@ -15,6 +15,15 @@ from cubeweave.suite.views import with_views
 CHAINS = ("historical+ssp245", "historical+ssp585")
 BOTH = ("tas", "pr")
 
+# Fragments of the names of files that are left out, parts of dataset
+# names, and the institution that is set by hand for one model.
+LEFT_OUT_INDICATOR = "growing_degree_days_gt_4"
+LEFT_OUT_AVERAGE = "spatialAvg"
+LEFT_OUT_RUN = "ssp245_r10i"
+DETRENDED = "_r1i1p1_na10kgrid_qm-moving-50bins-detrend_1950-2100"
+DOWNSCALED = "nex-gddp"
+SET_BY_HAND = "Norwegian Climate Center"
+
 _SQL_CHAINS = "chains(chain, part, exp) AS (VALUES ('historical+ssp245', 0, 'historical'), ('historical+ssp245', 1, 'ssp245'), ('historical+ssp585', 0, 'historical'), ('historical+ssp585', 1, 'ssp585'))"
 
 
@@ -198,7 +207,7 @@ def family_lookup(spark, sf):
     )
     known = suppliers.select(F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("center"), F.col("n_name").alias("driving_institution"))
     name = F.concat(
-        F.lit("day_"), "center", F.lit("_historical+"), "exp", F.lit("_r1i1p1_na10kgrid_qm-moving-50bins-detrend_1950-2100")
+        F.lit("day_"), "center", F.lit("_historical+"), "exp", F.lit(DETRENDED)
     )
     return rows.join(known, "center").select(
         name.alias("dataset"), "variable", "n_files", "driving_institution", F.col("center").alias("driving_model_id"), "removed"
@@ -293,7 +302,7 @@ def family_members(spark, sf):
     """Stack one run per model, in lookup order, and add the lookup file. A model
     with several complete runs is refused: it gets a row that says so."""
     model, run = ["exp", "center", "model"], ["exp", "center", "model", "run"]
-    files = select.exclude(substrate.members(spark, sf), {}, ["growing_degree_days_gt_4"])
+    files = select.exclude(substrate.members(spark, sf), {}, [LEFT_OUT_INDICATOR])
     complete = files.where(F.col("variable") == "pr").groupBy(*run).agg(F.count("*").alias("n")).where("n >= 3")
     refused = select.outside_bounds(complete, model, minimum=1, maximum=1)
     runs = complete.join(refused, model, "left_anti").select(*run)
@@ -328,7 +337,7 @@ def family_indicators(spark, sf):
     files = substrate.members(spark, sf)
     coded = files.withColumn("_code", F.explode(F.array(F.lit("YS"), F.lit("QS-DEC"))))
     token = F.replace(select.token_of(F.col("_code"), F.col("mtime").cast("date")), F.lit("YS"), F.lit("annual"))
-    family = Family(dataset=("token", "center", "exp"), members="files", prefix=True, fragments=("spatialAvg",), ordered=False)
+    family = Family(dataset=("token", "center", "exp"), members="files", prefix=True, fragments=(LEFT_OUT_AVERAGE,), ordered=False)
     rows = build(coded.withColumn("token", token), family)
     return rows.groupBy(
         F.concat(F.lit("30ymean_"), "token").alias("dataset"), "center", "exp", "variable", "org_name", F.lit(True).alias("time_units_change")
@@ -349,7 +358,7 @@ def family_indicators_30y(spark, sf):
 
     def part(dataset: str, include: bool):
         family = Family(
-            dataset=("center", "exp"), members="files", prefix=True, skip={"run": ["r3"]}, token=("QC", include), fragments=("spatialAvg",),
+            dataset=("center", "exp"), members="files", prefix=True, skip={"run": ["r3"]}, token=("QC", include), fragments=(LEFT_OUT_AVERAGE,),
             ordered=False,
         )
         return build(files, family).groupBy(F.lit(dataset).alias("dataset"), "center", "exp", "variable", "org_name").agg(
@@ -377,7 +386,7 @@ def family_indicator_members(spark, sf):
     wanted = [f"{m}:{r}" for m, r in pairs.items() if m not in skipped]
     files = substrate.members(spark, sf).where(F.concat_ws(":", "model", "run").isin(*wanted))
     family = Family(
-        dataset=("center",), members="first", realization=("model", "run"), prefix=True, skip={"model": skipped}, fragments=("ssp245_r10i",)
+        dataset=("center",), members="first", realization=("model", "run"), prefix=True, skip={"model": skipped}, fragments=(LEFT_OUT_RUN,)
     )
     rows = build(files, family)
     return rows.select("center", "realization", "exp", F.explode(with_deltas("variable")).alias("variable"), "location")
@@ -420,7 +429,7 @@ def family_first_match(spark, sf):
     rows = build(files, Family(dataset=("center", "model", "exp"), members="first"))
     models = files.agg(F.count_distinct("model").alias("n")).scalar()
     # one model's institution is set by hand
-    institution = F.when(F.col("model") == "M-R", "Norwegian Climate Center").otherwise("as configured")
+    institution = F.when(F.col("model") == "M-R", SET_BY_HAND).otherwise("as configured")
     return rows.select(
         F.concat_ws("_", "model", "exp").alias("dataset"), "center", "variable", "location",
         institution.alias("driving_institution"), models.alias("n_models"),
@@ -456,7 +465,7 @@ def family_regex_pairs(spark, sf):
     pattern = F.regexp_replace(pattern, F.lit("^tas_"), F.concat("v", F.lit("_")))
     pattern = F.replace(pattern, F.lit("_historical_"), F.concat(F.lit("_"), "scenario", F.lit("_")))
     pattern = F.concat(F.lit(".*/"), F.regexp_replace(pattern, r"[0-9]{8}-[0-9]{8}\.nc$", r".*\\.nc\$"))
-    name = F.concat_ws("_", F.lit("day"), "center", "model", "run", "chain", F.lit("nex-gddp"))
+    name = F.concat_ws("_", F.lit("day"), "center", "model", "run", "chain", F.lit(DOWNSCALED))
     return spread.select(
         name.alias("dataset"), F.col("v").alias("variable"), "part", pattern.alias("regexp"),
         F.replace("chain", F.lit("+"), F.lit(",")).alias("driving_experiment"),
