@@ -110,8 +110,7 @@ def _judged(docs: DataFrame, text_col: str) -> DataFrame:
     filled = lambda line: line.rlike(WORD)
     rows = rows.select("*", F.filter(F.array_distinct("lines"), filled).alias("distinct"))
     rows = rows.select("*", F.filter("distinct", _clean).alias("clean"))
-    rows = rows.select(
-        "row",
+    statistics = F.struct(
         F.size("words").cast("bigint").alias("n_words"),
         _word_characters(F.col("text")).cast("bigint").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("bigint").alias("n_symbols"),
@@ -121,6 +120,8 @@ def _judged(docs: DataFrame, text_col: str) -> DataFrame:
         _word_characters(F.array_join("clean", "")).cast("bigint").alias("clean_chars"),
         F.array_join("clean", "\n").alias("clean_text"),
     )
+    # a generator, so that a filter on the verdict is not pushed below the columns above and makes them again for each use
+    rows = rows.select("row", F.inline(F.array(statistics)))
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     rows = rows.withColumn("base_failed", failed)
     clean = (F.col("clean_chars") * 100 >= F.col("word_chars") * LEAST_CLEAN) & (F.col("n_stutters") * 100 <= F.col("n_words") * MOST_STUTTERS)
