@@ -54,6 +54,11 @@ def test_quality_rules_at_the_edges(spark):
     assert quality.passing(frame(spark)).columns == frame(spark).columns
 
 
+def test_a_filter_on_the_verdict_makes_no_column_twice(spark):
+    plan = quality.passing(frame(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2 and plan.index("Filter") < plan.index("Generate")
+
+
 def test_quality_counts_by_hand(spark):
     r = quality.quality_rules(frame(spark).where("doc_id in (10, 11)")).orderBy("doc_id").collect()
     assert (r[0].n_dup_lines, r[0].n_symbols) == (1, 3)
