@@ -188,15 +188,17 @@ def nearest(rows: DataFrame, targets: dict[str, float], source: DataFrame | None
 def match_labels(paths: DataFrame, labels: DataFrame, path: str = "path", label: str = "realization") -> DataFrame:
     """Files with the label whose model and run are both directories of the path.
 
-    Every ordered pair of directories of a path, of which there are a few
-    dozen, is a label it may have, so the containment is a hash join on both
-    parts: no model or run alone makes a hot key.
+    The containment is an equality of the model with an exploded directory, so
+    it is a hash join; a path has a handful of directories. A model may hold
+    most files: labels are broadcast if the planner's size check allows it, and
+    else adaptive execution splits the files of that model, whose labels are
+    few. Pairs of directories as keys would even that out without a split, but
+    make several dozen rows of each file.
     """
-    dirs = F.array_distinct(names.dirs(path))
-    pairs = F.flatten(F.transform(dirs, lambda a: F.transform(dirs, lambda b: F.concat(a, F.lit(":"), b))))
-    exploded = paths.select("*", F.explode(pairs).alias("_label"))
-    known = labels.select(label, F.concat_ws(":", F.split(label, ":")[0], F.split(label, ":")[1]).alias("_label"))
-    return exploded.join(known, "_label").drop("_label")
+    parts = F.split(label, ":")
+    known = labels.select(label, parts[0].alias("_model"), parts[1].alias("_run"))
+    exploded = paths.select("*", names.dirs(path).alias("_dirs")).withColumn("_model", F.explode(F.array_distinct("_dirs")))
+    return exploded.join(known, "_model").where(F.array_contains("_dirs", F.col("_run"))).drop("_dirs", "_model", "_run")
 
 
 def draw_key(key: str | Column, seed: int) -> Column:
