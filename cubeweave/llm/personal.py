@@ -8,12 +8,14 @@ PMI(t; e) / IC(e) = log(j N / (n_t n_e)) / log(N / n_e), with N documents,
 n_t and n_e of them with the term and with the entity and j with the term near
 the entity. 1 means that the term occurs nowhere else. A term of at least
 ``LEAST_JOINT`` such documents is removed from ``REMOVE`` on and generalised from
-``GENERALISE`` on, in the documents that have the entity.
+``GENERALISE`` on, wherever it stands in the documents that have the entity.
 
 All counts cover all documents. Terms near entities are few; the documents
 with each are counted in a second pass that looks at every word, skips those
 outside a bitmap of the terms (its size is fixed, a full one only skips less)
-and adds up what is left before it is shuffled.
+and adds up what is left before it is shuffled. Texts with entities are kept
+beside what is found in them; once the terms are known, a pass over these looks
+for every place of a term, with bitmaps of the terms and of the pairs.
 """
 
 from __future__ import annotations
@@ -125,30 +127,35 @@ def _entity(kind: str, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _near(text: str, spans: list[tuple[str, int, int]]) -> Iterator[dict]:
-    """The words near each entity that are no part of one."""
+def _free(text: str, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and number of the words that are no part of a span."""
     _, raw, _, number, first, end, _ = next(kernel.plain_words(pa.array([text], pa.large_string())))
     points = np.cumsum(np.concatenate([[0], (raw & 0xC0) != 0x80]))
     first, end = points[first], points[end]
     free = np.ones(len(first), dtype=bool)
-    for _, a, b in spans:
+    for a, b in spans:
         free[np.searchsorted(end, a, "right") : np.searchsorted(first, b, "left")] = False
-    first, end, number = first[free], end[free], number[free].astype(np.int64)
+    return first[free], end[free], number[free].astype(np.int64)
+
+
+def _near(text: str, spans: list[tuple[str, int, int]]) -> Iterator[dict]:
+    """The words near each entity that are no part of one."""
+    first, end, number = _free(text, [s[1:] for s in spans])
     for kind, a, b in spans:
         entity = _entity(kind, text[a:b])
         before, after = int(np.searchsorted(end, a, "right")), int(np.searchsorted(first, b, "left"))
         for i in [*range(max(0, before - NEAR), before), *range(after, min(len(first), after + NEAR))]:
-            yield {"entity": entity, "term": int(number[i]), "start": int(first[i]), "end": int(end[i])}
+            yield {"entity": entity, "term": int(number[i])}
 
 
 _SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
-_TERMS = "array<struct<entity:bigint,term:bigint,start:bigint,end:bigint>>"
+_TERMS = "array<struct<entity:bigint,term:bigint>>"
 _SPANS_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_TERMS_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "start", "end")]))
+_TERMS_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term")]))
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """id, digest, spans (by kind, then start), inside (more spans, likewise) and terms of each row of ``docs`` (id, digest, text)."""
+    """id, digest, spans (by kind, then start), inside (more spans, likewise), terms and, if it has terms, text of each row of ``docs`` (id, digest, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,27 +170,38 @@ def _found(docs: DataFrame) -> DataFrame:
                 inside[i] = [{"kind": k, "start": a, "end": b} for k, a, b in more]
                 terms[i] = list(_near(text, mine + more)) if mine or more else []
             columns = [batch.column("id"), batch.column("digest"), pa.array(spans, _SPANS_TYPE), pa.array(inside, _SPANS_TYPE), pa.array(terms, _TERMS_TYPE)]
-            yield pa.record_batch(columns, names=["id", "digest", "spans", "inside", "terms"])
+            some = pc.if_else(pa.array([bool(t) for t in terms], pa.bool_()), texts, pa.scalar(None, pa.large_string())).cast(pa.string())
+            yield pa.record_batch([*columns, some], names=["id", "digest", "spans", "inside", "terms", "text"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest string, spans {_SPANS}, inside {_SPANS}, terms {_TERMS}")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest string, spans {_SPANS}, inside {_SPANS}, terms {_TERMS}, text string")
 
 
-def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents some terms (term) are: term, n. Others may come along."""
-    slot = F.pmod("term", F.lit(BITMAP))
-    pieces = terms.select(slot.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("piece")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+def _bitmap(rows: DataFrame, number: Column) -> np.ndarray:
+    """BITMAP bits, of which those of the rows' numbers are set."""
+    slot = F.pmod(number, F.lit(BITMAP))
+    pieces = rows.select(slot.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("piece")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
     pieces = pieces.toArrow()  # at most BITMAP / 64 rows
     wanted = np.zeros(BITMAP // 64, dtype=np.uint64)
     wanted[np.asarray(pieces.column("piece"))] = np.asarray(pieces.column("bits")).astype(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    return wanted
+
+
+def _in_bitmap(bits: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Which of the numbers may have been put into the bitmap."""
+    at = (number.astype(np.uint64) & np.uint64(BITMAP - 1)).astype(np.int64)
+    return np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+
+
+def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """In how many documents some terms (term) are: term, n. Others may come along."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(terms, F.col("term")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
             found = [np.empty(0, dtype=np.int64)]
             for _, _, _, number, _, _, begin in kernel.plain_words(batch.column("text")):
-                at = (number & np.uint64(BITMAP - 1)).astype(np.int64)
-                hit = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+                hit = _in_bitmap(bits, number)
                 text = np.searchsorted(begin, hit, side="right")
                 order = np.lexsort((number[hit], text))
                 text, term = text[order], number[hit][order]
@@ -212,6 +230,28 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.select("entity", "term", kind.alias("kind")).where("kind is not null")
 
 
+def _places(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All places of the terms of ``pairs`` (entity, term) in texts with their entity: row, entity, term, start, end. Others may come along."""
+    both = F.col("entity").bitwiseXOR(F.col("term"))
+    shared = found.sparkSession.sparkContext.broadcast((_bitmap(pairs, F.col("term")), _bitmap(pairs, both)))
+    every = F.transform(F.concat("spans", "inside"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    texts = found.where(F.size("terms") > 0).select("row", "text", F.array_distinct("terms.entity").alias("entities"), every.alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, joint = shared.value
+        for batch in batches:
+            for row, text, entities, spans in zip(*batch.columns, strict=True):
+                first, end, number = _free(text.as_py(), [(s["start"], s["end"]) for s in spans.as_py()])
+                hit = _in_bitmap(terms, number)
+                first, end, number = first[hit], end[hit], number[hit]
+                for entity in entities.as_py() if len(hit) else []:
+                    if len(at := _in_bitmap(joint, number ^ np.int64(entity))):
+                        same = [pa.array(np.full(len(at), v, dtype=np.int64)) for v in (row.as_py(), entity)]
+                        yield pa.record_batch([*same, *(pa.array(x[at], pa.int64()) for x in (number, first, end))], names=["row", "entity", "term", "start", "end"])
+
+    return texts.mapInArrow(run, "row bigint, entity bigint, term bigint, start bigint, end bigint")
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of personal data in each row of ``docs``.
 
@@ -228,11 +268,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).alias("id"), F.md5(F.encode(text, "UTF-8")).alias("digest"), text.alias("text"))
     found = save(_found(docs).withColumn("row", F.monotonically_increasing_id()), "personal")
-    near = found.select("row", F.explode("terms").alias("t")).select("row", "t.*")
-    spans = near.join(_revealing(docs, found), ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
+    pairs = save(_revealing(docs, found), "revealing")
+    spans = _places(found, pairs).join(pairs, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
     added = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("added"))
     added = added.withColumn("added", F.transform("added", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
-    rows = found.drop("terms").join(added, "row", "left")
+    rows = found.drop("terms", "text").join(added, "row", "left")
     none = F.array().cast(_SPANS)
     return rows.select(F.col("id").alias(id_col), "digest", "spans", F.concat("inside", F.coalesce("added", none)).alias("added"))
 

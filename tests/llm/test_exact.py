@@ -316,6 +316,18 @@ def test_revealing_terms(spark):
     assert clean[900] == "Zebulon is no secret here" and clean[901] is None
 
 
+def test_revealing_terms_far_from_the_entity(spark):
+    """All places of a term go in a document that has the entity, however far from it; other documents keep it."""
+    rnd = random.Random(7)
+    far = " ".join(f"f{i}" for i in range(60))
+    rows = [(i, f"Zebulon, é {far} then zebulon wrote zeb@example.com about item {i} {far} ZEBULON") for i in range(5)]
+    rows += [(100 + i, "we write about then thing " + " ".join(rnd.choices([*far.split(), "wrote", "item"], k=200))) for i in range(400)]
+    rows += [(900, f"Zebulon {far} but other@example.com"), (0, rows[0][1])]
+    clean = collections.Counter((r.doc_id, r.text) for r in personal.sanitise(frame(spark, rows)).collect())
+    assert clean[0, f"[REMOVED], é {far} then [REMOVED] wrote [EMAIL] about item 0 {far} [REMOVED]"] == 2
+    assert clean[900, f"Zebulon {far} but [EMAIL]"] == 1
+
+
 def test_information_is_as_defined(spark, sf_dir):
     """Shares of information by hand, from all texts."""
     import math
