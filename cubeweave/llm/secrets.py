@@ -5,7 +5,9 @@ place by every decoder that finds something in it: percent-encoded runs, Unicode
 escapes, and base64, compressed or not. What comes out is a new layer unless it
 has been seen, so the list ends even where a layer decodes to itself. A layer
 knows for each of its characters where it comes from in the text, so that spans
-found in it are spans of the text.
+found in it are spans of the text. A compressed block that grows beyond
+``IN_PLACE`` bytes stays where it is; what it holds is read in overlapping parts,
+each a layer that comes from the whole block.
 """
 
 from __future__ import annotations
@@ -13,11 +15,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
+import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,12 +54,27 @@ _SIGNS = {
     "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[x0-9]",
     "base64": "[A-Za-z0-9+/_-]{16}",
 }
-#: A compressed layer that would grow beyond this many bytes is not unwrapped but counted.
-MOST_INFLATED = 1 << 26
+#: A compressed block that grows beyond this many bytes is read in parts.
+IN_PLACE = 1 << 26
+#: Bytes of a part, and characters that two parts share (more where a run of encoded characters is longer).
+PART, SHARED = 1 << 23, 1 << 20
+#: Bytes that unpacking may need besides what comes out; blocks that need more are counted.
+MEMORY = 1 << 28
+#: A compressed block that would grow beyond this many bytes is not unwrapped but counted. There is no such limit unless one is set.
+MOST_INFLATED = math.inf
+_NO_RUN = re.compile(r"[^A-Za-z0-9+/_=%\\&#;\r\n-]")
+_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 
 
 class TooLarge(Exception):
-    """A compressed layer is larger than MOST_INFLATED."""
+    """A compressed block is larger than MOST_INFLATED, or needs too much memory."""
+
+
+class InParts(Exception):
+    """A compressed block is larger than IN_PLACE; ``parts`` are the texts it holds."""
+
+    def __init__(self, parts: Iterator[str | None]) -> None:
+        self.parts = parts
 
 
 @dataclass
@@ -80,6 +99,7 @@ def scan(text: str, kinds: list[str] = KINDS) -> Iterator[tuple[str, int, int]]:
 
 
 # A decoder yields, for runs of a text, (start, end, decoded text, start and end of each decoded character in the run).
+# Without a decoded text the run stays; then the third to last are None, its parts (None: it is refused), None.
 
 
 def _url(text: str) -> Iterator[tuple]:
@@ -100,28 +120,121 @@ def _escapes(text: str) -> Iterator[tuple]:
             yield *m.span(), chr(code), np.zeros(1, dtype=np.int64), np.full(1, m.end() - m.start(), dtype=np.int64)
 
 
+class _File:
+    """Pieces of bytes as a file."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.rest = pieces, b""
+
+    def read(self, size: int) -> bytes:
+        data = self.rest or next(self.pieces, b"")
+        self.rest = data[size:]
+        return data[:size]
+
+
+def _pieces(unpack, source: Iterator[bytes]) -> Iterator[bytes]:
+    for data in source:
+        while True:
+            out = unpack.decompress(data, PART)
+            data = getattr(unpack, "unconsumed_tail", b"")
+            if out:
+                yield out
+            if unpack.eof:
+                return
+            if not out and not data:
+                break
+
+
+def _frame(source: Iterator[bytes]) -> Iterator[bytes]:
+    with zstandard.ZstdDecompressor(max_window_size=MEMORY // 2).stream_reader(_File(source)) as reader:
+        while out := reader.read(PART):
+            yield out
+
+
+def _unpacker(head: bytes) -> Callable[[Iterator[bytes]], Iterator[bytes]] | None:
+    """How to unpack what begins with ``head``, from pieces to pieces of at most PART bytes; None if it is not compressed."""
+    if head.startswith(b"\x1f\x8b"):
+        return lambda source: _pieces(zlib.decompressobj(31), source)
+    if head[:1] == b"\x78" and len(head) > 1 and (head[0] * 256 + head[1]) % 31 == 0:
+        return lambda source: _pieces(zlib.decompressobj(), source)
+    if head.startswith(b"BZh"):
+        return lambda source: _pieces(bz2.BZ2Decompressor(), source)
+    if head.startswith(b"\xfd7zXZ\x00"):
+        return lambda source: _pieces(lzma.LZMADecompressor(memlimit=MEMORY), source)
+    if head.startswith(b"\x28\xb5\x2f\xfd"):
+        return _frame
+    return None
+
+
+def _sliced(raw: bytes) -> Iterator[bytes]:
+    return (raw[i : i + 65536] for i in range(0, len(raw), 65536))
+
+
 def _inflated(raw: bytes) -> bytes | None:
     """What a compressed block holds; None if it is none."""
+    if (unpack := _unpacker(raw)) is None:
+        return None
+    out, size = [], 0
     try:
-        if raw.startswith(b"\x1f\x8b"):
-            unpack = zlib.decompressobj(31)
-            out = unpack.decompress(raw, MOST_INFLATED + 1)
-        elif raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0:
-            out = zlib.decompressobj().decompress(raw, MOST_INFLATED + 1)
-        elif raw.startswith(b"BZh"):
-            out = bz2.BZ2Decompressor().decompress(raw, MOST_INFLATED + 1)
-        elif raw.startswith(b"\xfd7zXZ\x00"):
-            out = lzma.LZMADecompressor(memlimit=MOST_INFLATED * 4).decompress(raw, MOST_INFLATED + 1)
-        elif raw.startswith(b"\x28\xb5\x2f\xfd"):
-            with zstandard.ZstdDecompressor(max_window_size=MOST_INFLATED).stream_reader(raw) as reader:
-                out = reader.read(MOST_INFLATED + 1)
-        else:
-            return None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+        for piece in unpack(_sliced(raw)):
+            out.append(piece)
+            size += len(piece)
+            if size > MOST_INFLATED:
+                raise TooLarge
+            if size > IN_PLACE:
+                raise InParts(_texts(lambda: unpack(_sliced(raw))))
+    except _BROKEN as error:
+        if "memory" in str(error).lower():
+            raise TooLarge from error
         return None
-    if len(out) > MOST_INFLATED:
-        raise TooLarge
-    return out
+    return b"".join(out)
+
+
+def _texts(pieces: Callable[[], Iterator[bytes]], seen: frozenset = frozenset()) -> Iterator[str | None]:
+    """A large text, through compressed blocks, in parts that overlap, as far as it is readable; None for what could not be read whole."""
+    head = next(pieces(), b"")
+    if unpack := _unpacker(head):
+        try:
+            inner = next(unpack(pieces()), b"")
+        except _BROKEN as error:
+            inner = b""
+            if "memory" in str(error).lower():
+                yield None
+        if inner and (key := hashlib.sha256(inner).digest()) not in seen:
+            yield from _texts(lambda: unpack(pieces()), seen | {key})
+            return
+    decoder, kept, size = codecs.getincrementaldecoder("utf-8")(), "", 0
+    try:
+        for piece in pieces():
+            size += len(piece)
+            new = decoder.decode(piece)
+            if size > MOST_INFLATED:
+                yield None
+                return
+            if _CONTROL.search(new):
+                return
+            text = kept + new
+            yield text
+            kept = text[_run_start(text, max(0, len(text) - SHARED)) :]
+            if len(kept) > IN_PLACE:
+                yield None
+                kept = text[-SHARED:]
+    except _BROKEN:
+        return
+
+
+def _run_start(text: str, at: int) -> int:
+    """Where the run of encoded characters that reaches to ``at`` begins."""
+    back = 1024
+    while at > 0:
+        lo = max(0, at - back)
+        last = None
+        for last in _NO_RUN.finditer(text, lo, at):
+            pass
+        if last or lo == 0:
+            return last.end() if last else 0
+        back *= 8
+    return 0
 
 
 def _readable(raw: bytes) -> str | None:
@@ -154,55 +267,87 @@ def _plain(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
     return text, (ends - size) * 8 // 6, -(-ends * 8 // 6)
 
 
+def _held(run: str) -> tuple | None:
+    """What _plain gives; (None, parts, None) for a run that stays."""
+    try:
+        return _plain(run)
+    except InParts as large:
+        return None, large.parts, None
+    except TooLarge:
+        return None, None, None
+
+
 def _base64(text: str) -> Iterator[tuple]:
     for m in _BASE64.finditer(text):
-        if whole := _plain(m[0]):
+        if whole := _held(m[0]):
             yield *m.span(), *whole
             continue
         for p in _PIECE.finditer(text, *m.span()):  # a path, or words joined by marks
-            if p.span() != m.span() and (part := _plain(p[0])):
+            if p.span() != m.span() and (part := _held(p[0])):
                 yield *p.span(), *part
 
 
 DECODERS = {"url": _url, "escape": _escapes, "base64": _base64}
 
 
-def unwrap(layer: Layer, decoder: str) -> Layer | None:
-    """The layer with all that the decoder finds replaced in place; None if it finds nothing."""
-    text, at = [], 0
+def unwrap(layer: Layer, decoder: str) -> tuple[Layer | None, list[tuple]]:
+    """The layer with all that the decoder finds replaced in place (None if it finds nothing), and start, end and parts of runs that stay."""
+    text, at, large = [], 0, []
     begin, end = [], []
     base = (np.arange(len(layer.text)), np.arange(1, len(layer.text) + 1)) if layer.begin is None else (layer.begin, layer.end)
     for a, b, out, x, y in DECODERS[decoder](layer.text):
+        if out is None:
+            large.append((a, b, x))
+            continue
         text += [layer.text[at:a], out]
         begin += [base[0][at:a], base[0][a + x]]
         end += [base[1][at:a], base[1][a + y - 1]]
         at = b
     if not text:
-        return None
+        return None, large
     text.append(layer.text[at:])
-    return Layer("".join(text), np.concatenate([*begin, base[0][at:]]), np.concatenate([*end, base[1][at:]]), (*layer.path, decoder))
+    return Layer("".join(text), np.concatenate([*begin, base[0][at:]]), np.concatenate([*end, base[1][at:]]), (*layer.path, decoder)), large
 
 
 def secrets_of(text: str, base_kinds: list[str] = KINDS, decoders: list[str] | None = None) -> tuple[list[tuple], list[tuple], int]:
-    """Spans of the text itself, spans that only its layers show (with the layers' names), and layers refused."""
+    """Spans of the text itself, spans that only its layers show (with the layers' names), and blocks refused."""
     order = {k: i for i, k in enumerate(KINDS)}
     base = sorted(scan(text, base_kinds), key=lambda s: (s[1], order[s[0]]))
     added: dict[tuple, str] = {}
-    refused, work, seen = 0, [Layer(text)], {hashlib.sha256(text.encode()).digest()}
-    while work:
-        layer = work.pop()
-        for decoder in decoders if decoders is not None and not layer.path else DECODERS:
-            try:
-                inner = unwrap(layer, decoder)
-            except TooLarge:
+    refused, work, seen = 0, [iter([Layer(text)])], {hashlib.sha256(text.encode()).digest()}
+
+    def new(layer: Layer, place: str = "") -> bool:
+        if (key := hashlib.sha256(place.encode() + layer.text.encode()).digest()) in seen:
+            return False
+        seen.add(key)
+        for kind, a, b in scan(layer.text):
+            added.setdefault((kind, *layer.root(a, b)), ">".join(layer.path))
+        return True
+
+    def parts(texts: Iterator[str | None], a: int, b: int, path: tuple[str, ...]) -> Iterator[Layer]:
+        nonlocal refused
+        for part in texts:
+            if part is None:
                 refused += 1
                 continue
-            if inner is None or (key := hashlib.sha256(inner.text.encode()).digest()) in seen:
-                continue
-            seen.add(key)
-            work.append(inner)
-            for kind, a, b in scan(inner.text):
-                added.setdefault((kind, *inner.root(a, b)), ">".join(inner.path))
+            layer = Layer(part, np.broadcast_to(a, len(part)), np.broadcast_to(b, len(part)), path)
+            if new(layer, f"{a}:{b}:"):
+                yield layer
+
+    while work:
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        for decoder in decoders if decoders is not None and not layer.path else DECODERS:
+            inner, large = unwrap(layer, decoder)
+            for a, b, texts in large:
+                place = layer.root(a, b)
+                # the block stays in the layers that come after this one
+                if (key := (place, hashlib.sha256(layer.text[a:b].encode()).digest())) not in seen:
+                    seen.add(key)
+                    work.append(parts(iter([None]) if texts is None else texts, *place, (*layer.path, decoder)))
+            if inner is not None and new(inner):
+                work.append(iter([inner]))
     known = {k: [s for s in base if s[0] == k] for k in KINDS}
     more = [(*s, path) for s, path in added.items() if not any(a <= s[1] and s[2] <= b for _, a, b in known[s[0]])]
     return base, sorted(more, key=lambda s: (s[1], order[s[0]], s[2])), refused
@@ -217,8 +362,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Returns the id column, spans (kind, start, end: what the text itself shows,
     by start, then kind), added (the same and the layers unwrapped to find it:
-    what no span of the text of its kind covers) and refused (compressed layers
-    too large to unwrap). Places are code points, ends exclusive. A span found
+    what no span of the text of its kind covers) and refused (compressed blocks
+    that could not be unwrapped whole: beyond a limit set, in need of too much
+    memory, or with a run of encoded characters longer than IN_PLACE across
+    parts). Places are code points, ends exclusive. A span found
     in a compressed layer is the whole block.
 
     Null and empty texts have no secrets; repeated rows and ids are searched

@@ -422,3 +422,24 @@ def test_a_block_that_grows_too_large_is_counted(monkeypatch):
     monkeypatch.setattr(secrets, "MOST_INFLATED", 1000)
     _, added, refused = secrets.secrets_of(wrapped("gzip", "a" * 5000))
     assert refused == 1 and added == []
+
+
+def test_a_large_block_hides_nothing(monkeypatch):
+    """Blocks beside a large one are unwrapped; the large ones are read in parts, also inside each other."""
+    monkeypatch.setattr(secrets, "IN_PLACE", 3000)
+    monkeypatch.setattr(secrets, "PART", 500)
+    monkeypatch.setattr(secrets, "SHARED", 100)
+    small, late = wrapped("base64", "password = hunter2222"), wrapped("bz2", "token: abcdefgh")
+    for at in (0, 480, 495, 2990, 9000):
+        inner = ("- " * at)[:at] + "secret = correcthorse " + wrapped("gzip", "api_key = abcdef123456") + " -" * 6000
+        for kinds in (["gzip"], ["zlib"], ["bz2"], ["xz"], ["zstd"]):
+            large = wrapped(kinds[0], inner)
+            text = f"{small} {large} {late} {large}"
+            _, added, refused = secrets.secrets_of(text)
+            assert refused == 0
+            assert {(k, text[a:b]) for k, a, b, _ in added} == {("assign", x) for x in (small, large, late)}
+            assert len([s for s in added if text[s[1] : s[2]] == large]) == 2
+    monkeypatch.setattr(secrets, "MOST_INFLATED", 4000)
+    text = f"{small} {large} {late} " + wrapped("zlib", "b c" * 5000)
+    _, added, refused = secrets.secrets_of(text)
+    assert refused == 2 and {text[a:b] for _, a, b, _ in added} == {small, late}
