@@ -2,7 +2,7 @@
 
 A worklist holds the layers of a text. Each layer is scanned, then unwrapped in
 place by every decoder that finds something in it: percent-encoded runs, Unicode
-escapes, and base64, compressed or not. What comes out is a new layer unless it
+escapes, and base64, compressed or not, in one line or wrapped. What comes out is a new layer unless it
 has been seen, so the list ends even where a layer decodes to itself. A layer
 knows for each of its characters where it comes from in the text, so that spans
 found in it are spans of the text. A compressed block that grows beyond
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import bz2
 import codecs
 import hashlib
@@ -39,11 +40,17 @@ _PATTERNS = {
     "hex": re.compile("[0-9a-f]{24,}"),
 }
 _URL = re.compile("(?:%[0-9A-Fa-f]{2})+")
+_VALID = re.compile("[^\udc80-\udcff]+")
 _ESCAPE = re.compile(
     r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
+_MARK = re.compile("[+/_-]")
 _PIECE = re.compile("[A-Za-z0-9]{16,}={0,2}")
+#: The first row of a wrapped block, a break, and another row; rows of PEM headers are none.
+_FIRST = re.compile("[A-Za-z0-9+/_-]{16,}")
+_BREAK = re.compile(r"[\x20\t]*(?:\r\n?|\n)[\x20\t]*")
+_ROW = re.compile("(?!----)[A-Za-z0-9+/_-]+")
 _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f�]")
 #: What a text must have before it is looked at (checked for a whole column at once).
 _SIGNS = {
@@ -53,6 +60,7 @@ _SIGNS = {
     "url": "%[0-9A-Fa-f]{2}",
     "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[x0-9]",
     "base64": "[A-Za-z0-9+/_-]{16}",
+    "wrapped": r"[A-Za-z0-9+/_-]{16}[ \t]*[\r\n]",
 }
 #: A compressed block that grows beyond this many bytes is read in parts.
 IN_PLACE = 1 << 26
@@ -104,12 +112,13 @@ def scan(text: str, kinds: list[str] = KINDS) -> Iterator[tuple[str, int, int]]:
 
 def _url(text: str) -> Iterator[tuple]:
     for m in _URL.finditer(text):
-        try:
-            out = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
-        size = np.fromiter((3 * len(c.encode()) for c in out), np.int64, len(out))
-        yield *m.span(), out, np.cumsum(size) - size, np.cumsum(size)
+        out = bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
+        size = np.fromiter((3 * len(c.encode(errors="surrogateescape")) for c in out), np.int64, len(out))
+        ends = np.cumsum(size)
+        for part in _VALID.finditer(out):  # bytes that are no UTF-8 stay
+            a, b = part.span()
+            lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
+            yield m.start() + lo, m.start() + hi, part[0], (ends - size)[a:b] - lo, ends[a:b] - lo
 
 
 def _escapes(text: str) -> Iterator[tuple]:
@@ -277,17 +286,105 @@ def _held(run: str) -> tuple | None:
         return None, None, None
 
 
+def _bytes(run: str) -> bytes:
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    return base64.b64decode(body[: len(body) // 4 * 4])
+
+
+def _readable_bytes(raw: bytes) -> int:
+    """How many bytes from the first one are readable text."""
+    try:
+        text = raw.decode()
+    except UnicodeDecodeError as error:
+        text = raw[: error.start].decode()
+    bad = _CONTROL.search(text)
+    return len((text[: bad.start()] if bad else text).encode())
+
+
+def _ends(run: str, start: int, cuts: list[int]) -> Iterator[int]:
+    """Where a block that begins at ``start`` may end: with the run, or at the last cuts up to which it is readable."""
+    size, most = 256, len(run) - 1
+    if _unpacker(_bytes(run[start : start + 16])):
+        yield len(run)
+    else:
+        while (good := _readable_bytes(raw := _bytes(run[start : start + size]))) >= len(raw) - 3 and start + size < len(run):
+            size *= 4
+        if good >= len(raw) - 3:
+            yield len(run)
+        most = start + -(-good * 8 // 6)
+    last = bisect.bisect_right(cuts, most)
+    yield from (c for c in reversed(cuts[max(0, last - 8) : last]) if c >= start + 16)
+
+
+def _parts(run: str, starts: list[int], cuts: list[int]) -> Iterator[tuple[int, int, tuple]]:
+    """Blocks in a run that is none as a whole, from some of ``starts`` on: start, end and what they hold."""
+    at = 0
+    for start in starts:
+        if start < at or len(run) < start + 16:
+            continue
+        head = _bytes(run[start : start + 16])
+        if _readable_bytes(head) < len(head) - 3 and not _unpacker(head):
+            continue
+        for end in _ends(run, start, cuts):
+            if held := _held(run[start:end]):
+                yield start, end, held
+                at = end
+                break
+
+
 def _base64(text: str) -> Iterator[tuple]:
     for m in _BASE64.finditer(text):
         if whole := _held(m[0]):
             yield *m.span(), *whole
             continue
-        for p in _PIECE.finditer(text, *m.span()):  # a path, or words joined by marks
-            if p.span() != m.span() and (part := _held(p[0])):
-                yield *p.span(), *part
+        # a path, or words joined by marks
+        marks, at = [k.start() for k in _MARK.finditer(m[0])], m.start()
+        blocks = [(m.start() + a, m.start() + b, held) for a, b, held in _parts(m[0], [0, *(k + 1 for k in marks)], marks)]
+        for a, b, held in [*blocks, (m.end(), m.end(), None)]:
+            for p in _PIECE.finditer(text, at, a):
+                if p.span() != m.span() and (part := _held(p[0])):
+                    yield *p.span(), *part
+            if held:
+                yield a, b, *held
+            at = b
+
+
+def _rows(text: str, first: re.Match) -> list[tuple[int, int]]:
+    """Rows from ``first`` on: all but it and the last are of one width, the last is not longer; it may end in padding."""
+    rows, width = [first.span()], None
+    if first[0].endswith("----"):
+        return rows
+    while (gap := _BREAK.match(text, rows[-1][1])) and (row := _ROW.match(text, gap.end())):
+        size = row.end() - row.start()
+        if width is not None and size > width:
+            break
+        rows.append(row.span())
+        if width is not None and size < width:
+            break
+        width = size
+    a, b = rows[-1]
+    rows[-1] = a, b + len(text[b : b + 2]) - len(text[b : b + 2].lstrip("="))
+    return rows
+
+
+def _wrapped(text: str) -> Iterator[tuple]:
+    """Base64 blocks of several rows. Rows that are blocks of their own are left to _base64, which gives another layer."""
+    at = 0
+    while first := _FIRST.search(text, at):
+        rows = _rows(text, first)
+        at = rows[-1][0] if len(rows) > 1 else rows[0][1]
+        if len(rows) == 1:
+            continue
+        run, place = "".join(text[a:b] for a, b in rows), np.concatenate([np.arange(a, b) for a, b in rows])
+        ends = np.cumsum([b - a for a, b in rows]).tolist()
+        starts = [0, *(k.end() for k in _MARK.finditer(run, 0, ends[0])), *ends[:-1]]
+        for a, b, (out, x, y) in _parts(run, sorted(set(starts)), ends[:-1]):
+            lo, hi = int(place[a]), int(place[b - 1]) + 1
+            yield (lo, hi, out, x, y) if out is None else (lo, hi, out, place[a + x] - lo, place[a + y - 1] + 1 - lo)
+            at = max(at, hi)
 
 
-DECODERS = {"url": _url, "escape": _escapes, "base64": _base64}
+DECODERS = {"url": _url, "escape": _escapes, "base64": _base64, "wrapped": _wrapped}
 
 
 def unwrap(layer: Layer, decoder: str) -> tuple[Layer | None, list[tuple]]:

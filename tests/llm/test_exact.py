@@ -443,3 +443,52 @@ def test_a_large_block_hides_nothing(monkeypatch):
     text = f"{small} {large} {late} " + wrapped("zlib", "b c" * 5000)
     _, added, refused = secrets.secrets_of(text)
     assert refused == 2 and {text[a:b] for _, a, b, _ in added} == {small, late}
+
+
+def folded(block, width, end="\n"):
+    return end.join(block[i : i + width] for i in range(0, len(block), width))
+
+
+@pytest.mark.parametrize("kind", ["base64", "gzip", "zlib", "bz2", "xz", "zstd"])
+def test_wrapped_blocks(kind):
+    rnd = random.Random(9)
+    noise = " ".join(f"{rnd.getrandbits(40):x}" for _ in range(60))
+    inner = f"{noise} password = {'hunter2' * 12} {noise}"
+    for width, end in ((76, "\n"), (64, "\r\n"), (60, "\n  ")):
+        block = folded(wrapped(kind, inner), width, end)
+        for before, after in (("x ", " after"), ("-----BEGIN CERTIFICATE-----\n", "\n-----END CERTIFICATE-----\n"), ("see:\n", "\nthe end of it")):
+            text = before + block + after
+            found = [text[a:b] for k, a, b, p in secrets.secrets_of(text)[1] if k == "assign" and p == "wrapped"]
+            plain = end.replace(" ", "")
+            assert found and all(f in block + "\nthe" for f in found)
+            if kind == "base64":
+                assert len(found) == 1 and plain[-1] in found[0] and len(found[0]) < 200
+    twice = folded(wrapped("base64", folded(wrapped(kind, inner), 76)), 76)
+    assert any(k == "assign" and p.startswith("wrapped>") for k, _, _, p in secrets.secrets_of(f"x {twice} y")[1])
+    lines = [wrapped("base64", f"password = abcdef{i}") for i in range(3)]
+    text = "\n".join(lines)
+    assert set(lines) <= {text[a:b] for _, a, b, _ in secrets.secrets_of(text)[1]}
+
+
+@pytest.mark.parametrize("kind", ["base64", "gzip", "bz2", "xz", "zstd"])
+def test_blocks_glued_to_a_path(kind):
+    block = wrapped(kind, "why??? >>>~~~ token??? is it? password = hunter2222???")
+    assert set("+/") & set(block)
+    for block in (block, block.replace("+", "-").replace("/", "_")):
+        for before, after in (("https://host.com/cb/", ""), ("x_", ""), ("https://host.com/cb/", "/view/more_of-it"), ("", "/view")):
+            text = f"see {before}{block.rstrip('=') if after else block}{after} there"
+            found = [text[a:b] for k, a, b, _ in secrets.secrets_of(text)[1] if k == "assign"]
+            assert found, (before, after)
+
+
+def test_percent_runs_that_are_partly_text():
+    text = "x %FF%70%61%73%73%77%6F%72%64%3D%C3%61%62%63%64%65%66 and %E9 token%3D%61%62%63%64%65%66%FF y"
+    _, added, _ = secrets.secrets_of(text)
+    assert [(k, text[a:b]) for k, a, b, _ in added] == [("assign", "token%3D%61%62%63%64%65%66")]
+    text = "x %FF%70%61%73%73%77%6F%72%64%3D%61%62%63%64%65%66%FE y"
+    assert [(k, text[a:b]) for k, a, b, _ in secrets.secrets_of(text)[1]] == [("assign", text[5:-5])]
+
+
+def test_blocks_in_long_runs_take_linear_time():
+    for text in ("a/" * 200_000, "cGFzc3dvcmQgPSBh/" * 20_000 + "\x00", ("Pz8/" * 19 + "\n") * 5_000, "%FF" * 200_000, ("QUJD" * 16 + "\n") * 3_000 + "////" * 16):
+        secrets.secrets_of(text)
