@@ -8,7 +8,9 @@ Words are runs of letters, digits and non-ASCII characters in lower case.
    the passage, while grams of common words alone are not used.
 3. Every seed found in a text joins the passage around it to its item; a local
    alignment of the two scores the passage: 2 for an equal word, -1 for a
-   changed, missing or added one, over twice the item's words.
+   changed, missing or added one, over twice the item's words. A passage counts
+   if that share is large enough, or if the score is that of ``ENOUGH`` equal
+   words, which chance does not give, however long the item.
 
 Items go through in groups of at most ``ITEM_WORDS`` words, one pass over the
 texts for each group, so what a task holds does not grow with the benchmark.
@@ -29,6 +31,8 @@ from cubeweave.llm.tables import save
 
 GRAM = 3
 WINDOW = 2
+#: A passage that scores as many equal words counts in an item of any length.
+ENOUGH = 13
 #: Words of the items that one pass over the texts looks for.
 ITEM_WORDS = 1_000_000
 
@@ -117,10 +121,10 @@ def _stretches(places: list[int], reach: int, lo: int, hi: int) -> Iterator[tupl
     yield max(lo, a), min(hi, b)
 
 
-def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targets: list[np.ndarray], names: list, name_type: str, least: float) -> DataFrame:
-    """The best passage of each text (id, text) for each item that it reaches ``least`` with."""
+def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targets: list[np.ndarray], names: list, name_type: str, least: float, enough: int) -> DataFrame:
+    """The best passage of each text (id, text) for each item that it reaches ``least`` or ``enough`` with."""
     shared = docs.sparkSession.sparkContext.broadcast((seeds, owners, targets, names))
-    columns = ["id", "item", "score", "start", "end"]
+    columns = ["id", "item", "score", "points", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mine, words, called = shared.value
@@ -135,23 +139,24 @@ def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targe
                         hits.setdefault((text, item), []).append(place)
                 for (text, item), at in hits.items():
                     target, best = words[item], (0, 0, 0)
+                    need = min(least * len(target), enough)
                     for a, b in _stretches(at, 2 * len(target), int(begin[text]), int(begin[text + 1])):
                         # words that the passage does not have can not score
-                        if np.isin(target, number[a:b]).sum() >= least * len(target):
+                        if np.isin(target, number[a:b]).sum() >= need:
                             score, x, y = align(target, number[a:b])
                             best = max(best, (score, a + x, a + y), key=lambda r: r[0])
-                    if best[0] > 0 and best[0] >= least * 2 * len(target):
+                    if best[0] > 0 and best[0] >= 2 * need:
                         _, x, y = best
                         before = _length(raw[text_at[text] : first[x]])
-                        found.append((lo + text, item, best[0] / (2 * len(target)), before, before + _length(raw[first[x] : end[y - 1]])))
+                        found.append((lo + text, item, best[0] / (2 * len(target)), best[0], before, before + _length(raw[first[x] : end[y - 1]])))
             if found:
-                rows, items, score, start, stop = zip(*found, strict=True)
+                rows, items, score, points, start, stop = zip(*found, strict=True)
                 yield pa.record_batch(
-                    [batch.column("id").take(pa.array(rows)), pa.array([called[i] for i in items], called.type), pa.array(score), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
+                    [batch.column("id").take(pa.array(rows)), pa.array([called[i] for i in items], called.type), pa.array(score), pa.array(points, pa.int64()), pa.array(start, pa.int64()), pa.array(stop, pa.int64())],
                     names=columns,
                 )
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, item {name_type}, score double, start bigint, end bigint")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, item {name_type}, score double, points bigint, start bigint, end bigint")
 
 
 def _length(raw: np.ndarray) -> int:
@@ -167,12 +172,15 @@ def contaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     least: float = 0.5,
+    enough: int = ENOUGH,
 ) -> DataFrame:
     """Passages of ``docs`` that are copies of ``items``, exact, edited or partial.
 
     Returns one row for each document and item: the two id columns, score (of
-    the best local alignment over that of an exact copy, ``least`` to 1), and
-    the passage as start and end in code points of the text, end exclusive.
+    the best local alignment over that of an exact copy), points (that alignment's
+    score: 2 for an equal word, less 1 for each edit), and the passage as start and end in code points of the text, end exclusive.
+    A passage is returned if its score is at least ``least`` or its points are at
+    least those of ``enough`` equal words.
 
     Null and empty texts have no passages. Items of fewer than GRAM words are
     too short to tell a leak from chance and are never found. A repeated row or
@@ -184,7 +192,7 @@ def contaminated(
     grams = save(_item_grams(items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))), "item-grams")
     kind = items.schema[item_col].dataType.simpleString()
     parts = -(-grams.count() // ITEM_WORDS)
-    found = spark.createDataFrame([], f"id {docs.schema['id'].dataType.simpleString()}, item {kind}, score double, start bigint, end bigint")
+    found = spark.createDataFrame([], f"id {docs.schema['id'].dataType.simpleString()}, item {kind}, score double, points bigint, start bigint, end bigint")
     grams = grams.withColumn("part", F.pmod(F.xxhash64("words_id"), F.lit(max(parts, 1))))
     for part in range(parts):
         some = grams.where(F.col("part") == part)
@@ -203,5 +211,5 @@ def contaminated(
         for w, seed in zip(chosen.column("words_id").to_pylist(), np.searchsorted(seeds, np.asarray(chosen.column("seed"))).tolist(), strict=True):
             owners[seed].append(number[w])
         targets = [np.frombuffer(w, dtype=np.uint64) for w in heads.column("words").to_pylist()]
-        found = found.unionByName(_passages(docs, seeds, owners, targets, heads.column("item").combine_chunks(), kind, least))
-    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "start", "end")
+        found = found.unionByName(_passages(docs, seeds, owners, targets, heads.column("item").combine_chunks(), kind, least, enough))
+    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "points", "start", "end")

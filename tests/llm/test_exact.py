@@ -227,6 +227,20 @@ def test_passages_equal_brute_force(spark, sf_dir):
             assert plain_words(text[r.start : r.end]) == plain_words(dict(items)[r.item_id])
 
 
+def test_partial_leaks_of_long_items(spark):
+    """Parts of an item that are long by themselves are found, whatever share of it they are; short ones are not."""
+    item = [f"w{i}" for i in range(200)]
+    around = [f"f{i}" for i in range(300)]
+    quote = lambda words: " ".join([*around, *words, *around])
+    edited = [*item[10:30], "changed", *item[31:41]]
+    rows = [(1, quote(item[50:140])), (2, quote(item[20:33])), (3, quote(item[20:32])), (4, quote(edited)), (5, quote(item)), (6, quote([])), (7, quote([f"v{i}" for i in range(30, 59)]))]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"v{i}" for i in range(59)))], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(frame(spark, rows), items).collect()}
+    assert {k: r.points for k, r in got.items()} == {(1, 1): 180, (2, 1): 26, (4, 1): 59, (5, 1): 400, (7, 2): 58}
+    assert got[1, 1].score == 0.45 and got[5, 1].score == 1
+    assert rows[0][1][got[1, 1].start : got[1, 1].end] == " ".join(item[50:140])
+
+
 def test_exact_leaks_are_found(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     inside = {(d, i.item_id) for d, t in texts_of(spark, sf_dir) for i in items.collect() if i.text in t}
