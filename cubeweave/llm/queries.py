@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import personal, quality, rule_classifier, secrets, sharding, token_shards, url_lists
+from cubeweave.llm import periodic_runs, personal, quality, rule_classifier, secrets, sharding, token_shards, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,3 +89,8 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_shards")
 def materialise_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.materialise(spark, table(spark, sf_dir, "documents"), _model())
+
+
+@query("op13_periodic_runs")
+def runs_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.repeating(table(spark, sf_dir, "documents"))))
