@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import periodic_runs, personal, quality, rule_classifier, secrets, sharding, token_shards, url_lists
+from cubeweave.llm import periodic_runs, personal, prefix_trie, quality, rule_classifier, secrets, sharding, token_shards, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,8 @@ def materialise_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_periodic_runs")
 def runs_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.repeating(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_prefix_trie", prefix_trie.SQL)
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.branched(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
