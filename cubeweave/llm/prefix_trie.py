@@ -19,7 +19,7 @@ Work and rows grow with the number of turns, whatever the depth. A conversation
 of very many turns is cut into slices of a range partitioning: running values are
 taken inside slices, and totals of earlier slices, at most two rows for each
 slice, are added. Joins split off the keys with the most rows, whose number is
-bounded (``HEAVY``), and send those of the other side to all tasks. List digests
+bounded (``tables.HEAVY``), and send those of the other side to all tasks. List digests
 are made of sorted chunks, so that the list of one node is a stream in its task.
 """
 
@@ -32,10 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubeweave.llm.tables import save
+from cubeweave.llm.tables import lookup, save
 
-#: Most keys whose rows are joined by broadcast.
-HEAVY = 1000
 #: Conversation ids in one chunk of a list.
 CHUNK = 1000
 BRANCH = 100
@@ -81,18 +79,6 @@ def _running(df: DataFrame, group: str, order: list[str], sums: dict[str, str],
     )
 
 
-def _lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join of ``rows`` with ``table``, which has each key once and in ``rows`` how often ``rows`` has it.
-
-    Keys with at least 1 / HEAVY of all rows are HEAVY at most: they are
-    broadcast, and no task gets all rows of one of them.
-    """
-    least = table.agg(F.ceil(F.sum("rows") / HEAVY)).first()[0] or 1
-    heavy, light = table.where(F.col("rows") >= max(least, HEAVY)).drop("rows"), table.where(F.col("rows") < max(least, HEAVY)).drop("rows")
-    few = F.broadcast(heavy)
-    return rows.join(few, keys).unionByName(rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys))
-
-
 def turns(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv, place (from 0), u, v (digest) and size (code points of the text) of each turn.
 
@@ -126,7 +112,7 @@ def branched(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = items.where((F.col("conv") == F.col("base")) & (F.col("place") < SHARED - 1)).select("base", F.struct("place", "u", "v", "size").alias("head"))
     heads = heads.groupBy("base").agg(F.sort_array(F.collect_list("head")).alias("heads"))
     ids = save(ids.join(heads, "base", "left").withColumn("shared", F.slice(F.coalesce("heads", F.array().cast(heads.schema["heads"].dataType)), F.lit(1), h.cast("int"))).drop("heads"), "ids")
-    own = _lookup(items.where(F.col("place") >= h), ids.select("conv", "rows", F.size("shared").alias("n_shared")), ["conv"])
+    own = lookup(items.where(F.col("place") >= h), ids.select("conv", "rows", F.size("shared").alias("n_shared")), ["conv"])
     own = own.select("conv", (F.col("place") - h + F.col("n_shared")).alias("place"), "u", "v", "size")
     shared = ids.select("conv", F.explode("shared").alias("head")).select("conv", "head.place", "head.u", "head.v", "head.size")
     return own.unionByName(shared), ids.select("conv")
@@ -205,12 +191,12 @@ def prefix_trie(items: DataFrame, ids: DataFrame) -> DataFrame:
 
     # prefixes of sequences, with the code points from the node to the sequence's end
     named = sequences.select("conv", "weight", "leaf", F.greatest(F.col("depth"), F.lit(1)).alias("rows"))
-    paths = _lookup(prefixes, named, ["conv"]).select("conv", *KEY, "n", "weight", "leaf", (F.col("total") - F.col("upto") + F.col("size")).alias("rest"))
+    paths = lookup(prefixes, named, ["conv"]).select("conv", *KEY, "n", "weight", "leaf", (F.col("total") - F.col("upto") + F.col("size")).alias("rest"))
     roots = sequences.select("conv", *[zero.alias(c) for c in KEY], F.col("depth").alias("n"), "weight", "leaf", F.col("total").alias("rest"))
     paths = save(paths.unionByName(roots), "paths")
 
     owners = save(paths.groupBy(*KEY).agg(F.min("conv").alias("owner"), F.count("*").alias("rows")), "owners")
-    owned = save(_lookup(paths, owners, KEY), "owned")
+    owned = save(lookup(paths, owners, KEY), "owned")
     mine = F.col("owner") == F.col("conv")
     chains = owned.groupBy("conv").agg(
         F.min(F.when(mine, F.col("depth"))).alias("begin"),
@@ -218,7 +204,7 @@ def prefix_trie(items: DataFrame, ids: DataFrame) -> DataFrame:
         F.max_by("owner", F.when(~mine, F.col("depth"))).alias("above"),
         F.count("*").alias("rows"),
     )
-    owned = _lookup(owned, save(chains, "chains"), ["conv"])
+    owned = lookup(owned, save(chains, "chains"), ["conv"])
     parent = F.when(F.col("depth") > F.col("begin"), F.col("conv")).otherwise(F.col("above"))
     nodes = owned.groupBy(*KEY).agg(
         F.min("conv").alias("conv_id"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cubeweave.llm import periodic_runs, personal, prefix_trie, quality, rule_classifier, secrets, sharding, token_shards, url_lists
+from cubeweave.llm import periodic_runs, personal, prefix_trie, quality, repeated_passages, rule_classifier, secrets, sharding, token_shards, url_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,8 @@ def runs_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_prefix_trie", prefix_trie.SQL)
 def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.branched(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+@query("op11_repeated_passages")
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.digests(table(spark, sf_dir, "documents"))

@@ -10,6 +10,7 @@ import pytest
 from edges import CLASHING
 
 from cubeweave.llm import prefix_trie as pt
+from cubeweave.llm import tables
 from cubeweave.runtime import settings
 
 
@@ -71,9 +72,9 @@ def made_up(rnd, n=300):
     return rows + [(None, 1, "user", "no conversation")]
 
 
-@pytest.mark.parametrize("heavy", [pt.HEAVY, 3])
+@pytest.mark.parametrize("heavy", [tables.HEAVY, 3])
 def test_trie_by_brute_force(spark, monkeypatch, heavy):
-    monkeypatch.setattr(pt, "HEAVY", heavy)
+    monkeypatch.setattr(tables, "HEAVY", heavy)
     monkeypatch.setattr(pt, "CHUNK", 7)
     rows = made_up(random.Random(heavy))
     convs = plain_turns(rows)
