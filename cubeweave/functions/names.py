@@ -79,3 +79,11 @@ def tidy(name: Column) -> Column:
 
 def one_line(text: str | Column) -> Column:
     return F.regexp_replace(col(text), r"\R", " ")
+
+
+def absolute(location: str | Column, base: str | Column) -> Column:
+    """A location, which may be relative to the directory ``base``, without ``.`` and ``..``."""
+    whole = F.when(F.startswith(col(location), F.lit("/")), col(location)).otherwise(F.concat_ws("/", col(base), col(location)))
+    empty = F.array().cast("array<string>")
+    step = lambda a, p: F.when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(p.isin("", "."), a).otherwise(F.array_append(a, p))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(whole, "/"), empty, step), "/"))

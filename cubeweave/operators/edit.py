@@ -174,7 +174,7 @@ def slice_at(cube: DataFrame, axis: DataFrame, dim: str, index: int) -> DataFram
     return section(cube, {dim: axis}, {dim: (index, index)}).drop(dim)
 
 
-def _coarse(rows: DataFrame, dim: str) -> Column:
+def coarse(rows: DataFrame, dim: str) -> Column:
     """A part of a dimension's order that many of its values share."""
     kind = rows.schema[dim].dataType.typeName()
     if kind.startswith(("timestamp", "date")):
@@ -185,7 +185,7 @@ def _coarse(rows: DataFrame, dim: str) -> Column:
 
 def axis(rows: DataFrame, dim: str) -> DataFrame:
     """The 0-based index of every value of a dimension."""
-    return ordering.axis_index(rows.select(dim), dim, _coarse(rows, dim))
+    return ordering.axis_index(rows.select(dim), dim, coarse(rows, dim))
 
 
 def _is_time(rows: DataFrame, dim: str) -> bool:
@@ -198,7 +198,7 @@ def index_bounds(rows: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFra
     One pass over ``rows`` gives the axes of all dimensions. Times count in microseconds.
     """
     number = {d: F.unix_micros(F.col(d).cast("timestamp")).cast("double") if _is_time(rows, d) else F.col(d).cast("double") for d in ranges}
-    parts = F.array(*[F.struct(F.lit(d).alias("dim"), number[d].alias("value"), _coarse(rows, d).cast("bigint").alias("coarse")) for d in ranges])
+    parts = F.array(*[F.struct(F.lit(d).alias("dim"), number[d].alias("value"), coarse(rows, d).cast("bigint").alias("coarse")) for d in ranges])
     axes = rows.select(F.inline(parts)).distinct()
     placed = ordering.position(axes, ["dim"], "coarse", ["value"], "index")
     mine = {d: F.when((F.col("dim") == d) & F.col("index").between(a, b), F.col("value")) for d, (a, b) in ranges.items()}
@@ -288,3 +288,18 @@ def canonical(cube: DataFrame, dims: list[str]) -> DataFrame:
     """Dimensions first, in the order given, then the variables; rows sorted inside partitions."""
     order = [d for d in dims if d in cube.columns]
     return cube.select(*order, *[c for c in cube.columns if c not in order]).sortWithinPartitions(*order)
+
+
+def drop_single(cube: DataFrame, dims: list[str]) -> DataFrame:
+    """Drop dimensions of length one. Reading fails if one of them is longer; no job runs before that."""
+    ends = cube.agg(*[F.struct(F.min(d).alias("low"), F.max(d).alias("high")).alias(d) for d in dims])
+    single = ends.select(F.array_compact(F.array(*[F.when(~F.col(f"{d}.low").eqNullSafe(F.col(f"{d}.high")), F.lit(d)) for d in dims])).alias("long")).scalar()
+    error = F.raise_error(F.concat(F.lit("more than one value along "), F.array_join(single, ", "))).cast("boolean")
+    return cube.where(F.when(F.size(single) > 0, error).otherwise(True)).drop(*dims)
+
+
+def along(cube: DataFrame, dim: str, name: str, value: Column) -> DataFrame:
+    """A variable along one dimension, made from the ``index`` of its values; under the dimension's name it takes its place."""
+    made = axis(cube, dim).select(F.col(dim).alias("_at"), value.alias("_value"))
+    rest = [c for c in cube.columns if c != name]
+    return cube.join(made, F.col(dim) == F.col("_at"), "left").select(*rest, F.col("_value").alias(name))

@@ -7,7 +7,7 @@ columns, join strategies) is left to the optimizer.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 from functools import reduce
@@ -21,7 +21,8 @@ from cubeweave.operators import edit, virtual
 
 @dataclass(frozen=True)
 class VirtualDataset:
-    """``kind`` is leaf, concat (along an existing dimension), merge (of variables) or stack (along a new one)."""
+    """``kind`` is leaf, concat (along an existing dimension), merge (of variables), stack (along a new one)
+    or mapped (a step on the rows of another dataset)."""
 
     kind: str
     coords: tuple[str, ...]
@@ -34,6 +35,12 @@ class VirtualDataset:
     labels: tuple[str, ...] = ()
     fixed: DataFrame | None = None
     attributes: dict[str, str] = field(default_factory=dict)
+    # a leaf that is read for the variables asked for, and the step of a mapped dataset
+    open: Callable[[tuple[str, ...]], DataFrame] | None = None
+    step: Callable[[DataFrame], DataFrame] | None = None
+    # names of a mapped dataset's variables in the dataset below, None for those that the step makes
+    names: dict[str, str | None] = field(default_factory=dict)
+    pruned: bool = True
 
     @classmethod
     def of(cls, table: DataFrame, coords: Iterable[str], period: tuple[str, str] | None = None, **attributes: str):
@@ -42,6 +49,29 @@ class VirtualDataset:
         names = tuple(c for c in table.columns if c not in coords)
         return cls("leaf", coords, names, table=table, period=period, attributes=attributes)
 
+    @classmethod
+    def files(cls, open: Callable[[tuple[str, ...]], DataFrame], coords: Iterable[str], variables: Iterable[str], period: tuple[str, str] | None = None):
+        """Files that ``open`` reads, for some variables, as a table with one row per coordinate tuple."""
+        return cls("leaf", tuple(coords), tuple(variables), open=open, period=period)
+
+    def then(
+        self,
+        step: Callable[[DataFrame], DataFrame],
+        coords: Iterable[str] | None = None,
+        names: dict[str, str | None] | None = None,
+        pruned: bool = True,
+    ) -> "VirtualDataset":
+        """The rows after a step. ``names``: variables there, with their names here (None: the step makes them).
+
+        A step that needs every member, as one that counts along a dimension does, is not ``pruned``: periods and labels
+        are looked at after it.
+        """
+        names = {v: v for v in self.variables} if names is None else names
+        return replace(
+            self, kind="mapped", children=(self,), coords=self.coords if coords is None else tuple(coords), variables=tuple(names), names=names,
+            step=step, pruned=pruned, fixed=None, table=None, open=None, period=self.period if pruned else None,
+        )
+
     @classmethod
     def concat(cls, members: list["VirtualDataset"], dim: str = "time"):
         """Members one after the other along a dimension they have. The result
@@ -93,8 +123,19 @@ class VirtualDataset:
         return df
 
     def _read(self, wanted, period, labels) -> DataFrame:
+        if self.kind == "mapped":
+            (below,) = self.children
+            needed = [self.names[v] for v in wanted if self.names[v] is not None]
+            # without a variable the rows are still those of the dataset below
+            needed = needed or below.variables
+            df = self.step(below.frame(needed, period, labels) if self.pruned else below.frame(needed))
+            if not self.pruned and period is not None and "time" in self.coords:
+                df = df.where(times.within("time", period))
+            if not self.pruned and labels is not None and self.dim in self.coords:
+                df = df.where(F.col(self.dim).isin(*labels))
+            return df.select(*self.coords, *wanted)
         if self.kind == "leaf":
-            df = edit.explicit(self.table, [*self.coords, *wanted])
+            df = edit.explicit(self.table, [*self.coords, *wanted]) if self.open is None else self.open(wanted)
             if period is not None and "time" in self.coords:
                 df = df.where(times.within("time", period))
             return df

@@ -1,283 +1,227 @@
-"""Descriptor documents (XML text) as one table of facts.
+"""Descriptor documents (XML text) as one table of facts, edits of them, and the files they name.
 
-A document is parsed once, against a schema with as many nested aggregations
-as are asked for, and its facts come out of one generator; nothing is joined. A
-document with more of them is an error.
-Reading is lenient: child order is ignored, aggregation types and booleans
-are taken in any case.
+Documents are read at any depth (``markup.elements``), one row for each
+element, and every element is a fact. Reading is lenient: child order is
+ignored, aggregation types and booleans are taken in any case. Edits change the text
+itself, so what they do not touch stays as it is.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubeweave.functions import names
-
-#: Nested aggregations that are read unless more are asked for.
-MAX_DEPTH = 3
-
-_REMOVE = "array<struct<_name:string,_type:string>>"
-_ATTRIBUTE = "array<struct<_name:string,_type:string,_value:string,_orgName:string>>"
-_VALUES = "struct<_VALUE:string,_start:string,_increment:string,_npts:string,_separator:string>"
-_VARIABLE = f"array<struct<_name:string,_type:string,_shape:string,_orgName:string,attribute:{_ATTRIBUTE},remove:{_REMOVE},values:{_VALUES}>>"
-_ENUM = "array<struct<_name:string,_type:string,enum:array<struct<_key:string,_VALUE:string>>>>"
-_DIMENSION = "array<struct<_name:string,_length:string,_orgName:string>>"
-_SCAN = "array<struct<_location:string,_suffix:string,_regExp:string,_subdirs:string,_olderThan:string,_dateFormatMark:string>>"
-
-
-_INSIDE = f"attribute:{_ATTRIBUTE},variable:{_VARIABLE},dimension:{_DIMENSION},remove:{_REMOVE}"
-_GROUP = f"array<struct<_name:string,_orgName:string,{_INSIDE},group:array<struct<_name:string,_orgName:string,{_INSIDE}>>>>"
-
-
-def _fields_of(depth: int) -> list[str]:
-    fields = [
-        "_location:string", "_id:string", "_ncoords:string", "_coordValue:string", "_section:string", "_recheckEvery:string",
-        "explicit:string", "readMetadata:string", f"enumTypedef:{_ENUM}", f"group:{_GROUP}",
-        f"attribute:{_ATTRIBUTE}", f"variable:{_VARIABLE}", f"dimension:{_DIMENSION}", f"remove:{_REMOVE}",
-    ]
-    if depth > 0:
-        fields.append(
-            "aggregation:array<struct<_type:string,_dimName:string,_recheckEvery:string,_timeUnitsChange:string,"
-            f"variableAgg:array<struct<_name:string>>,remove:{_REMOVE},scan:{_SCAN},"
-            f"netcdf:array<{_struct_of(depth - 1)}>>>"
-        )
-    return fields
-
-
-def _struct_of(depth: int) -> str:
-    return f"struct<{','.join(_fields_of(depth))}>"
-
-
-STRUCT = _struct_of(MAX_DEPTH)
+from cubeweave.functions import marks, names
+from cubeweave.sources import markup
 
 FACT = (
     "kind string, node_path string, ordinal int, name string, type string, value string, org_name string, "
     "location string, ncoords bigint, coord_value string, suffix string, regexp string, subdirs boolean, "
-    "recheck string, time_units_change boolean, older_than string, date_mark string, section string"
+    "recheck string, time_units_change boolean, older_than string, date_mark string, section string, "
+    "options map<string,string>"
 )
-_FIELDS = [f.strip().split(" ") for f in FACT.split(",")]
-
-
-_NO_FACTS = f"CAST(array() AS array<struct<{', '.join(f'{n}:{t}' for n, t in _FIELDS)}>>)"
-
-
-# The expressions below are built as SQL text: nested lambdas over four levels
-# are one round trip to the JVM that way instead of some thousands.
-
-
-def _fact(kind: str, path: str, ordinal: str, **given: str) -> str:
-    values = {"kind": f"'{kind}'", "node_path": path, "ordinal": ordinal, **given}
-    return "named_struct(%s)" % ", ".join(f"'{n}', CAST({values.get(n, 'NULL')} AS {t})" for n, t in _FIELDS)
-
-
-def _each(items: str, item: str, fact: str) -> str:
-    return f"coalesce(transform({items}, ({item}, {item}i) -> {fact}), {_NO_FACTS})"
-
-
-def _step(path: str, element: str, i: str) -> str:
-    return f"concat({path}, '/{element}[', {i}, ']')"
 
+#: Elements that are a fact of their own, and what the fact is called.
+_KINDS = {
+    "attribute": "attribute", "remove": "remove", "variable": "variable", "dimension": "dimension", "group": "group",
+    "values": "values", "enum": "enum", "explicit": "metadata", "readMetadata": "metadata", "aggregation": "aggregation",
+    "scan": "scan", "scanFmrc": "scan_fmrc", "variableAgg": "variable_agg", "promoteGlobalAttribute": "promote",
+    "cacheVariable": "cache", "logicalSection": "logical_section", "logicalSlice": "logical_slice", "logicalReduce": "logical_reduce",
+    "unreadable": "unreadable",
+}
 
-def _removals(items: str, path: str) -> str:
-    return _each(items, "r", _fact("remove", path, "ri", name="r._name", type="r._type"))
 
+def facts(docs: DataFrame, key: str = "doc_id", xml: str = "xml") -> DataFrame:
+    """All facts of documents, one for each element at any depth: (key, kind, node_path, ordinal, ..., options).
 
-def _attributes(items: str, path: str) -> str:
-    fact = _fact(
-        "attribute", path, "ai", name="a._name", type="coalesce(a._type, 'String')", value="a._value", org_name="a._orgName"
-    )
-    return _each(items, "a", fact)
-
-
-def _flat(items: str, item: str, facts: str) -> str:
-    return f"flatten(coalesce(transform({items}, ({item}, {item}i) -> {facts}), array()))"
-
-
-def _held_facts(node: str, path: str) -> list[str]:
-    """Facts of what datasets and groups hold alike: attributes, removals, variables with theirs, dimensions."""
-    at = _step(path, "variable", "vi")
-    # generated values are told as text, listed ones as they stand
-    text = "coalesce(v.values._VALUE, concat_ws(' ', v.values._start, v.values._increment, v.values._npts))"
-    values = _fact("values", path, "0", name="v._name", type="CASE WHEN v.values._npts IS NULL THEN 'list' ELSE 'sequence' END", value=text)
-    return [
-        _attributes(f"{node}.attribute", path),
-        _removals(f"{node}.remove", path),
-        _each(f"{node}.variable", "v", _fact("variable", path, "vi", name="v._name", type="v._type", org_name="v._orgName")),
-        _flat(f"{node}.variable", "v", _attributes("v.attribute", at)),
-        _flat(f"{node}.variable", "v", _removals("v.remove", at)),
-        f"coalesce(transform(filter({node}.variable, v -> v.values IS NOT NULL), v -> {values}), {_NO_FACTS})",
-        _each(f"{node}.dimension", "d", _fact("dimension", path, "di", name="d._name", org_name="d._orgName")),
-    ]
-
-
-def _group_facts(node: str, path: str, level: int) -> str:
-    """Groups with what they hold, and the groups inside them."""
-    p = f"p{level}"
-    at = _step(path, "group", f"{p}i")
-    own = _fact("group", path, f"{p}i", name=f"{p}._name", org_name=f"{p}._orgName")
-    inner = [_group_facts(p, at, level - 1)] if level > 1 else []
-    return _flat(f"{node}.group", p, f"concat(array({own}), {', '.join([*_held_facts(p, at), *inner])})")
-
-
-def _netcdf_facts(node: str, path: str, depth: int) -> str:
-    pairs = _each("t.enum", "e", _fact("enum", path, "ei", name="t._name", type="t._type", value="concat(e._key, '=', e._VALUE)"))
-    flag = lambda name: f"CASE WHEN {node}.{name} IS NULL THEN {_NO_FACTS} ELSE array({_fact('metadata', path, '0', name=chr(39) + name + chr(39))}) END"
-    parts = [*_held_facts(node, path), _flat(f"{node}.enumTypedef", "t", pairs), _group_facts(node, path, 2), flag("explicit"), flag("readMetadata")]
-    if depth > 0:
-        g = f"g{depth}"
-        nested = _aggregation_facts(g, _step(path, "aggregation", f"{g}i"), f"{g}i", depth)
-        parts.append(f"flatten(coalesce(transform({node}.aggregation, ({g}, {g}i) -> {nested}), array()))")
-    return f"concat({', '.join(parts)})"
-
-
-def _aggregation_facts(g: str, path: str, i: str, depth: int) -> str:
-    own = _fact(
-        "aggregation", path, i, type=f"lower({g}._type)", name=f"{g}._dimName", recheck=f"{g}._recheckEvery",
-        time_units_change=f"lower({g}._timeUnitsChange) = 'true'",
+    node_path is the path of what holds the element; that of an aggregation is
+    its own, and values and enumeration entries stand where their variable or
+    type stands, under its name. options has every XML attribute as it is, so nothing is
+    lost; an element without a kind of its own is a fact named by its element. Text that is no
+    document is one fact, ``unreadable``.
+    """
+    rows = markup.elements(docs, key, xml).where("element <> 'enumTypedef'")
+    given = lambda n: F.try_element_at("given", F.lit(n))
+    outer = lambda n: F.try_element_at("outer_given", F.lit(n))
+    is_ = lambda *e: F.col("element").isin(*e)
+    kinds = F.create_map(*[F.lit(x) for kv in _KINDS.items() for x in kv])
+    kind = F.when(F.col("outer").isNull() & is_("netcdf"), "dataset").when(is_("netcdf"), "member").otherwise(F.coalesce(F.try_element_at(kinds, "element"), "element"))
+    yes = lambda n: F.lower(given(n)) == "true"
+    inner = is_("values", "enum")
+    generated = is_("values") & given("npts").isNotNull()
+    value = (
+        F.when(is_("enum"), F.concat(given("key"), F.lit("="), F.coalesce("text", F.lit(""))))
+        # generated values are told as text, listed ones as they stand
+        .when(is_("values"), F.coalesce("text", F.concat_ws(" ", given("start"), given("increment"), given("npts"))))
+        .when(is_("unreadable"), F.col("text"))
+        .otherwise(F.coalesce(given("value"), F.when(is_("attribute"), F.col("text"))))
     )
-    scan = _fact(
-        "scan", path, "si", location="s._location", suffix="s._suffix", regexp="s._regExp", subdirs="lower(s._subdirs) = 'true'",
-        older_than="s._olderThan", date_mark="s._dateFormatMark",
+    type_ = (
+        F.when(is_("aggregation"), F.lower(given("type")))
+        .when(is_("attribute"), F.coalesce(given("type"), F.lit("String")))
+        .when(is_("enum"), outer("type"))
+        .when(is_("values"), F.when(generated, "sequence").otherwise("list"))
+        .otherwise(given("type"))
     )
-    n = f"n{depth}"
-    member = _fact(
-        "member", path, f"{n}i", location=f"{n}._location", ncoords=f"{n}._ncoords", coord_value=f"{n}._coordValue", section=f"{n}._section",
+    name = (
+        F.when(inner, outer("name"))
+        .when(is_("explicit", "readMetadata"), F.col("element"))
+        .when(is_("aggregation", "logicalSlice"), given("dimName"))
+        .when(is_("logicalReduce"), given("dimNames"))
+        .otherwise(given("name"))
     )
-    inside = _netcdf_facts(n, _step(path, "netcdf", f"{n}i"), depth - 1)
-    children = f"transform({g}.netcdf, ({n}, {n}i) -> concat(array({member}), {inside}))"
-    parts = [
-        f"array({own})",
-        _removals(f"{g}.remove", path),
-        _each(f"{g}.scan", "s", scan),
-        _each(f"{g}.variableAgg", "w", _fact("variable_agg", path, "wi", name="w._name")),
-        f"flatten(coalesce({children}, array()))",
-    ]
-    return f"concat({', '.join(parts)})"
+    columns = {
+        "kind": kind,
+        "node_path": F.when(is_("aggregation") | F.col("outer").isNull(), F.col("path")).when(inner, F.col("holder")).otherwise(F.col("outer")),
+        "ordinal": F.when(is_("values"), 0).otherwise(F.col("ordinal")),
+        "name": name,
+        "type": type_,
+        "value": value,
+        "org_name": given("orgName"),
+        "location": given("location"),
+        "ncoords": given("ncoords").try_cast("bigint"),
+        "coord_value": given("coordValue"),
+        "suffix": given("suffix"),
+        "regexp": given("regExp"),
+        "subdirs": yes("subdirs"),
+        "recheck": given("recheckEvery"),
+        "time_units_change": yes("timeUnitsChange"),
+        "older_than": given("olderThan"),
+        "date_mark": given("dateFormatMark"),
+        "section": given("section"),
+        "options": F.col("given"),
+    }
+    types = dict(f.strip().split(" ", 1) for f in FACT.replace("map<string,string>", "map").split(","))
+    return rows.select(key, *[c.cast("map<string,string>" if types[n] == "map" else types[n]).alias(n) for n, c in columns.items()])
 
 
-def _document_facts(depth: int) -> str:
-    dataset = _fact("dataset", "'/netcdf'", "0", location="netcdf._location", recheck="netcdf._recheckEvery")
-    return f"concat(array({dataset}), {_netcdf_facts('netcdf', chr(39) + '/netcdf' + chr(39), depth)})"
+def key_values(docs: DataFrame, key: str, xml: str = "xml", doc: str = "doc_id") -> DataFrame:
+    """Every value of one attribute (``@name``) or element at any depth, in document order."""
+    path = f"//{key}" if key.startswith("@") else f"//{key}/text()"
+    return docs.select(doc, F.posexplode(F.xpath(F.col(xml), F.lit(path))).alias("pos", "value"))
 
 
-def parse(docs: DataFrame, xml: str = "xml", depth: int = MAX_DEPTH) -> DataFrame:
-    """Add the parsed document as the struct column ``netcdf``; null for text that is no document.
+class _Keeping(ElementTree.TreeBuilder):
+    """A builder that keeps the prefixes of name spaces for writing."""
 
-    Reading a document with more than ``depth`` nested aggregations fails.
-    """
-    read = F.from_xml(F.col(xml), ", ".join(f.replace(":", " ", 1) for f in _fields_of(depth)))
-    # as many opening tags before the first closing one as aggregations can be nested; a self-closed one holds nothing
-    opened = F.regexp_replace(F.col(xml), r"(?s)<!--.*?-->|<(?:\w+:)?aggregation\b[^>]*/>", "")
-    level = F.transform(F.regexp_extract_all(opened, F.lit(r"<(/?)(?:\w+:)?aggregation\b"), F.lit(1)), lambda c: F.when(c == "", 1).otherwise(-1))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    step = lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most"))
-    deepest = F.aggregate(level, start, step)["most"]
-    error = F.raise_error(F.lit(f"a document has more than {depth} nested aggregations")).cast(read_type(depth))
-    return docs.withColumn("netcdf", F.when(deepest > depth, error).otherwise(read))
+    def start_ns(self, prefix: str, uri: str) -> None:
+        if not re.fullmatch(r"ns\d+", prefix or ""):
+            ElementTree.register_namespace(prefix or "", uri)
 
 
-def read_type(depth: int = MAX_DEPTH) -> str:
-    """The type of a parsed document."""
-    return _struct_of(depth)
+def _edited(docs: DataFrame, change: Callable[[ElementTree.Element, str | None], None], value: Column | None, xml: str) -> DataFrame:
+    """``docs`` with ``change`` applied to the outermost element of every text; comments stay."""
 
+    def text(xml: str | None, value: str | None) -> str | None:
+        if xml is None:
+            return None
+        root = ElementTree.fromstring(xml.encode(), ElementTree.XMLParser(target=_Keeping(insert_comments=True, insert_pis=True)))
+        change(root, value)
+        return ElementTree.tostring(root, encoding="unicode")
 
-def facts(parsed: DataFrame, key: str = "doc_id", depth: int = MAX_DEPTH) -> DataFrame:
-    """All facts of documents parsed to a depth: (key, kind, node_path, ordinal, ...)."""
-    return parsed.select(key, F.inline(F.expr(_document_facts(depth))))
+    @F.pandas_udf("string")
+    def run(xml: pd.Series, value: pd.Series) -> pd.Series:
+        return pd.Series([text(x, v) for x, v in zip(xml, value, strict=True)], dtype=object)
 
+    return docs.withColumn(xml, run(xml, F.lit(None).cast("string") if value is None else value.cast("string")))
 
-def key_values(docs: DataFrame, key: str, xml: str = "xml", doc: str = "doc_id") -> DataFrame:
-    """Every value of one attribute (``@name``) or element at any depth, in document order."""
-    path = f"//{key}" if key.startswith("@") else f"//{key}/text()"
-    return docs.select(doc, F.posexplode(F.xpath(F.col(xml), F.lit(path))).alias("pos", "value"))
 
+def _named(root: ElementTree.Element, element: str, **given: str) -> list[ElementTree.Element]:
+    """Children of one kind with these XML attributes, whatever their name space."""
+    kind = lambda e: isinstance(e.tag, str) and e.tag.rpartition("}")[2] == element
+    return [e for e in root if kind(e) and all(e.get(k) == v for k, v in given.items())]
 
-def add_attribute(parsed: DataFrame, name: str, value: Column, type_: str = "String") -> DataFrame:
-    """Set a dataset attribute of every document, in the document itself."""
-    item = F.struct(
-        F.lit(name).alias("_name"), F.lit(type_).alias("_type"), value.alias("_value"), F.lit(None).cast("string").alias("_orgName")
-    )
-    kept = F.filter(F.coalesce(F.col("netcdf.attribute"), F.array()), lambda a: a["_name"] != name)
-    return parsed.withColumn("netcdf", F.col("netcdf").withField("attribute", F.concat(kept, F.array(item))))
 
+def _add(root: ElementTree.Element, element: str, given: dict[str, str | None]) -> ElementTree.Element:
+    """A new child in the name space of its parent, after its siblings of the same kind."""
+    space = root.tag.rpartition("}")
+    child = ElementTree.Element(f"{space[0]}{space[1]}{element}", {k: v for k, v in given.items() if v is not None})
+    last = [i for i, e in enumerate(root) if e in _named(root, element)]
+    root.insert(last[-1] + 1 if last else 0, child)
+    return child
 
-def add_removal(parsed: DataFrame, name: str, type_: str) -> DataFrame:
-    """List one more removal in every document that does not have it."""
-    item = F.struct(F.lit(name).alias("_name"), F.lit(type_).alias("_type"))
-    have = F.coalesce(F.col("netcdf.remove"), F.array().cast(_REMOVE))
-    return parsed.withColumn("netcdf", F.col("netcdf").withField("remove", F.array_union(have, F.array(item))))
 
+def _set(node: ElementTree.Element, name: str, value: str | None, type_: str) -> None:
+    for e in _named(node, "attribute", name=name):
+        node.remove(e)
+    _add(node, "attribute", {"name": name, "type": type_, "value": value})
 
-def _with_variables(parsed: DataFrame, variables: Column) -> DataFrame:
-    return parsed.withColumn("netcdf", F.col("netcdf").withField("variable", variables))
 
-
-def _variables() -> Column:
-    return F.coalesce(F.col("netcdf.variable"), F.array().cast(_VARIABLE))
+def add_attribute(docs: DataFrame, name: str, value: Column, type_: str = "String", xml: str = "xml") -> DataFrame:
+    """Set a dataset attribute of every document, in the document itself."""
+    return _edited(docs, lambda root, v: _set(root, name, v, type_), value, xml)
 
 
-def _new_variable(name: str, org_name: str | None = None) -> Column:
-    """A variable element that has a name, and a former one, alone."""
-    given = {"_name": F.lit(name), "_orgName": F.lit(org_name).cast("string")}
-    empty = F.from_json(F.lit("{}"), _VARIABLE.removeprefix("array<").removesuffix(">"))
-    for field, value in given.items():
-        empty = empty.withField(field, value)
-    return empty
+def add_removal(docs: DataFrame, name: str, type_: str, xml: str = "xml") -> DataFrame:
+    """List one more removal in every document that does not have it."""
 
+    def change(root, _):
+        if not _named(root, "remove", name=name, type=type_):
+            _add(root, "remove", {"name": name, "type": type_})
 
-def _named(name: str) -> Column:
-    return F.exists(_variables(), lambda v: v["_name"] == name)
+    return _edited(docs, change, None, xml)
 
 
-def rename_variable(parsed: DataFrame, old: str, new: str) -> DataFrame:
+def rename_variable(docs: DataFrame, old: str, new: str, xml: str = "xml") -> DataFrame:
     """Rename a variable in every document; its first name stays as ``orgName``.
 
     An element with the old name takes the new one; where there is none, an element is added.
     """
-    moved = F.transform(
-        _variables(),
-        lambda v: F.when(v["_name"] == old, v.withField("_name", F.lit(new)).withField("_orgName", F.coalesce(v["_orgName"], F.lit(old)))).otherwise(v),
-    )
-    return _with_variables(parsed, F.when(_named(old), moved).otherwise(F.concat(_variables(), F.array(_new_variable(new, old)))))
 
+    def change(root, _):
+        held = _named(root, "variable", name=old)
+        for e in held:
+            e.set("orgName", e.get("orgName", old))
+            e.set("name", new)
+        if not held:
+            _add(root, "variable", {"name": new, "orgName": old})
+
+    return _edited(docs, change, None, xml)
 
-def set_variable_attribute(parsed: DataFrame, variable: str, name: str, value: Column, type_: str = "String") -> DataFrame:
+
+def set_variable_attribute(docs: DataFrame, variable: str, name: str, value: Column, type_: str = "String", xml: str = "xml") -> DataFrame:
     """Set an attribute of a variable in every document; an element is added where the variable has none."""
-    item = F.struct(
-        F.lit(name).alias("_name"), F.lit(type_).alias("_type"), value.alias("_value"), F.lit(None).cast("string").alias("_orgName")
-    )
-    every = F.when(_named(variable), _variables()).otherwise(F.concat(_variables(), F.array(_new_variable(variable))))
 
-    def changed(v: Column) -> Column:
-        kept = F.filter(F.coalesce(v["attribute"], F.array().cast(_ATTRIBUTE)), lambda a: a["_name"] != name)
-        return F.when(v["_name"] == variable, v.withField("attribute", F.concat(kept, F.array(item)))).otherwise(v)
+    def change(root, v):
+        for e in _named(root, "variable", name=variable) or [_add(root, "variable", {"name": variable})]:
+            _set(e, name, v, type_)
 
-    return _with_variables(parsed, F.transform(every, changed))
+    return _edited(docs, change, value, xml)
 
 
-def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The files behind every descriptor: (key, node_path, path).
+def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of: Column | None = None) -> DataFrame:
+    """The files behind every descriptor: (key, node_path, ordinal, path, kind of the fact that names it).
 
     Listed locations are files themselves. A scan meets a file when its
     location is one of the file's directories, so paths are spread over their
-    directories and the match is an equality.
+    directories and the match is an equality. A scan that takes files of a minimum age needs the inventory's
+    ``mtime`` and the time ``as_of`` which their age is counted.
     """
     bare = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
     listed = found.where((F.col("kind") == "member") & F.col("location").isNotNull()).select(
-        key, "node_path", "ordinal", F.col("location").alias("path")
+        key, "node_path", "ordinal", F.col("location").alias("path"), "kind"
     )
-    scans = found.where(F.col("kind") == "scan").select(
-        key, "node_path", "ordinal", bare(F.col("location")).alias("location"), "suffix", "regexp", F.coalesce("subdirs", F.lit(True)).alias("subdirs")
+    scans = found.where(F.col("kind").isin("scan", "scan_fmrc")).select(
+        key, "node_path", "ordinal", "kind", bare(F.col("location")).alias("location"), "suffix", "regexp",
+        F.coalesce("subdirs", F.lit(True)).alias("subdirs"), marks.seconds(F.col("older_than")).alias("_age"),
     )
     parts = names.dirs("path")
     joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
     # the first part of an absolute path is empty: its directory is the root
     places = F.transform(joined, lambda p: F.when(F.startswith("path", F.lit("/")) & (p == ""), "/").otherwise(p))
-    held = inventory.select("path", places.alias("_places"))
-    spread = held.select("path", F.size("_places").alias("_depth"), F.posexplode("_places").alias("_at", "location"))
+    time = F.col("mtime").cast("timestamp_ntz") if "mtime" in inventory.columns else F.lit(None).cast("timestamp_ntz")
+    held = inventory.select("path", time.alias("_time"), places.alias("_places"))
+    spread = held.select("path", "_time", F.size("_places").alias("_depth"), F.posexplode("_places").alias("_at", "location"))
     hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth") - 1))
     ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
     suffix_is = F.rlike("path", ending)
     regexp_is = F.col("regexp").isNull() | F.rlike("path", F.concat(F.lit("^(?:"), F.coalesce("regexp", F.lit("")), F.lit(")$")))
-    return listed.unionByName(hit.where(suffix_is & regexp_is).select(key, "node_path", "ordinal", "path"))
+    unknown = F.raise_error(F.lit("a scan takes files of a minimum age: give the time as of which it is counted")).cast("boolean")
+    aged = unknown if as_of is None else F.col("_time") <= as_of - F.make_dt_interval(secs=F.col("_age").cast("decimal(18,6)"))
+    old_enough = F.when(F.col("_age").isNull(), True).otherwise(aged)
+    return listed.unionByName(hit.where(suffix_is & regexp_is & old_enough).select(key, "node_path", "ordinal", "path", "kind"))

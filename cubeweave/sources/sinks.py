@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import times
-from cubeweave.sources import descriptors
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -21,16 +20,21 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def write_descriptors(parsed: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Documents as XML, one element per document."""
-    parsed.select(F.col(key).alias("_key"), "netcdf").write.mode("errorifexists").xml(
-        path, rowTag="document", rootTag="documents"
-    )
+def write_descriptors(docs: DataFrame, path: str, key: str = "doc_id", xml: str = "xml") -> None:
+    """Documents as XML text, each in one ``document`` element that carries its key."""
+    body = F.regexp_replace(xml, r"^\s*<\?xml[^>]*\?>", "")
+    text = F.concat(F.lit('<document key="'), F.replace(F.col(key).cast("string"), F.lit('"'), F.lit("&quot;")), F.lit('">'), body)
+    docs.select(text.alias("value")).write.mode("errorifexists").option("lineSep", _END).text(path)
+
+
+#: What ends a document in the files of ``write_descriptors``.
+_END = "</document>\n"
 
 
 def read_descriptors(spark: SparkSession, path: str, key: str = "doc_id", key_type: str = "bigint") -> DataFrame:
-    schema = f"_key {key_type}, netcdf {descriptors.STRUCT}"
-    return spark.read.schema(schema).xml(path, rowTag="document").withColumnRenamed("_key", key)
+    text = spark.read.option("lineSep", _END).text(path)
+    parts = lambda n: F.regexp_extract("value", r'(?s)^<document key="([^"]*)">(.*)$', n)
+    return text.select(F.replace(parts(1), F.lit("&quot;"), F.lit('"')).cast(key_type).alias(key), parts(2).alias("xml"))
 
 
 def modified_name(path: str) -> str:

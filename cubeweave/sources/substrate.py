@@ -362,3 +362,63 @@ def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</netcdf>"),
     )
     return table(spark, sf_dir, "customer").select(key.alias("doc_id"), xml.alias("xml"))
+
+
+#: Where the documents of ``dataset_documents`` are, and the forecast files that one of them scans.
+DOCUMENTS = "/data/docs"
+FORECASTS = "/data/geps"
+
+# one document for each way to make a dataset out of others; they name files of the inventory and each other
+_DOCUMENTS = {
+    "parts/tas.ncml": """<netcdf xmlns="urn:ncml"><attribute name="ncml_origin" value="tas"/>
+      <aggregation dimName="time" type="joinExisting"><scan location="../../vdb" regExp=".*/historical/.*/tas/[^/]*" suffix=".nc"/>
+      <remove name="time_bnds" type="variable"/></aggregation></netcdf>""",
+    "parts/pr.ncml": """<netcdf><attribute name="ncml_origin" value="pr"/>
+      <aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/historical/.*/pr/[^/]*" suffix="*.nc" subdirs="True"/></aggregation></netcdf>""",
+    "union.ncml": """<netcdf><attribute name="ncml_origin" value="ncml_aggregation"/>
+      <variable name="air_temperature" orgName="tas"/><remove name="tas" type="variable"/><remove name="height" type="variable"/><dimension name="member" orgName="realization"/>
+      <aggregation type="union"><scan location="parts" suffix=".ncml"/></aggregation></netcdf>""",
+    "scenarios.ncml": """<netcdf><aggregation dimName="scenario" type="joinNew"><variableAgg name="tas"/>
+      <netcdf coordValue="ssp245"><aggregation type="Union">
+        <netcdf><aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/ssp245/.*/tas/[^/]*"/></aggregation></netcdf>
+        <netcdf><aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/ssp245/.*/pr/[^/]*"/></aggregation></netcdf></aggregation></netcdf>
+      <netcdf coordValue="ssp585"><aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/ssp585/.*/tas/[^/]*"/></aggregation></netcdf>
+      </aggregation></netcdf>""",
+    "section.ncml": """<netcdf><variable name="tas" shape="lat lon"><logicalSection section="2:20,5:40"/></variable>
+      <aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/historical/r1/day/tas/[^/]*"/></aggregation></netcdf>""",
+    "slice.ncml": """<netcdf><variable name="tas"><logicalSlice dimName="lat" index="3"/><logicalReduce dimNames="realization"/></variable>
+      <aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/M-A/historical/r1/day/tas/[^/]*"/></aggregation></netcdf>""",
+    "tiles.ncml": """<netcdf><aggregation dimName="lat lon" type="tiled">
+      <netcdf section="0:0,0:60"><aggregation type="joinExisting" dimName="time"><scan location="/data/vdb/C1" regExp=".*/tas/[^/]*"/></aggregation></netcdf>
+      <netcdf section="1:1,0:60"><aggregation type="joinExisting" dimName="time"><scan location="/data/vdb/C2" regExp=".*/tas/[^/]*"/></aggregation></netcdf>
+      <netcdf section="2:2,0:50"><aggregation type="joinExisting" dimName="time"><scan location="/data/vdb/C3" regExp=".*/tas/[^/]*"/></aggregation></netcdf></aggregation></netcdf>""",
+    "values.ncml": """<netcdf><variable name="line" shape="lat" type="double"><values start="100" increment="0.5" npts="20"/></variable>
+      <variable name="band" shape="lat" type="string"><values separator=",">polar,boreal,temperate</values></variable>
+      <aggregation dimName="time" type="joinExisting"><scan location="/data/vdb" regExp=".*/ssp585/.*/tas/[^/]*"/></aggregation></netcdf>""",
+    "geps.ncml": """<netcdf><aggregation dimName="run" type="forecastModelRunSingleCollection">
+      <scanFmrc location="/data/geps" suffix=".grib2" runDateMatcher="#_latlon0p5x0p5_#yyyyMMddHH" forecastOffsetMatcher="#_P#HHH"/></aggregation></netcdf>""",
+    "starts.ncml": """<netcdf><aggregation dimName="start" type="joinNew"><variableAgg name="tas"/>
+      <scan location="/data/vdb" regExp=".*/historical/r1/day/tas/[^/]*" dateFormatMark="#_historical_r1_#yyyyMMdd" olderThan="1000 days"/></aggregation></netcdf>""",
+}
+
+
+def dataset_documents(spark: SparkSession) -> DataFrame:
+    """Documents about the inventory, the forecast files and each other: path, xml."""
+    return spark.createDataFrame([(f"{DOCUMENTS}/{name}", xml) for name, xml in _DOCUMENTS.items()], "path string, xml string")
+
+
+def read_records(spark: SparkSession, sf_dir: str, files: DataFrame, keep: list[str], variables: list[str]) -> DataFrame:
+    """The stored values of some files of the inventory."""
+    return records(spark, sf_dir, *variables).join(files.select(*FILE_KEYS, *keep), FILE_KEYS)
+
+
+def forecast_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast files as they lie in one folder: path, variable."""
+    return arrivals(spark, sf_dir).select(F.concat(F.lit(f"{FORECASTS}/"), "name").alias("path"), F.col("source").alias("variable")).distinct()
+
+
+def read_forecasts(spark: SparkSession, sf_dir: str, files: DataFrame, keep: list[str], variables: list[str]) -> DataFrame:
+    """The values of some forecast files. Their times are told by their names alone."""
+    rows = arrivals(spark, sf_dir).where(F.col("source").isin(*variables))
+    rows = rows.select(F.concat(F.lit(f"{FORECASTS}/"), "name").alias("path"), "member", "value")
+    return rows.join(files.select("path", "variable", *keep), "path")

@@ -7,6 +7,7 @@ from cubeweave.suite import (  # noqa: F401
     selection,
     scalars,
     catalog,
+    documents,
     forecast,
     compare,
     families,

@@ -378,4 +378,4 @@ def asset_override(spark, sf):
     "SELECT c_custkey AS doc_id, 'removal of an unknown kind of object' AS rule, 1::BIGINT AS n_hits FROM customer WHERE c_custkey % 7 = 0",
 )
 def schema_rules(spark, sf):
-    return cat.descriptor_rules(descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf))))
+    return cat.descriptor_rules(descriptors.facts(substrate.descriptors(spark, sf)))

@@ -228,7 +228,7 @@ _DOCS = """SELECT c_custkey AS k FROM customer"""
     FROM d""",
 )
 def ncml_flatten(spark, sf):
-    facts = descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf)))
+    facts = descriptors.facts(substrate.descriptors(spark, sf))
     of = lambda kind: F.col("kind") == kind
     types = sorted(t.lower() for t in cat.AGGREGATION_TYPES)
     return facts.groupBy("doc_id").agg(
@@ -272,7 +272,7 @@ def ncml_flatten(spark, sf):
 )
 def ncml_facts(spark, sf):
     """Every fact of documents that have values, enumerations, groups, removals inside variables, scan options and sections."""
-    facts = descriptors.facts(descriptors.parse(substrate.full_descriptors(spark, sf)))
+    facts = descriptors.facts(substrate.full_descriptors(spark, sf))
     return facts.select(
         "doc_id", "kind", "node_path", F.col("ordinal").cast("bigint").alias("ordinal"), "name", "type", "value", "org_name",
         "older_than", "date_mark", "section",
@@ -294,7 +294,7 @@ def ncml_facts(spark, sf):
 def ncml_edit(spark, sf):
     """Renames, attributes of variables and removals, written to XML and read back."""
     path = new_dir(spark, "edited")
-    edited = descriptors.parse(substrate.descriptors(spark, sf))
+    edited = substrate.descriptors(spark, sf)
     # half of the documents have an element for the variable already, under another name
     edited = descriptors.rename_variable(descriptors.rename_variable(edited, "lat_1", "lat"), "lat", "latitude")
     edited = descriptors.set_variable_attribute(edited, "tas", "units", F.lit("degC"))
@@ -424,8 +424,7 @@ def esm_spec(spark, sf):
 )
 def ncml_write(spark, sf):
     path = new_dir(spark, "descriptors")
-    parsed = descriptors.parse(substrate.descriptors(spark, sf))
-    edited = descriptors.add_attribute(parsed, "comment", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
+    edited = descriptors.add_attribute(substrate.descriptors(spark, sf), "comment", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
     edited = descriptors.add_removal(descriptors.add_removal(edited, "time_vectors", "variable"), "height", "variable")
     sinks.write_descriptors(edited, path)
     facts = descriptors.facts(sinks.read_descriptors(spark, path))
@@ -519,7 +518,7 @@ def descriptor_read(spark, sf):
     """From documents to rows: parse, resolve against the inventory, read, merge, total per document."""
     # facts are used four times and are small: documents are parsed once
     path = new_dir(spark, "facts")
-    descriptors.facts(descriptors.parse(substrate.descriptors(spark, sf))).write.parquet(path)
+    descriptors.facts(substrate.descriptors(spark, sf)).write.parquet(path)
     found, files = spark.read.parquet(path), substrate.members(spark, sf)
     held = descriptor.member_files(found, files).groupBy("doc_id").agg(
         F.max("label").alias("label"), F.count_if("found").alias("n_files"), F.count_if(~F.col("found")).alias("n_absent")

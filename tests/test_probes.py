@@ -53,7 +53,7 @@ def test_resolve_in_relative_trees(spark):
         "doc_id int, xml string",
     )
     files = spark.createDataFrame([("data/a.nc",), ("data/sub/b.nc",), ("/top/c.nc",)], "path string")
-    got = descriptors.resolve(descriptors.facts(descriptors.parse(docs)), files).orderBy("doc_id", "path").collect()
+    got = descriptors.resolve(descriptors.facts(docs), files).orderBy("doc_id", "path").collect()
     assert [(r.doc_id, r.path) for r in got] == [(1, "data/a.nc"), (1, "data/sub/b.nc"), (2, "data/a.nc"), (3, "data/sub/b.nc"), (4, "/top/c.nc"), (5, "/top/c.nc")]
 
 
@@ -64,16 +64,35 @@ def test_both_variables_of_every_row(spark, sf_dir):
     assert {r.n for r in gated.collect()} == {1, 2}
 
 
-def test_a_document_deeper_than_the_schema_is_an_error(spark):
+def test_documents_of_any_depth(spark):
+    """Six levels of groups and aggregations, and thirty: every element is a fact."""
+
     def nested(n):
-        return "<netcdf>" + "<aggregation type='union'><netcdf>" * n + "</netcdf></aggregation>" * n + "</netcdf>"
-
-    docs = lambda n: spark.createDataFrame([(1, nested(n))], "doc_id int, xml string")
-    assert descriptors.facts(descriptors.parse(docs(3))).where("kind = 'aggregation'").count() == 3
-    with pytest.raises(Exception, match="more than 3 nested aggregations"):
-        descriptors.facts(descriptors.parse(docs(4))).collect()
-    deep = descriptors.facts(descriptors.parse(docs(4), depth=4), depth=4)
-    assert deep.where("kind = 'aggregation'").count() == 4
+        inner = "<enumTypedef name='sky'><enum key='0'>clear</enum></enumTypedef><attribute name='a' value='v'/><strange x='1'/>"
+        groups = "".join(f"<group name='g{i}'>{inner}" for i in range(n)) + "</group>" * n
+        return "<netcdf>" + f"<aggregation type='union'><netcdf>{groups}" * n + "</netcdf></aggregation>" * n + "</netcdf>"
+
+    for n in (6, 30):
+        docs = spark.createDataFrame([(1, nested(n)), (2, "no document"), (3, None)], "doc_id int, xml string")
+        kinds = {(r.doc_id, r.kind): r["count"] for r in descriptors.facts(docs).groupBy("doc_id", "kind").count().collect()}
+        assert kinds == {(1, "dataset"): 1, (1, "aggregation"): n, (1, "member"): n, (1, "group"): n * n, (1, "attribute"): n * n, (1, "enum"): n * n, (1, "strange"): n * n, (2, "unreadable"): 1}
+    deepest = descriptors.facts(docs).where("kind = 'enum'").selectExpr("max_by(node_path, length(node_path))").first()[0]
+    assert deepest.count("/aggregation[0]/netcdf[0]") == 30 and deepest.count("/group[0]") == 30
+
+
+def test_edits_leave_the_rest_of_a_document(spark):
+    xml = "<netcdf xmlns='urn:x' location='l'><!-- kept --><variable name='a'><logicalReduce dimNames='d'/></variable><odd>text</odd></netcdf>"
+    docs = spark.createDataFrame([(1, xml), (2, None)], "doc_id int, xml string")
+    edited = descriptors.rename_variable(descriptors.add_removal(docs, "t", "variable"), "a", "b")
+    path = new_dir(spark, "test")
+    sinks.write_descriptors(descriptors.set_variable_attribute(edited, "b", "units", F.lit('"K" & <more>')), path)
+    back = sinks.read_descriptors(spark, path, key_type="int").where("doc_id = 1")
+    text = back.first().xml
+    assert "<!-- kept -->" in text and "logicalReduce" in text and "<odd>text</odd>" in text and 'xmlns="urn:x"' in text and 'location="l"' in text
+    facts = descriptors.facts(back).collect()
+    assert {(f.name, f.org_name) for f in facts if f.kind == "variable"} == {("b", "a")}
+    assert [f.value for f in facts if f.kind == "attribute"] == ['"K" & <more>']
+    assert [f.name for f in facts if f.kind == "remove"] == ["t"]
 
 
 def test_unknown_leads_are_no_leads(spark, tmp_path):

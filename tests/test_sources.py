@@ -124,7 +124,7 @@ def documents(spark):
 
 
 def test_nested_descriptors_flatten(documents):
-    facts = descriptors.facts(descriptors.parse(documents)).collect()
+    facts = descriptors.facts(documents).collect()
     one = [f for f in facts if f.doc_id == 1]
     assert [f.type for f in one if f.kind == "aggregation"] == ["joinnew", "union", "joinexisting"]
     scan = next(f for f in one if f.kind == "scan")
@@ -141,12 +141,12 @@ def test_nested_descriptors_flatten(documents):
 def test_descriptors_resolve_to_files(spark, documents):
     paths = ["/d/r1/tas_1.nc", "/d/r1/sub/tas_2.nc", "/d/r1/pr_1.nc", "/d/r2/tas_1.nc", "/d/r1/tas_1.txt"]
     files = spark.createDataFrame([(p,) for p in paths], "path string")
-    got = descriptors.resolve(descriptors.facts(descriptors.parse(documents)), files)
+    got = descriptors.resolve(descriptors.facts(documents), files)
     assert sorted(r.path for r in got.collect()) == ["/d/fx.nc", "/d/r1/sub/tas_2.nc", "/d/r1/tas_1.nc"]
 
 
 def test_edited_documents_survive_a_round_trip(spark, documents):
-    edited = descriptors.add_attribute(descriptors.parse(documents), "title", F.lit("new"))
+    edited = descriptors.add_attribute(documents, "title", F.lit("new"))
     edited = descriptors.add_removal(descriptors.add_removal(edited, "height", "variable"), "height", "variable")
     path = new_dir(spark, "test")
     sinks.write_descriptors(edited, path)
