@@ -47,6 +47,8 @@ GRAM = 8
 STRETCH = 64
 #: Most segments of one automaton.
 LIMIT = 2000
+#: Rows that a task works on at once.
+ROWS = 256
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -86,11 +88,17 @@ def segments(number: np.ndarray, begin: np.ndarray, window: int, gram: int) -> t
     return text[first], first - begin[text[first]], end - first, anchor[first], _span_numbers(number, first, end + window - 1)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """anchor, content, id, digest, first, n: the segments of all texts (id, digest, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             raw, at = kernel.text_bytes(batch.column("text"))
             for lo, hi in kernel.blocks(at):
                 number, _, _, begin = kernel.words(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], fold=False)
@@ -113,7 +121,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for batch in batches:
+        for batch in _pieces(batches):
             out = {c: [] for c in ("anchor", "content", "id", "words", "windows")}
             for i, digest, text, wanted in zip(*(batch.column(c) for c in ("id", "digest", "text", "wanted")), strict=True):
                 if (i.as_py(), digest.as_py()) in seen:
@@ -254,7 +262,7 @@ def _cut(docs: DataFrame) -> DataFrame:
     """id, n_words, n_removed, text of each row of ``docs`` (id, text, spans: words to remove, may overlap)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             n_words, n_removed, texts = [], [], []
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 words = (text.as_py() or "").encode().split()
