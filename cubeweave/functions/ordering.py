@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cubeweave.runtime import new_dir
+
 
 def running_totals(
     df: DataFrame, group: list[str], coarse: str | None, order: list[str], values: dict[str, Column]
@@ -42,6 +44,26 @@ def position(df: DataFrame, group: list[str], coarse: str | None, order: list[st
     return running_totals(df, group, coarse, order, {name: F.lit(1)})
 
 
+def place(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add the 0-based position of each row in the whole table.
+
+    Rows are dealt by ranges of the order and sorted in them; a range's first
+    position is the number of rows in the ranges before it. One row for each range is all that
+    is gathered. The dealt table is kept in the shared folder, so both passes see the same ranges.
+    """
+    path = new_dir(df.sparkSession, "placed")
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the number of a row: its range above the lowest 33 bits, its place in it below
+    dealt.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    part = F.shiftright("_row", 33)
+    sizes = kept.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_first"))
+    numbered = kept.withColumn("_part", part).join(F.broadcast(firsts), "_part")
+    return numbered.select(*df.columns, (F.col("_first") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
+
+
 def axis_index(df: DataFrame, dim: str, coarse: Column, name: str = "index") -> DataFrame:
     """The distinct values of one dimension with their 0-based index."""
     axis = df.select(F.col(dim), coarse.alias("_coarse")).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cubeweave.functions import calendars
 from cubeweave.functions.names import col
 
 
@@ -52,15 +53,27 @@ UNITS = {
 }
 
 
-def decode(offset: str | Column, units: str | Column) -> Column:
-    """``offset`` in ``<unit> since <origin>`` as a time. A unit that has no fixed length, or no name here, is an error."""
-    parts = F.split(col(units), " since ")
-    unit, origin = F.lower(F.trim(F.element_at(parts, 1))), F.element_at(parts, 2).cast("timestamp_ntz")
+def unit_seconds(units: str | Column) -> Column:
+    """Length of the unit of ``<unit> since <origin>``. A unit that has no fixed length, or no name here, is an error."""
+    unit = F.lower(F.trim(F.element_at(F.split(col(units), " since "), 1)))
     known = [(unit.isin(*names), length) for length, names in UNITS.items()]
     seconds = F.when(unit.isNull(), F.lit(None).cast("bigint"))
     for is_it, length in known:
         seconds = seconds.when(is_it, F.lit(length).cast("bigint"))
-    seconds = seconds.otherwise(F.raise_error(F.concat(F.lit("unknown unit of time: "), unit)).cast("bigint"))
+    return seconds.otherwise(F.raise_error(F.concat(F.lit("unknown unit of time: "), unit)).cast("bigint"))
+
+
+def decode(offset: str | Column, units: str | Column, calendar: str | Column | None = None) -> Column:
+    """``offset`` in ``<unit> since <origin>`` as a time.
+
+    With a calendar (a name, or a column of names) the count is that of the
+    calendar, and the result the time with the same date: null for a day that
+    the standard calendar does not have.
+    """
+    seconds = unit_seconds(units)
+    if calendar is not None:
+        return calendars.on_standard(calendars.decode(offset, units, seconds, calendar))
+    origin = F.element_at(F.split(col(units), " since "), 2).cast("timestamp_ntz")
     return origin + F.make_dt_interval(secs=(col(offset) * seconds).cast("decimal(18,6)"))
 
 

@@ -432,3 +432,66 @@ def descriptor_rules(facts: DataFrame) -> DataFrame:
         )
     )
     return facts.select("doc_id", F.explode(broken).alias("rule")).groupBy("doc_id", "rule").agg(F.count("*").alias("n_hits"))
+
+
+class Collection(NamedTuple):
+    """A way to make the entries of a collection.
+
+    facets and lists: the dataset attributes and the lists over variables that
+    it needs; cells: its entry, from a column for each of them (and ``path``);
+    takes: which datasets are filed under it, told by the same columns (null:
+    those of ``collection_of``).
+    """
+
+    name: str
+    facets: tuple[str, ...]
+    lists: tuple[str, ...]
+    cells: Callable[[dict[str, Column]], list[Column]]
+    takes: Callable[[dict[str, Column]], Column] | None = None
+
+
+def common_collection(name: str) -> Collection:
+    """The common way: all columns of the catalogue as they are."""
+    return Collection(name, tuple(cells_of(name, "dataset")), tuple(cells_of(name, "variable")), lambda c: [c[x] for x in cells_of(name)])
+
+
+class Collections:
+    """Registered collections. A registered one replaces the common one of its name, or is a collection of its own."""
+
+    def __init__(self) -> None:
+        self.known = {name: common_collection(name) for name in COLLECTIONS}
+
+    def register(self, name: str, facets: tuple[str, ...] = (), lists: tuple[str, ...] = (), takes: Callable[[dict[str, Column]], Column] | None = None):
+        """Register the function below as the ``cells`` of a collection."""
+
+        def add(cells: Callable[[dict[str, Column]], list[Column]]) -> Callable[[dict[str, Column]], list[Column]]:
+            if takes is None and name not in COLLECTIONS:
+                raise ValueError(f"collection {name} takes no datasets")
+            # one that was registered goes before the common ones, and before earlier ones
+            self.known = {name: Collection(name, tuple(facets), tuple(lists), cells, takes), **{k: c for k, c in self.known.items() if k != name}}
+            return cells
+
+        return add
+
+    def entries(self, attrs: DataFrame, assets: DataFrame) -> DataFrame:
+        """The entries of all collections in one pass: collection, dataset, cells (text).
+
+        Attributes are gathered once, for what all collections need together; a
+        dataset goes to the first collection that takes it.
+        """
+        every = list(self.known.values())
+        texts = list(dict.fromkeys(f for c in every for f in c.facets))
+        lists = list(dict.fromkeys(f for c in every for f in c.lists))
+        wide = facet_table(attrs, texts).join(variable_lists(attrs, lists), "dataset", "left").join(assets, "dataset", "left")
+        shown = {c: F.col(c) for c in texts} | {c: F.coalesce(F.array_join(c, ","), F.lit("")) for c in lists}
+        shown[ASSET_COLUMN] = F.coalesce(ASSET_COLUMN, F.lit(MISSING))
+        kind, name = collection_of("dataset"), None
+        for c in every:
+            if c.takes is not None:
+                hit = F.coalesce(c.takes(shown), F.lit(False))
+                name = F.when(hit, c.name) if name is None else name.when(hit, c.name)
+        filed = wide.withColumn("collection", kind if name is None else name.otherwise(kind))
+        cells = F.lit(None).cast("array<string>")
+        for c in every:
+            cells = F.when(F.col("collection") == c.name, F.array(*[x.cast("string") for x in c.cells(shown)])).otherwise(cells)
+        return filed.select("collection", "dataset", cells.alias("cells"))

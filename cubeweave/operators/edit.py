@@ -220,11 +220,10 @@ def cut(cube: DataFrame, rows: DataFrame, ranges: dict[str, tuple[int, int]]) ->
     return reduce(lambda df, d: df.where(F.col(d).between(bound(d, "low"), bound(d, "high"))), ranges, cube)
 
 
-def reduce_dimensions(cube: DataFrame, dims: list[str]) -> tuple[DataFrame, list[str]]:
-    """Drop dimensions that have one value. One row of minima and maxima comes to the driver."""
-    ends = cube.agg(*[(F.min(d) == F.max(d)).alias(d) for d in dims]).first()
-    single = [d for d in dims if ends[d]]
-    return cube.drop(*single), single
+def single_dimensions(cube: DataFrame, group: list[str], dims: list[str]) -> DataFrame:
+    """Which dimensions have one value in each group: the group, single (in the order of ``dims``)."""
+    one = F.array_compact(F.array(*[F.when(F.min(d) == F.max(d), F.lit(d)) for d in dims]))
+    return cube.groupBy(*group).agg(one.alias("single"))
 
 
 def generated(start: Column, increment: Column, npts: Column) -> Column:

@@ -267,6 +267,99 @@ def common_step(series: DataFrame, key: list[str], time: str, coarse: Column) ->
     )
 
 
+# fixed values: names of months and days in names of frequencies
+_MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
+
+
+def frequency(series: DataFrame, key: list[str], time: str, coarse: Column) -> DataFrame:
+    """The calendar frequency of every series: key, freq, n_times, months and seconds (of its step; one of them), origin.
+
+    A series has a frequency only if all of its steps agree: starts or ends of
+    months a fixed number of months apart (``MS``, ``2MS``, ``QS-OCT``,
+    ``YS-JAN``; ``ME``, ``QE-DEC``, ``YE-DEC``), or a fixed number of weeks (``W-MON``), days, hours,
+    minutes or seconds. Others, and series of fewer than three times, have a null one.
+    """
+    stepped = ordering.previous_time(series.select(*key, time).distinct(), key, coarse, time, "_before")
+    t = F.col(time).cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", F.col("_before").cast("timestamp_ntz"), t)
+    months = (F.year(time) * 12 + F.month(time)) - (F.year("_before") * 12 + F.month("_before"))
+    of_day = F.timestamp_diff("SECOND", F.date_trunc("day", t).cast("timestamp_ntz"), t)
+    found = stepped.groupBy(*key).agg(
+        F.count("*").alias("n_times"),
+        F.min(seconds).alias("_least"),
+        F.max(seconds).alias("_most"),
+        F.min(months).alias("_from"),
+        F.max(months).alias("_to"),
+        (F.bool_and(F.dayofmonth(time) == 1) & (F.min(of_day) == F.max(of_day))).alias("_starts"),
+        (F.bool_and(F.dayofmonth(time) == F.dayofmonth(F.last_day(time))) & (F.min(of_day) == F.max(of_day))).alias("_ends"),
+        F.min(t).alias("origin"),
+    )
+    even = (F.col("_from") == F.col("_to")) & (F.col("_from") > 0) & (F.col("_starts") | F.col("_ends"))
+    n = F.when(even, F.col("_from"))
+    step = F.when(~even & (F.col("_least") == F.col("_most")), F.col("_least"))
+    month = F.month("origin")
+    names_ = F.array(*[F.lit(m) for m in _MONTHS])
+    times_ = lambda count: F.when(count == 1, "").otherwise(count.cast("string"))
+    edge = F.when(F.col("_starts"), "S").otherwise("E")
+    # quarters are named by the last of the months in which one of them begins, or ends
+    quarter = F.element_at(names_, F.lit(10) + F.pmod(month - 1, F.lit(3)))
+    by_month = (
+        F.when(n % 12 == 0, F.concat(times_(F.expr("_from div 12")), F.lit("Y"), edge, F.lit("-"), F.element_at(names_, month)))
+        .when(n % 3 == 0, F.concat(times_(F.expr("_from div 3")), F.lit("Q"), edge, F.lit("-"), quarter))
+        .otherwise(F.concat(times_(n), F.lit("M"), edge))
+    )
+    fixed = F.when((step % (7 * 86400) == 0), F.concat(times_((step / (7 * 86400)).cast("bigint")), F.lit("W-"), F.upper(F.date_format("origin", "EEE"))))
+    for size, unit in ((86400, "D"), (3600, "h"), (60, "min"), (1, "s")):
+        fixed = fixed.when(step % size == 0, F.concat(times_((step / size).cast("bigint")), F.lit(unit)))
+    known = F.col("n_times") >= 3
+    return found.select(
+        *key,
+        F.when(known & n.isNotNull(), by_month).when(known & step.isNotNull(), fixed).alias("freq"),
+        "n_times",
+        F.when(known, n).cast("bigint").alias("months"),
+        F.when(known, step).cast("bigint").alias("seconds"),
+        "origin",
+    )
+
+
+def bucket(time: str | Column, months: Column, seconds: Column, origin: Column) -> Column:
+    """Beginning of the step of a frequency (of ``frequency``) that a time falls in; null without a frequency."""
+    t = names.col(time).cast("timestamp_ntz")
+    number = lambda c: F.year(c) * 12 + F.month(c) - 1
+    first = number(origin) + F.floor((number(t) - number(origin)) / months) * months
+    by_month = F.make_date(F.floor(first / 12).cast("int"), (F.pmod(first, F.lit(12)) + 1).cast("int"), F.lit(1)).cast("timestamp_ntz")
+    day = F.date_trunc("day", origin).cast("timestamp_ntz")
+    passed = F.floor(F.timestamp_diff("SECOND", day, t) / seconds) * seconds
+    return F.when(months.isNotNull(), by_month).when(seconds.isNotNull(), day + F.make_dt_interval(secs=passed.cast("decimal(18,6)")))
+
+
+def align_inferred(left: DataFrame, right: DataFrame, group: list[str], time: str, value: str, coarse: Column) -> DataFrame:
+    """Both sides beside each other on exact times, or on steps of the right side's frequency where it lacks a time of the left side.
+
+    Series are told apart by ``group`` on both sides. Returns the group, exact,
+    freq, bucket, left_value and right_value; a series that needs a frequency and
+    has none gives one row without a bucket.
+    """
+    a = left.select(*group, time, F.col(value).alias("left_value"))
+    b = right.select(*group, time, F.col(value).alias("right_value"), F.lit(True).alias("_held"))
+    met = a.join(b, [*group, time], "left")
+    absent = met.groupBy(*group).agg(F.count_if(F.col("_held").isNull()).alias("_absent"))
+    known = absent.join(frequency(right, group, time, coarse), group, "left")
+    out = [*group, "exact", "freq", "bucket", "left_value", "right_value"]
+    same = met.join(known.where("_absent = 0"), group).select(
+        *group, F.lit(True).alias("exact"), "freq", F.col(time).cast("timestamp_ntz").alias("bucket"), "left_value", "right_value"
+    )
+    apart = known.where("_absent > 0 and freq is not null")
+    at = bucket(time, F.col("months"), F.col("seconds"), F.col("origin")).alias("bucket")
+    total = lambda df, name: df.join(apart, group).groupBy(*group, "freq", at).agg(F.sum(value).alias(name))
+    steps = total(left, "left_value").join(total(right, "right_value").drop("freq"), [*group, "bucket"]).withColumn("exact", F.lit(False))
+    none = F.lit(None)
+    lost = known.where("_absent > 0 and freq is null").select(
+        *group, F.lit(False).alias("exact"), "freq", none.cast("timestamp_ntz").alias("bucket"), none.cast("double").alias("left_value"), none.cast("double").alias("right_value")
+    )
+    return same.select(*out).unionByName(steps.select(*out)).unionByName(lost)
+
+
 def align(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """All labels of the left side with whether the right side has them."""
     have = right.select(*key).distinct().withColumn("found", F.lit(True))
@@ -281,32 +374,6 @@ def bucket_align(left: DataFrame, right: DataFrame, key: list[str], time: str, u
     return a.join(b, [*key, "bucket"])
 
 
-def align_or_bucket(
-    left: DataFrame, right: DataFrame, key: list[str], time: str, unit: str, value: str, group: tuple[str, ...] = ()
-) -> DataFrame:
-    """Both sides beside each other on exact times, or on time buckets for the
-    groups of the left side of which the right side lacks a time.
-
-    ``group`` tells apart series of the left side, ``key`` is shared by both;
-    without groups all of the left side is one. Returns the groups, the key,
-    exact, bucket (a date), left_value and right_value. One join gives the
-    decision and the rows of either outcome.
-    """
-    parts = list(group) or ["_all"]
-    bucket = F.date_trunc(unit, F.col(time)).cast("date").alias("bucket")
-    series = left if group else left.withColumn("_all", F.lit(0))
-    a = series.select(*parts, *key, time, F.col(value).alias("left_value"))
-    b = right.select(*key, time, F.col(value).alias("right_value"), F.lit(True).alias("_held"))
-    met = a.join(b, [*key, time], "left")
-    absent = met.groupBy(*parts).agg(F.count_if(F.col("_held").isNull()).alias("_absent"))
-    flagged = met.join(absent, parts)
-    out = [*group, *key, "exact", "bucket", "left_value", "right_value"]
-    same = flagged.where(F.col("_absent") == 0).withColumns({"exact": F.lit(True), "bucket": F.col(time).cast("date")}).select(*out)
-    coarse = flagged.where(F.col("_absent") > 0).groupBy(*parts, *key, bucket).agg(F.sum("left_value").alias("left_value"))
-    totals = right.groupBy(*key, bucket).agg(F.sum(value).alias("right_value"))
-    return same.unionByName(coarse.join(totals, [*key, "bucket"]).withColumn("exact", F.lit(False)).select(*out))
-
-
 def pairs(rows: DataFrame, key: list[str], label: str, labels: list[str], value: Column) -> DataFrame:
     """Compare every two of a few sources cell by cell.
 

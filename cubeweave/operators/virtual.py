@@ -42,6 +42,11 @@ def join_existing(members: list[DataFrame], ordinal: str | None = None) -> DataF
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def join_existing_parts(rows: DataFrame, ordinal: Column, name: str = "ordinal") -> DataFrame:
+    """The same for members that are parts of one table: one read, their place as a column."""
+    return rows.withColumn(name, ordinal)
+
+
 def join_new(members: dict[str, DataFrame], dim: str, variables: list[str], coords: list[str]) -> DataFrame:
     """Stack members along a new dimension, labelled by literals, so that a
     filter on the label leaves only the branches it names.
@@ -221,3 +226,98 @@ def by_coords(members: list[DataFrame], coords: list[str]) -> DataFrame:
 def stack_labels(model: str | Column, run: str | Column) -> Column:
     """Label of a stacked realization."""
     return F.concat_ws(":", names.col(model), names.col(run))
+
+
+def coordinate_order(rows: DataFrame, dataset: list[str], member: str, dims: list[str]) -> DataFrame:
+    """How members given in any order are put together by their coordinates.
+
+    rows: one table with the members of every dataset. Returns one row for each
+    dataset, member and dimension along which the members differ: first, last,
+    position (members with the same beginning share one) and verdict of the
+    dataset and dimension: ``ordered``; ``overlapping`` if a member begins
+    before an earlier one ends; ``differing`` if two begin alike but have different coordinates. Dimensions
+    that all members share have no row. Times count in microseconds.
+
+    Coordinates are reduced to an axis of each member, and axes to their ends,
+    size and a digest; the window is over the members of a dataset, not its rows.
+    """
+
+    def number(d: str) -> Column:
+        time = rows.schema[d].dataType.typeName().startswith(("timestamp", "date"))
+        return F.unix_micros(F.col(d).cast("timestamp")).cast("double") if time else F.col(d).cast("double")
+
+    axes = rows.select(*dataset, member, F.inline(F.array(*[F.struct(F.lit(d).alias("dim"), number(d).alias("value")) for d in dims]))).distinct()
+    by = [*dataset, "dim"]
+    ends = axes.groupBy(*by, member).agg(
+        F.min("value").alias("first"), F.max("value").alias("last"), F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("value")).alias("digest")).alias("axis")
+    )
+    # members that begin alike are one step; the next one must begin after all of them
+    steps = ends.groupBy(*by, "first").agg(F.max("last").alias("_end"), (F.min("axis") != F.max("axis")).alias("_apart"))
+    window = Window.partitionBy(*by).orderBy("first")
+    placed = steps.withColumns({
+        "position": F.row_number().over(window) - 1,
+        "_late": F.max("_end").over(window.rowsBetween(Window.unboundedPreceding, -1)) >= F.col("first"),
+    })
+    verdict = F.when(F.bool_or("_apart"), "differing").when(F.bool_or(F.coalesce("_late", F.lit(False))), "overlapping").otherwise("ordered")
+    told = placed.groupBy(*by).agg(verdict.alias("verdict"), F.count("*").alias("_steps"))
+    whole = ends.groupBy(*by).agg((F.min("axis") == F.max("axis")).alias("_one"))
+    # one step of members with one axis: the dimension is shared
+    differs = told.join(whole, by).where(~((F.col("_steps") == 1) & F.col("_one"))).select(*by, "verdict")
+    found = ends.join(placed.select(*by, "first", "position"), [*by, "first"]).join(differs, by)
+    return found.select(*by, member, "first", "last", F.col("position").cast("bigint").alias("position"), "verdict")
+
+
+def members_of_range(offsets: DataFrame, first: int, last: int) -> DataFrame:
+    """The members that a range of global indices meets, ends included."""
+    return offsets.where((F.col("first_index") <= last) & (F.col("last_index") >= first))
+
+
+def index_range(cube: DataFrame, offsets: DataFrame, member: list[str], dim: str, first: int, last: int, coarse: Column) -> DataFrame:
+    """The rows of a published cube whose global index along ``dim`` is in a range, with that index.
+
+    ``offsets`` is the interval table of its members (``member_offsets``, with
+    the columns ``member`` by which the cube is laid out in folders). Only folders of members that the range
+    meets are read: the join prunes them while it runs. Inside a member an index is the place of a value on its axis.
+    """
+    hit = members_of_range(offsets, first, last).select(*member, "first_index")
+    rows = cube.join(hit, member).withColumn("_coarse", coarse)
+    axis = ordering.position(rows.select(*member, "first_index", "_coarse", dim).distinct(), member, "_coarse", [dim], "_local")
+    axis = axis.select(*member, dim, (F.col("first_index") + F.col("_local")).alias("index")).where(F.col("index").between(first, last))
+    return rows.drop("first_index", "_coarse").join(axis, [*member, dim])
+
+
+def tile_bounds(tiles: DataFrame, section: str, dims: list[str]) -> DataFrame:
+    """Tiles with <dim>_low and <dim>_high, from their sections."""
+    ends = {f"{d}_{n}": f(section, i) for i, d in enumerate(dims, start=1) for n, f in (("low", section_start), ("high", section_end))}
+    return tiles.withColumns(ends)
+
+
+def tiles_of_box(tiles: DataFrame, box: dict[str, tuple[int, int]]) -> DataFrame:
+    """The tiles (of ``tile_bounds``) that a box of global indices touches."""
+    touches = [(F.col(f"{d}_low") <= b) & (F.col(f"{d}_high") >= a) for d, (a, b) in box.items()]
+    return tiles.where(reduce(lambda x, y: x & y, touches))
+
+
+def tile_cover(tiles: DataFrame, dims: list[str], shape: dict[str, int], block: dict[str, int]) -> DataFrame:
+    """How often each cell of a grid is covered, by blocks: <dim>_block, n_cells, n_missing, n_overlapping.
+
+    Tiles are dealt to the blocks that they touch and cut there. A block's
+    cells are counted in one group of at most a block's size, whatever the size of the grid.
+    """
+    dealt = tiles
+    for d in dims:
+        blocks = F.sequence(F.floor(F.col(f"{d}_low") / block[d]), F.floor(F.col(f"{d}_high") / block[d]))
+        dealt = dealt.withColumn(f"{d}_block", F.explode(blocks))
+    for d in dims:
+        low, size = F.col(f"{d}_block") * block[d], F.lit(block[d])
+        dealt = dealt.withColumn(d, F.explode(F.sequence(F.greatest(F.col(f"{d}_low"), low), F.least(F.col(f"{d}_high"), low + size - 1, F.lit(shape[d] - 1)))))
+    names_ = [f"{d}_block" for d in dims]
+    cells = dealt.groupBy(*names_, *dims).agg(F.count("*").alias("_n"))
+    every = tiles.sparkSession.range(1).select(*[F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((shape[d] - 1) // block[d]).cast("bigint"))).alias(n) for d, n in list(zip(dims, names_))[:1]])
+    for d, n in list(zip(dims, names_))[1:]:
+        every = every.withColumn(n, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((shape[d] - 1) // block[d]).cast("bigint"))))
+    sizes = reduce(lambda x, y: x * y, [F.least(F.lit(block[d]), F.lit(shape[d]) - F.col(f"{d}_block") * block[d]) for d in dims])
+    covered = cells.groupBy(*names_).agg(F.count("*").alias("_covered"), F.count_if(F.col("_n") > 1).alias("n_overlapping"))
+    return every.join(covered, names_, "left").select(
+        *names_, sizes.cast("bigint").alias("n_cells"), (sizes - F.coalesce("_covered", F.lit(0))).cast("bigint").alias("n_missing"), F.coalesce("n_overlapping", F.lit(0)).alias("n_overlapping")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
-from cubeweave.runtime import shared_dir
+from cubeweave.runtime import settings, shared_dir
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -127,6 +127,27 @@ def walk(edges: DataFrame, roots: DataFrame, depth: int | None = 1) -> DataFrame
         seen, d = seen.unionByName(level), d + 1
 
 
+def walk_all(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Everything below ``roots`` at its least depth: root, node, depth. One recursive query, for any depth.
+
+    A way down does not come to one of its own nodes again, so a cycle ends
+    it. Every way is followed: that is for catalogues, where few nodes have
+    several parents; ``walk`` takes each node of a dense graph once. Levels and rows are not limited.
+    """
+    spark = edges.sparkSession
+    with settings(spark, {"spark.sql.cteRecursionLevelLimit": "-1", "spark.sql.cteRecursionRowLimit": "-1"}):
+        return spark.sql(
+            """WITH RECURSIVE way(root, node, depth, above) AS (
+                 SELECT node, node, -1, array(node) FROM {roots}
+                 UNION ALL
+                 SELECT way.root, e.child, way.depth + 1, array_append(way.above, e.child)
+                 FROM way JOIN {edges} e ON e.parent = way.node WHERE NOT array_contains(way.above, e.child))
+               SELECT root, node, min(depth) AS depth FROM way WHERE depth >= 0 GROUP BY root, node""",
+            edges=edges.select("parent", "child"),
+            roots=roots.select("node"),
+        )
+
+
 # fixed values: access services and the column each of them fills
 SERVICES = {
     "httpserver": "http_url",

@@ -322,6 +322,17 @@ def full_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), xml.alias("xml"))
 
 
+def broken_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per customer that breaks rules of the schema: each rule in documents of its own number. Row-local, no shuffle."""
+    breaks = {
+        2: '<attribute name="a" type="Float128" value="1"/>', 3: '<aggregation type="sideways"/>', 5: '<remove type="variable"/><variable type="int"/>',
+        7: '<aggregation type="union"><scan suffix=".nc"/></aggregation>', 11: '<attribute name="b"/>', 13: '<remove name="c" type="field"/>',
+    }
+    found = [F.when(F.col("c_custkey") % n == 0, F.lit(x)).otherwise("") for n, x in breaks.items()]
+    xml = F.concat(F.lit('<netcdf><attribute name="title" value="'), "c_name", F.lit('"/>'), *found, F.lit("</netcdf>"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), xml.alias("xml"))
+
+
 def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One descriptor document per customer, as XML text. Row-local, no shuffle.
 

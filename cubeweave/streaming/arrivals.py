@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cubeweave.operators import forecast
 
@@ -98,3 +99,52 @@ def lead_sets(stream: DataFrame, time: str = "reftime") -> DataFrame:
 def counts(stream: DataFrame, time: str = "reftime") -> DataFrame:
     """Rows per cycle and source that were not too late."""
     return timed(stream, time).groupBy("event_time", "cycle", "source").agg(F.count("*").alias("n"))
+
+
+class Memory(StatefulProcessor):
+    """Remembers each key until it was not seen for some time, in event time.
+
+    The first sight of a key gives ``new``; a timer, moved on at every sight,
+    gives ``expired`` and clears the key's state, so a key that comes back is new again. The state
+    of a key is the time when it was last seen.
+    """
+
+    def __init__(self, keep_seconds: int) -> None:
+        self.keep = keep_seconds * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "at bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        at = max(r.at for r in rows)
+        known = self.seen.exists()
+        if known:
+            before = self.seen.get()[0]
+            at = max(at, before)
+            self.handle.deleteTimer(before + self.keep)
+        else:
+            yield Row(key=key[0], what="new", at=at)
+        self.seen.update((at,))
+        self.handle.registerTimer(at + self.keep)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        self.seen.clear()
+        yield Row(key=key[0], what="expired", at=at)
+
+    def close(self) -> None:
+        pass
+
+
+#: Settings of streams that keep state of their own.
+MEMORY_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def remembered(stream: DataFrame, key: str, time: str, keep_seconds: int) -> DataFrame:
+    """Keys that are new, and keys that were not seen for ``keep_seconds``: key, what, at (milliseconds).
+
+    State is bounded by the keys seen within that time. Run it under ``MEMORY_SETTINGS``.
+    """
+    rows = timed(stream, time, "0 seconds").select(F.col(key).alias("key"), "event_time", F.unix_millis("event_time").alias("at"))
+    return rows.groupBy("key").transformWithState(Memory(keep_seconds), "key string, what string, at bigint", "append", "EventTime")

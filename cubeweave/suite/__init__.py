@@ -8,6 +8,7 @@ from cubeweave.suite import (  # noqa: F401
     scalars,
     catalog,
     documents,
+    indexes,
     forecast,
     compare,
     families,

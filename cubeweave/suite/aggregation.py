@@ -24,15 +24,14 @@ def total(c: str):
     "join_existing",
     with_views(
         "grid",
-        """SELECT realization, count(*) AS n, strftime(min(time), '%Y-%m-%d') AS first, strftime(max(time), '%Y-%m-%d') AS last,
-          CAST(sum(tas) AS DOUBLE) AS tas, CAST(sum(pr) AS DOUBLE) AS pr FROM grid GROUP BY 1""",
+        """SELECT realization, year(time)::BIGINT - 1995 AS member, count(*) AS n, strftime(min(time), '%Y-%m-%d') AS first, strftime(max(time), '%Y-%m-%d') AS last,
+          CAST(sum(tas) AS DOUBLE) AS tas, CAST(sum(pr) AS DOUBLE) AS pr FROM grid GROUP BY 1, 2""",
     ),
 )
 def join_existing(spark, sf):
-    cube = substrate.grid(spark, sf)
-    split = times.timestamp("1998-01-01")
-    whole = virtual.join_existing([cube.where(F.col("time") < split), cube.where(F.col("time") >= split)])
-    return whole.groupBy("realization").agg(
+    """Yearly members of one table: one read and one aggregate, the member as a column."""
+    whole = virtual.join_existing_parts(substrate.grid(spark, sf), (F.year("time") - 1995).cast("bigint"), "member")
+    return whole.groupBy("realization", "member").agg(
         F.count("*").alias("n"),
         times.day_text(F.min("time")).alias("first"),
         times.day_text(F.max("time")).alias("last"),

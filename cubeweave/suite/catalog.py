@@ -109,6 +109,47 @@ def catalog_entries(spark, sf):
     return rows.select("collection", "dataset", F.array_join("cells", "|").alias("cells"))
 
 
+def _plugged() -> cat.Collections:
+    """The common collections, one of them replaced, and one of its own."""
+    kinds = cat.Collections()
+
+    @kinds.register("reanalysis", facets=("title", "frequency"), lists=("variable_name",))
+    def reanalysis(c):
+        return [F.upper(c["title"]), F.concat_ws("/", c["frequency"], c["variable_name"])]
+
+    @kinds.register("permissive monthly", facets=("type", "license_type", "frequency"), takes=lambda c: (c["license_type"] == "permissive") & (c["frequency"] == "mon"))
+    def monthly(c):
+        return [c["type"], c["path"]]
+
+    return kinds
+
+
+@query(
+    "catalog_plugins",
+    with_views(
+        "attrs",
+        f"""WITH w AS (SELECT dataset, {", ".join(f"arg_max(value, pos) FILTER (scope = 'global' AND name = '{c}' AND value IS NOT NULL) AS {c}" for c in sorted({*_ALL_COLUMNS, "type"}))}
+            FROM attrs GROUP BY 1),
+          v AS (SELECT p_partkey AS dataset, CASE WHEN p_partkey % 13 = 0 THEN 'pr' ELSE 'tas,pr' END AS variable_name,
+            CASE WHEN p_partkey % 13 = 0 THEN 'NA' ELSE concat('temperature of ', p_type, ',NA') END AS variable_long_name FROM part WHERE p_partkey % 11 <> 0),
+          f AS (SELECT p_partkey AS dataset, concat('/data/vdb/', p_brand, '/', p_partkey, '.nc') AS path FROM part WHERE p_size % 4 <> 0),
+          e AS (SELECT *, {repr(cat.COLLECTIONS)}[dataset % {len(cat.COLLECTIONS)} + 1] AS kind FROM w LEFT JOIN v USING (dataset) LEFT JOIN f USING (dataset))
+        SELECT CASE WHEN license_type = 'permissive' AND frequency = 'mon' THEN 'permissive monthly' ELSE kind END AS collection, CAST(dataset AS BIGINT) AS dataset,
+          CASE WHEN license_type = 'permissive' AND frequency = 'mon' THEN concat_ws('|', coalesce(type, 'NA'), coalesce(path, 'NA'))
+            WHEN kind = 'reanalysis' THEN concat_ws('|', upper(coalesce(title, 'NA')), concat_ws('/', coalesce(frequency, 'NA'), coalesce(variable_name, '')))
+            ELSE {_CELLS} END AS cells FROM e""",
+    ),
+)
+def catalog_plugins(spark, sf):
+    """The catalogues with two plug-ins: one replaces a collection, one takes datasets of all others."""
+    files = substrate.table(spark, sf, "part").where(F.col("p_size") % 4 != 0).select(
+        F.col("p_partkey").alias("dataset"),
+        F.concat_ws("/", F.lit(substrate.ROOT), "p_brand", F.concat(F.col("p_partkey").cast("string"), F.lit(".nc"))).alias("path"),
+    )
+    rows = _plugged().entries(substrate.attrs(spark, sf), files)
+    return rows.select("collection", "dataset", F.array_join("cells", "|").alias("cells"))
+
+
 _REQUIRED = "CASE " + " ".join(
     f"WHEN {_in_collection(c)} THEN [{', '.join(repr(x) for x in cat.cells_of(c, 'dataset'))}]" for c in cat.COLLECTIONS
 ) + " END"
@@ -379,3 +420,14 @@ def asset_override(spark, sf):
 )
 def schema_rules(spark, sf):
     return cat.descriptor_rules(descriptors.facts(substrate.descriptors(spark, sf)))
+
+
+@query(
+    "schema_rules_all",
+    """WITH r(n, rule, hits) AS (VALUES (2, 'attribute of an unknown type', 1), (3, 'unknown aggregation', 1), (5, 'name is missing', 2), (7, 'scan without a location', 1),
+        (11, 'attribute without a value', 1), (13, 'removal of an unknown kind of object', 1))
+    SELECT c_custkey AS doc_id, rule, hits::BIGINT AS n_hits FROM customer, r WHERE c_custkey % n = 0""",
+)
+def schema_rules_all(spark, sf):
+    """Documents that break each of the rules."""
+    return cat.descriptor_rules(descriptors.facts(substrate.broken_descriptors(spark, sf)))

@@ -273,18 +273,17 @@ def logical_slice(spark, sf):
     "logical_reduce",
     with_views(
         "grid",
-        f"""WITH {_INDEXED} SELECT lon, 'lat,realization' AS reduced, count(*) AS n, CAST(sum(tas) AS DOUBLE) AS tas
-        FROM i WHERE ilat = 3 AND realization = 'M-A:r1' GROUP BY 1""",
+        f"""WITH {_INDEXED}, s AS (SELECT * FROM i WHERE ilat = 3),
+          d AS (SELECT realization, concat_ws(',', CASE WHEN min(lat) = max(lat) THEN 'lat' END, CASE WHEN min(lon) = max(lon) THEN 'lon' END) AS reduced FROM s GROUP BY 1)
+        SELECT realization, lon, reduced, count(*) AS n, CAST(sum(tas) AS DOUBLE) AS tas FROM s JOIN d USING (realization) GROUP BY 1, 2, 3""",
     ),
 )
 def logical_reduce(spark, sf):
-    cube = substrate.grid(spark, sf).where(F.col("realization") == "M-A:r1")
-    row = edit.cut(cube, substrate.points(spark, sf), {"lat": (3, 3)})
-    left, single = edit.reduce_dimensions(row, ["lat", "lon", "realization"])
-    dims = [c for c in left.columns if c in ("lat", "lon", "realization")]
-    return left.groupBy(*dims, F.lit(",".join(sorted(single))).alias("reduced")).agg(
-        F.count("*").alias("n"), numeric.total("tas").alias("tas")
-    )
+    """One latitude of every realization, without the dimensions that have one value in it."""
+    row = edit.cut(substrate.grid(spark, sf), substrate.points(spark, sf), {"lat": (3, 3)})
+    single = edit.single_dimensions(row, ["realization"], ["lat", "lon"])
+    left = edit.drop_single(row, ["lat"]).join(single, "realization")
+    return left.groupBy("realization", "lon", F.array_join("single", ",").alias("reduced")).agg(F.count("*").alias("n"), numeric.total("tas").alias("tas"))
 
 
 @query(
@@ -421,9 +420,7 @@ def sequence_explode(spark, sf):
 def canonical_order(spark, sf):
     cube = edit.canonical(substrate.grid(spark, sf), ["realization", "time", "lat", "lon"])
     columns = ",".join(cube.columns)
-    # a slice is one row of one map: it does not grow with the period or the number of realizations
-    coarse = F.struct("realization", "time", "lat")
-    placed = ordering.position(cube.select("*", coarse.alias("_row")), [], "_row", ["lon"], "place")
+    placed = ordering.place(cube, ["realization", "time", "lat", "lon"], "place")
     return placed.groupBy("realization").agg(
         F.lit(columns).alias("columns"),
         F.min("place").alias("first_place"),

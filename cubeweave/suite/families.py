@@ -427,7 +427,9 @@ def family_regex(spark, sf):
 def family_first_match(spark, sf):
     files = substrate.members(spark, sf)
     rows = build(files, Family(dataset=("center", "model", "exp"), members="first"))
-    models = files.agg(F.count_distinct("model").alias("n")).scalar()
+    # the number of models is known; another one is an error
+    counted = files.agg(F.count_distinct("model").alias("n")).scalar()
+    models = F.when(counted == 3, counted).otherwise(F.raise_error(F.concat(F.lit("3 models expected, found "), counted.cast("string"))).cast("bigint"))
     # one model's institution is set by hand
     institution = F.when(F.col("model") == "M-R", SET_BY_HAND).otherwise("as configured")
     return rows.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cubeweave.functions import names, numeric, ordering, times
+from cubeweave.functions import calendars, names, numeric, ordering, times
 from cubeweave.registry import query
 from cubeweave.sources import substrate
 from cubeweave.suite.views import with_views
@@ -89,3 +89,41 @@ def unit_convert(spark, sf):
         F.max("pr").cast("double").alias("pr_max"),
         *[F.lit(u).alias(f"{v}_units") for v, u in units.items()],
     )
+
+
+#: Months of the calendars, as the reference side counts them.
+_LENGTHS = """CASE WHEN cal = '360_day' THEN 30 WHEN m IN (4, 6, 9, 11) THEN 30 WHEN m <> 2 THEN 31
+  WHEN cal = 'all_leap' OR (cal = 'julian' AND y % 4 = 0) OR (cal = 'proleptic_gregorian' AND y % 4 = 0 AND (y % 100 <> 0 OR y % 400 = 0)) THEN 29 ELSE 28 END"""
+
+
+@query(
+    "calendar_decode",
+    f"""WITH named(k, cal) AS (VALUES (0, 'noleap'), (1, 'all_leap'), (2, '360_day'), (3, 'julian'), (4, 'proleptic_gregorian')),
+      days AS (SELECT cal, k, y, m, unnest(range(1, ({_LENGTHS}) + 1)) AS d FROM named, (SELECT unnest(range(1893, 1908)) AS y), (SELECT unnest(range(1, 13)) AS m)),
+      numbered AS (SELECT *, row_number() OVER (PARTITION BY cal ORDER BY y, m, d) - 1 AS n FROM days),
+      steps AS (SELECT l_orderkey % 5 AS k, date_diff('day', DATE '1995-01-01', l_shipdate::DATE) * 24 + l_linenumber AS hours FROM lineitem),
+      dated AS (SELECT cal, y, m, d, s.hours % 24 AS h, TRY_CAST(concat(y, '-', lpad(m::VARCHAR, 2, '0'), '-', lpad(d::VARCHAR, 2, '0')) AS DATE) AS day
+        FROM steps s JOIN numbered USING (k) WHERE n = (s.hours // 24))
+    SELECT cal AS calendar, y::BIGINT AS year, m::BIGINT AS month, count(*) AS n, count(day) AS n_valid, min(d)::BIGINT AS first_day, max(d)::BIGINT AS last_day,
+      strftime(max(day + to_hours(h)), '%Y-%m-%d %H') AS last, count(*) AS n_back FROM dated GROUP BY 1, 2, 3""",
+)
+def calendar_decode(spark, sf):
+    """Hours since a date counted in five calendars, and back. Years around 1900 tell the two kinds of leap years apart."""
+    names_ = [calendars.NOLEAP, calendars.ALL_LEAP, calendars.DAYS_360, calendars.JULIAN, calendars.GREGORIAN]
+    line = substrate.table(spark, sf, "lineitem")
+    which = F.element_at(F.array(*[F.lit(n) for n in names_]), (F.col("l_orderkey") % 5 + 1).cast("int"))
+    hours = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1995-01-01").cast("date")) * 24 + F.col("l_linenumber")
+    steps = line.select(which.alias("calendar"), hours.cast("double").alias("hours"), F.lit("hours since 1893-01-01 00:00:00").alias("units"))
+    seconds = times.unit_seconds("units")
+    dated = steps.withColumn("date", calendars.decode("hours", "units", seconds, F.col("calendar")))
+    both = dated.withColumns({
+        "time": times.decode("hours", "units", F.col("calendar")), "back": calendars.encode(F.col("date"), "units", seconds, F.col("calendar")),
+    })
+    return both.groupBy("calendar", F.col("date.year").alias("year"), F.col("date.month").cast("bigint").alias("month")).agg(
+        F.count("*").alias("n"),
+        F.count("time").alias("n_valid"),
+        F.min("date.day").cast("bigint").alias("first_day"),
+        F.max("date.day").cast("bigint").alias("last_day"),
+        F.date_format(F.max("time"), "yyyy-MM-dd HH").alias("last"),
+        F.count_if(F.col("back") == F.col("hours")).alias("n_back"),
+    )

@@ -338,6 +338,32 @@ def catalog_walk(spark, sf):
     )
 
 
+@query(
+    "catalog_walk_all",
+    with_views(
+        "tree",
+        """, edges AS (SELECT parent, child FROM tree UNION ALL SELECT concat('C', c_custkey), concat('N', c_nationkey) FROM customer WHERE c_custkey % 10 = 0
+            UNION ALL SELECT concat('S', s_suppkey), concat('C', s_suppkey) FROM supplier),
+          way AS (SELECT concat('R', r_regionkey) AS root, concat('R', r_regionkey) AS node, -1 AS depth, [concat('R', r_regionkey)] AS above FROM region
+            UNION ALL SELECT root, child, depth + 1, list_append(above, child) FROM way JOIN edges ON parent = node WHERE NOT list_contains(above, child))
+        SELECT root, CAST(depth AS BIGINT) AS depth, substr(node, 1, 1) AS kind, count(*) AS n_nodes, min(node) AS first_node
+        FROM (SELECT root, node, min(depth) AS depth FROM way WHERE depth >= 0 GROUP BY 1, 2) GROUP BY ALL""",
+        recursive=True,
+    ),
+)
+def catalog_walk_all(spark, sf):
+    """The whole catalogue below each region, to any depth; some customers link back to their nation, suppliers to a customer."""
+    t = lambda n: substrate.table(spark, sf, n)
+    named = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    back = t("customer").where("c_custkey % 10 = 0").select(named("C", "c_custkey").alias("parent"), named("N", "c_nationkey").alias("child"))
+    across = t("supplier").select(named("S", "s_suppkey").alias("parent"), named("C", "s_suppkey").alias("child"))
+    edges = substrate.tree(spark, sf).unionByName(back).unionByName(across)
+    found = inventory.walk_all(edges, t("region").select(named("R", "r_regionkey").alias("node")))
+    return found.groupBy("root", F.col("depth").cast("bigint").alias("depth"), F.substring("node", 1, 1).alias("kind")).agg(
+        F.count("*").alias("n_nodes"), F.min("node").alias("first_node")
+    )
+
+
 def _service_urls(spark, sf):
     """Access URLs of every page: one row per service, some services missing."""
     pages = substrate.table(spark, sf, "pages")

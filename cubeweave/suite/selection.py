@@ -137,8 +137,8 @@ def cardinality_guard(spark, sf):
     with_views("members", "SELECT center, model, run, variable, count(*) AS n_files FROM members GROUP BY 1, 2, 3, 4"),
 )
 def cardinality_strict(spark, sf):
-    """The guard that stops: a run has a file for each year and scenario at most."""
-    return select.check_bounds(substrate.members(spark, sf), [*RUN, "variable"], minimum=1, maximum=3 * 100)
+    """The guard that stops: three files of the past, and four years of two scenarios at most."""
+    return select.check_bounds(substrate.members(spark, sf), [*RUN, "variable"], minimum=1, maximum=3 + 4 + 4)
 
 
 @query(
@@ -421,41 +421,81 @@ def resample_align(spark, sf):
     return both.select("station", "left", "right", F.col("day").cast("string").alias("day"), number("left_value"), number("right_value"))
 
 
+#: Series of one realization: all times, and totals of periods. The first one of each kind is stamped later in its period on the right side.
+_KINDS = {"time": None, "month": "month", "quarter": "quarter", "year": "year"}
+
+
+def _series(spark, sf):
+    """(realization, kind, time) -> v: the times of the cube, and totals at the beginnings of periods."""
+    points = substrate.points(spark, sf).select("realization", "time", "tas")
+    stamp = [F.struct(F.lit(k).alias("kind"), (F.col("time") if u is None else F.date_trunc(u, "time").cast("timestamp_ntz")).alias("at")) for k, u in _KINDS.items()]
+    rows = points.select("realization", "tas", F.inline(F.array(*stamp)))
+    return rows.groupBy("realization", "kind", F.col("at").alias("time")).agg(F.sum("tas").cast("double").alias("v"))
+
+
+_SERIES = """s AS (SELECT realization, unnest(['time', 'month', 'quarter', 'year']) AS kind,
+    unnest([time, date_trunc('month', time)::TIMESTAMP, date_trunc('quarter', time)::TIMESTAMP, date_trunc('year', time)::TIMESTAMP]) AS moment, tas FROM points),
+  c AS (SELECT realization, kind, moment AS time, CAST(sum(tas) AS DOUBLE) AS v FROM s GROUP BY 1, 2, 3)"""
+_EVEN = """SELECT realization, count(*) >= 3 AND min(gap) = max(gap) AS even, min(gap) AS gap
+    FROM (SELECT realization, date_diff('day', lag(time) OVER (PARTITION BY realization ORDER BY time), time) AS gap FROM {table} WHERE kind = 'time') GROUP BY 1"""
+
+
+@query(
+    "calendar_freq",
+    with_views(
+        "points",
+        f"""WITH {_SERIES}, even AS ({_EVEN.format(table="c")})
+        SELECT realization, kind, count(*) AS n_times, CASE kind WHEN 'month' THEN 'MS' WHEN 'quarter' THEN 'QS-OCT' WHEN 'year' THEN 'YS-JAN'
+          ELSE max(CASE WHEN even THEN concat(CASE WHEN gap > 1 THEN gap::VARCHAR ELSE '' END, 'D') END) END AS freq
+        FROM c JOIN even USING (realization) GROUP BY 1, 2""",
+    ),
+)
+def calendar_freq(spark, sf):
+    """Frequencies of even, uneven and calendar series."""
+    return select.frequency(_series(spark, sf), ["realization", "kind"], "time", F.trunc("time", "month")).select("realization", "kind", "n_times", "freq")
+
+
 @query(
     "time_align_fallback",
     with_views(
         "points",
-        """WITH c AS (SELECT realization, time, CAST(sum(tas) AS DOUBLE) AS v FROM points GROUP BY 1, 2),
-          a AS (SELECT * FROM c WHERE realization <> 'M-A:r1'), b AS (SELECT time, v FROM c WHERE realization = 'M-A:r1'),
-          ok AS (SELECT realization, count(*) FILTER (b.time IS NULL) = 0 AS exact FROM a LEFT JOIN b USING (time) GROUP BY 1),
-          m AS (SELECT realization, date_trunc('month', time)::DATE AS bucket, sum(v) AS v FROM a GROUP BY 1, 2),
-          n AS (SELECT date_trunc('month', time)::DATE AS bucket, sum(v) AS v FROM b GROUP BY 1)
-        SELECT realization, true AS exact, CAST(time::DATE AS VARCHAR) AS bucket, a.v AS left_value, b.v AS right_value
-          FROM a JOIN b USING (time) JOIN ok USING (realization) WHERE exact
-        UNION ALL SELECT realization, false, CAST(bucket AS VARCHAR), m.v, n.v FROM m JOIN n USING (bucket) JOIN ok USING (realization) WHERE NOT exact""",
+        f"""WITH {_SERIES}, l AS (SELECT * FROM c WHERE realization <> 'M-A:r1'),
+          f AS (SELECT kind, CASE WHEN kind = 'time' THEN time ELSE time + INTERVAL 12 HOUR END AS time, v FROM c WHERE realization = 'M-A:r1'),
+          even AS ({_EVEN.format(table="(SELECT 'x' AS realization, kind, time FROM f)")}),
+          ok AS (SELECT realization, l.kind, count(*) FILTER (f.time IS NULL) = 0 AS exact FROM l LEFT JOIN f ON f.kind = l.kind AND f.time = l.time GROUP BY 1, 2),
+          step AS (SELECT realization, kind, exact, CASE kind WHEN 'month' THEN 'MS' WHEN 'quarter' THEN 'QS-OCT' WHEN 'year' THEN 'YS-JAN'
+            ELSE (SELECT CASE WHEN even THEN concat(CASE WHEN gap > 1 THEN gap::VARCHAR ELSE '' END, 'D') END FROM even) END AS freq FROM ok),
+          b AS (SELECT l.realization, l.kind, freq, l.time AS bucket, sum(l.v) AS v FROM l JOIN step USING (realization, kind) WHERE NOT exact AND freq IS NOT NULL GROUP BY ALL),
+          d AS (SELECT kind, date_trunc('day', time)::TIMESTAMP AS bucket, sum(v) AS v FROM f GROUP BY ALL)
+        SELECT realization, kind, true AS exact, freq, CAST(l.time AS VARCHAR) AS bucket, l.v AS left_value, f.v AS right_value
+          FROM l JOIN step USING (realization, kind) JOIN f ON f.kind = l.kind AND f.time = l.time WHERE exact
+        UNION ALL SELECT realization, kind, false, freq, CAST(bucket AS VARCHAR), b.v, d.v FROM b JOIN d USING (kind, bucket)
+        UNION ALL SELECT realization, kind, false, NULL, NULL, NULL, NULL FROM step WHERE NOT exact AND freq IS NULL""",
     ),
 )
 def time_align_fallback(spark, sf):
-    """Each realization beside the first: on exact times if the first has all of them, else on months."""
-    cells = substrate.points(spark, sf).groupBy("realization", "time").agg(F.sum("tas").cast("double").alias("v"))
-    first = cells.where(F.col("realization") == "M-A:r1").select("time", "v")
-    others = cells.where(F.col("realization") != "M-A:r1")
-    met = select.align_or_bucket(others, first, [], "time", "month", "v", group=("realization",))
-    return met.select("realization", "exact", F.col("bucket").cast("string").alias("bucket"), "left_value", "right_value")
+    """Each series beside that of the first realization: on exact times if it has all of them, else on steps of its frequency."""
+    series = _series(spark, sf)
+    stamped = F.when(F.col("kind") == "time", F.col("time")).otherwise(F.col("time") + F.make_dt_interval(hours=F.lit(12)))
+    others = series.where(F.col("realization") != "M-A:r1")
+    every = others.select("realization", "kind").distinct()
+    first = every.join(series.where(F.col("realization") == "M-A:r1").select("kind", stamped.alias("time"), "v"), "kind")
+    met = select.align_inferred(others, first, ["realization", "kind"], "time", "v", F.trunc("time", "month"))
+    return met.select("realization", "kind", "exact", "freq", F.col("bucket").cast("string").alias("bucket"), "left_value", "right_value")
 
 
 @query(
     "shared_vars",
     with_views(
         "members",
-        """SELECT center, concat(exp, '_', variable) AS variable FROM members WHERE model = 'M-A'
-        INTERSECT SELECT center, concat(exp, '_', variable) FROM members WHERE model = 'M-R'""",
+        " INTERSECT ".join(f"SELECT center, concat(exp, '_', variable) AS variable FROM members WHERE model = 'M-{m}'" for m in "ANR"),
     ),
 )
 def shared_vars(spark, sf):
-    held = substrate.records(spark, sf).select("center", "model", F.concat_ws("_", "exp", "variable").alias("variable"))
-    of = lambda m: held.where(F.col("model") == m).drop("model")
-    return of("M-A").intersect(of("M-R"))
+    """Variables that all models of a centre have."""
+    held = substrate.members(spark, sf).select("center", "model", F.concat_ws("_", "exp", "variable").alias("variable"))
+    of = [held.where(F.col("model") == m).drop("model") for m in ("M-A", "M-N", "M-R")]
+    return of[0].intersect(of[1]).intersect(of[2])
 
 
 @query(

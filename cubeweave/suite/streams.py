@@ -31,11 +31,11 @@ def _landed_passes(rows, late=None):
     ]
 
 
-def _run(spark, passes, transform, step):
+def _run(spark, passes, transform, step, conf=None):
     folder = new_dir(spark, "stream")
     landing, out = os.path.join(folder, "landing"), os.path.join(folder, "out")
     schema = passes[0].schema
-    with settings(spark, stream_settings(spark)):
+    with settings(spark, {**stream_settings(spark), **(conf or {})}):
         arrivals.run_passes(landing, passes, lambda: transform(arrivals.source(spark, landing, schema)), step, out)
     return arrivals.result(spark, out)
 
@@ -132,3 +132,42 @@ def recheck_stream(spark, sf):
     rows = substrate.records(spark, sf).join(new.select(*substrate.FILE_KEYS), substrate.FILE_KEYS)
     added = rows.groupBy("variable", "exp").agg(F.count("*").alias("n_values"), numeric.total("value").alias("value"))
     return members.join(added, ["variable", "exp"])
+
+
+#: Days on which a directory is listed, and for how long one that is not listed is remembered.
+_LISTED, _KEPT_DAYS = ["1998-06-30", "1999-06-30", "2000-06-29", "2001-06-29"], 400
+
+
+def _listing(files, i: int):
+    """Directories of datasets with files at a listing; those of a third of the centres are away at the second and third."""
+    day = timestamp(_LISTED[i])
+    here = files.where(F.col("mtime") <= day)
+    if i in (1, 2):
+        here = here.where(F.pmod(F.substring("center", 2, 20).cast("bigint"), F.lit(3)) != 0)
+    return here.select(F.regexp_replace("path", "/[^/]*$", "").alias("directory"), day.alias("listed")).distinct()
+
+
+@query(
+    "recheck_expiry",
+    with_views(
+        "members",
+        f"""WITH l(i, day) AS (VALUES {", ".join(f"({i}, TIMESTAMP '{d}')" for i, d in enumerate(_LISTED))}),
+          s AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS directory, i, day FROM members, l
+            WHERE mtime <= day AND (i NOT IN (1, 2) OR CAST(substr(center, 2) AS BIGINT) % 3 <> 0)),
+          g AS (SELECT *, lag(day) OVER w AS before, lag(i) OVER w AS before_i, lead(i) OVER w AS after_i FROM s WINDOW w AS (PARTITION BY directory ORDER BY i)),
+          -- a key is cleared after the first listing that is later than its time, if it is not in that listing
+          x AS (SELECT *, (SELECT min(l.i) FROM l WHERE l.day >= g.day + INTERVAL {_KEPT_DAYS} DAY) AS gone_i FROM g),
+          e AS (SELECT directory, day + INTERVAL {_KEPT_DAYS} DAY AS moment FROM x WHERE gone_i IS NOT NULL AND (after_i IS NULL OR after_i > gone_i)),
+          n AS (SELECT directory, day AS moment FROM (SELECT *, (SELECT min(l.i) FROM l WHERE l.day >= g.before + INTERVAL {_KEPT_DAYS} DAY) AS gone_i FROM g)
+            WHERE before IS NULL OR (gone_i IS NOT NULL AND gone_i < i))
+        SELECT 'new' AS what, strftime(moment, '%Y-%m-%d') AS day, count(*) AS n, min(directory) AS first FROM n GROUP BY 2
+        UNION ALL SELECT 'expired', strftime(moment, '%Y-%m-%d'), count(*), min(directory) FROM e GROUP BY 2""",
+    ),
+)
+def recheck_expiry(spark, sf):
+    """Directories that are listed again and again: state of those that are gone expires, and they are new when they come back."""
+    files = substrate.members(spark, sf)
+    passes = [_listing(files, i) for i in range(len(_LISTED))]
+    told = _run(spark, passes, lambda s: arrivals.remembered(s, "directory", "listed", _KEPT_DAYS * 86400), arrivals.update_pass, arrivals.MEMORY_SETTINGS)
+    day = F.date_format(F.timestamp_millis("at"), "yyyy-MM-dd")
+    return told.groupBy("what", day.alias("day")).agg(F.count("*").alias("n"), F.min("key").alias("first"))
