@@ -39,10 +39,13 @@ _PATTERNS = {
     "access": re.compile("AKIA[A-Z0-9]{16,}"),
     "hex": re.compile("[0-9a-f]{24,}"),
 }
-_URL = re.compile("(?:%[0-9A-Fa-f]{2})+")
+# a percent sign that is encoded again and again is one character
+_URL_UNIT = re.compile("%(?:25)*([0-9A-Fa-f]{2})")
+_URL = re.compile("(?:%(?:25)*[0-9A-Fa-f]{2})+")
 _VALID = re.compile("[^\udc80-\udcff]+")
 _ESCAPE = re.compile(
-    r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+    r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u(?:005[cC]u)*([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
+    r"|\\u\{([0-9A-Fa-f]{1,6})\}|%u([0-9A-Fa-f]{4})"
 )
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 _MARK = re.compile("[+/_-]")
@@ -58,7 +61,7 @@ _SIGNS = {
     "access": "AKIA[A-Z0-9]{16}",
     "hex": "[0-9a-f]{24}",
     "url": "%[0-9A-Fa-f]{2}",
-    "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[x0-9]",
+    "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[x0-9]|\\u\{[0-9A-Fa-f]|%u[0-9A-Fa-f]{4}",
     "base64": "[A-Za-z0-9+/_-]{16}",
     "wrapped": r"[A-Za-z0-9+/_-]{16}[ \t]*[\r\n]",
 }
@@ -112,66 +115,91 @@ def scan(text: str, kinds: list[str] = KINDS) -> Iterator[tuple[str, int, int]]:
 
 def _url(text: str) -> Iterator[tuple]:
     for m in _URL.finditer(text):
-        out = bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
-        size = np.fromiter((3 * len(c.encode(errors="surrogateescape")) for c in out), np.int64, len(out))
-        ends = np.cumsum(size)
+        units = list(_URL_UNIT.finditer(m[0]))
+        out = bytes.fromhex("".join(u[1] for u in units)).decode(errors="surrogateescape")
+        width = np.cumsum([len(u[0]) for u in units])
+        ends = width[np.cumsum(np.fromiter((len(c.encode(errors="surrogateescape")) for c in out), np.int64, len(out))) - 1]
+        begins = np.concatenate([[0], ends[:-1]])
         for part in _VALID.finditer(out):  # bytes that are no UTF-8 stay
             a, b = part.span()
-            lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
-            yield m.start() + lo, m.start() + hi, part[0], (ends - size)[a:b] - lo, ends[a:b] - lo
+            lo, hi = int(begins[a]), int(ends[b - 1])
+            yield m.start() + lo, m.start() + hi, part[0], begins[a:b] - lo, ends[a:b] - lo
 
 
 def _escapes(text: str) -> Iterator[tuple]:
     for m in _ESCAPE.finditer(text):
-        high, low, four, eight, two, hexa, deci = m.groups()
-        code = 0x10000 + ((int(high, 16) - 0xD800) << 10) + int(low, 16) - 0xDC00 if high else int(four or eight or two or hexa, 16) if not deci else int(deci)
+        high, low, four, eight, two, hexa, deci, braced, percent = m.groups()
+        code = 0x10000 + ((int(high, 16) - 0xD800) << 10) + int(low, 16) - 0xDC00 if high else int(deci) if deci else int(four or eight or two or hexa or braced or percent, 16)
         if code <= 0x10FFFF and not 0xD800 <= code < 0xE000:
             yield *m.span(), chr(code), np.zeros(1, dtype=np.int64), np.full(1, m.end() - m.start(), dtype=np.int64)
 
 
-class _File:
-    """Pieces of bytes as a file."""
-
-    def __init__(self, pieces: Iterator[bytes]) -> None:
-        self.pieces, self.rest = pieces, b""
-
-    def read(self, size: int) -> bytes:
-        data = self.rest or next(self.pieces, b"")
-        self.rest = data[size:]
-        return data[:size]
-
-
-def _pieces(unpack, source: Iterator[bytes]) -> Iterator[bytes]:
+def _members(make: Callable, magic: bytes, source: Iterator[bytes]) -> Iterator[bytes]:
+    """What a block holds, member by member: one ends, another begins with ``magic``. What follows the last is no part of it."""
+    unpack, whole = make(), False
     for data in source:
         while True:
-            out = unpack.decompress(data, PART)
+            try:
+                out = unpack.decompress(data, PART)
+            except _BROKEN:
+                if whole:  # what follows looked like a member
+                    return
+                raise
             data = getattr(unpack, "unconsumed_tail", b"")
             if out:
                 yield out
             if unpack.eof:
-                return
-            if not out and not data:
+                whole, data = True, unpack.unused_data.lstrip(b"\0")
+                while len(data) < len(magic) and (more := next(source, b"")):
+                    data = (data + more).lstrip(b"\0")
+                if not magic or not data.startswith(magic):
+                    return
+                unpack = make()
+            elif not out and not data:
                 break
 
 
-def _frame(source: Iterator[bytes]) -> Iterator[bytes]:
-    with zstandard.ZstdDecompressor(max_window_size=MEMORY // 2).stream_reader(_File(source)) as reader:
-        while out := reader.read(PART):
-            yield out
+def _frames(source: Iterator[bytes]) -> Iterator[bytes]:
+    """The same for frames of zstd, which tell where they end. Few bytes at once: they can grow to PART."""
+    make, whole, data = zstandard.ZstdDecompressor(max_window_size=MEMORY // 2).decompressobj, False, b""
+    unpack = make()
+    for piece in source:
+        data += piece
+        while data:
+            try:
+                out = unpack.decompress(data[:256])
+            except _BROKEN:
+                if whole:
+                    return
+                raise
+            if out:
+                yield out
+            if unpack.eof:
+                whole, data = True, unpack.unused_data + data[256:]
+                while len(data) < 4 and (more := next(source, b"")):
+                    data += more
+                if not data.startswith(_ZSTD):
+                    return
+                unpack = make()
+            else:
+                data = data[256:]
+
+
+_GZIP, _BZ2, _XZ, _ZSTD = b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd"
 
 
 def _unpacker(head: bytes) -> Callable[[Iterator[bytes]], Iterator[bytes]] | None:
     """How to unpack what begins with ``head``, from pieces to pieces of at most PART bytes; None if it is not compressed."""
-    if head.startswith(b"\x1f\x8b"):
-        return lambda source: _pieces(zlib.decompressobj(31), source)
+    if head.startswith(_GZIP):
+        return lambda source: _members(lambda: zlib.decompressobj(31), _GZIP, iter(source))
     if head[:1] == b"\x78" and len(head) > 1 and (head[0] * 256 + head[1]) % 31 == 0:
-        return lambda source: _pieces(zlib.decompressobj(), source)
-    if head.startswith(b"BZh"):
-        return lambda source: _pieces(bz2.BZ2Decompressor(), source)
-    if head.startswith(b"\xfd7zXZ\x00"):
-        return lambda source: _pieces(lzma.LZMADecompressor(memlimit=MEMORY), source)
-    if head.startswith(b"\x28\xb5\x2f\xfd"):
-        return _frame
+        return lambda source: _members(zlib.decompressobj, b"", iter(source))
+    if head.startswith(_BZ2):
+        return lambda source: _members(bz2.BZ2Decompressor, _BZ2, iter(source))
+    if head.startswith(_XZ):
+        return lambda source: _members(lambda: lzma.LZMADecompressor(memlimit=MEMORY), _XZ, iter(source))
+    if head.startswith(_ZSTD):
+        return lambda source: _frames(iter(source))
     return None
 
 
@@ -305,7 +333,8 @@ def _ends(run: str, start: int, cuts: list[int]) -> Iterator[int]:
     """Where a block that begins at ``start`` may end: with the run, or at the last cuts up to which it is readable."""
     size, most = 256, len(run) - 1
     if _unpacker(_bytes(run[start : start + 16])):
-        yield len(run)
+        # the packer ignores what follows its block; one character more than whole bytes is left out
+        yield len(run) - ((len(run) - start) % 4 == 1)
     else:
         while (good := _readable_bytes(raw := _bytes(run[start : start + size]))) >= len(raw) - 3 and start + size < len(run):
             size *= 4
