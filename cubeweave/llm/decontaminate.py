@@ -35,32 +35,38 @@ WINDOW = 2
 ENOUGH = 13
 #: Words of the items that one pass over the texts looks for.
 ITEM_WORDS = 1_000_000
+#: A longer item is looked for in pieces of so many words, and neighbouring pieces share the second number of them.
+PIECE, SHARED = 2_000, 100
+
 
 def _item_grams(items: DataFrame) -> DataFrame:
-    """Every item (item, text) of at least GRAM words: words_id (digest of id and words), item, place, gram, and at place 0 the words."""
+    """Every piece of an item (item, text) of at least GRAM words: words_id (digest of id, words and place), item, total (words of the item), place, gram, and at place 0 the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("item")
             for lo, _, _, number, _, _, begin in kernel.plain_words(batch.column("text")):
                 for i in range(len(begin) - 1):
-                    mine = number[begin[i] : begin[i + 1]]
-                    found = kernel.grams(mine, GRAM)
-                    if len(found):
-                        name = names[lo + i].as_py()
-                        key = hashlib.blake2b(repr(name).encode() + mine.tobytes(), digest_size=16).digest()
+                    name, total = names[lo + i].as_py(), int(begin[i + 1] - begin[i])
+                    for first in range(0, max(1, total - SHARED), PIECE - SHARED):
+                        mine = number[begin[i] + first : min(begin[i] + first + PIECE, begin[i + 1])]
+                        found = kernel.grams(mine, GRAM)
+                        if not len(found):
+                            continue
+                        key = hashlib.blake2b(repr((name, first, total)).encode() + mine.tobytes(), digest_size=16).digest()
                         yield pa.record_batch(
                             [
                                 pa.array([key] * len(found), pa.binary()),
                                 pa.array([name] * len(found), batch.schema.field("item").type),
+                                pa.array([total] * len(found), pa.int64()),
                                 pa.array(np.arange(len(found)), pa.int64()),
                                 pa.array(found, pa.int64()),
                                 pa.array([mine.tobytes()] + [None] * (len(found) - 1), pa.binary()),
                             ],
-                            names=["words_id", "item", "place", "gram", "words"],
+                            names=["words_id", "item", "total", "place", "gram", "words"],
                         )
 
-    return items.mapInArrow(run, f"words_id binary, item {items.schema['item'].dataType.simpleString()}, place bigint, gram bigint, words binary")
+    return items.mapInArrow(run, f"words_id binary, item {items.schema['item'].dataType.simpleString()}, total bigint, place bigint, gram bigint, words binary")
 
 
 def _counts(docs: DataFrame, grams: np.ndarray) -> DataFrame:
@@ -121,13 +127,13 @@ def _stretches(places: list[int], reach: int, lo: int, hi: int) -> Iterator[tupl
     yield max(lo, a), min(hi, b)
 
 
-def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targets: list[np.ndarray], names: list, name_type: str, least: float, enough: int) -> DataFrame:
+def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targets: list[np.ndarray], totals: list[int], names: list, name_type: str, least: float, enough: int) -> DataFrame:
     """The best passage of each text (id, text) for each item that it reaches ``least`` or ``enough`` with."""
-    shared = docs.sparkSession.sparkContext.broadcast((seeds, owners, targets, names))
+    shared = docs.sparkSession.sparkContext.broadcast((seeds, owners, targets, totals, names))
     columns = ["id", "item", "score", "points", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, mine, words, called = shared.value
+        known, mine, words, whole, called = shared.value
         for batch in batches:
             found: list[tuple] = []
             for lo, raw, text_at, number, first, end, begin in kernel.plain_words(batch.column("text")):
@@ -139,7 +145,7 @@ def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targe
                         hits.setdefault((text, item), []).append(place)
                 for (text, item), at in hits.items():
                     target, best = words[item], (0, 0, 0)
-                    need = min(least * len(target), enough)
+                    need = min(least * whole[item], enough)
                     for a, b in _stretches(at, 2 * len(target), int(begin[text]), int(begin[text + 1])):
                         # words that the passage does not have can not score
                         if np.isin(target, number[a:b]).sum() >= need:
@@ -148,7 +154,7 @@ def _passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[int]], targe
                     if best[0] > 0 and best[0] >= 2 * need:
                         _, x, y = best
                         before = _length(raw[text_at[text] : first[x]])
-                        found.append((lo + text, item, best[0] / (2 * len(target)), best[0], before, before + _length(raw[first[x] : end[y - 1]])))
+                        found.append((lo + text, item, best[0] / (2 * whole[item]), best[0], before, before + _length(raw[first[x] : end[y - 1]])))
             if found:
                 rows, items, score, points, start, stop = zip(*found, strict=True)
                 yield pa.record_batch(
@@ -182,6 +188,10 @@ def contaminated(
     A passage is returned if its score is at least ``least`` or its points are at
     least those of ``enough`` equal words.
 
+    An item of more than PIECE words is looked for in pieces; its score is that of
+    its best passage in a piece over that of the whole item. Ties of passages
+    go to the first one. Very long texts are searched whole.
+
     Null and empty texts have no passages. Items of fewer than GRAM words are
     too short to tell a leak from chance and are never found. A repeated row or
     id is searched like any other. An empty table on either side gives no rows.
@@ -196,6 +206,8 @@ def contaminated(
     grams = grams.withColumn("part", F.pmod(F.xxhash64("words_id"), F.lit(max(parts, 1))))
     for part in range(parts):
         some = grams.where(F.col("part") == part)
+        if some.isEmpty():
+            continue
         known = np.sort(np.asarray(some.select("gram").distinct().toArrow().column("gram")))
         counts = save(_counts(docs, known), "gram-counts")
         near = Window.partitionBy("words_id").orderBy("place").rowsBetween(0, WINDOW - 1)
@@ -204,12 +216,16 @@ def contaminated(
         rarest = rarest.withColumn("seed", F.min(F.struct("n", F.xxhash64("gram"), "gram")).over(near)["gram"])
         rarest = rarest.withColumn("whole", ahead.isNotNull() | (F.col("place") == 0)).where("whole")
         chosen = rarest.select("words_id", "seed").distinct().toArrow()
-        heads = some.where("place = 0").select("words_id", "item", "words").toArrow()
+        heads = some.where("place = 0").select("words_id", "item", "total", "words").toArrow()
         number = {w: i for i, w in enumerate(heads.column("words_id").to_pylist())}
         seeds = np.unique(np.asarray(chosen.column("seed")))
         owners: list[list[int]] = [[] for _ in seeds]
         for w, seed in zip(chosen.column("words_id").to_pylist(), np.searchsorted(seeds, np.asarray(chosen.column("seed"))).tolist(), strict=True):
             owners[seed].append(number[w])
         targets = [np.frombuffer(w, dtype=np.uint64) for w in heads.column("words").to_pylist()]
-        found = found.unionByName(_passages(docs, seeds, owners, targets, heads.column("item").combine_chunks(), kind, least, enough))
+        found = found.unionByName(_passages(docs, seeds, owners, targets, heads.column("total").to_pylist(), heads.column("item").combine_chunks(), kind, least, enough))
+    pieces = grams.where("place = 0").groupBy("item").agg(F.count("*").alias("n")).where("n > 1")
+    if not pieces.isEmpty():
+        # the best passage of the pieces of an item; repeated ids of documents have a row each
+        found = found.groupBy("id", "item").agg(F.max_by(F.struct("score", "points", "start", "end"), F.struct("points", -F.col("start"))).alias("best")).select("id", "item", "best.*")
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "points", "start", "end")
