@@ -5,7 +5,8 @@ stands for its subdomains too, or a host with the beginning of a path, cut at a
 slash. Entries become intervals in which a pattern is listed. A capture has one
 key for each host and path beginning that it could be listed under, so the
 as-of join is an equality on the key with a range on the date, and no capture
-meets an entry of another key.
+meets an entry of another key. No key has more host labels or path parts than the longest
+listed pattern, so a very long URL has few keys.
 """
 
 from __future__ import annotations
@@ -28,14 +29,17 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(url, URL, 2), "/+$", "")
 
 
-def _keys(host: Column, path: Column) -> Column:
-    """Each host that the host belongs to, and the host with each beginning of the path."""
-    labels, parts = F.split(host, r"\."), F.split(F.substring(path, 2, 1 << 30), "/")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    paths = F.when(path == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))
-    )
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(hosts, paths)))
+def _keys(host: Column, path: Column, labels_most: int, parts_most: int) -> Column:
+    """Each host that the host belongs to, and the host with each beginning of the path, of no more labels and parts than any listed one has."""
+    labels = F.split(host, r"\.")
+    shortest = F.greatest(F.lit(1), F.size(labels) - labels_most + 1)
+    hosts = F.when(F.lit(labels_most) > 0, F.transform(F.sequence(shortest, F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    none = F.array().cast("array<string>")
+    # the first sign is a slash: n parts end before the slash number n + 1
+    n_parts = F.least(F.size(F.split(path, "/")) - 1, F.lit(parts_most))
+    beginnings = F.transform(F.sequence(F.lit(1), n_parts), lambda n: F.concat(host, F.call_function("substring_index", path, F.lit("/"), (n + 1).cast("int"))))
+    paths = F.when((path != "") & (n_parts > 0), beginnings)
+    return F.when(host == "", none).otherwise(F.array_distinct(F.concat(F.coalesce(hosts, none), F.coalesce(paths, none))))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -69,8 +73,11 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "id", url
     rows = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(date_col).alias("fetched"))
     url = F.coalesce("url", F.lit(""))
     rows = rows.select("*", host_of(url).alias("host"), path_of(url).alias("path"))
-    keyed = rows.select("id", "url", "fetched", "host", F.explode_outer(_keys(F.col("host"), F.col("path"))).alias("key"))
     active = intervals(entries)
+    parts = F.size(F.split("key", "/"))
+    longest = active.agg(F.max(F.size(F.split(F.substring_index("key", "/", 1), r"\."))).alias("labels"), F.max(parts - 1).alias("parts"))
+    labels_most, parts_most = (n or 0 for n in longest.first())
+    keyed = rows.select("id", "url", "fetched", "host", F.explode_outer(_keys(F.col("host"), F.col("path"), labels_most, parts_most)).alias("key"))
     at = (keyed["key"] == active["key"]) & (keyed["fetched"] >= active["since"]) & (active["until"].isNull() | (keyed["fetched"] < active["until"]))
     met = keyed.join(active, at, "left").select("id", "url", "fetched", "host", active["list"].alias("list"), active["key"].alias("pattern"))
     rank = F.struct(F.length("pattern").alias("n"), F.col("list"), F.col("pattern"))
