@@ -4,11 +4,14 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers. Each
 value is a protected entity. Terms near an entity may reveal it: how strongly
 is estimated from co-occurrence in the corpus, as the pointwise mutual
 information of term and entity over the information content of the entity,
-PMI(t; e) / IC(e) = log(j N / (n_t n_e)) / log(N / n_e), with N documents,
-n_t and n_e of them with the term and with the entity and j with the term near
-the entity. 1 means that the term occurs nowhere else. A term of at least
-``LEAST_JOINT`` such documents is removed from ``REMOVE`` on and generalised from
-``GENERALISE`` on, wherever it stands in the documents that have the entity.
+PMI(t; e) / IC(e) = log(P(e | t) N / n_e) / log(N / n_e), with N documents, n_e
+of them with the entity. P(e | t) is not the share of the n_t documents with the term
+that have it near the entity, but the lower end of that share's confidence
+interval (Wilson's, one standard deviation): an entity of one or two
+documents is judged like any other, with as much doubt as its few documents
+leave. A term is removed from ``REMOVE`` on and generalised to its class (a number, a
+name, any other) from ``GENERALISE`` on, wherever it stands in the documents that
+have the entity.
 
 All counts cover all documents. Terms near entities are few; the documents
 with each are counted in a second pass that looks at every word, skips those
@@ -36,7 +39,6 @@ from cubeweave.llm.tables import save
 KINDS = ["email", "ip", "card", "phone"]
 #: Words on either side of an entity that may reveal it.
 NEAR = 10
-LEAST_JOINT = 3
 REMOVE = 0.9
 GENERALISE = 0.75
 #: Bits of the bitmap of terms: 2 MB.
@@ -214,17 +216,23 @@ def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def _surely(some: Column, n: Column) -> Column:
+    """The lower end of the confidence interval of a share."""
+    p = some / n
+    return (p + 1 / (2 * n) - F.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+
+
 def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (entity, term) of which the term reveals the entity, and what to do: entity, term, kind."""
     near = found.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"], t["term"])))).alias("t")).select("t.*")
-    joint = save(near.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= LEAST_JOINT), "joint")
+    joint = save(near.groupBy("entity", "term").agg(F.count("*").alias("joint")), "joint")
     if joint.isEmpty():
         return joint.select("entity", "term", F.lit("").alias("kind"))
     total = found.count()
     entities = found.select(F.explode(F.array_distinct("terms.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms = _documents_with(docs, joint.select("term"))
     content = F.log(F.lit(float(total)) / F.col("n_entity"))
-    share = F.log(F.col("joint") * F.lit(float(total)) / (F.col("n") * F.col("n_entity"))) / content
+    share = F.log(_surely(F.col("joint"), F.col("n")) * F.lit(float(total)) / F.col("n_entity")) / content
     kind = F.when(share >= REMOVE, F.lit("remove")).when(share >= GENERALISE, F.lit("generalise"))
     pairs = joint.join(entities, "entity").where(F.col("n_entity") < total).join(terms, "term")
     return pairs.select("entity", "term", kind.alias("kind")).where("kind is not null")
@@ -278,17 +286,26 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 #: What stands in place of a span.
-INSTEAD = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "remove": "[REMOVED]", "generalise": "[TERM]"}
+INSTEAD = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "remove": "[REMOVED]"}
+#: Classes of generalised terms by their pattern; any other term is the last one.
+CLASSES = {"[NUMBER]": "^[0-9]+$", "[NAME]": r"^\p{Lu}", "[TERM]": ""}
 
 
 def _sanitised(text: Column, spans: Column) -> Column:
     """The text with each span replaced; of spans that overlap, the one that begins first."""
     instead = F.create_map(*(F.lit(x) for pair in INSTEAD.items() for x in pair))
+
+    def broader(term: Column) -> Column:
+        *classes, (other, _) = CLASSES.items()
+        return F.coalesce(*[F.when(term.rlike(pattern), F.lit(name)) for name, pattern in classes], F.lit(other))
+
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
     def step(acc: Column, s: Column) -> Column:
-        more = F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), instead[s["kind"]])
+        mine = F.substring(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+        put = F.when(s["kind"] == "generalise", broader(mine)).otherwise(F.try_element_at(instead, s["kind"]))
+        more = F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), put)
         out = F.when(s["start"] >= acc["at"], more).otherwise(acc["out"])
         return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
@@ -302,11 +319,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = personal_data(docs, id_col, text_col)
     every = F.concat("spans", "added")
-    found = found.where(F.size(every) > 0).select(F.col(id_col).alias("_id"), F.col("digest").alias("_digest"), every.alias("_spans")).dropDuplicates(["_id", "_digest"])
+    found = found.where(F.size(every) > 0).select(F.struct(F.col(id_col).alias("id"), "digest").alias("found"), every.alias("spans")).dropDuplicates(["found"])
     digest = F.md5(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"))
-    joined = docs.withColumn("_of", digest).join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_digest")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(_sanitised(F.col(text_col), F.col("_spans")))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    mine = docs.select(F.struct(*docs.columns).alias("row"), F.struct(F.col(id_col).alias("id"), digest.alias("digest")).alias("key"))
+    same = F.col("key.id").eqNullSafe(F.col("found.id")) & (F.col("key.digest") == F.col("found.digest"))
+    text = F.col("row").getField(text_col)
+    clean = F.when(F.col("spans").isNull(), text).otherwise(_sanitised(text, F.col("spans")))
+    return mine.join(found, same, "left").select(*[clean.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digests(docs: DataFrame) -> DataFrame:

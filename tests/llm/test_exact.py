@@ -315,6 +315,62 @@ def test_values_that_stand_next_to_each_other(spark):
     assert clean.startswith("x [PHONE] [CARD] y [CARD] [CARD] z 1 2 3") and clean.endswith("14 [PHONE] [IP]")
 
 
+def plain_terms(texts):
+    """For each text the places of terms that reveal an entity, by counts over whole texts: (start, end) -> kind."""
+    import math
+
+    rows = []
+    for text in texts:
+        text = text or ""
+        spans = [(k, a, b) for k, found in plain_personal(text).items() for a, b in found]
+        spans += [(k, a, b) for k, find in personal.INSIDE.items() for a, b in find(text)]
+        words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text)]
+        free = [w for w in words if not any(w[1] > a and w[0] < b for _, a, b in spans)]
+        near = set()
+        for k, a, b in spans:
+            value = text[a:b].lower() if k in ("email", "ip") else re.sub("[^0-9]", "", text[a:b])
+            before, after = [w for w in free if w[1] <= a], [w for w in free if w[0] >= b]
+            near |= {((k, value), w[2]) for w in before[-personal.NEAR :] + after[: personal.NEAR]}
+        rows.append((free, {w[2] for w in words}, near))
+    with_term = collections.Counter(t for _, every, _ in rows for t in every)
+    with_entity = collections.Counter(e for _, _, near in rows for e in {e for e, _ in near})
+    kinds = {}
+    for pair, j in collections.Counter(p for _, _, near in rows for p in near).items():
+        n, n_e, total = with_term[pair[1]], with_entity[pair[0]], len(texts)
+        if n_e < total:
+            p = j / n
+            surely = (p + 1 / (2 * n) - math.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+            share = math.log(surely * total / n_e) / math.log(total / n_e)
+            kinds[pair] = "remove" if share >= personal.REMOVE else "generalise" if share >= personal.GENERALISE else None
+    out = []
+    for free, _, near in rows:
+        entities = {e for e, _ in near}
+        found = {(a, b): [kinds.get((e, t)) for e in entities] for a, b, t in free}
+        out.append({place: max(filter(None, ks)) for place, ks in found.items() if any(ks)})
+    return out
+
+
+def test_terms_equal_brute_force(spark, sf_dir):
+    some = False
+    for df in (documents(spark, sf_dir), frame(spark)):
+        rows = df.select("doc_id", "text").collect()
+        want = [(r.doc_id, hashlib.md5((r.text or "").encode()).hexdigest(), sorted((a, b, k) for (a, b), k in t.items())) for r, t in zip(rows, plain_terms([r.text for r in rows]), strict=True)]
+        got = [(r.doc_id, r.digest, [(s.start, s.end, s.kind) for s in r.added if s.kind in ("remove", "generalise")]) for r in personal.personal_data(df).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+        some |= any(w[2] for w in want)
+    assert some
+
+
+def test_entities_of_one_and_two_documents(spark):
+    rows = [(i, f"common words of thing {i % 5} and more words") for i in range(500)]
+    rows += [(600, "ask Quillon 4711 at quill@example.com for words"), (601, "Ondine writes to ond@example.com of thing 1"), (602, "more words of Ondine and ond@example.com")]
+    clean = {r.doc_id: r.text for r in personal.sanitise(frame(spark, rows)).where("doc_id >= 600").collect()}
+    assert "Quillon" not in clean[600] and "4711" not in clean[600] and clean[600].endswith("words") and "Ondine" not in clean[601] + clean[602]
+    # the classes of what is generalised
+    wide = [(i, f"{'Tamsin 1234 quaint' if i < 2 else 'plain'} {'tam@example.com' if i < 2 else 'words'}") for i in range(60)]
+    assert {r.text for r in personal.sanitise(frame(spark, wide)).where("doc_id < 2").collect()} == {"[NAME] [NUMBER] [TERM] [EMAIL]"}
+
+
 def test_revealing_terms(spark):
     """A name that comes only with one address goes; a common word beside it stays."""
     rnd = random.Random(7)
@@ -338,17 +394,18 @@ def test_revealing_terms_far_from_the_entity(spark):
     rows += [(100 + i, "we write about then thing " + " ".join(rnd.choices([*far.split(), "wrote", "item"], k=200))) for i in range(400)]
     rows += [(900, f"Zebulon {far} but other@example.com"), (0, rows[0][1])]
     clean = collections.Counter((r.doc_id, r.text) for r in personal.sanitise(frame(spark, rows)).collect())
-    assert clean[0, f"[REMOVED], é {far} then [REMOVED] wrote [EMAIL] about item 0 {far} [REMOVED]"] == 2
-    assert clean[900, f"Zebulon {far} but [EMAIL]"] == 1
+    assert clean[0, f"[REMOVED], é {far} then [REMOVED] wrote [EMAIL] about item [REMOVED] {far} [REMOVED]"] == 2
+    assert clean[900, f"Zebulon {far} [TERM] [EMAIL]"] == 1
 
 
 def test_information_is_as_defined(spark, sf_dir):
     """Shares of information by hand, from all texts."""
     import math
 
-    rows = [(i, f"{'alpha' if i < 6 else 'beta'} common {'x@y.zz' if i < 4 else ''} end") for i in range(40)]
+    rows = [(i, f"{'alpha' if i < 5 else 'beta'} common {'x@y.zz' if i < 4 else ''} end") for i in range(40)]
     found = {(s.kind, dict(rows)[r.doc_id][s.start : s.end]) for r in personal.personal_data(frame(spark, rows)).collect() for s in r.added}
-    share = math.log(4 * 40 / (6 * 4)) / math.log(40 / 4)
+    surely = (4 / 5 + 1 / 10 - math.sqrt(4 / 5 * 1 / 5 / 5 + 1 / 100)) / (1 + 1 / 5)
+    share = math.log(surely * 40 / 4) / math.log(40 / 4)
     assert personal.GENERALISE <= share < personal.REMOVE
     assert found == {("generalise", "alpha")}
 
