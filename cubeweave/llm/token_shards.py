@@ -25,9 +25,10 @@ from urllib.parse import urlsplit
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as ds
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cubeweave.llm import kernel
@@ -38,6 +39,8 @@ from cubeweave.runtime import new_dir
 LENGTH = 2048
 #: Indices of a shard; about two fifths of them are used.
 SPAN = 16384
+#: The folder of the table of shards.
+MANIFEST = "manifest"
 ROUNDS = 6
 
 
@@ -61,6 +64,15 @@ def width(model: str) -> np.dtype:
     return np.dtype("<u2" if encoder(model).model.get_piece_size() <= 1 << 16 else "<u4")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark reads it: one without a scheme is on the default file system, which all executors share."""
+    if urlsplit(path).scheme:
+        return path
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return whole.removeprefix("file:") if whole.startswith("file:") else whole
+
+
 def _store(path: str) -> tuple[fs.FileSystem, str]:
     if urlsplit(path).scheme:
         return fs.FileSystem.from_uri(path)
@@ -171,13 +183,15 @@ def write_token_shards(docs: DataFrame, model: str, path: str, key: int, id_col:
     0), shard, row (its place in the shard's file), docs (ids of the documents that it
     has ids of, in order), n_tokens (fewer than ``length`` only at the end of a
     partition; the rest of the row is id 0) and crc32 of its bytes. The file of shard s
-    is shard-<s as eight digits>.bin; row r begins at byte r * length * width.
+    is shard-<s as eight digits>.bin; row r begins at byte r * length * width. The
+    table ``manifest`` beside them (shard, first_slot, rows) is written last: ``read_slots`` finds slots by it.
 
     ``docs`` must give the same rows in the same order whenever it is read, as
     stored tables do. Null and empty texts are a begin and an end id; repeated
     rows are packed like others; a null id is a null in ``docs``; an empty
     table gives no rows and no files. Other columns are not read.
     """
+    path = qualified(docs.sparkSession, path)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     store, folder = _store(path)
     store.create_dir(folder, recursive=True)
@@ -185,13 +199,16 @@ def write_token_shards(docs: DataFrame, model: str, path: str, key: int, id_col:
     sequences = _sequences(docs, model, first, key, length, span)
     dealt = sequences.repartitionById(max(1, -(-first[-1] // span)), "shard").sortWithinPartitions("shard", "place")
     placed = save(_files(dealt, path, length * form.itemsize), "token-rows")
-    sizes = placed.groupBy("shard").agg(F.count("*").alias("n"))
-    # one number for each shard, that is for each file
-    before, bases = 0, []
-    for r in sorted(sizes.collect()):
-        bases.append((r["shard"], before))
-        before += r["n"]
-    table = docs.sparkSession.createDataFrame(bases, "shard int, before bigint")
+    # one row for each shard, that is for each file: where its first slot is
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("shard").agg(F.count("*").alias("rows"))
+    sizes = sizes.select("shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first_slot"), "rows")
+    manifest = posixpath.join(path, MANIFEST)
+    sizes.coalesce(1).write.parquet(manifest)
+    for left in store.get_file_info(fs.FileSelector(folder)):
+        if left.base_name.startswith("part-"):  # of a task that was lost
+            store.delete_file(left.path)
+    table = docs.sparkSession.read.schema(sizes.schema).parquet(manifest).withColumnRenamed("first_slot", "before").drop("rows")
     placed = placed.join(table, "shard")
     return placed.select((F.col("before") + F.col("row")).alias("slot"), "shard", "row", "docs", (F.col("bytes") / form.itemsize).cast("bigint").alias("n_tokens"), "crc32")
 
@@ -205,6 +222,20 @@ def read_rows(path: str, shard: int, row: int, n: int, form: np.dtype, length: i
         return np.frombuffer(file.read(n * stride), dtype=form).reshape(-1, length)
 
 
+def read_slots(path: str, first: int, n: int, form: np.dtype, length: int = LENGTH) -> Iterator[np.ndarray]:
+    """The sequences of the slots first .. first + n - 1, shard by shard, each part in one sequential read.
+
+    Reading goes on where it stopped, in the middle of a shard or not: the manifest tells which shard holds a slot.
+    """
+    store, folder = _store(path)
+    table = ds.dataset(posixpath.join(folder, MANIFEST), filesystem=store, format="parquet")
+    end = first + n
+    held = table.to_table(filter=(ds.field("first_slot") < end) & (ds.field("first_slot") + ds.field("rows") > first)).sort_by("first_slot")
+    for shard, begin, rows in zip(*(held.column(c).to_pylist() for c in ("shard", "first_slot", "rows")), strict=True):
+        lo, hi = max(first, begin), min(end, begin + rows)
+        yield read_rows(path, shard, lo - begin, hi - lo, form, length)
+
+
 def materialise(spark: SparkSession, docs: DataFrame, model: str, key: int = 20240229) -> DataFrame:
     """Write the shards to a new folder of the shared ones."""
     return write_token_shards(docs, model, new_dir(spark, "token-shards"), key)
