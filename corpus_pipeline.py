@@ -26,20 +26,25 @@ def _model() -> str:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; null and empty texts are among them."""
-    return passing(docs).select(*COLUMNS)
+    """Documents that the quality rules reject go, null and empty texts among them; of the others the lines that failed go. n_chars follows the text."""
+    return passing(docs, cleaned=True).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near duplicates (five words, 80 %): the document with the least id of each group stays.
 
-    A repeated row of the document that stays is dropped too. Documents without
+    Texts that share an id are told apart: each stays unless it is a copy. Of
+    equal rows, and of copies under one id, one stays. Documents without
     an id can not be told apart and stay.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct().withColumn("stays", F.lit(True))
+    marks = near_duplicates(docs, keyed=True).where("doc_id is not null").select("doc_id", "digest", "group")
+    alone = marks.where("group is null").select("doc_id", "digest").distinct()
+    first = marks.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select("first.*")
+    kept = alone.unionByName(first).distinct().withColumn("stays", F.lit(True))
+    keyed = docs.withColumn("digest", F.coalesce(F.xxhash64("text"), F.lit(0)))
     row = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    marked = docs.join(kept, "doc_id", "left").where("stays or doc_id is null")
-    return marked.withColumn("row", row).dropDuplicates(["doc_id", "row"]).select(*COLUMNS)
+    marked = keyed.join(kept, ["doc_id", "digest"], "left").where("stays or doc_id is null")
+    return marked.withColumn("row", row).dropDuplicates(["doc_id", "digest", "row"]).select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ SLACK = 6.0
 
 
 def _sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
-    """id, n, node (digest of the set), sketch: one row for each row of ``docs`` (id, text)."""
+    """id, digest, n, node (digest of the set), sketch: one row for each row of ``docs`` (id, digest, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,11 +56,11 @@ def _sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
             ends = np.cumsum([0, *map(len, sketch)], dtype=np.int32)
             values = np.concatenate([*sketch, np.empty(0, dtype=np.int64)])
             yield pa.record_batch(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                names=["id", "n", "node", "sketch"],
+                [batch.column("id"), batch.column("digest"), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                names=["id", "digest", "n", "node", "sketch"],
             )
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n bigint, node binary, sketch array<bigint>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, digest bigint, n bigint, node binary, sketch array<bigint>")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -198,8 +198,9 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int)
     sketches = save(classes.select("nid", "sketch").join(lists.select("nid").distinct(), "nid"), "sketches")
 
     # whole sets of the members, each from a text of its class
-    wanted = classes.join(lists.select("nid").distinct(), "nid").select("nid", "node", F.col("first_id").alias("doc"))
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("doc"))).select("nid", "node", "id", "text").distinct()
+    wanted = classes.join(lists.select("nid").distinct(), "nid").select("nid", "node", F.col("of.id").alias("doc"), F.col("of.digest").alias("of"))
+    # rows that share an id are told apart by the digest of their texts
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("doc")) & (F.col("digest") == F.col("of"))).select("nid", "node", "id", "text").distinct()
     sets = save(_sets(texts, size), "sets")
 
     hubs = lists.groupBy("value").agg(F.max_by("nid", F.struct("central", -F.col("nid"))).alias("hub"))
@@ -222,7 +223,9 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int)
     return components(later.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, k: int = SKETCH, keyed: bool = False
+) -> DataFrame:
     """Components of near duplicates: sets of ``size``-word shingles whose Jaccard similarity is ``percent`` % or more.
 
     Returns one row for each row of ``docs``: the id column, n_shingles,
@@ -235,22 +238,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has a null component and is kept. Rows that repeat an id are documents of
     their own, linked if their sets are. An empty table gives an empty result.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("digest"), F.col(text_col).alias("text"))
     rows = save(_sketches(docs, size, k), "sketches")
-    classes = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = rows.where("n > 0").groupBy("node").agg(
+        F.min("id").alias("first_id"), F.min(F.struct("id", "digest")).alias("of"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
     classes = save(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
     labels = _links(docs, classes, size, percent, k)
 
     named = labels.join(classes.select(F.col("nid").alias("node"), "first_id"), "node")
     least = named.groupBy("label").agg(F.min("first_id").alias("least_id"))
-    named = named.join(least, "label").select(F.col("node").alias("nid"), "least_id")
-    found = classes.select("node", "nid", "first_id").join(named, "nid", "left")
+    named = named.join(least, "label").select(F.col("node").alias("nid"), "least_id", "label")
+    found = classes.select("node", "nid", "first_id").join(named, "nid", "left").withColumn("group", F.coalesce("label", "nid"))
     # coalesce would hide a component without any id; both columns are null only there
-    found = found.select("node", F.when(F.col("least_id").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
-    rows = rows.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    found = found.select("node", "group", F.when(F.col("least_id").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
+    rows = rows.select("id", "digest", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return (
         rows.join(found, "node", "left")
         .withColumn("component_id", component)
-        .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select(
+            F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), *(["digest", "group"] if keyed else [])
+        )
     )

@@ -148,9 +148,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return judged.select(F.col("row")[id_col].alias(id_col), *[c for c in judged.columns if c != "row"])
 
 
-def passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, texts whole."""
-    return _judged(docs, text_col).where("kept").select("row.*")
+def passing(docs: DataFrame, text_col: str = "text", cleaned: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
+
+    Texts are whole, or, ``cleaned``, the lines that pass the rules of lines: one of
+    each, in order, without those that have no word.
+    """
+    kept = _judged(docs, text_col).where("kept")
+    if not cleaned:
+        return kept.select("row.*")
+    row = F.col("row")
+    return kept.select(*[F.col("clean_text").alias(c) if c == text_col else row.getField(c).alias(c) for c in docs.columns])
 
 
 def digests(docs: DataFrame) -> DataFrame:
