@@ -233,7 +233,12 @@ def test_token_shards_round_trip(spark, sf_dir, tmp_path, edges, monkeypatch):
         whole = token_shards.read_rows(path, r.shard, r.row, 1, form, length)[0]
         assert r.shard == place // span and whole[: r.n_tokens].tolist() == ids and not whole[r.n_tokens :].any()
         assert list(r.docs) == owners and r.crc32 == zlib.crc32(whole.tobytes())
-    files = glob.glob(path + "/*")
+    # slots are read across shards, and reading goes on in the middle of one
+    every = [token_shards.read_rows(path, r.shard, r.row, 1, form, length)[0].tolist() for r in rows]
+    for first, n in ((0, len(rows)), (span // 2, span), (len(rows) - 3, 100), (7, 0)):
+        assert [x.tolist() for part in token_shards.read_slots(path, first, n, form, length) for x in part] == every[first : first + n]
+    files = glob.glob(path + "/shard-*")
+    assert not glob.glob(path + "/part-*")
     assert {os.path.basename(f) for f in files} == {f"shard-{s:08d}.bin" for s in {r.shard for r in rows}}
     assert sum(map(os.path.getsize, files)) == len(rows) * length * form.itemsize
 
@@ -242,6 +247,46 @@ def test_token_shards_of_an_empty_table(spark, tmp_path):
     assert token_shards.write_token_shards(frame(spark).limit(0), MODEL, str(tmp_path / "none"), 1).collect() == []
 
 
+def clean_lines(text):
+    """The distinct lines that pass the rules of lines."""
+    import regex
+
+    out = []
+    for line in dict.fromkeys(text.split("\n")):
+        words = re.findall("[^\x20\x09-\x0D]+", line)
+        symbols = sum(c in quality.SYMBOLS for c in line)
+        many = len(words) >= quality.SHORT_LINE
+        shouting = many and regex.search(r"\p{Lu}", line) and not regex.search(r"\p{Ll}", line)
+        fragment = not many and not re.search("[.!?:;]", line)
+        noisy = symbols * 100 > sum(map(len, words)) * quality.MOST_SYMBOLS
+        if words and not (shouting or fragment or noisy or any(p in line.lower() for p in quality.BOILERPLATE)):
+            out.append(line)
+    return "\n".join(out)
+
+
+def test_two_texts_of_one_id_both_stay(spark, sf_dir):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, one + " more"), (2, three), (3, three), (1, two + " x")]
+    docs = frame(spark, rows).selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(length(text) AS bigint) AS n_chars")
+    got = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.one_of_each(spark, docs, sf_dir).collect())
+    assert set(got.values()) == {1} and {d for d, _ in got} == {1, 2} and len(got) == 3
+    assert (1, one) in got and (2, three) in got and ((1, two) in got) != ((1, two + " x") in got)
+
+
+def test_many_rows_of_one_id_take_linear_time(spark):
+    import time
+
+    from cubeweave.llm import near_dedup
+
+    rows = [(7, f"words of row {i} and {i * 7919} more {i % 13} text here") for i in range(20_000)]
+    began = time.perf_counter()
+    got = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {7}
+    assert time.perf_counter() - began < 120
+
+
 def plain_pipeline(spark, sf_dir, docs):
     """All stages by plain means: rows (doc_id, text) that reach the last one."""
     import hashlib
@@ -250,7 +295,7 @@ def plain_pipeline(spark, sf_dir, docs):
     frame_ = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id bigint, text string")
     verdict = {r[0]: r[1] for r in _sql(spark, frame_)}
     del judged
-    rows = [d for i, d in enumerate(docs) if verdict[i]]
+    rows = [(d, clean_lines(t)) for i, (d, t) in enumerate(docs) if verdict[i]]
     groups = brute_components(rows, 5, 80)
     stays = {d for d, _, c in groups if d == c and d is not None}
     seen, left = set(), []
