@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
-from cubeweave.runtime import settings, shared_dir
+from cubeweave.runtime import new_dir, settings, shared_dir
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -132,11 +132,12 @@ def walk_all(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
     A way down does not come to one of its own nodes again, so a cycle ends
     it. Every way is followed: that is for catalogues, where few nodes have
-    several parents; ``walk`` takes each node of a dense graph once. Levels and rows are not limited.
+    several parents; ``walk`` takes each node of a dense graph once. Levels and rows are not limited; the
+    result is kept in the shared folder, since the limits are lifted while it is made.
     """
-    spark = edges.sparkSession
+    spark, path = edges.sparkSession, new_dir(edges.sparkSession, "walk")
     with settings(spark, {"spark.sql.cteRecursionLevelLimit": "-1", "spark.sql.cteRecursionRowLimit": "-1"}):
-        return spark.sql(
+        found = spark.sql(
             """WITH RECURSIVE way(root, node, depth, above) AS (
                  SELECT node, node, -1, array(node) FROM {roots}
                  UNION ALL
@@ -146,6 +147,8 @@ def walk_all(edges: DataFrame, roots: DataFrame) -> DataFrame:
             edges=edges.select("parent", "child"),
             roots=roots.select("node"),
         )
+        found.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # fixed values: access services and the column each of them fills
