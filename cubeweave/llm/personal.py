@@ -13,12 +13,10 @@ leave. A term is removed from ``REMOVE`` on and generalised to its class (a numb
 name, any other) from ``GENERALISE`` on, wherever it stands in the documents that
 have the entity.
 
-All counts cover all documents. Terms near entities are few; the documents
-with each are counted in a second pass that looks at every word, skips those
-outside a bitmap of the terms (its size is fixed, a full one only skips less)
-and adds up what is left before it is shuffled. Texts with entities are kept
+All counts cover all documents. Texts with entities are kept
 beside what is found in them; once the terms are known, a pass over these looks
-for every place of a term, with bitmaps of the terms and of the pairs.
+for every place of a term, with bitmaps of the terms and of the pairs (their size
+is fixed, a full one only skips less).
 """
 
 from __future__ import annotations
@@ -194,24 +192,23 @@ def _in_bitmap(bits: np.ndarray, number: np.ndarray) -> np.ndarray:
     return np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
 
 
-def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents some terms (term) are: term, n. Others may come along."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(terms, F.col("term")))
+def _documents_with(docs: DataFrame) -> DataFrame:
+    """In how many documents each word is: term, n.
+
+    All words are counted, added up for each batch before they are shuffled: rows for
+    the words of interest alone would grow with their number times the number of batches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            found = [np.empty(0, dtype=np.int64)]
+            found = [np.empty(0, dtype=np.uint64)]
             for _, _, _, number, _, _, begin in kernel.plain_words(batch.column("text")):
-                hit = _in_bitmap(bits, number)
-                text = np.searchsorted(begin, hit, side="right")
-                order = np.lexsort((number[hit], text))
-                text, term = text[order], number[hit][order]
-                new = np.ones(len(term), dtype=bool)
-                new[1:] = (text[1:] != text[:-1]) | (term[1:] != term[:-1])
-                found.append(term[new].astype(np.int64))
+                text = np.repeat(np.arange(len(begin) - 1, dtype=np.uint64), np.diff(begin))
+                # one of each word of a text: equal pairs of word and text have equal numbers
+                _, first = np.unique(kernel.mix(number + kernel.mix(text + np.uint64(1))), return_index=True)
+                found.append(number[first])
             term, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.record_batch([pa.array(term), pa.array(n, pa.int64())], names=["term", "n"])
+            yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -230,7 +227,7 @@ def _revealing(docs: DataFrame, found: DataFrame) -> DataFrame:
         return joint.select("entity", "term", F.lit("").alias("kind"))
     total = found.count()
     entities = found.select(F.explode(F.array_distinct("terms.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = _documents_with(docs, joint.select("term"))
+    terms = _documents_with(docs)
     content = F.log(F.lit(float(total)) / F.col("n_entity"))
     share = F.log(_surely(F.col("joint"), F.col("n")) * F.lit(float(total)) / F.col("n_entity")) / content
     kind = F.when(share >= REMOVE, F.lit("remove")).when(share >= GENERALISE, F.lit("generalise"))
