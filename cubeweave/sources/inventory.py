@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -169,16 +170,17 @@ def service_columns(urls: DataFrame, key: list[str]) -> DataFrame:
     return wide.select(*key, *[F.coalesce(s, F.lit("")).alias(c) for s, c in SERVICES.items()])
 
 
-def snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Read the snapshot at ``path``; make it from ``df`` first when there is none.
+def snapshot(spark: SparkSession, make: Callable[[], DataFrame], path: str, schema: str | None = None) -> DataFrame:
+    """Read the snapshot at ``path``; ``make`` it first when there is none.
 
     A mark is written after the rows. Rows without it are left over from a
     write that was broken off, and are written again.
     """
-    spark = df.sparkSession
     try:
-        spark.read.parquet(f"{path}/done")
+        # naming the columns saves a look into the files
+        spark.read.schema("id bigint").parquet(f"{path}/done")
     except AnalysisException:
-        df.write.mode("overwrite").parquet(f"{path}/rows")
+        make().write.mode("overwrite").parquet(f"{path}/rows")
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
-    return spark.read.parquet(f"{path}/rows")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/rows")

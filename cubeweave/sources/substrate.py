@@ -8,12 +8,14 @@ reach the Parquet reader.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import times
-from cubeweave.runtime import new_dir
+from cubeweave.runtime import shared_dir
+from cubeweave.sources import inventory
 
 ROOT = "/data/vdb"
 COORDS = ["time", "lat", "lon", "realization"]
@@ -112,30 +114,29 @@ def file_path(year: Column) -> Column:
     return F.concat_ws("/", F.lit(ROOT), "center", "model", "exp", "run", F.lit("day"), "variable", name)
 
 
-# (application, tables) -> the inventory written for them
-_INVENTORIES: dict[tuple[str, str], str] = {}
+_INVENTORY = "center string, model string, exp string, run string, domain string, variable string, year int, ncoords bigint, mtime timestamp_ntz, path string"
+
+
+def _state(spark: SparkSession, path: str) -> str:
+    """What tells a table's present files from earlier ones: their number, bytes and the time of the last change."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = store.getContentSummary(where)
+    return f"{held.getFileCount()}:{held.getLength()}:{store.getFileStatus(where).getModificationTime()}"
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file inventory: one row per file, with step count and newest day.
 
-    It is crawled once per application and kept as a table in the shared
-    folder, because most jobs use it more than once: rows, gates and names of
-    a dataset family each start from it. The table is noted when it is
-    complete, sorted by path inside its files so that a scan below a directory
-    skips row groups.
+    It is a snapshot in the shared folder, because most jobs use it more than
+    once: rows, gates and names of a dataset family each start from it. Its
+    name is made of the application and the state of the table, so a table that has changed is
+    crawled again. It is sorted by path inside its files: a scan below a directory skips row groups.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key in _INVENTORIES:
-        try:
-            return spark.read.parquet(_INVENTORIES[key])
-        except AnalysisException:
-            # the shared folder was cleaned: crawl again
-            del _INVENTORIES[key]
-    path = new_dir(spark, "inventory")
-    crawl(spark, sf_dir).sortWithinPartitions("path").write.parquet(path)
-    _INVENTORIES[key] = path
-    return spark.read.parquet(path)
+    line = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    key = f"{spark.sparkContext.applicationId}|{line}|{_state(spark, line)}"
+    path = f"{shared_dir(spark)}/cubeweave/inventory-{hashlib.md5(key.encode()).hexdigest()}"
+    return inventory.snapshot(spark, lambda: crawl(spark, sf_dir).sortWithinPartitions("path"), path, _INVENTORY)
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:

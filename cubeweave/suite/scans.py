@@ -400,9 +400,9 @@ def crawl_snapshot(spark, sf):
     path = new_dir(spark, "crawl")
     kind = F.substring("child", 1, 1).alias("kind")
     crawled = substrate.tree(spark, sf)
-    first = inventory.snapshot(crawled, path).groupBy(kind).agg(F.count("*").alias("n_first"))
+    first = inventory.snapshot(spark, lambda: crawled, path).groupBy(kind).agg(F.count("*").alias("n_first"))
     # the second run finds the snapshot: the empty crawl given here is not used
-    again = inventory.snapshot(crawled.where("false"), path).groupBy(kind).agg(F.count("*").alias("n_again"))
+    again = inventory.snapshot(spark, lambda: crawled.where("false"), path).groupBy(kind).agg(F.count("*").alias("n_again"))
     return first.join(again, "kind")
 
 
