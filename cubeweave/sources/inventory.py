@@ -170,8 +170,13 @@ def service_columns(urls: DataFrame, key: list[str]) -> DataFrame:
     return wide.select(*key, *[F.coalesce(s, F.lit("")).alias(c) for s, c in SERVICES.items()])
 
 
-def snapshot(spark: SparkSession, make: Callable[[], DataFrame], path: str, schema: str | None = None) -> DataFrame:
-    """Read the snapshot at ``path``; ``make`` it first when there is none.
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """Read the snapshot at ``path``; make it from ``df`` first when there is none."""
+    return kept(df.sparkSession, lambda: df, path)
+
+
+def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str, schema: str | None = None) -> DataFrame:
+    """The same for rows that are not even planned when there is a snapshot.
 
     A mark is written after the rows. Rows without it are left over from a
     write that was broken off, and are written again.

@@ -136,7 +136,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     key = f"{spark.sparkContext.applicationId}|{line}|{_state(spark, line)}"
     path = f"{shared_dir(spark)}/cubeweave/inventory-{hashlib.md5(key.encode()).hexdigest()}"
-    return inventory.snapshot(spark, lambda: crawl(spark, sf_dir).sortWithinPartitions("path"), path, _INVENTORY)
+    return inventory.kept(spark, lambda: crawl(spark, sf_dir).sortWithinPartitions("path"), path, _INVENTORY)
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
