@@ -21,10 +21,10 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_descriptors(docs: DataFrame, path: str, key: str = "doc_id", xml: str = "xml") -> None:
-    """Documents as XML text, each in one ``document`` element that carries its key."""
+    """Documents as XML text, each in one ``document`` element that carries its key. Null texts are left out."""
     body = F.regexp_replace(xml, r"^\s*<\?xml[^>]*\?>", "")
     text = F.concat(F.lit('<document key="'), F.replace(F.col(key).cast("string"), F.lit('"'), F.lit("&quot;")), F.lit('">'), body)
-    docs.select(text.alias("value")).write.mode("errorifexists").option("lineSep", _END).text(path)
+    docs.where(F.col(xml).isNotNull()).select(text.alias("value")).write.mode("errorifexists").option("lineSep", _END).text(path)
 
 
 #: What ends a document in the files of ``write_descriptors``.
