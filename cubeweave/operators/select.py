@@ -189,16 +189,15 @@ def match_labels(paths: DataFrame, labels: DataFrame, path: str = "path", label:
     """Files with the label whose model and run are both directories of the path.
 
     The containment is an equality of the model with an exploded directory, so
-    it is a hash join; a path has a handful of directories. A model may hold
-    most files: labels are broadcast if the planner's size check allows it, and
-    else adaptive execution splits the files of that model, whose labels are
-    few. Pairs of directories as keys would even that out without a split, but
-    make several dozen rows of each file.
+    it is a hash join; a path has a handful of directories. Labels are one row
+    for each run of a model, so they are the side that is sent to the tasks, and files stay
+    where they are, also those of a model that holds most of them. The planner
+    must not choose: it takes the compressed size of the paths for that of their exploded rows.
     """
     parts = F.split(label, ":")
     known = labels.select(label, parts[0].alias("_model"), parts[1].alias("_run"))
     exploded = paths.select("*", names.dirs(path).alias("_dirs")).withColumn("_model", F.explode(F.array_distinct("_dirs")))
-    return exploded.join(known, "_model").where(F.array_contains("_dirs", F.col("_run"))).drop("_dirs", "_model", "_run")
+    return exploded.join(F.broadcast(known), "_model").where(F.array_contains("_dirs", F.col("_run"))).drop("_dirs", "_model", "_run")
 
 
 def draw_key(key: str | Column, seed: int) -> Column:
