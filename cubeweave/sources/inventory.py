@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
-from cubeweave.runtime import new_dir, settings, shared_dir
+from cubeweave.runtime import new_dir
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -102,54 +102,47 @@ def walk(edges: DataFrame, roots: DataFrame, depth: int | None = 1) -> DataFrame
 
     One join per level. Levels of a bounded walk form one lazy plan. An
     unbounded walk visits a node once for each root, at its least depth, so a
-    cycle ends it; every level is cut by a checkpoint, and the first empty one
+    cycle ends it; every level is kept in the shared folder, and the first empty one
     is the last.
     """
     level = roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"))
-
-    def descend(current: DataFrame, d: int) -> DataFrame:
-        return current.join(edges, current["node"] == edges["parent"]).select(
-            "root", F.col("child").alias("node"), F.lit(d).alias("depth")
-        )
-
-    if depth is not None:
-        levels = []
-        for d in range(depth + 1):
-            level = descend(level, d)
-            levels.append(level)
-        return reduce(DataFrame.unionByName, levels) if levels else level.limit(0)
-    shared_dir(edges.sparkSession)
-    seen, d = level.limit(0), 0
-    while True:
-        level = descend(level, d).dropDuplicates(["root", "node"])
-        level = level.join(seen.select("root", "node"), ["root", "node"], "left_anti").checkpoint()
-        if level.isEmpty():
-            return seen
-        seen, d = seen.unionByName(level), d + 1
+    if depth is None:
+        return _levels(edges, level, level.limit(0))
+    levels = []
+    for d in range(depth + 1):
+        level = _descend(level, edges, d)
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels) if levels else level.limit(0)
 
 
 def walk_all(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """Everything below ``roots`` at its least depth: root, node, depth. One recursive query, for any depth.
+    """Everything below ``roots`` at its least depth: root, node, depth. For any depth, number of levels and rows.
 
-    A way down does not come to one of its own nodes again, so a cycle ends
-    it. Every way is followed: that is for catalogues, where few nodes have
-    several parents; ``walk`` takes each node of a dense graph once. Levels and rows are not limited; the
-    result is kept in the shared folder, since the limits are lifted while it is made.
+    The shortest way down to a node never comes to one of its own nodes again, so it is
+    found without the other ways, whose number has no bound where nodes have several parents: each
+    node is taken once for each root. A root is not below itself.
     """
-    spark, path = edges.sparkSession, new_dir(edges.sparkSession, "walk")
-    with settings(spark, {"spark.sql.cteRecursionLevelLimit": "-1", "spark.sql.cteRecursionRowLimit": "-1"}):
-        found = spark.sql(
-            """WITH RECURSIVE way(root, node, depth, above) AS (
-                 SELECT node, node, -1, array(node) FROM {roots}
-                 UNION ALL
-                 SELECT way.root, e.child, way.depth + 1, array_append(way.above, e.child)
-                 FROM way JOIN {edges} e ON e.parent = way.node WHERE NOT array_contains(way.above, e.child))
-               SELECT root, node, min(depth) AS depth FROM way WHERE depth >= 0 GROUP BY root, node""",
-            edges=edges.select("parent", "child"),
-            roots=roots.select("node"),
-        )
-        found.write.parquet(path)
-    return spark.read.parquet(path)
+    level = roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth")).distinct()
+    return _levels(edges, level, level)
+
+
+def _descend(level: DataFrame, edges: DataFrame, d: int) -> DataFrame:
+    return level.join(edges, level["node"] == edges["parent"]).select("root", F.col("child").alias("node"), F.lit(d).alias("depth"))
+
+
+def _levels(edges: DataFrame, level: DataFrame, known: DataFrame) -> DataFrame:
+    """All levels below ``level``, each without what is ``known`` and what the levels above hold."""
+    spark, path, done = edges.sparkSession, new_dir(edges.sparkSession, "walk"), []
+    known = known.select("root", "node")
+    while True:
+        found = _descend(level, edges, len(done)).dropDuplicates(["root", "node"])
+        held = lambda *paths: spark.read.schema(found.schema).parquet(*paths)  # noqa: E731, B023
+        above = known.unionByName(held(*done).select("root", "node")) if done else known
+        found.join(above, ["root", "node"], "left_anti").write.parquet(f"{path}/{len(done)}")
+        level = held(f"{path}/{len(done)}")
+        if level.isEmpty():
+            return held(*done) if done else level
+        done.append(f"{path}/{len(done)}")
 
 
 # fixed values: access services and the column each of them fills

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cubeweave.operators import select
+from cubeweave.sources import inventory
 
 
 def plan(df):
@@ -16,3 +17,11 @@ def test_labels_are_sent_to_the_files(spark, tmp_path):
     found = select.match_labels(spark.read.parquet(str(tmp_path / "files")), labels)
     assert "BuildRight" in plan(found) and "BuildLeft" not in plan(found)
     assert sorted(tuple(r) for r in found.collect()) == [(f"/d/M{i}/r1/x.nc", f"M{i}:r1") for i in range(3)]
+
+
+def test_a_walk_does_not_follow_every_way(spark):
+    # every node of a layer leads to all of the next: 12 ** 12 ways
+    rows = [("r", f"0-{b}") for b in range(12)] + [(f"{d}-{a}", f"{d + 1}-{b}") for d in range(11) for a in range(12) for b in range(12)]
+    edges = spark.createDataFrame([*rows, ("11-0", "r"), ("11-1", "0-0")], "parent string, child string")
+    got = inventory.walk_all(edges, spark.createDataFrame([("r",), ("r",)], "node string")).collect()
+    assert sorted((r.root, r.node, r.depth) for r in got) == sorted(("r", f"{d}-{b}", d) for d in range(12) for b in range(12))
