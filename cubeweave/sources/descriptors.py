@@ -120,7 +120,9 @@ def _edited(docs: DataFrame, change: Callable[[ElementTree.Element, str | None],
     def text(xml: str | None, value: str | None) -> str | None:
         if xml is None:
             return None
-        root = ElementTree.fromstring(xml.encode(), ElementTree.XMLParser(target=_Keeping(insert_comments=True, insert_pis=True)))
+        # a builder of its own costs as much again, and only texts with name spaces need it
+        builder = _Keeping if "xmlns" in xml else ElementTree.TreeBuilder
+        root = ElementTree.fromstring(xml.encode(), ElementTree.XMLParser(target=builder(insert_comments=True, insert_pis=True)))
         change(root, value)
         return ElementTree.tostring(root, encoding="unicode")
 
@@ -128,6 +130,8 @@ def _edited(docs: DataFrame, change: Callable[[ElementTree.Element, str | None],
     def run(xml: pd.Series, value: pd.Series) -> pd.Series:
         return pd.Series([text(x, v) for x, v in zip(xml, value, strict=True)], dtype=object)
 
+    # a filter on the text would otherwise be pushed below the edit, which is then done twice
+    run = run.asNondeterministic()
     return docs.withColumn(xml, run(xml, F.lit(None).cast("string") if value is None else value.cast("string")))
 
 

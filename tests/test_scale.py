@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cubeweave.operators import select
-from cubeweave.sources import inventory
+from cubeweave.sources import descriptors, inventory, markup, substrate
 
 
 def plan(df):
@@ -25,3 +25,42 @@ def test_a_walk_does_not_follow_every_way(spark):
     edges = spark.createDataFrame([*rows, ("11-0", "r"), ("11-1", "0-0")], "parent string, child string")
     got = inventory.walk_all(edges, spark.createDataFrame([("r",), ("r",)], "node string")).collect()
     assert sorted((r.root, r.node, r.depth) for r in got) == sorted(("r", f"{d}-{b}", d) for d in range(12) for b in range(12))
+
+
+def customers(spark, tmp_path, n):
+    given = spark.range(n).select(F.col("id").alias("c_custkey"), F.lit("a").alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit("b").alias("c_mktsegment"))
+    given.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    return str(tmp_path)
+
+
+def test_documents_of_one_row_group_are_made_by_several_tasks(spark, tmp_path):
+    sf = customers(spark, tmp_path, 3 * substrate.DOCUMENT_ROWS)
+    for docs in (substrate.descriptors, substrate.full_descriptors, substrate.broken_descriptors):
+        assert docs(spark, sf).rdd.getNumPartitions() == 3
+    assert descriptors.facts(substrate.descriptors(spark, sf)).select("doc_id").distinct().count() == 3 * substrate.DOCUMENT_ROWS
+
+
+def test_an_edit_is_made_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "<netcdf/>"), (2, None), (3, '<q:netcdf xmlns:q="urn"><!-- c --></q:netcdf>')], "doc_id bigint, xml string")
+    edited = descriptors.add_removal(descriptors.add_attribute(docs, "a", F.lit("1")), "h", "variable").where("xml IS NOT NULL").select("doc_id", F.upper("xml").alias("xml"))
+    assert plan(edited).count("ArrowEvalPython") == 2
+    got = dict(tuple(r) for r in edited.collect())
+    assert sorted(got) == [1, 3] and "<!-- C -->" in got[3] and "<Q:ATTRIBUTE" in got[3]
+
+
+def test_elements_around_an_element(spark):
+    xml = "<a>x<!-- c -->y<b k='1' xmlns:q='u' q:z='2'><c/><b/><c>  t </c></b>tail<b/></a>"
+    docs = spark.createDataFrame([(1, xml), (2, "<a><b></a>"), (3, None), (4, "<a>" + "<g>" * 3000 + "</g>" * 3000 + "</a>")], "doc_id int, xml string")
+    rows = markup.elements(docs).orderBy("doc_id", "place").collect()
+    first = [(r.path, r.element, r.ordinal, r.given, r.text, r.outer, r.outer_given, r.holder) for r in rows if r.doc_id == 1]
+    b = {"k": "1", "z": "2"}
+    assert first == [
+        ("/a", "a", 0, {}, "xy", None, None, None),
+        ("/a/b[0]", "b", 0, b, None, "/a", {}, None),
+        ("/a/b[0]/c[0]", "c", 0, {}, None, "/a/b[0]", b, "/a"),
+        ("/a/b[0]/b[0]", "b", 0, {}, None, "/a/b[0]", b, "/a"),
+        ("/a/b[0]/c[1]", "c", 1, {}, "t", "/a/b[0]", b, "/a"),
+        ("/a/b[1]", "b", 1, {}, None, "/a", {}, None),
+    ]
+    assert [(r.element, r.given) for r in rows if r.doc_id == 2] == [("unreadable", {})]
+    assert sum(r.doc_id == 4 for r in rows) == 3001
