@@ -104,9 +104,10 @@ def counts(stream: DataFrame, time: str = "reftime") -> DataFrame:
 class Memory(StatefulProcessor):
     """Remembers each key until it was not seen for some time, in event time.
 
-    The first sight of a key gives ``new``; a timer, moved on at every sight,
-    gives ``expired`` and clears the key's state, so a key that comes back is new again. The state
-    of a key is the time when it was last seen.
+    The first sight of a key gives ``new``; a key that was not seen for that time
+    gives ``expired`` and leaves the state, so it is new when it comes back. Keys are kept by bucket, with the
+    time when each was last seen: every call for state goes to the JVM and back, and so there are a few of them for a
+    bucket, not for a key. A bucket has one timer, for the key that is the next to expire.
     """
 
     def __init__(self, keep_seconds: int) -> None:
@@ -114,24 +115,44 @@ class Memory(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "at bigint")
+        self.seen = handle.getValueState("seen", "keys array<string>, ats array<bigint>")
+
+    def _held(self) -> dict[str, int]:
+        state = self.seen.get()
+        return dict(zip(*state, strict=True)) if state else {}
+
+    def _hold(self, held: dict[str, int], timer: int | None) -> None:
+        """Keep the keys; ``timer`` is the one that is set, if there is one."""
+        if not held:
+            self.seen.clear()
+            return
+        self.seen.update((list(held), list(held.values())))
+        first = min(held.values()) + self.keep
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
 
     def handleInputRows(self, key, rows, timerValues):
-        at = max(r.at for r in rows)
-        known = self.seen.exists()
-        if known:
-            before = self.seen.get()[0]
-            at = max(at, before)
-            self.handle.deleteTimer(before + self.keep)
-        else:
-            yield Row(key=key[0], what="new", at=at)
-        self.seen.update((at,))
-        self.handle.registerTimer(at + self.keep)
+        here: dict[str, int] = {}
+        for r in rows:
+            here[r.key] = max(r.at, here.get(r.key, r.at))
+        held = self._held()
+        timer = min(held.values()) + self.keep if held else None
+        for k, at in here.items():
+            if k not in held:
+                yield Row(key=k, what="new", at=at)
+            held[k] = max(at, held.get(k, at))
+        self._hold(held, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        self.seen.clear()
-        yield Row(key=key[0], what="expired", at=at)
+        # all that have expired by now, not those of this time alone: the next timer is a later one
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held = self._held()
+        for k, at in held.items():
+            if at + self.keep <= now:
+                yield Row(key=k, what="expired", at=at + self.keep)
+        self._hold({k: at for k, at in held.items() if at + self.keep > now}, None)
 
     def close(self) -> None:
         pass
@@ -141,10 +162,16 @@ class Memory(StatefulProcessor):
 MEMORY_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
-def remembered(stream: DataFrame, key: str, time: str, keep_seconds: int) -> DataFrame:
+#: Parts of the keys of a stream that remembers them: a part's state is read and written as a whole.
+BUCKETS = 8_192
+
+
+def remembered(stream: DataFrame, key: str, time: str, keep_seconds: int, buckets: int = BUCKETS) -> DataFrame:
     """Keys that are new, and keys that were not seen for ``keep_seconds``: key, what, at (milliseconds).
 
-    State is bounded by the keys seen within that time. Run it under ``MEMORY_SETTINGS``.
+    State is bounded by the keys seen within that time. Run it under ``MEMORY_SETTINGS``. A stream that is
+    run again from its checkpoint needs the same number of buckets.
     """
     rows = timed(stream, time, "0 seconds").select(F.col(key).alias("key"), "event_time", F.unix_millis("event_time").alias("at"))
-    return rows.groupBy("key").transformWithState(Memory(keep_seconds), "key string, what string, at bigint", "append", "EventTime")
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return dealt.groupBy("bucket").transformWithState(Memory(keep_seconds), "key string, what string, at bigint", "append", "EventTime")

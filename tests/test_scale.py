@@ -1,9 +1,13 @@
 """What keeps time, disk and memory in proportion to the input."""
 
+from types import SimpleNamespace
+
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cubeweave.operators import catalog, select
 from cubeweave.sources import descriptors, inventory, markup, substrate
+from cubeweave.streaming import arrivals
 
 
 def plan(df):
@@ -83,3 +87,62 @@ def test_files_are_gathered_in_one_exchange_of_bounded_tasks(spark, tmp_path, mo
     files = substrate.crawl(spark, sf_dir)
     assert plan(files).count("Exchange") == 1
     assert files.rdd.getNumPartitions() == -(-lines.count() // 1_000) > 1
+
+
+class _Handle:
+    """A bucket's state and timers, with the number of calls for them."""
+
+    def __init__(self):
+        self.state, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.state is not None
+
+    def get(self):
+        self.calls += 1
+        return self.state
+
+    def update(self, state):
+        self.calls, self.state = self.calls + 1, state
+
+    def clear(self):
+        self.calls, self.state = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_keys_of_a_bucket_share_calls_for_state():
+    handle, memory = _Handle(), arrivals.Memory(10)
+    memory.init(handle)
+
+    def batch(watermark, **seen):
+        """The rows of a batch, then the timers that are due: what is told of each key."""
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        told = list(memory.handleInputRows((0,), iter([Row(key=k, at=at) for k, ats in seen.items() for at in ats]), now)) if seen else []
+        for at in sorted(t for t in handle.timers if t <= watermark):
+            told += memory.handleExpiredTimer((0,), now, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))
+            handle.timers.discard(at)
+        return sorted((r.key, r.what, r.at) for r in told)
+
+    many = {f"k{i}": [0] for i in range(1000)}
+    assert len(batch(0, **many)) == 1000 and handle.calls <= 5
+    assert batch(0, a=[3_000, 5_000], b=[4_000]) == [("a", "new", 5_000), ("b", "new", 4_000)]
+    # seen again: kept for longer, and an older sight changes nothing
+    assert batch(9_999, k7=[8_000], a=[1_000]) == []
+    handle.calls = 0
+    assert batch(14_000) == sorted([(k, "expired", 10_000) for k in many if k != "k7"] + [("b", "expired", 14_000)])
+    assert handle.calls <= 5 and handle.timers == {15_000}
+    # seen in the batch in which its time is up: still known; back after it was gone: new
+    assert batch(15_000, a=[16_000], b=[16_000]) == [("b", "new", 16_000)]
+    assert batch(30_000) == [("a", "expired", 26_000), ("b", "expired", 26_000), ("k7", "expired", 18_000)]
+    assert handle.state is None and not handle.timers
