@@ -75,6 +75,11 @@ class Compiler:
         self.documents = {r.doc for r in self.found.where("kind = 'dataset'").select("doc").collect()}
         self.files = self._resolve(docs, as_of)
         self.facts = self._structure()
+        # what the stores know of these files is looked up once for all datasets; those of an aggregation lie together
+        self.stored = [
+            _saved(self.files.join(s.files, "path").repartitionByRange("doc", "node_path", "path").sortWithinPartitions("doc", "node_path"), "stored")
+            for s in self.stores
+        ]
         self.held = self._summary()
         self.built: dict[str, VirtualDataset] = {}
 
@@ -113,8 +118,8 @@ class Compiler:
         which = F.when(F.col("special"), F.col("ordinal"))
         held = []
         for i, s in enumerate(self.stores):
-            known = s.files.select("path", "variable", text(s.files, "first").alias("first"), text(s.files, "last").alias("last"))
-            of = self.files.join(known, "path").groupBy("doc", "node_path", "kind", which.alias("member")).agg(
+            known = self.stored[i].withColumns({"first": text(s.files, "first"), "last": text(s.files, "last")})
+            of = known.groupBy("doc", "node_path", "kind", which.alias("member")).agg(
                 F.array_sort(F.collect_set("variable")).alias("variables"), F.min("first").alias("first"), F.max("last").alias("last"),
                 F.count_if(F.col("section").isNotNull()).alias("n_sections"), F.min("ordinal").alias("ordinal"),
             )
@@ -162,7 +167,7 @@ class Compiler:
     def _rows_of(self, row: Row) -> DataFrame:
         mine = (F.col("doc") == row.doc) & (F.col("node_path") == row.node_path) & (F.col("kind") == row.kind)
         mine &= ~F.col("special") if row.member is None else F.col("special") & (F.col("ordinal") == row.member)
-        return self.files.where(mine).select("path", "ordinal", "section").join(self.stores[row.store].files, "path")
+        return self.stored[row.store].where(mine).select("path", "ordinal", "section", *[c for c in self.stores[row.store].files.columns if c != "path"])
 
     def _leaf(self, row: Row, extra: dict[str, Column] | None = None, first: bool = False, without: tuple[str, ...] = ()) -> VirtualDataset:
         """Plain files as one table. ``extra``: coordinates from the files' columns; ``first``: one member for each variable."""

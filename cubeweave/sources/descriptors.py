@@ -202,8 +202,8 @@ def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of:
     """The files behind every descriptor: (key, node_path, ordinal, path, kind of the fact that names it).
 
     Listed locations are files themselves. A scan meets a file when its
-    location is one of the file's directories, so paths are spread over their
-    directories and the match is an equality. A scan that takes files of a minimum age needs the inventory's
+    location is one of the file's directories, so paths are spread over those of their
+    directories that are as deep as a location and the match is an equality. A scan that takes files of a minimum age needs the inventory's
     ``mtime`` and the time ``as_of`` which their age is counted.
     """
     bare = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
@@ -214,14 +214,18 @@ def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of:
         key, "node_path", "ordinal", "kind", bare(F.col("location")).alias("location"), "suffix", "regexp",
         F.coalesce("subdirs", F.lit(True)).alias("subdirs"), marks.seconds(F.col("older_than")).alias("_age"),
     )
-    parts = names.dirs("path")
-    joined = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    # locations are at a few depths, of which most directories of a file are none; two slashes at the start are the root twice
+    levels = F.when(F.col("location") == "/", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.size(F.split("location", "/"))))
+    depths = scans.where(F.col("location").isNotNull()).select(F.explode(levels).alias("_at")).distinct()
+    # a file without a directory is in the empty one
+    slashes = F.length("path") - F.length(F.replace("path", F.lit("/")))
+    inner = F.when(slashes == 0, "").otherwise(F.call_function("substring_index", F.col("path"), F.lit("/"), F.col("_at")))
     # the first part of an absolute path is empty: its directory is the root
-    places = F.transform(joined, lambda p: F.when(F.startswith("path", F.lit("/")) & (p == ""), "/").otherwise(p))
+    place = F.when(F.startswith("path", F.lit("/")) & (inner == ""), "/").otherwise(inner)
     time = F.col("mtime").cast("timestamp_ntz") if "mtime" in inventory.columns else F.lit(None).cast("timestamp_ntz")
-    held = inventory.select("path", time.alias("_time"), places.alias("_places"))
-    spread = held.select("path", "_time", F.size("_places").alias("_depth"), F.posexplode("_places").alias("_at", "location"))
-    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth") - 1))
+    held = inventory.select("path", time.alias("_time"), F.greatest(slashes, F.lit(1)).alias("_depth"))
+    spread = held.join(F.broadcast(depths), F.col("_at") <= F.col("_depth")).select("path", "_time", "_depth", "_at", place.alias("location"))
+    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth")))
     ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
     suffix_is = F.rlike("path", ending)
     regexp_is = F.col("regexp").isNull() | F.rlike("path", F.concat(F.lit("^(?:"), F.coalesce("regexp", F.lit("")), F.lit(")$")))

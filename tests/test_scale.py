@@ -11,6 +11,7 @@ from cubeweave.operators import catalog, select
 from cubeweave.registry import QUERIES
 from cubeweave.sources import descriptors, inventory, markup, substrate
 from cubeweave.streaming import arrivals
+from cubeweave.suite import documents
 
 
 def plan(df):
@@ -167,3 +168,32 @@ def test_short_keys_of_files_are_those_of_their_lines(spark, sf_dir):
     files = substrate.with_short_keys(substrate.members(spark, sf_dir)).select(*substrate.SHORT_KEYS).distinct()
     lines = substrate.lines(spark, sf_dir).select(*substrate.SHORT_KEYS).distinct()
     assert files.count() == lines.count() == files.join(lines, substrate.SHORT_KEYS).count()
+
+
+def test_paths_meet_scans_at_the_depths_of_their_locations(spark):
+    paths = ["/a/b/c/x.nc", "/a/x.nc", "/x.nc", "x.nc", "a/x.nc", "//a/x.nc", "/a//b/x.nc", "/a/b/", ""]
+    places = ["/", "", "/a", "/a/", "/a/b", "a", "/a/b/c", "/a/", "//a", "/a//b", None]
+    fact = "doc_id bigint, kind string, node_path string, ordinal int, location string, suffix string, regexp string, subdirs boolean, older_than string"
+    scans = [(2 * i + deep, "scan", "/netcdf", 0, p, None, None, bool(deep), None) for i, p in enumerate(places) for deep in (0, 1)]
+    got = descriptors.resolve(spark.createDataFrame(scans, fact), spark.createDataFrame([(p,) for p in paths], "path string"))
+
+    def dirs(path):
+        parts = path.split("/")[:-1]
+        joined = ["/".join(parts[: n + 1]) for n in range(max(len(parts), 1))]
+        return ["/" if path.startswith("/") and p == "" else p for p in joined]
+
+    want = []
+    for i, p in enumerate(places):
+        bare = None if p is None else p if p == "/" else p.rstrip("/")
+        for path in paths:
+            hits = [n for n, d in enumerate(dirs(path)) if d == bare]
+            want += [(2 * i, path) for n in hits if n == len(dirs(path)) - 1] + [(2 * i + 1, path) for _ in hits]
+    assert sorted((r.doc_id, r.path) for r in got.collect()) == sorted(want)
+    # a directory for each depth of a location, not an array of all directories for each file
+    assert "lambda" not in plan(got) and "Generate inline" not in plan(got) and "posexplode" not in plan(got)
+
+
+def test_stores_are_looked_up_once_for_all_datasets(spark, sf_dir):
+    found = documents.compiler(spark, sf_dir)
+    rows = found._rows_of(found.held["/data/docs/parts/tas.ncml", "/netcdf/aggregation[0]", None][0])
+    assert rows.count() > 0 and "Join" not in plan(rows)
