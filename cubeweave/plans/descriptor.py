@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubeweave.sources import descriptors
@@ -34,18 +34,24 @@ def renamed(found: DataFrame, kind: str, key: str = "doc_id") -> DataFrame:
 
 
 def cells(
-    found: DataFrame, inventory: DataFrame, rows: DataFrame, file: list[str], coords: list[str], key: str = "doc_id"
+    found: DataFrame, inventory: DataFrame, rows: DataFrame, file: list[str], coords: list[str], key: str = "doc_id",
+    held: DataFrame | None = None, value: Column | None = None,
 ) -> DataFrame:
     """The values of every document: key, label, coordinates, variable (renamed), value.
 
     ``rows`` holds stored values (file facets, coords, variable, value) and is
     read once for all documents. Values at the same coordinates of the same
     variable are added up; variables that a document removes at any level are left out.
+    ``held`` is ``member_files`` if it is there already. Rows that hold all variables side by side come
+    without variable and value, and ``value`` takes the value from them.
     """
-    files = member_files(found, inventory, key).where("found").join(inventory.select("path", *file), "path")
+    held = member_files(found, inventory, key) if held is None else held
+    of = list(dict.fromkeys([*file, "variable"]))
+    files = held.where("found").join(inventory.select("path", *of), "path")
     removed = found.where((F.col("kind") == "remove") & (F.col("type") == "variable")).select(key, F.col("name").alias("variable")).distinct()
-    members = files.select(key, "label", *file).distinct().join(removed, [key, "variable"], "left_anti")
-    values = members.join(rows, file).groupBy(key, "label", *coords, "variable").agg(F.sum("value").alias("value"))
+    members = files.select(key, "label", *of).distinct().join(removed, [key, "variable"], "left_anti")
+    read = members.join(rows, file).withColumn("value", F.col("value") if value is None else value)
+    values = read.groupBy(key, "label", *coords, "variable").agg(F.sum("value").alias("value"))
     names = renamed(found, "variable", key).select(key, F.col("org_name").alias("variable"), F.col("name").alias("_new"))
     given = values.join(names, [key, "variable"], "left")
     return given.select(key, "label", *coords, F.coalesce("_new", "variable").alias("variable"), "value")

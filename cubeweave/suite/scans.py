@@ -545,11 +545,16 @@ def descriptor_read(spark, sf):
     # facts are used four times and are small: documents are parsed once
     path = new_dir(spark, "facts")
     descriptors.facts(substrate.descriptors(spark, sf)).write.parquet(path)
-    found, files = spark.read.parquet(path), substrate.members(spark, sf)
-    held = descriptor.member_files(found, files).groupBy("doc_id").agg(
+    found, files = spark.read.parquet(path), substrate.with_short_keys(substrate.members(spark, sf))
+    # the files of the documents are used twice: they are looked up once
+    path = new_dir(spark, "members")
+    descriptor.member_files(found, files).write.parquet(path)
+    members = spark.read.parquet(path)
+    held = members.groupBy("doc_id").agg(
         F.max("label").alias("label"), F.count_if("found").alias("n_files"), F.count_if(~F.col("found")).alias("n_absent")
     )
-    rows = descriptor.cells(found, files, substrate.records(spark, sf), substrate.FILE_KEYS, ["time", "lat", "lon"])
+    lines = substrate.lines(spark, sf)
+    rows = descriptor.cells(found, files, lines, substrate.SHORT_KEYS, ["time", "lat", "lon"], held=members, value=substrate.value_of())
     cube = rows.groupBy("doc_id", "time", "lat", "lon").agg(
         *[F.sum(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in ("tas", "pr")]
     )

@@ -203,3 +203,11 @@ def test_files_are_compared_by_short_keys(spark, sf_dir):
     # lines are dealt by dataset: their cells stay there, and no path is dealt with them
     found = exchanges(QUERIES["compare_all_files"](spark, sf_dir))
     assert found and not any("lat" in keys for keys in found)
+
+
+def test_files_of_documents_are_looked_up_once(spark, sf_dir, monkeypatch):
+    calls, resolve = [], descriptors.resolve
+    monkeypatch.setattr(descriptors, "resolve", lambda *given: calls.append(given) or resolve(*given))
+    # lines are joined with files for all their variables at once
+    found = QUERIES["descriptor_read"](spark, sf_dir)
+    assert len(calls) == 1 and "Generate inline" not in plan(found)
