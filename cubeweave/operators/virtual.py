@@ -95,6 +95,11 @@ def merge_records(rows: DataFrame, coords: list[str], variables: list[str], valu
     )
 
 
+def merge_cells(cells: DataFrame, coords: list[str], variables: list[str], value: str = "value") -> DataFrame:
+    """The same for a long table that has one row at most for each place and variable."""
+    return cells.groupBy(*coords).agg(*[F.max(F.when(F.col("variable") == v, F.col(value))).alias(v) for v in variables])
+
+
 def merge_outer(members: list[DataFrame], coords: list[str], helpers: tuple[str, ...] = ()) -> DataFrame:
     """Outer merge: all coordinates, the first non-null value of each variable.
 

@@ -33,21 +33,26 @@ from pyspark.sql import functions as F
 from cubeweave.functions import marks, names, ordering
 from cubeweave.operators import edit, virtual
 from cubeweave.plans.dataset import VirtualDataset
-from cubeweave.runtime import new_dir
+from cubeweave.runtime import new_dir, released, settings
 from cubeweave.sources import descriptors
 
 #: Column types of the types of values in a document.
 _TYPES = {"double": "double", "float": "float", "int": "int", "long": "bigint", "short": "smallint", "byte": "tinyint", "string": "string"}
 
 
+#: What one task reads of tables, as Parquet has it.
+READ_BYTES = "16m"
+
+
 @dataclass(frozen=True)
 class Store:
     """Where the files below a directory are.
 
-    files: path, variable and what ``read`` needs; ``first`` and ``last`` (ISO
-    dates) and ``mtime`` if they are known. ``read(files, keep, variables)``
+    files: one row for each file and variable: path, variable and what ``read`` needs, and no more, as it is kept for each
+    document that has the file; ``first`` and ``last`` (ISO dates) and ``mtime`` if they are known. ``read(files, keep, variables)``
     gives the stored values of some files: the coordinates, the columns
-    ``keep`` of ``files``, variable and value. Values at one place are added up.
+    ``keep`` of ``files``, variable and value. Values at one place are added up. ``files`` may
+    have a file several times, with different values in ``keep``.
     """
 
     root: str
@@ -56,9 +61,25 @@ class Store:
     coords: tuple[str, ...]
 
 
-def _saved(df: DataFrame, purpose: str) -> DataFrame:
+@dataclass(frozen=True)
+class _Leaf:
+    """The plain files of one aggregation: the coordinates of their store, and names of others with the columns of ``files`` that have them."""
+
+    store: int
+    base: tuple[str, ...]
+    extra: dict[str, str]
+    files: DataFrame
+    variables: tuple[str, ...]
+
+
+def saved(df: DataFrame, purpose: str) -> DataFrame:
+    """Rows as a table in the shared folder. What their making moved is gone when they are written.
+
+    They are made of a few megabytes of tables to a task: a task that sorts what it reads, or moves it, needs disk besides if that is more than its memory.
+    """
     path = new_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with released(df.sparkSession), settings(df.sparkSession, {"spark.sql.files.maxPartitionBytes": READ_BYTES}):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,36 +92,38 @@ class Compiler:
         found = descriptors.facts(docs, "doc")
         # locations are relative to the document that names them
         here = F.when(F.col("location").isNotNull(), names.absolute("location", names.parent("doc")))
-        self.found = _saved(found.withColumn("location", here), "facts")
+        self.found = saved(found.withColumn("location", here), "facts")
         self.documents = {r.doc for r in self.found.where("kind = 'dataset'").select("doc").collect()}
-        self.files = self._resolve(docs, as_of)
+        located = self._located_facts()
         self.facts = self._structure()
-        # what the stores know of these files is looked up once for all datasets; those of an aggregation lie together
-        self.stored = [
-            _saved(self.files.join(s.files, "path").repartitionByRange("doc", "node_path", "path").sortWithinPartitions("doc", "node_path"), "stored")
-            for s in self.stores
-        ]
+        # what the stores know of these files is looked up once for all datasets
+        self.stored = [self._files_of(s, located, as_of) for s in self.stores]
+        names_ = self.found.where("kind = 'dataset'").select(F.col("doc").alias("path")).distinct()
+        self.inner = descriptors.resolve(located, names_, "doc", as_of, given=["special"]).join(names_, "path")
         self.held = self._summary()
         self.built: dict[str, VirtualDataset] = {}
+        self.leaves: list[_Leaf] = []
+        self.cells: dict[int, DataFrame] = {}
 
-    def _resolve(self, docs: DataFrame, as_of: Column | None) -> DataFrame:
-        """doc, node_path, ordinal, kind, path, section, special of every file of every document."""
-        time = lambda df: F.col("mtime").cast("timestamp_ntz") if "mtime" in df.columns else F.lit(None).cast("timestamp_ntz")
-        held = [s.files.select("path", time(s.files).alias("mtime")) for s in self.stores]
-        held.append(docs.select(F.col("doc").alias("path"), F.lit(None).cast("timestamp_ntz").alias("mtime")))
-        every = reduce(DataFrame.unionByName, held).groupBy("path").agg(F.max("mtime").alias("mtime"))
-        # the location of a whole document is its only member
-        located = self.found.withColumn("kind", F.when(F.col("kind") == "dataset", "member").otherwise(F.col("kind")))
-        files = descriptors.resolve(located, every, "doc", as_of)
+    def _located_facts(self) -> DataFrame:
+        """Facts with ``special``: whether a member has something inside or a label, so that it is not one of many."""
         inside = F.when(F.col("kind") == "aggregation", F.regexp_replace("node_path", r"/aggregation\[\d+\]$", "")).otherwise(F.col("node_path"))
         nested = self.found.where(F.col("kind") != "dataset").select("doc", inside.alias("_path")).distinct().withColumn("_nested", F.lit(True))
         member = self.found.where("kind = 'member'").select("doc", "node_path", "ordinal", "kind", "section", "coord_value")
         member = member.withColumn("_path", F.concat("node_path", F.lit("/netcdf["), F.col("ordinal").cast("string"), F.lit("]")))
         member = member.join(nested, ["doc", "_path"], "left")
-        self.members = _saved(member.withColumn("special", F.col("_nested").isNotNull() | F.col("coord_value").isNotNull()).drop("_nested", "_path"), "members")
+        self.members = saved(member.withColumn("special", F.col("_nested").isNotNull() | F.col("coord_value").isNotNull()).drop("_nested", "_path"), "members")
         known = self.members.select("doc", "node_path", "ordinal", "kind", "section", "special")
-        files = files.join(known, ["doc", "node_path", "ordinal", "kind"], "left").withColumn("special", F.coalesce("special", F.lit(False)))
-        return _saved(files, "files")
+        # the location of a whole document is its only member
+        located = self.found.drop("section").withColumn("kind", F.when(F.col("kind") == "dataset", "member").otherwise(F.col("kind")))
+        located = located.where(F.col("kind").isin("member", "scan", "scan_fmrc")).join(known, ["doc", "node_path", "ordinal", "kind"], "left")
+        return saved(located.withColumn("special", F.coalesce("special", F.lit(False))), "located")
+
+    def _files_of(self, store: Store, located: DataFrame, as_of: Column | None) -> DataFrame:
+        """doc, node_path, ordinal, kind, section, special and the store's columns of every file of every document. Nothing moves; those of an aggregation lie together."""
+        keep = [c for c in store.files.columns if c != "path"]
+        files = descriptors.resolve(located, store.files, "doc", as_of, given=["section", "special"], keep=keep)
+        return saved(files.sortWithinPartitions("doc", "node_path"), "stored")
 
     def _structure(self) -> dict[tuple[str, str], list[Row]]:
         """Facts by document and path, without plain members."""
@@ -121,13 +144,12 @@ class Compiler:
             known = self.stored[i].withColumns({"first": text(s.files, "first"), "last": text(s.files, "last")})
             of = known.groupBy("doc", "node_path", "kind", which.alias("member")).agg(
                 F.array_sort(F.collect_set("variable")).alias("variables"), F.min("first").alias("first"), F.max("last").alias("last"),
-                F.count_if(F.col("section").isNotNull()).alias("n_sections"), F.min("ordinal").alias("ordinal"),
+                (F.min("ordinal") != F.max("ordinal")).alias("several"), F.min("ordinal").alias("ordinal"),
             )
             held.append(of.withColumns({"store": F.lit(i), "document": F.lit(None).cast("string")}))
-        names_ = self.found.where("kind = 'dataset'").select(F.col("doc").alias("path")).distinct()
-        inner = self.files.join(names_, "path").select(
+        inner = self.inner.select(
             "doc", "node_path", "kind", which.alias("member"), F.array().cast("array<string>").alias("variables"), F.lit(None).cast("string").alias("first"),
-            F.lit(None).cast("string").alias("last"), F.lit(0).cast("bigint").alias("n_sections"), "ordinal", F.lit(-1).alias("store"), F.col("path").alias("document"),
+            F.lit(None).cast("string").alias("last"), F.lit(False).alias("several"), "ordinal", F.lit(-1).alias("store"), F.col("path").alias("document"),
         )
         found: dict[tuple, list[Row]] = defaultdict(list)
         for r in reduce(DataFrame.unionByName, [*held, inner]).collect():
@@ -172,20 +194,61 @@ class Compiler:
     def _leaf(self, row: Row, extra: dict[str, Column] | None = None, first: bool = False, without: tuple[str, ...] = ()) -> VirtualDataset:
         """Plain files as one table. ``extra``: coordinates from the files' columns; ``first``: one member for each variable."""
         store, extra = self.stores[row.store], extra or {}
-        coords = [*[c for c in store.coords if c not in extra and c not in without], *extra]
+        base = [c for c in store.coords if c not in extra and c not in without]
         files = self._rows_of(row)
         if first:
             earliest = files.groupBy("variable").agg(F.min(F.struct("ordinal", "path")).alias("_first"))
             files = files.join(earliest, "variable").where((F.col("path") == F.col("_first.path")) & (F.col("ordinal") == F.col("_first.ordinal"))).drop("_first")
-        files = files.withColumns(extra).drop("ordinal", *([] if "section" in extra else ["section"])).distinct()
+        # names of their own, by type: those of a store's columns stay, and leaves that are read together share them
+        types = files.select(*[c.alias(n) for n, c in extra.items()]).schema
+        made = {n: f"_{n}_{types[n].dataType.typeName()}" for n in extra}
+        files = files.withColumns({made[n]: c for n, c in extra.items()}).drop("ordinal", "section")
+        # a file is met once by one scan, unless two slashes at the start of its path are the root twice
+        rooted = any(f.kind in ("scan", "scan_fmrc") and f.location == "/" for f in self.facts.get((row.doc, row.node_path), []))
+        if row.several or rooted:
+            files = files.distinct()
+        leaf = _Leaf(row.store, tuple(base), made, files, tuple(row.variables))
+        self.leaves.append(leaf)
+        number = len(self.leaves) - 1
 
         def read(wanted: tuple[str, ...]) -> DataFrame:
-            chosen = list(wanted) or list(row.variables)
-            rows = store.read(files.where(F.col("variable").isin(*chosen)), list(extra), chosen)
-            return virtual.merge_records(rows, coords, chosen).select(*coords, *wanted)
+            chosen, key = list(wanted) or list(row.variables), [*base, *made.values()]
+            if number in self.cells:
+                cells = self.cells[number].where((F.col("_leaf") == number) & F.col("variable").isin(*chosen))
+                # a place has one cell for each variable
+                found = cells.select(*key, F.col("value").alias(chosen[0])) if len(chosen) == 1 else virtual.merge_cells(cells, key, chosen)
+            else:
+                rows = store.read(files.where(F.col("variable").isin(*chosen)), list(made.values()), chosen)
+                found = virtual.merge_records(rows, key, chosen)
+            return found.select(*base, *[F.col(c).alias(n) for n, c in made.items()], *wanted)
 
         period = (row.first, row.last) if row.first and row.last and "time" in store.coords else None
-        return VirtualDataset.files(read, coords, row.variables, period)
+        return VirtualDataset.files(read, [*base, *extra], row.variables, period)
+
+    def gather(self) -> None:
+        """Read the plain files of all datasets that were asked for so far, once for all of them: afterwards these start from cells.
+
+        The rows of a store move once, to be joined with the files of all leaves, and lie by leaf then. Some leaves at a time, with no more rows
+        than the largest one has, they are added up at their places: what moves at one time does not grow with the number of
+        datasets. A leaf that is alone gains nothing and is read when asked.
+        """
+        together: dict[tuple, list[int]] = defaultdict(list)
+        for i, leaf in enumerate(self.leaves):
+            if i not in self.cells:
+                together[leaf.store, leaf.base].append(i)
+        for (store, base), numbers in together.items():
+            if len(numbers) == 1:
+                continue
+            leaves = [self.leaves[i] for i in numbers]
+            files = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [leaf.files.withColumn("_leaf", F.lit(i)) for i, leaf in zip(numbers, leaves)])
+            keep = ["_leaf", *sorted({c for leaf in leaves for c in leaf.extra.values()})]
+            rows = self.stores[store].read(files, keep, sorted({v for leaf in leaves for v in leaf.variables}))
+            rows = saved(rows.select(*keep, *base, "variable", "value").sortWithinPartitions("_leaf"), "rows")
+            sizes = {r["_leaf"]: r["n"] for r in rows.groupBy("_leaf").agg(F.count("*").alias("n")).collect()}
+            for some in _batches(numbers, sizes):
+                cells = rows.where(F.col("_leaf").isin(*some)).groupBy(*keep, *base, "variable").agg(F.sum("value").alias("value"))
+                cells = saved(cells.sortWithinPartitions("_leaf", "variable", *base), "cells")
+                self.cells.update(dict.fromkeys(some, cells))
 
     def _members(self, doc: str, at: str, above: tuple[str, ...], leaf: Callable[[Row], VirtualDataset]) -> list[tuple[VirtualDataset, Row | None]]:
         """The members of an aggregation in order: nested or labelled ones with their fact, documents, and plain files together."""
@@ -301,6 +364,17 @@ class Compiler:
         return base
 
 
+def _batches(numbers: list[int], sizes: dict[int, int]) -> list[list[int]]:
+    """Leaves in batches that have no more rows than the largest leaf."""
+    batches: list[list[int]] = []
+    for i in numbers:
+        if batches and sum(sizes.get(j, 0) for j in [*batches[-1], i]) <= max(sizes.values(), default=0):
+            batches[-1].append(i)
+        else:
+            batches.append([i])
+    return batches
+
+
 def _renamed(df: DataFrame, names_: dict[str, str]) -> DataFrame:
     return reduce(lambda d, p: edit.rename_variable(d, *p), [(o, n) for o, n in names_.items() if o in df.columns], df)
 

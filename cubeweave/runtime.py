@@ -69,6 +69,11 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def released(spark: SparkSession):
+    """Shuffle files of the rows that are written inside go when these are written, not when the driver next collects its garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def stream_settings(spark: SparkSession) -> dict[str, str]:
     """Settings for passes that run to completion.
 

@@ -9,7 +9,7 @@ itself, so what they do not touch stays as it is.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -198,21 +198,30 @@ def set_variable_attribute(docs: DataFrame, variable: str, name: str, value: Col
     return _edited(docs, change, value, xml)
 
 
-def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of: Column | None = None) -> DataFrame:
+def resolve(
+    found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of: Column | None = None, given: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """The files behind every descriptor: (key, node_path, ordinal, path, kind of the fact that names it).
 
     Listed locations are files themselves. A scan meets a file when its
     location is one of the file's directories, so paths are spread over those of their
     directories that are as deep as a location and the match is an equality. A scan that takes files of a minimum age needs the inventory's
     ``mtime`` and the time ``as_of`` which their age is counted.
+
+    ``given`` are columns of the facts and ``keep`` columns of the inventory that go with each file, so that
+    files need not be looked up again by their paths. With ``keep``, listed locations are those that the inventory has, and scans,
+    which must be few then, are sent to the files: these are not moved.
     """
+    said, held_of = F.struct(F.lit(0).alias("_"), *given).alias("_given"), F.struct(F.lit(0).alias("_"), *keep).alias("_kept")
     bare = lambda c: F.when(c == "/", c).otherwise(F.regexp_replace(c, "/+$", ""))
     listed = found.where((F.col("kind") == "member") & F.col("location").isNotNull()).select(
-        key, "node_path", "ordinal", F.col("location").alias("path"), "kind"
+        key, "node_path", "ordinal", F.col("location").alias("path"), "kind", said
     )
+    if keep:
+        listed = listed.join(inventory.select("path", held_of), "path")
     scans = found.where(F.col("kind").isin("scan", "scan_fmrc")).select(
         key, "node_path", "ordinal", "kind", bare(F.col("location")).alias("location"), "suffix", "regexp",
-        F.coalesce("subdirs", F.lit(True)).alias("subdirs"), marks.seconds(F.col("older_than")).alias("_age"),
+        F.coalesce("subdirs", F.lit(True)).alias("subdirs"), marks.seconds(F.col("older_than")).alias("_age"), said,
     )
     # locations are at a few depths, of which most directories of a file are none; two slashes at the start are the root twice
     levels = F.when(F.col("location") == "/", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.size(F.split("location", "/"))))
@@ -223,13 +232,14 @@ def resolve(found: DataFrame, inventory: DataFrame, key: str = "doc_id", as_of:
     # the first part of an absolute path is empty: its directory is the root
     place = F.when(F.startswith("path", F.lit("/")) & (inner == ""), "/").otherwise(inner)
     time = F.col("mtime").cast("timestamp_ntz") if "mtime" in inventory.columns else F.lit(None).cast("timestamp_ntz")
-    held = inventory.select("path", time.alias("_time"), F.greatest(slashes, F.lit(1)).alias("_depth"))
-    spread = held.join(F.broadcast(depths), F.col("_at") <= F.col("_depth")).select("path", "_time", "_depth", "_at", place.alias("location"))
-    hit = scans.join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth")))
+    held = inventory.select("path", time.alias("_time"), F.greatest(slashes, F.lit(1)).alias("_depth"), held_of)
+    spread = held.join(F.broadcast(depths), F.col("_at") <= F.col("_depth")).select("path", "_time", "_depth", "_at", place.alias("location"), "_kept")
+    hit = (F.broadcast(scans) if keep else scans).join(spread, "location").where(F.col("subdirs") | (F.col("_at") == F.col("_depth")))
     ending = names.glob_to_regex_column(F.concat(F.lit("*"), F.ltrim(F.coalesce("suffix", F.lit("")), F.lit("*"))))
     suffix_is = F.rlike("path", ending)
     regexp_is = F.col("regexp").isNull() | F.rlike("path", F.concat(F.lit("^(?:"), F.coalesce("regexp", F.lit("")), F.lit(")$")))
     unknown = F.raise_error(F.lit("a scan takes files of a minimum age: give the time as of which it is counted")).cast("boolean")
     aged = unknown if as_of is None else F.col("_time") <= as_of - F.make_dt_interval(secs=F.col("_age").cast("decimal(18,6)"))
     old_enough = F.when(F.col("_age").isNull(), True).otherwise(aged)
-    return listed.unionByName(hit.where(suffix_is & regexp_is & old_enough).select(key, "node_path", "ordinal", "path", "kind"))
+    columns = [key, "node_path", "ordinal", "path", "kind", *[f"_given.{c}" for c in given], *[f"_kept.{c}" for c in keep]]
+    return listed.select(*columns).unionByName(hit.where(suffix_is & regexp_is & old_enough).select(*columns))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubeweave.functions import names
-from cubeweave.runtime import new_dir
+from cubeweave.runtime import new_dir, released
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
@@ -178,7 +178,9 @@ def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str, schema:
         # naming the columns saves a look into the files
         spark.read.schema("id bigint").parquet(f"{path}/done")
     except AnalysisException:
-        make().write.mode("overwrite").parquet(f"{path}/rows")
+        rows = make()
+        with released(spark):
+            rows.write.mode("overwrite").parquet(f"{path}/rows")
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/done")
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{path}/rows")

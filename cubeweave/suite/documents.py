@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubeweave.plans.compiler import Compiler, Store
+from cubeweave.plans.compiler import Compiler, Store, saved
 from cubeweave.registry import query
 from cubeweave.sources import substrate
 from cubeweave.suite.views import with_views
@@ -17,7 +17,7 @@ AS_OF = "2002-06-30"
 
 
 def compiler(spark, sf) -> Compiler:
-    inventory = substrate.members(spark, sf)
+    inventory = substrate.with_short_keys(substrate.members(spark, sf)).select("path", "variable", *substrate.SHORT_KEYS, "mtime")
     year = F.col("year").cast("string")
     dated = inventory.withColumns({"first": F.concat(year, F.lit("-01-01")), "last": F.concat(year, F.lit("-12-31"))})
     stores = [
@@ -122,10 +122,10 @@ _DOCS = "/data/docs"
 def descriptor_compile(spark, sf):
     """Every document to its rows: unions, lists, stacks, tiles, forecasts, logical views, values, renames, and documents of documents."""
     found = compiler(spark, sf)
-    parts = []
-    for path in sorted(found.documents):
-        ds = found.dataset(path)
-        parts.append(_totals(path, ds.coords, ds.variables, ds.frame()))
+    datasets = {path: found.dataset(path) for path in sorted(found.documents)}
+    found.gather()
+    # each is written, so that what one document moves is gone before the next one
+    parts = [saved(_totals(path, ds.coords, ds.variables, ds.frame()), "totals") for path, ds in datasets.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

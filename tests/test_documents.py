@@ -1,6 +1,7 @@
 """Documents compiled to datasets over a small store."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,29 @@ def test_tiles_as_files_and_as_aggregations(spark, store):
     assert rows(c.dataset("/plain.ncml")) == rows(c.dataset("/nested.ncml")) == want
 
 
+def test_datasets_that_are_read_together_have_the_same_rows(spark, store):
+    calls = []
+    counted = replace(store, read=lambda *given: calls.append(given) or store.read(*given))
+    new = "<netcdf><aggregation type='joinNew' dimName='%s'><variableAgg name='tas'/><scan location='/d' regExp='.*/tas_[^/]*' %s/></aggregation></netcdf>"
+    twice = "".join(f"<netcdf location='/d/tas_20000101.nc' section='0:{i},0:2'/>" for i in (0, 1))
+    c = compiled(spark, counted, {
+        "/both.ncml": f"<netcdf>{JOIN % '<scan location=\"/d\" suffix=\".nc\"/>'}</netcdf>",
+        "/twice.ncml": f"<netcdf>{JOIN % (twice + (SCAN % 'tas') * 2)}</netcdf>",
+        "/first.ncml": "<netcdf><aggregation type='union'><scan location='/d' suffix='.nc'/></aggregation></netcdf>",
+        "/mark.ncml": new % ("run", "dateFormatMark='tas_#yyyyMMdd'"), "/name.ncml": new % ("run", ""),
+        "/tiles.ncml": f"<netcdf><aggregation type='tiled' dimName='time x'>{twice}</aggregation></netcdf>",
+    })
+    asked = [{"period": ("2000-01-02", "2000-01-03"), "variables": ["tas"]}, {"variables": ["pr"]}, {"variables": []}]
+    frames = lambda p, ds: [ds.frame(), *[ds.frame(**a) for a in asked if p == "/both.ncml"]]
+    told = lambda p, ds: [(f.dtypes, sorted(map(repr, f.collect()))) for f in frames(p, ds)]
+    sets = {path: c.dataset(path) for path in sorted(c.documents)}
+    alone = {path: told(path, ds) for path, ds in sets.items()}
+    assert len(alone["/both.ncml"][0][1]) == 18 and len(alone["/twice.ncml"][0][1]) == 6 + 18
+    calls.clear()
+    c.gather()
+    assert {path: told(path, ds) for path, ds in sets.items()} == alone and len(calls) == 1
+
+
 def test_documents_that_can_not_be_read_say_why(spark, store):
     c = compiled(spark, store, {
         "/a.ncml": "<netcdf location='/b.ncml'/>", "/b.ncml": "<netcdf><aggregation type='union'><scan location='/' suffix='a.ncml'/></aggregation></netcdf>",

@@ -1,6 +1,8 @@
 """What keeps time, disk and memory in proportion to the input."""
 
+import os
 import re
+import time
 from types import SimpleNamespace
 
 from pyspark.sql import Row
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 import cubeweave.suite  # noqa: F401  (registers every query)
 from cubeweave.operators import catalog, select
+from cubeweave.plans import compiler
 from cubeweave.registry import QUERIES
 from cubeweave.sources import descriptors, inventory, markup, substrate
 from cubeweave.streaming import arrivals
@@ -211,3 +214,29 @@ def test_files_of_documents_are_looked_up_once(spark, sf_dir, monkeypatch):
     # lines are joined with files for all their variables at once
     found = QUERIES["descriptor_read"](spark, sf_dir)
     assert len(calls) == 1 and "Generate inline" not in plan(found)
+
+
+def test_lines_are_read_once_for_all_documents(spark, sf_dir, monkeypatch):
+    calls, read = [], substrate.read_records
+    monkeypatch.setattr(substrate, "read_records", lambda *given: calls.append(given) or read(*given))
+    found = QUERIES["descriptor_compile"](spark, sf_dir)
+    assert len(calls) == 1 and "Exchange" not in plan(found)
+
+
+def test_what_a_written_step_moved_is_gone(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    moved = lambda: {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before = moved()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    made = compiler.saved(df, "test")
+    for _ in range(100):
+        if moved() <= before:
+            break
+        time.sleep(0.1)
+    assert moved() <= before and made.count() == 7
+
+
+def test_leaves_are_added_up_in_batches_no_larger_than_the_largest():
+    assert compiler._batches([1, 2, 3, 4, 5], {1: 5, 2: 2, 3: 3, 5: 9}) == [[1, 2], [3, 4], [5]]
+    assert compiler._batches([1, 2, 3], {1: 3, 2: 2, 3: 2}) == [[1], [2], [3]]
+    assert compiler._batches([1, 2], {}) == [[1, 2]]
